@@ -12,6 +12,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyline.session import spread
+
 TABLES = ("customer", "orders", "lineitem", "events", "nation", "region", "supplier", "part")
 
 NBSP = "\u00a0"
@@ -211,11 +213,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spread(table(spark, sf_dir, name))
+
+
 def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of ``DERIVED`` as a DataFrame over the tables of ``sf_dir``."""
     sql = DERIVED[name]
     inputs = {
-        t: derived(spark, sf_dir, t) if t in DERIVED else table(spark, sf_dir, t)
+        t: derived(spark, sf_dir, t) if t in DERIVED else _spread_table(spark, sf_dir, t)
         for t in (*TABLES, *DERIVED) if f"{{{t}}}" in sql
     }
     return spark.sql(re.sub(r"EACH\(([^)]*)\)", r"explode(array(\1))", sql), **inputs)

@@ -16,7 +16,7 @@ from tallyline.operators import checks, identity, reconcile
 from tallyline.operators import rules as r
 from tallyline.operators.asof import asof_merge
 from tallyline.operators.dedup import flag_duplicates, latest_first
-from tallyline.operators.skew import heavy_keys
+from tallyline.operators.skew import HeavyKeys, heavy_keys
 from tallyline.plans import lending as plan
 from tallyline.sources.store import scratch_root
 
@@ -54,6 +54,7 @@ class Lending:
     def __init__(self, spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()):
         self.spark, self.sf_dir, self.keep = spark, sf_dir, keep
         self._built: dict[str, DataFrame] = {}
+        self._heavy_loans: list[HeavyKeys] | None = None
 
     def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._built:
@@ -71,7 +72,8 @@ class Lending:
         build = {
             "ims_clients": lambda: plan.check_clients(self.raw(source), self.lookup()),
             "cbs_borrowers": lambda: plan.check_borrowers(self.raw(source)),
-            "cbs_loans": lambda: plan.check_loans(self.raw(source), self.staged("cbs_borrowers")),
+            "cbs_loans": lambda: plan.check_loans(
+                self.raw(source), self.staged("cbs_borrowers"), self.heavy_loan_keys()),
             "cbs_repayments": lambda: plan.check_repayments(
                 self.raw(source), self.staged("cbs_loans")),
             "fx_rates": lambda: plan.check_rates(self.raw(source)),
@@ -80,6 +82,11 @@ class Lending:
         }[source]
         return self._once(source, build)
 
+    def heavy_loan_keys(self) -> list[HeavyKeys]:
+        if self._heavy_loans is None:
+            self._heavy_loans = plan.heavy_loan_keys(self.raw("cbs_loans"))
+        return self._heavy_loans
+
     def staged(self, source: str) -> DataFrame:
         return plan.staged(source, self.checked(source))
 
@@ -94,10 +101,10 @@ class Lending:
         return identity.crosswalk(self.matched())
 
     def mart(self) -> DataFrame:
-        borrower = self.raw("cbs_loans").select(fn.trim_spaces("borrower_id").alias("borrower_id"))
-        (heavy,) = heavy_keys(borrower, ["borrower_id"])
+        banking = identity.crosswalk(identity.add_match_key(
+            plan.banking_parties(self.staged("cbs_borrowers"))))
         return plan.loan_mart(
-            self.staged("cbs_loans"), self.links(), self.staged("fx_rates"), heavy)
+            self.staged("cbs_loans"), banking, self.staged("fx_rates"), self.heavy_loan_keys()[1])
 
     def reconciliation(self, ordered: bool = False) -> DataFrame:
         return plan.reconciliation(
@@ -401,7 +408,7 @@ def loan_fx(spark, sf_dir):
 
 @register("loan_mart", "select * from mart")
 def loan_mart(spark, sf_dir):
-    return Lending(spark, sf_dir, keep=("fx_rates",)).mart()
+    return Lending(spark, sf_dir, keep=("cbs_borrowers", "fx_rates")).mart()
 
 
 @register("period_summary", """
@@ -414,7 +421,7 @@ def loan_mart(spark, sf_dir):
         count(distinct enterprise_client_id) as distinct_clients_count
     from mart group by 1, 2, 3 order by 1, 2, 3""")
 def period_summary(spark, sf_dir):
-    return plan.period_summary(Lending(spark, sf_dir, keep=("fx_rates",)).mart())
+    return plan.period_summary(Lending(spark, sf_dir, keep=("cbs_borrowers", "fx_rates")).mart())
 
 
 _VIEWS = "(select user_id, ts, max(value) as value from events where event_type = 'view' group by all)"

@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.text import as_column, trim_spaces
 
-_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
-_NOT_FINITE = r"(?i)^\s*[+-]?(nan|inf|infinity)\s*$"
-_DAY = r"([0-9]{4})[-/]([0-9]{1,2})[-/]([0-9]{1,2})"
-_CLOCK = r"([0-9]{1,2}:[0-9]{1,2}(?::[0-9]{1,2}(?:\.[0-9]+)?)?)"
-_ZONE = r"(Z|UTC|[+-][0-9]{2}(?::?[0-9]{2})?)"
-_STAMP = rf"^\s*{_DAY}(?:[T ]{_CLOCK}\s*{_ZONE}?\s*)?$"
-_DATE = rf"^\s*{_DAY}(?:[T ]{_CLOCK}\s*{_ZONE}?)?\s*$"
+_DIGITS = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
+_FINITE = rf"^\s*{_DIGITS}\s*$"
+_NUMBER = rf"(?i)^\s*({_DIGITS}|[+-]?(nan|inf|infinity))\s*$"
+_DAY = r"[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}"
+_CLOCK = r"[T ][0-9]{1,2}:[0-9]{1,2}(:[0-9]{1,2}(\.[0-9]+)?)?"
+_ZONE = r"(Z|UTC|[+-][0-9]{2}(:[0-9]{2})?)"
+_STAMP = rf"^\s*{_DAY}({_CLOCK}\s*{_ZONE}?\s*)?$"
+_DATE = rf"^\s*{_DAY}({_CLOCK}\s*{_ZONE}?)?\s*$"
 _DATE_FORMATS = {  # accepted day layouts and the exact text shape each one requires
     "yyyy-M-d": r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$",
     "d/M/yyyy": r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$",
@@ -33,16 +34,13 @@ def parse_number(value: Column | str, finite: bool = False) -> Column:
     ``nan`` and ``inf`` parse unless ``finite`` is set.
     """
     text = F.translate(as_column(value), ", ", "")
-    number = F.when(text.rlike(_NUMBER), text.try_cast("double"))
-    if not finite:
-        number = number.when(text.rlike(_NOT_FINITE), F.trim(text).try_cast("double"))
-    return number
+    return F.when(text.rlike(_FINITE if finite else _NUMBER), text.try_cast("double"))
 
 
 def parse_integer(value: Column | str) -> Column:
     """Whole number; a fraction rounds half away from zero, out-of-range text is null."""
     text = as_column(value)
-    return F.when(text.rlike(_NUMBER), F.round(text.try_cast("double")).try_cast("int"))
+    return F.when(text.rlike(_FINITE), F.round(text.try_cast("double")).try_cast("int"))
 
 
 def parse_date(value: Column | str, formats: Sequence[str] = ("yyyy-M-d",)) -> Column:
@@ -53,24 +51,15 @@ def parse_date(value: Column | str, formats: Sequence[str] = ("yyyy-M-d",)) -> C
     )
 
 
-def _iso_day(text: Column, shape: str) -> Column:
-    return F.concat_ws(
-        "-",
-        F.regexp_extract(text, shape, 1),
-        F.lpad(F.regexp_extract(text, shape, 2), 2, "0"),
-        F.lpad(F.regexp_extract(text, shape, 3), 2, "0"),
-    )
+def _wall_clock(text: Column) -> Column:
+    """Shape-checked text as zone-free timestamp: the cast keeps the digits, whatever the offset."""
+    return F.translate(text, "/", "-").try_cast("timestamp_ntz")
 
 
 def parse_cast_date(value: Column | str) -> Column:
     """Date out of year-month-day text with an optional time of day behind it."""
     text = as_column(value)
-    clock = F.regexp_extract(text, _DATE, 4)
-    day = _iso_day(text, _DATE)
-    with_clock = F.concat_ws(" ", day, clock).try_cast("timestamp_ntz").cast("date")
-    return F.when(
-        text.rlike(_DATE), F.when(clock == "", day.try_cast("date")).otherwise(with_clock)
-    )
+    return F.when(text.rlike(_DATE), _wall_clock(text).cast("date"))
 
 
 def parse_timestamp(value: Column | str, zone: str | None = None) -> Column:
@@ -81,16 +70,12 @@ def parse_timestamp(value: Column | str, zone: str | None = None) -> Column:
     of that zone is returned.
     """
     text = as_column(value)
-    clock = F.regexp_extract(text, _STAMP, 4)
-    day = _iso_day(text, _STAMP)
-    wall = F.when(clock == "", day.try_cast("timestamp_ntz")).otherwise(
-        F.concat_ws(" ", day, clock).try_cast("timestamp_ntz")
-    )
+    wall = _wall_clock(text)
     if zone is not None:
-        written = F.regexp_extract(text, _STAMP, 5)
-        offset = F.when(written.isin("", "Z", "UTC"), F.lit("UTC")).otherwise(
-            F.regexp_replace(F.rpad(F.translate(written, ":", ""), 5, "0"),
-                             r"^([+-][0-9]{2})([0-9]{2})$", "$1:$2")
+        written = F.regexp_extract(text, r"([+-][0-9]{2}(:[0-9]{2})?)\s*$", 1)
+        offset = (
+            F.when(~text.contains(":") | (written == ""), "UTC")
+            .when(F.length(written) == 3, F.concat(written, F.lit(":00"))).otherwise(written)
         )
         wall = F.convert_timezone(offset, F.lit(zone), wall)
     return F.when(text.rlike(_STAMP), wall)

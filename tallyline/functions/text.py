@@ -12,9 +12,13 @@ def as_column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+# The Unicode space separators (category Zs); tabs and line ends are not among them.
+SPACES = " \u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u202f\u205f\u3000"
+
+
 def trim_spaces(value: Column | str) -> Column:
     """Strip space separators at both ends, the no-break space included; tabs stay."""
-    return F.regexp_replace(as_column(value), r"^\p{Zs}+|\p{Zs}+$", "")
+    return F.trim(as_column(value), F.lit(SPACES))
 
 
 def blank_to_null(value: Column | str) -> Column:
@@ -38,22 +42,21 @@ def name_key(value: Column | str) -> Column:
     return F.nullif(F.array_join(F.array_sort(tokens), " "), F.lit(""))
 
 
+def _lookup(mapping: Mapping[str, str], key: Column) -> Column:
+    """Value of a literal map, null when absent. A map keeps generated code small, which matters:
+    the JVM never compiles very long methods."""
+    return F.create_map(*[F.lit(text) for pair in mapping.items() for text in pair])[key]
+
+
 def upper_code(value: Column | str, aliases: Mapping[str, str] | None = None) -> Column:
     """Trimmed upper-case code; listed aliases become their canonical code, others pass through."""
     code = F.upper(trim_spaces(value))
-    folded = code
-    for alias, canonical in (aliases or {}).items():
-        folded = F.when(code == alias, F.lit(canonical)).otherwise(folded)
-    return folded
+    return F.coalesce(_lookup(aliases, code), code) if aliases else code
 
 
 def fold_values(value: Column | str, canonical: Mapping[str, str]) -> Column:
     """Map known spellings (compared trimmed, lower-case); anything else is null."""
-    spelling = F.lower(trim_spaces(value))
-    folded = F.lit(None).cast("string")
-    for known, target in canonical.items():
-        folded = F.when(spelling == known, F.lit(target)).otherwise(folded)
-    return folded
+    return _lookup(canonical, F.lower(trim_spaces(value)))
 
 
 def fold_prefix(value: Column | str, canonical: Mapping[str, str]) -> Column:

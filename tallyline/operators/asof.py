@@ -32,13 +32,6 @@ def _points(right: DataFrame, by: Sequence[str], on: str, values: Sequence[str])
     return keyed.groupBy(*by, F.col(on).alias("_at")).agg(F.max(F.struct(*values)).alias("_v"))
 
 
-def _calendar_bound(points: DataFrame, by: Sequence[str]) -> int:
-    """Upper bound of the calendar's rows: keys times the days between the outermost rows."""
-    days = F.datediff(F.max("_at"), F.min("_at")) + 1
-    keys = F.countDistinct(F.struct(*by))
-    return points.agg((keys * F.coalesce(days, F.lit(0))).alias("rows")).first()["rows"]
-
-
 def asof_calendar(
     left: DataFrame,
     right: DataFrame,
@@ -54,8 +47,8 @@ def asof_calendar(
 
     ``left_on`` and ``right_on`` are dates. The right side is reduced to a row per key and day
     first, so no window here sees more rows than a key has days. The calendar is broadcast when
-    keys times days is measured to be at most ``broadcast_rows``; beyond that it is joined the
-    way Catalyst decides.
+    it is measured to have at most ``broadcast_rows`` rows; beyond that it is joined the way
+    Catalyst decides.
     """
     by = list(by)
     points = _points(right, by, right_on, values)
@@ -65,9 +58,11 @@ def asof_calendar(
     calendar = spans.select(
         *by, "_at", "_v", F.explode(F.sequence("_at", last_day)).alias("_day")
     )
-    ends = points.groupBy(*by).agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"))
-
-    if _calendar_bound(points, by) <= broadcast_rows:
+    ends = right.filter(F.col(right_on).isNotNull()).groupBy(*by).agg(
+        F.min(right_on).alias("_first"), F.max(right_on).alias("_last")
+    )
+    days = F.coalesce(F.sum(F.datediff("_last", "_first") + 1), F.lit(0))
+    if ends.agg(days.alias("rows")).first()["rows"] <= broadcast_rows:
         calendar, ends = F.broadcast(calendar), F.broadcast(ends)
 
     # a day outside the calendar looks up the nearest end; before the start that is the fallback

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.text import as_column
 from tallyline.operators.dedup import flag_duplicates
-from tallyline.operators.skew import heavy_keys, lookup_join
+from tallyline.operators.skew import HeavyKeys, heavy_keys, lookup_join
 
 REASONS = "all_reasons"
 QUARANTINED = "is_quarantined"
@@ -114,15 +114,21 @@ class RecordChecks:
     references: tuple[References, ...] = ()
 
 
-def validate(typed: DataFrame, checks: RecordChecks, **heavy_options) -> DataFrame:
+def validate(
+    typed: DataFrame,
+    checks: RecordChecks,
+    heavy: Sequence[HeavyKeys] | None = None,
+    **heavy_options,
+) -> DataFrame:
     """Add ``validation_errors``, ``is_duplicate_key``, ``is_quarantined`` and ``all_reasons``.
 
     The survivor of a key is chosen among all its rows, valid or not, so a key whose newest row
     is invalid loses its older rows too. Cost: one lookup join per reference, one shuffle for
-    the duplicates, one projection for all rules. Heavy keys (also null ones) are measured on
-    the key columns alone and processed in slices.
+    the duplicates, one projection for all rules. Heavy keys (also null ones) are processed in
+    slices; unless given (for the key, then for each reference) they are measured here, on the
+    key columns alone.
     """
-    measured = heavy_keys(
+    measured = heavy or heavy_keys(
         typed, checks.key, *[[r.column] for r in checks.references], **heavy_options
     )
     data_columns = typed.columns

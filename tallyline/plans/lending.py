@@ -18,7 +18,7 @@ from tallyline.operators.asof import asof_calendar
 from tallyline.operators.dedup import latest_first
 from tallyline.operators.identity import add_match_key
 from tallyline.operators.reconcile import reconcile
-from tallyline.operators.skew import HeavyKeys, lookup_join
+from tallyline.operators.skew import HeavyKeys, heavy_keys, lookup_join
 from tallyline.sources.contracts import Contract
 
 AS_OF = dt.date(2026, 9, 25)
@@ -208,7 +208,15 @@ def check_borrowers(raw: DataFrame, **heavy_options) -> DataFrame:
     ), **heavy_options)
 
 
-def check_loans(raw: DataFrame, borrowers: DataFrame, **heavy_options) -> DataFrame:
+def heavy_loan_keys(raw: DataFrame, **heavy_options) -> list[HeavyKeys]:
+    """Heavy loan ids and heavy borrowers of the raw loans, for the checks and for the mart."""
+    keys = raw.select(*[fn.trim_spaces(c).alias(c) for c in ("loan_id", "borrower_id")])
+    return heavy_keys(keys, ["loan_id"], ["borrower_id"], **heavy_options)
+
+
+def check_loans(
+    raw: DataFrame, borrowers: DataFrame, heavy: list[HeavyKeys] | None = None, **heavy_options
+) -> DataFrame:
     """``borrowers`` are the passed ones: a loan of a quarantined borrower is quarantined too."""
     typed = _typed(
         raw,
@@ -245,7 +253,7 @@ def check_loans(raw: DataFrame, borrowers: DataFrame, **heavy_options) -> DataFr
             r.not_null("disbursed_at", "disbursed_at missing or unparseable"),
             r.not_null("status", "unrecognized loan status"),
         ),
-    ), **heavy_options)
+    ), heavy, **heavy_options)
 
 
 def check_repayments(raw: DataFrame, loans: DataFrame, **heavy_options) -> DataFrame:
@@ -362,28 +370,31 @@ def quarantined(source: str, checked: DataFrame, stamp: bool = True) -> DataFram
 # ---- identity --------------------------------------------------------------------------------
 
 
-def all_parties(clients: DataFrame, borrowers: DataFrame) -> DataFrame:
-    """Both systems' passed records in one shape; minors are only known to the advisory system."""
+def advisory_parties(clients: DataFrame) -> DataFrame:
     first_last = F.concat_ws(
         " ", F.coalesce("first_name", F.lit("")), F.coalesce("last_name", F.lit(""))
     )
-    advisory = clients.select(
+    return clients.select(
         F.lit("ims").alias("source_system"), F.col("ims_client_id").alias("source_id"),
         fn.name_key(first_last).alias("name_key"), "date_of_birth", "country",
         F.col("id_document_number").alias("id_key"), F.col("phone_1").alias("phone_key"),
         F.col("sex").alias("gender_norm"), "is_minor",
     )
-    banking = borrowers.select(
+
+
+def banking_parties(borrowers: DataFrame) -> DataFrame:
+    """Minors are only known to the advisory system."""
+    return borrowers.select(
         F.lit("cbs").alias("source_system"), F.col("borrower_id").alias("source_id"),
         fn.name_key("full_name").alias("name_key"), "date_of_birth", "country",
         F.col("id_number").alias("id_key"), F.col("mobile_no").alias("phone_key"),
         F.col("gender").alias("gender_norm"), F.lit(False).alias("is_minor"),
     )
-    return advisory.unionByName(banking)
 
 
 def matched_parties(clients: DataFrame, borrowers: DataFrame) -> DataFrame:
-    return add_match_key(all_parties(clients, borrowers))
+    """Both systems' passed records in one shape, with their match keys."""
+    return add_match_key(advisory_parties(clients).unionByName(banking_parties(borrowers)))
 
 
 # ---- conversion, marts, reconciliation -------------------------------------------------------

@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,40 +29,36 @@ _COMMA_OUTSIDE_QUOTES = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 _QUOTES = r'[^"]'
 
 
-def _file_name(path: Column) -> Column:
-    return F.url_decode(F.regexp_extract(path, r"([^/]+)$", 1))
-
-
-def list_files(spark: SparkSession, folder: str, match: str) -> DataFrame | None:
-    """The files in ``folder`` that match, empty ones included: ``path`` to read them by, ``uri`` as
-    scans report them. Contents are not read. None when the folder does not exist.
-    """
+def list_files(spark: SparkSession, folder: str, match: str) -> list[str]:
+    """URIs of the files in ``folder`` that match, empty ones included; no file is opened."""
     try:
-        files = (
-            spark.read.format("binaryFile").option("pathGlobFilter", match).load(folder)
-        )
+        files = spark.read.format("binaryFile").option("pathGlobFilter", match).load(folder)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return None
+            return []
         raise
-    return files.select("path", F.col("_metadata.file_path").alias("uri"))
+    return sorted(files.inputFiles())
 
 
-def file_profiles(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def _paths(uris: Sequence[str]) -> list[str]:
+    return [unquote(uri) for uri in uris]
+
+
+def file_profiles(spark: SparkSession, uris: Sequence[str]) -> DataFrame:
     """Per file: header names, records below the header, records spanning lines, bad characters."""
-    lines = spark.read.text(list(paths)).select(
-        F.col("_metadata.file_path").alias("uri"),
+    lines = spark.read.text(_paths(uris)).select(
+        F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("position"),
         "value",
     )
     quotes = F.length(F.regexp_replace("value", _QUOTES, ""))
     first_line = F.when(F.col("block") == 0, F.struct("position", "value"))
-    per_file = lines.groupBy("uri").agg(
+    per_file = lines.groupBy("file").agg(
         F.min(first_line).alias("first"),
         F.count_if(F.trim("value") != "").alias("n_lines"),
         F.count_if(quotes % 2 == 1).alias("n_split"),
-        F.count_if(F.col("value").contains("\ufffd")).alias("n_bad"),
+        F.count_if(~F.is_valid_utf8("value")).alias("n_bad"),
     )
     header_line = F.regexp_replace("first.value", "^\\uFEFF", "")
     names = F.transform(
@@ -69,7 +66,7 @@ def file_profiles(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         lambda c: F.replace(F.regexp_replace(F.trim(c), '^"(.*)"$', "$1"), F.lit('""'), F.lit('"')),
     )
     return per_file.select(
-        "uri",
+        "file",
         F.transform(names, lambda c: F.trim(c)).alias("header"),
         (F.length(F.regexp_replace(header_line, _QUOTES, "")) % 2 == 1).alias("header_split"),
         # a record that spans lines opens on one odd-quoted line and closes on another
@@ -79,16 +76,16 @@ def file_profiles(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
-def _exact_counts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def _exact_counts(spark: SparkSession, uris: Sequence[str]) -> DataFrame:
     """Record counts by the CSV reader, for the files with values that span lines."""
-    rows = _read_csv(spark, paths, None, multi_line=True)
-    return rows.groupBy(F.col("_metadata.file_path").alias("uri")).agg(
+    rows = _read_csv(spark, uris, None, multi_line=True)
+    return rows.groupBy(F.col("_metadata.file_name").alias("file")).agg(
         F.count("*").alias("_exact")
     )
 
 
 def _read_csv(
-    spark: SparkSession, paths: Sequence[str], header: Sequence[str] | None, multi_line: bool
+    spark: SparkSession, uris: Sequence[str], header: Sequence[str] | None, multi_line: bool
 ) -> DataFrame:
     reader = (
         spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
@@ -96,7 +93,7 @@ def _read_csv(
     )
     if header is not None:
         reader = reader.schema(", ".join(f"`{c}` string" for c in header))
-    return reader.csv(list(paths))
+    return reader.csv(_paths(uris))
 
 
 def _list_text(names: Column) -> Column:
@@ -107,7 +104,7 @@ def _list_text(names: Column) -> Column:
 def judge(profiles: DataFrame, contract: Contract, classes: Mapping[str, str] | None) -> DataFrame:
     """Verdict per file: ``status``, ``row_count``, ``columns_dropped_excluded``, ``reason``.
 
-    ``profiles`` holds path, uri and, where the file has any line, header and counts.
+    ``profiles`` holds uri and name and, where the file has any line, header and counts.
     """
     header = F.col("header")
     expected = F.array(*[F.lit(c) for c in contract.columns])
@@ -143,8 +140,8 @@ def judge(profiles: DataFrame, contract: Contract, classes: Mapping[str, str] |
         counted = unreadable.isNull()
     passed = reason == ""
     return profiles.select(
-        "path",
-        _file_name(F.col("uri")).alias("file"),
+        "uri",
+        "file",
         F.when(passed, "PASS").otherwise("FAIL").alias("status"),
         F.when(counted, F.col("row_count")).alias("row_count"),
         F.when(passed, F.size(F.array_intersect(header, excluded))).otherwise(0)
@@ -159,17 +156,18 @@ def check_source(
     spark: SparkSession, folder: str, contract: Contract, classes: Mapping[str, str] | None
 ) -> DataFrame | None:
     """Verdicts on the files of one source; None when no file matches."""
-    listing = list_files(spark, folder, contract.match)
-    # the list of files is what a driver holds for any scan; their rows stay where they are
-    paths = [] if listing is None else sorted(r["path"] for r in listing.collect())
-    if not paths:
+    uris = list_files(spark, folder, contract.match)
+    if not uris:
         return None
-    profiles = listing.join(file_profiles(spark, paths), "uri", "left")
-    spanning = profiles.filter("n_split > 0").select("path").collect()
+    names = [unquote(uri.rsplit("/", 1)[-1]) for uri in uris]
+    listing = spark.createDataFrame(list(zip(uris, names, strict=True)), "uri string, file string")
+    profiles = listing.join(file_profiles(spark, uris), "file", "left")
+    # one short row per file, like the listing itself
+    spanning = [row["uri"] for row in profiles.filter("n_split > 0").select("uri").collect()]
     row_count = F.col("n_lines")
     if spanning:
-        exact = _exact_counts(spark, [r["path"] for r in spanning])
-        profiles = profiles.join(exact, "uri", "left")
+        exact = _exact_counts(spark, spanning)
+        profiles = profiles.join(exact, "file", "left")
         row_count = F.when(F.col("n_split") > 0, F.coalesce("_exact", F.lit(0))).otherwise(row_count)
     return judge(profiles.withColumn("row_count", row_count), contract, classes)
 
@@ -179,12 +177,12 @@ def load_accepted(
 ) -> DataFrame | None:
     """Rows of the accepted files: strings, excluded columns never read, plus file and load time."""
     accepted = verdicts.filter("status = 'PASS'").groupBy("header", "multi_line").agg(
-        F.sort_array(F.collect_list("path")).alias("paths")
+        F.sort_array(F.collect_list("uri")).alias("uris")
     ).collect()
     keep = [c for c in contract.columns if classes.get(c) != "excluded"]
     parts = [
-        _read_csv(spark, group["paths"], group["header"], group["multi_line"]).select(
-            *keep, _file_name(F.col("_metadata.file_path")).alias("_source_file")
+        _read_csv(spark, group["uris"], group["header"], group["multi_line"]).select(
+            *keep, F.col("_metadata.file_name").alias("_source_file")
         )
         for group in accepted
     ]

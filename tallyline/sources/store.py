@@ -59,9 +59,14 @@ class SnapshotStore:
         )
 
     def replace(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Stage, commit and read back; also how a long plan is cut into durable steps."""
-        self.commit({table: self.stage(df, table, partition_by)})
-        return self.read(table)
+        """Stage, commit and read back; also how a long plan is cut into durable steps.
+
+        Reading with the written schema keeps the types of partition columns, which folder names
+        alone would turn into text.
+        """
+        path = self.stage(df, table, partition_by)
+        self.commit({table: path})
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def append_log(self, df: DataFrame, table: str) -> None:
         df.write.mode("append").parquet(f"{self.root}/{table}")
