@@ -20,7 +20,7 @@ def check(spark, tmp_path):
 
 
 def test_good_file_loses_its_excluded_column_and_keeps_quotes_and_line_breaks(check):
-    text = '﻿id,print,name\n1,p,"O""Neil, Ann"\n2,q,"two\nlines"\n3,r,\n'
+    text = '\ufeffid,print,name\n1,p,"O""Neil, Ann"\n2,q,"two\nlines"\n3,r,\n'
     log, accepted = check({"people.csv": text}, [PEOPLE])
     row = log["people.csv"]
     assert (row.status, row.row_count, row.columns_dropped_excluded, row.reason) == ("PASS", 3, 1, "")
