@@ -28,12 +28,16 @@ _DATE_FORMATS = {  # accepted day layouts and the exact text shape each one requ
 }
 
 
+def _without(text: Column, separator: str) -> Column:
+    return F.replace(text, F.lit(separator), F.lit(""))
+
+
 def parse_number(value: Column | str, finite: bool = False) -> Column:
     """Number as double; thousands separators (comma, space) are dropped.
 
     ``nan`` and ``inf`` parse unless ``finite`` is set.
     """
-    text = F.translate(as_column(value), ", ", "")
+    text = _without(_without(as_column(value), ","), " ")
     return F.when(text.rlike(_FINITE if finite else _NUMBER), text.try_cast("double"))
 
 
@@ -53,7 +57,7 @@ def parse_date(value: Column | str, formats: Sequence[str] = ("yyyy-M-d",)) -> C
 
 def _wall_clock(text: Column) -> Column:
     """Shape-checked text as zone-free timestamp: the cast keeps the digits, whatever the offset."""
-    return F.translate(text, "/", "-").try_cast("timestamp_ntz")
+    return F.replace(text, F.lit("/"), F.lit("-")).try_cast("timestamp_ntz")
 
 
 def parse_cast_date(value: Column | str) -> Column:

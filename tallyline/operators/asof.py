@@ -5,9 +5,10 @@ Two plans for two shapes of data:
 ``asof_calendar``  day grain, few keys (exchange rates). The right side becomes one row per key
     and day, and the left side finds its row by plain equality. The left side is never sorted,
     and not shuffled at all while the calendar is small enough for Catalyst to broadcast.
-``asof_merge``     any grain, many keys. Left instants and right rows are merged per key and time
-    bucket and the last right value is carried forward. Work per task is bounded by a bucket,
-    not by a key, and no left row is ever paired with more than one right row.
+``asof_merge``     any grain, many keys. Left instants and right rows are merged per key and minute
+    and the last right value is carried forward, over days, over the minutes of a day and within
+    a minute. A key is never sorted as a whole, however many rows it has, and no left row is ever
+    paired with more than one right row.
 
 In both, a left row before the first right row of its key takes that first row and is marked as
 estimated when ``fallback`` is on, and finds nothing when it is off.
@@ -17,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -28,8 +29,21 @@ ESTIMATED = "is_estimated"
 
 def _points(right: DataFrame, by: Sequence[str], on: str, values: Sequence[str]) -> DataFrame:
     """One right row per key and instant; equal instants keep the greatest values."""
-    keyed = right.filter(F.col(on).isNotNull())
-    return keyed.groupBy(*by, F.col(on).alias("_at")).agg(F.max(F.struct(*values)).alias("_v"))
+    keyed = right.filter(F.col(on).isNotNull()).groupBy(*by, F.col(on).alias("_at"))
+    if len(values) == 1:  # a plain number aggregates by hash, a struct only after a sort
+        (value,) = values
+        best = keyed.agg(F.max(value).alias(value))
+        return best.select(*by, "_at", F.struct(value).alias("_v"))
+    return keyed.agg(F.max(F.struct(*values)).alias("_v"))
+
+
+def _unit(unit: str, instant: str) -> Column:
+    return F.date_trunc(unit, instant).cast("timestamp_ntz")
+
+
+def _last_before(window: WindowSpec) -> Column:
+    earlier = window.rowsBetween(W.unboundedPreceding, -1)
+    return F.last("_hit", ignorenulls=True).over(earlier)
 
 
 def asof_calendar(
@@ -92,14 +106,17 @@ def asof_merge(
     values: Sequence[str],
     fallback: bool = True,
     how: str = "left",
-    bucket: str = "hour",
+    coarse: str = "day",
+    fine: str = "minute",
     heavy: HeavyKeys | None = None,
 ) -> DataFrame:
     """As ``asof_calendar`` for instants.
 
     The result depends on a left row only through its key and instant, so the merge runs over
     distinct pairs of those and is joined back by equality. ``heavy`` are heavy hitters of
-    ``(*by, left_on)`` in ``left``; ``bucket`` is any ``date_trunc`` unit.
+    ``(*by, left_on)`` in ``left``. ``coarse`` and ``fine`` are ``date_trunc`` units; per key, the
+    windows hold one row per coarse unit, one per fine unit of a coarse one, and the distinct
+    instants of one fine unit.
     """
     by = list(by)
     points = _points(right, by, right_on, values)
@@ -108,28 +125,37 @@ def asof_merge(
     hit = F.struct(F.col("_at").alias("at"), F.col("_v").alias("v"))
     merged = points.select(*by, "_at", F.lit(1).alias("_side"), hit.alias("_hit")).unionByName(
         probes.select(*by, "_at", F.lit(2).alias("_side")), allowMissingColumns=True
-    ).withColumn("_bucket", F.date_trunc(bucket, "_at").cast("timestamp_ntz"))
-
-    # what each bucket inherits: the last hit of the earlier buckets, and the key's first hit
-    per_bucket = merged.groupBy(*by, "_bucket").agg(
-        F.max("_hit").alias("_last"), F.min("_hit").alias("_first")
-    )
-    through_time = W.partitionBy(*by).orderBy("_bucket")
-    before = through_time.rowsBetween(W.unboundedPreceding, -1)
-    inherited = per_bucket.select(
-        *by, "_bucket", F.col("_bucket").alias("_at"), F.lit(0).alias("_side"),
-        F.last("_last", ignorenulls=True).over(before).alias("_hit"),
-        F.min("_first").over(W.partitionBy(*by)).alias("_earliest"),
+    ).withColumn("_fine", _unit(fine, "_at"))
+
+    # hits per unit, then what each unit inherits from the ones before it: side 0 rows open a unit
+    ends = [F.max("_hit").alias("_hit"), F.min("_first").alias("_first")]
+    per_fine = merged.withColumn("_first", F.col("_hit")).groupBy(*by, "_fine").agg(*ends)
+    per_fine = per_fine.withColumn("_coarse", _unit(coarse, "_fine"))
+    per_coarse = per_fine.groupBy(*by, "_coarse").agg(*ends)
+    every = W.partitionBy(*by)
+    opening_coarse = per_coarse.select(
+        *by, "_coarse", F.lit(0).alias("_side"),
+        _last_before(every.orderBy("_coarse")).alias("_hit"),
+        F.min("_first").over(every).alias("_earliest"),
     )
-    timeline = merged.unionByName(inherited, allowMissingColumns=True)
-    up_to_here = (
-        W.partitionBy(*by, "_bucket").orderBy(F.col("_side") > 0, "_at", "_side")
+    in_coarse = per_fine.select(*by, "_coarse", "_fine", F.lit(1).alias("_side"), "_hit").unionByName(
+        opening_coarse, allowMissingColumns=True)
+    of_coarse = W.partitionBy(*by, "_coarse")
+    opening_fine = in_coarse.select(
+        *by, "_fine", "_side",
+        _last_before(of_coarse.orderBy("_side", "_fine")).alias("_hit"),
+        F.max("_earliest").over(of_coarse).alias("_earliest"),
+    ).filter("_side = 1").withColumn("_side", F.lit(0))
+
+    timeline = merged.unionByName(opening_fine, allowMissingColumns=True)
+    so_far = (
+        W.partitionBy(*by, "_fine").orderBy(F.col("_side") > 0, "_at", "_side")
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     resolved = timeline.select(
         *by, "_at", "_side",
-        F.last("_hit", ignorenulls=True).over(up_to_here).alias("_hit"),
-        F.last("_earliest", ignorenulls=True).over(up_to_here).alias("_earliest"),
+        F.last("_hit", ignorenulls=True).over(so_far).alias("_hit"),
+        F.last("_earliest", ignorenulls=True).over(so_far).alias("_earliest"),
     ).filter("_side = 2")
     answer = F.coalesce("_hit", "_earliest") if fallback else F.col("_hit")
     resolved = resolved.select(

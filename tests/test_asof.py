@@ -52,8 +52,8 @@ def test_calendar_equals_the_definition(spark, fallback, limit):
 
 
 @pytest.mark.parametrize("fallback", [True, False])
-@pytest.mark.parametrize("bucket", ["minute", "hour", "month"])
-def test_merge_equals_the_definition(spark, fallback, bucket):
+@pytest.mark.parametrize("units", [("day", "minute"), ("hour", "hour"), ("month", "day")])
+def test_merge_equals_the_definition(spark, fallback, units):
     start = dt.datetime(2026, 1, 1)
     instants = [start + dt.timedelta(minutes=17 * m) for m in range(60)]
     left, right = data(instants, 5)
@@ -62,5 +62,6 @@ def test_merge_equals_the_definition(spark, fallback, bucket):
     for hot in (None, heavy):
         got = asof_merge(
             df, spark.createDataFrame(right, "k string, at_right timestamp_ntz, v double"),
-            ["k"], "at", "at_right", ["v"], fallback=fallback, bucket=bucket, heavy=hot)
+            ["k"], "at", "at_right", ["v"], fallback=fallback, coarse=units[0], fine=units[1],
+            heavy=hot)
         assert rows(got) == expected(left, right, fallback)
