@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,30 +29,45 @@ def upsert_by_key(
     names load stamps left out of that comparison), so that bad rows reach validation
     and loading them again adds nothing.
 
-    The result is a new table: write it to a new place (see ``SnapshotStore``), Parquet cannot be
-    replaced while it is read.
+    The result is a new table: Parquet cannot be replaced while it is read. ``merge_load`` in
+    ``tallyline.sources.merge`` does the same to a stored table, rewriting only what changed.
     """
-    key = list(key)
-    match = [*key, _CONTENT]
-    new = _with_content(incoming, key, ignore)
-    (heavy,) = heavy_keys(new, match, **heavy_options)
-    latest = keep_latest(new, match, order_by, heavy)
+    latest = latest_by_key(incoming, key, order_by, ignore, **heavy_options)
     if existing is None:
-        return latest.drop(_CONTENT)
-    old = _with_content(existing, key, ignore)
-    arriving = latest.select(*[F.col(c).alias(f"_new_{c}") for c in match])
-    same = None
-    for c in match:
-        equal = F.col(c).eqNullSafe(F.col(f"_new_{c}"))
-        same = equal if same is None else same & equal
-    kept = old.join(arriving, same, "left_anti")
-    return kept.unionByName(latest, allowMissingColumns=True).drop(_CONTENT)
-
-
-def _with_content(df: DataFrame, key: Sequence[str], ignore: Sequence[str]) -> DataFrame:
+        return latest
+    kept = without_matches(existing, latest, key, ignore)
+    return kept.unionByName(latest, allowMissingColumns=True)
+
+
+def latest_by_key(
+    incoming: DataFrame,
+    key: Sequence[str],
+    order_by: Sequence[Column] = (),
+    ignore: Sequence[str] = (),
+    **heavy_options,
+) -> DataFrame:
+    """One incoming row per key, or per content where the key is missing."""
+    rows = match_columns(incoming, key, ignore)
+    match = [*key, _CONTENT]
+    (heavy,) = heavy_keys(rows, match, **heavy_options)
+    return keep_latest(rows, match, order_by, heavy).drop(_CONTENT)
+
+
+def without_matches(
+    existing: DataFrame, latest: DataFrame, key: Sequence[str], ignore: Sequence[str] = ()
+) -> DataFrame:
+    """Existing rows that ``latest`` does not replace."""
+    match = [*key, _CONTENT]
+    arriving = match_columns(latest, key, ignore).select(
+        *[F.col(c).alias(f"_new_{c}") for c in match])
+    same = reduce(
+        Column.__and__, [F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in match])
+    return match_columns(existing, key, ignore).join(arriving, same, "left_anti").drop(_CONTENT)
+
+
+def match_columns(df: DataFrame, key: Sequence[str], ignore: Sequence[str] = ()) -> DataFrame:
+    """Add what a row without a key is recognised by: a digest of its content, else blank."""
     compared = sorted(c for c in df.columns if c not in ignore)
-    no_key = F.lit(False)
-    for k in key:
-        no_key = no_key | F.col(k).isNull()
-    text = F.to_json(F.struct(*compared))
-    return df.withColumn(_CONTENT, F.when(no_key, F.sha2(text, 256)).otherwise(F.lit("")))
+    no_key = reduce(Column.__or__, [F.col(k).isNull() for k in key])
+    digest = F.sha2(F.to_json(F.struct(*compared)), 256)
+    return df.withColumn(_CONTENT, F.when(no_key, digest).otherwise(F.lit("")))

@@ -94,7 +94,8 @@ SOURCE_FILES = {  # source -> file pattern, natural key
 # ---- end of fixed values ---------------------------------------------------------------------
 
 CONTRACTS = {
-    source: Contract(source, match, tuple(CLASSIFICATION[match]), key)
+    source: Contract(
+        source, match, tuple(CLASSIFICATION[match]), key, incremental=source == "cbs_repayments")
     for source, (match, key) in SOURCE_FILES.items()
 }
 # the announced next shape of the repayments file, loadable next to the first one
@@ -103,6 +104,7 @@ REPAYMENTS_V2 = Contract(
     ("txn_id", "loan_id", "paid_at", "amount_paid", "currency", "channel", "agent_code",
      "reversal_of"),
     ("txn_id",), version=2, renames={"amount_paid": "amount"}, optional=("agent_code",),
+    incremental=True,
 )
 
 

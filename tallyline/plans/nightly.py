@@ -17,10 +17,10 @@ from tallyline.operators import checks as c
 from tallyline.operators import identity, reconcile
 from tallyline.operators import rules as r
 from tallyline.operators.privacy import guard_classified
-from tallyline.operators.upsert import upsert_by_key
 from tallyline.plans import lending as plan
 from tallyline.sources.arrival import arrival_check
 from tallyline.sources.contracts import Contract
+from tallyline.sources.merge import merge_load
 from tallyline.sources.publish import publish_if
 from tallyline.sources.store import SnapshotStore
 
@@ -39,11 +39,11 @@ class NightlyRun:
 
 
 def load_raw(store: SnapshotStore, contract: Contract, rows: DataFrame) -> DataFrame:
-    """Replace a one-file source; merge a daily one (a ``*`` in its pattern) by key."""
+    """Merge an incremental source by key, the later file first; replace any other."""
     table = f"raw_{contract.source}"
-    if "*" in contract.match:
+    if contract.incremental:
         newest_file = [F.col("_source_file").desc_nulls_last()]
-        rows = upsert_by_key(store.read(table), rows, contract.key, newest_file, ignore=_STAMPS)
+        return merge_load(store, table, rows, contract.key, newest_file, ignore=_STAMPS)
     return store.replace(rows, table)
 
 
@@ -61,13 +61,14 @@ def run_nightly(
     as_of: dt.date = plan.AS_OF,
     tolerance: float = plan.TOLERANCE,
     contracts: Mapping[str, Contract] = plan.CONTRACTS,
+    classification: Mapping[str, Mapping[str, str]] = plan.CLASSIFICATION,
     **heavy_options,
 ) -> NightlyRun:
     """Run everything for the files in ``source_dir``; all tables live below ``root``."""
     store = SnapshotStore(spark, root)
     lookup = plan.country_lookup(spark)
 
-    log, accepted = arrival_check(spark, source_dir, list(contracts.values()), plan.CLASSIFICATION)
+    log, accepted = arrival_check(spark, source_dir, list(contracts.values()), classification)
     store.append_log(log, ARRIVAL_LOG)
     raw: dict[str, DataFrame | None] = {}
     for source, contract in contracts.items():

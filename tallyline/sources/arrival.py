@@ -31,8 +31,10 @@ _QUOTES = r'[^"]'
 
 def list_files(spark: SparkSession, folder: str, match: str) -> list[str]:
     """URIs of the files in ``folder`` that match, empty ones included; no file is opened."""
+    subfolder, _, pattern = match.rpartition("/")
     try:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", match).load(folder)
+        files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(
+            f"{folder}/{subfolder}" if subfolder else folder)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return []

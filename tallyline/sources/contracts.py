@@ -15,6 +15,8 @@ class Contract:
 
     ``renames`` maps this version's names onto the ones used downstream, ``optional`` names
     downstream columns that other versions may lack; both make versions load together.
+    ``match`` is a file pattern below the source folder. An ``incremental`` source sends a file
+    per day, merged by key; any other sends its whole table each time.
     """
 
     source: str
@@ -24,6 +26,7 @@ class Contract:
     version: int = 1
     renames: Mapping[str, str] = field(default_factory=dict)
     optional: tuple[str, ...] = ()
+    incremental: bool = False
 
 
 def map_version(df: DataFrame, contract: Contract) -> DataFrame:

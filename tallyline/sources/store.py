@@ -1,21 +1,34 @@
 """Versioned Parquet tables with one commit point.
 
-Every write goes to a new folder; a table changes when a row naming that folder is appended to
+Every write goes to a new folder; a table changes when rows naming its folders are appended to
 the manifest, one small file that Spark's committer puts in place by a rename. Several tables
 committed in one manifest append change together. Readers see the last committed version; a run
-that dies halfway leaves only folders nobody refers to.
+that dies halfway leaves only folders nobody refers to. One writer at a time is assumed.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-MANIFEST_SCHEMA = "committed_at timestamp, version long, table_name string, path string"
+MANIFEST_SCHEMA = (
+    "committed_at timestamp, version long, table_name string, path string, columns string"
+)
+
+
+@dataclass(frozen=True)
+class Version:
+    """Folders that make up a table, with the schema to read them by."""
+
+    paths: tuple[str, ...]
+    schema: StructType
 
 
 class SnapshotStore:
@@ -31,42 +44,53 @@ class SnapshotStore:
                 raise
             return self.spark.createDataFrame([], MANIFEST_SCHEMA)
 
-    def current(self, table: str) -> str | None:
-        """Folder of the committed version of ``table``."""
-        row = self.manifest().filter(F.col("table_name") == table).agg(
-            F.max_by("path", "version").alias("path")
-        ).first()
-        return row["path"]
+    def current(self, table: str) -> Version | None:
+        """The committed version of ``table``."""
+        mine = F.struct("path", "columns")
+        of_version = (
+            self.manifest().filter(F.col("table_name") == table).groupBy("version")
+            .agg(F.sort_array(F.collect_list(mine)).alias("parts"))
+        )
+        last = of_version.agg(F.max_by("parts", "version").alias("parts")).first()["parts"]
+        if last is None:
+            return None
+        schema = StructType.fromJson(json.loads(last[0]["columns"]))
+        return Version(tuple(part["path"] for part in last), schema)
+
+    def open(self, version: Version) -> DataFrame:
+        """Rows of a version. The stored schema spares reading footers, fills columns an older
+        folder lacks with nulls, and keeps the types of partition columns."""
+        return self.spark.read.schema(version.schema).parquet(*version.paths)
 
     def read(self, table: str) -> DataFrame | None:
-        path = self.current(table)
-        return None if path is None else self.spark.read.parquet(path)
+        version = self.current(table)
+        return None if version is None else self.open(version)
 
-    def stage(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> str:
-        """Write ``df`` as a version of ``table`` that is not visible yet; returns its folder."""
+    def stage(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> Version:
+        """Write ``df`` as a version of ``table`` that is not visible yet."""
         path = f"{self.root}/{table}/{uuid.uuid4().hex}"
         df.write.partitionBy(*partition_by).parquet(path)
-        return path
+        return Version((path,), df.schema)
 
-    def commit(self, staged: Mapping[str, str]) -> None:
-        """Make staged folders the current versions of their tables, all at once."""
+    def commit(self, staged: Mapping[str, Version]) -> None:
+        """Make staged versions the current ones of their tables, all at once."""
         last = self.manifest().agg(F.max("version").alias("v")).first()["v"] or 0
-        rows = [(last + 1, table, path) for table, path in staged.items()]
+        rows = [
+            (last + 1, table, path, version.schema.json())
+            for table, version in staged.items() for path in version.paths
+        ]
         (
-            self.spark.createDataFrame(rows, "version long, table_name string, path string")
+            self.spark.createDataFrame(
+                rows, "version long, table_name string, path string, columns string")
             .select(F.current_timestamp().alias("committed_at"), "*")
             .coalesce(1).write.mode("append").parquet(f"{self.root}/_manifest")
         )
 
     def replace(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Stage, commit and read back; also how a long plan is cut into durable steps.
-
-        Reading with the written schema keeps the types of partition columns, which folder names
-        alone would turn into text.
-        """
-        path = self.stage(df, table, partition_by)
-        self.commit({table: path})
-        return self.spark.read.schema(df.schema).parquet(path)
+        """Stage, commit and read back; also how a long plan is cut into durable steps."""
+        version = self.stage(df, table, partition_by)
+        self.commit({table: version})
+        return self.open(version)
 
     def append_log(self, df: DataFrame, table: str) -> None:
         df.write.mode("append").parquet(f"{self.root}/{table}")

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyline.operators.upsert import upsert_by_key
+from tallyline.sources.merge import merge_load
 from tallyline.sources.store import SnapshotStore
 
 
@@ -36,9 +36,8 @@ def stream_upsert(
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        store.replace(upsert_by_key(store.read(table), batch, key, order_by), table)
+        if not batch.isEmpty():
+            merge_load(store, table, batch, key, order_by)
 
     return _start(stream, merge, checkpoint)
 

@@ -10,6 +10,7 @@ from tallyline.operators.dedup import latest_first
 from tallyline.operators.privacy import column_classes, drop_classes, guard_classified, tag_columns
 from tallyline.operators.upsert import upsert_by_key
 from tallyline.sources.contracts import Contract, union_versions
+from tallyline.sources.merge import merge_load
 from tallyline.sources.publish import publish_if
 from tallyline.sources.store import SnapshotStore, scratch_root
 
@@ -55,6 +56,33 @@ def test_upsert_replaces_adds_and_repeats_without_effect(spark):
         assert rows(upsert_by_key(once, new, ["id"], latest_first("day"), **options)) == want
 
 
+def test_merge_load_rewrites_only_the_folders_it_touches(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path))
+
+    def load(*rows):
+        merge_load(store, "t", spark.createDataFrame(rows, LOAD), ["id"], latest_first("day"))
+        return set(store.current("t").paths)
+
+    def rows():
+        return sorted((r.id or "", r.day, r.v) for r in store.read("t").collect())
+
+    one = load(("a", 1, "x"), ("b", 1, "x"), (None, 1, "bad"))
+    two = load(("c", 1, "x"))
+    assert one < two and len(two) == 2
+    three = load(("b", 2, "y"), ("b", 1, "z"))
+    assert len(three) == 3 and not one & three and len(two & three) == 1
+    assert rows() == [("", 1, "bad"), ("a", 1, "x"), ("b", 2, "y"), ("c", 1, "x")]
+    before = rows()
+    load(("b", 2, "y"), ("b", 1, "z"))
+    load((None, 1, "bad"))
+    assert rows() == before
+    # a load with a column more: earlier rows have it as null
+    wide = spark.createDataFrame([("d", 3, "x", "AG")], f"{LOAD}, agent string")
+    merge_load(store, "t", wide, ["id"])
+    got = {r.id: r.agent for r in store.read("t").collect()}
+    assert got["d"] == "AG" and got["a"] is None and len(got) == 5
+
+
 def test_store_swaps_whole_versions_and_keeps_partition_types(spark, tmp_path):
     store = SnapshotStore(spark, str(tmp_path))
     assert store.read("t") is None
