@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import oracles as o
-from catalog.inputs import raw, raw_sources, table
+from catalog.inputs import raw, scratch, table
 from tallyline import functions as fn
 from tallyline.operators import checks, identity, reconcile
 from tallyline.operators import rules as r
@@ -18,9 +16,6 @@ from tallyline.operators.asof import asof_merge
 from tallyline.operators.dedup import flag_duplicates, latest_first
 from tallyline.operators.skew import HeavyKeys, heavy_keys
 from tallyline.plans import lending as plan
-from tallyline.sources.store import scratch_root
-
-_LOCAL_SCRATCH = os.path.join(tempfile.gettempdir(), "tallyline")  # only without a shared folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -114,7 +109,7 @@ class Lending:
 
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared scratch folder and read back."""
-    path = scratch_root(df.sparkSession, fallback=_LOCAL_SCRATCH)
+    path = scratch(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 

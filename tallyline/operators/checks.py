@@ -64,13 +64,33 @@ def check_crosswalk(expected: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def run_checks(checks: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per check: its name, the number of offending rows, and whether it passed."""
-    counted = [
+def column_checks(
+    df: DataFrame,
+    table: str,
+    not_null: Sequence[str] = (),
+    accepted: Mapping[str, Iterable[str]] | None = None,
+) -> DataFrame:
+    """``check_name`` and ``n_bad`` of all checks on single columns of a table, from one scan."""
+    bad = {f"not_null_{table}_{c}": F.col(c).isNull() for c in not_null}
+    bad |= {f"accepted_values_{c}": ~F.col(c).isin(*v) for c, v in (accepted or {}).items()}
+    counted = df.agg(*[F.count_if(rows).alias(name) for name, rows in bad.items()])
+    lines = [
+        F.struct(F.lit(name).alias("check_name"), F.col(name).alias("n_bad")) for name in bad
+    ]
+    return counted.select(F.inline(F.array(*lines)))
+
+
+def run_checks(checks: Mapping[str, DataFrame], counted: Sequence[DataFrame] = ()) -> DataFrame:
+    """One row per check: its name, the number of offending rows, and whether it passed.
+
+    ``checks`` maps names to offending rows; ``counted`` are results of ``column_checks``.
+    """
+    counts = [
         offending.agg(F.count("*").alias("n_bad")).select(F.lit(name).alias("check_name"), "n_bad")
         for name, offending in checks.items()
     ]
-    return reduce(DataFrame.unionAll, counted).withColumn("passed", F.col("n_bad") == 0)
+    results = reduce(DataFrame.unionAll, [*counts, *counted])
+    return results.withColumn("passed", F.col("n_bad") == 0)
 
 
 def gate_verdict(results: DataFrame) -> DataFrame:

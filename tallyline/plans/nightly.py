@@ -22,7 +22,7 @@ from tallyline.sources.arrival import arrival_check
 from tallyline.sources.contracts import Contract
 from tallyline.sources.merge import merge_load
 from tallyline.sources.publish import publish_if
-from tallyline.sources.store import SnapshotStore
+from tallyline.sources.store import SnapshotStore, Version
 
 ARRIVAL_LOG = "arrival_log"
 STAGED = tuple(s for s in plan.SOURCE_FILES if s != "investment_screening")
@@ -82,10 +82,15 @@ def run_nightly(
         results = _missing_sources(spark, absent)
         return NightlyRun(publish_if(results, {}, store), results)
 
+    versions: dict[str, Version] = {}
     checked: dict[str, DataFrame] = {}
 
+    def write(name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+        versions[name] = store.stage(df, name, partition_by)
+        return store.open(versions[name])
+
     def keep(source: str, df: DataFrame) -> DataFrame:
-        checked[source] = store.replace(df, f"checked_{source}", [r.QUARANTINED])
+        checked[source] = write(f"checked_{source}", df, [r.QUARANTINED])
         return plan.staged(source, checked[source], as_of)
 
     stg = {
@@ -104,30 +109,29 @@ def run_nightly(
         raw["cbs_repayments"], stg["cbs_loans"], **heavy_options))
     quarantine = {s: plan.quarantined(s, df) for s, df in checked.items()}
 
-    parties = store.replace(
-        plan.matched_parties(stg["ims_clients"], stg["cbs_borrowers"]), "parties")
-    links = store.replace(identity.crosswalk(parties), "client_crosswalk")
+    parties = write("parties", plan.matched_parties(stg["ims_clients"], stg["cbs_borrowers"]))
+    links = write("client_crosswalk", identity.crosswalk(parties))
     queue = identity.review_queue(parties, **heavy_options)
-    mart = store.replace(
-        plan.loan_mart(stg["cbs_loans"], links, stg["fx_rates"], heavy[1]), "loan_mart")
-    built = {
-        "review_pairs": queue.pairs,
-        "review_block_members": queue.members,
-        "identity_conflicts": identity.identity_conflicts(links),
-        "identity_summary": identity.identity_summary(links, parties),
-        "period_summary": plan.period_summary(mart),
-        "reconciliation": plan.reconciliation(
-            stg["cbs_control_totals"], stg["cbs_loans"], stg["cbs_repayments"], tolerance),
-        "dq_summary": r.stored_dq_summary(
-            {s: (raw[s], stg[s], quarantine[s]) for s in STAGED}),
+    mart = write("loan_mart", plan.loan_mart(stg["cbs_loans"], links, stg["fx_rates"], heavy[1]))
+    tables = {
+        "parties": parties,
+        "client_crosswalk": links,
+        "loan_mart": mart,
+        "review_pairs": write("review_pairs", queue.pairs),
+        "review_block_members": write("review_block_members", queue.members),
+        "identity_conflicts": write("identity_conflicts", identity.identity_conflicts(links)),
+        "identity_summary": write("identity_summary", identity.identity_summary(links, parties)),
+        "period_summary": write("period_summary", plan.period_summary(mart)),
+        "reconciliation": write("reconciliation", plan.reconciliation(
+            stg["cbs_control_totals"], stg["cbs_loans"], stg["cbs_repayments"], tolerance)),
+        "dq_summary": write("dq_summary", r.stored_dq_summary(
+            {s: (raw[s], stg[s], quarantine[s]) for s in STAGED})),
+        **{f"raw_{s}": df for s, df in raw.items() if df is not None},
+        **{f"stg_{s}": df for s, df in stg.items()},
+        **{f"stg_{s}_quarantine": df for s, df in quarantine.items()},
     }
-    tables = {name: store.replace(df, name) for name, df in built.items()}
-    tables |= {"parties": parties, "client_crosswalk": links, "loan_mart": mart}
-    tables |= {f"raw_{s}": df for s, df in raw.items() if df is not None}
-    tables |= {f"stg_{s}": df for s, df in stg.items()}
-    tables |= {f"stg_{s}_quarantine": df for s, df in quarantine.items()}
-
-    results = store.replace(c.run_checks(assertions(tables)), "check_results")
+    results = write("check_results", run_assertions(tables))
+    store.commit(versions)
     published = publish_if(
         results,
         {"published_loan_mart": mart, "published_period_summary": tables["period_summary"]},
@@ -136,37 +140,46 @@ def run_nightly(
     return NightlyRun(published, results, tables)
 
 
-def assertions(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Everything that must hold before the marts are published."""
+def run_assertions(t: Mapping[str, DataFrame]) -> DataFrame:
+    """Everything that must hold before the marts are published; checks on single columns share
+    one scan per table."""
     loans, paid = t["stg_cbs_loans"], t["stg_cbs_repayments"]
     keys = {
         "stg_ims_clients": "ims_client_id", "stg_cbs_borrowers": "borrower_id",
         "stg_cbs_loans": "loan_id", "stg_cbs_repayments": "txn_id", "loan_mart": "loan_id",
     }
-    needed = [*keys.items(), ("stg_cbs_loans", "borrower_id"), ("stg_cbs_repayments", "loan_id"),
-              ("client_crosswalk", "enterprise_client_id"), ("loan_mart", "enterprise_client_id"),
-              ("loan_mart", "principal_usd"), ("loan_mart", "fx_rate_used"),
-              ("period_summary", "country")]
+    more = {
+        "stg_cbs_loans": ("borrower_id",), "stg_cbs_repayments": ("loan_id",),
+        "loan_mart": ("enterprise_client_id", "principal_usd", "fx_rate_used"),
+    }
+    needed = {table: (key, *more.get(table, ())) for table, key in keys.items()}
+    needed |= {"client_crosswalk": ("enterprise_client_id",), "period_summary": ("country",)}
+    accepted = {
+        "stg_cbs_loans": {
+            "currency": plan.CURRENCIES, "status": tuple(plan.LOAN_STATUS.values())},
+    }
     expected = [
         t[table].select(F.lit(system).alias("source_system"), F.col(key).alias("source_id"))
         for system, table, key in (("ims", "stg_ims_clients", "ims_client_id"),
                                    ("cbs", "stg_cbs_borrowers", "borrower_id"))
     ]
-    layers: dict[str, dict[str, DataFrame]] = {"all": dict(t)}
-    classes = {col: cls for cols in plan.CLASSIFICATION.values() for col, cls in cols.items()
-               if cls == "excluded"}
-    return {
-        **{f"unique_{table}_{key}": c.check_unique(t[table], key) for table, key in keys.items()},
-        **{f"not_null_{table}_{col}": c.check_not_null(t[table], col) for table, col in needed},
-        "relationships_loans_borrowers": c.check_relationship(
-            loans, "borrower_id", t["stg_cbs_borrowers"], "borrower_id"),
-        "relationships_repayments_loans": c.check_relationship(paid, "loan_id", loans, "loan_id"),
-        "accepted_values_currency": c.check_accepted_values(loans, "currency", plan.CURRENCIES),
-        "accepted_values_status": c.check_accepted_values(
-            loans, "status", tuple(plan.LOAN_STATUS.values())),
-        "rows_accounted_for": c.check_rows_accounted(t["dq_summary"]),
-        "crosswalk_complete": c.check_crosswalk(
-            expected[0].unionByName(expected[1]), t["client_crosswalk"]),
-        "excluded_columns_never_loaded": guard_classified(layers, classes),
-        "reconciliation_within_tolerance": reconcile.failing(t["reconciliation"], plan.MEASURES),
-    }
+    excluded = {col: cls for cols in plan.CLASSIFICATION.values() for col, cls in cols.items()
+                if cls == "excluded"}
+    return c.run_checks(
+        {
+            **{f"unique_{table}_{key}": c.check_unique(t[table], key)
+               for table, key in keys.items()},
+            "relationships_loans_borrowers": c.check_relationship(
+                loans, "borrower_id", t["stg_cbs_borrowers"], "borrower_id"),
+            "relationships_repayments_loans": c.check_relationship(
+                paid, "loan_id", loans, "loan_id"),
+            "rows_accounted_for": c.check_rows_accounted(t["dq_summary"]),
+            "crosswalk_complete": c.check_crosswalk(
+                expected[0].unionByName(expected[1]), t["client_crosswalk"]),
+            "excluded_columns_never_loaded": guard_classified({"all": dict(t)}, excluded),
+            "reconciliation_within_tolerance": reconcile.failing(
+                t["reconciliation"], plan.MEASURES),
+        },
+        [c.column_checks(t[table], table, columns, accepted.get(table))
+         for table, columns in needed.items()],
+    )

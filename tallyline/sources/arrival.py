@@ -25,6 +25,10 @@ LOG_SCHEMA = (
     "checked_at timestamp, source string, file string, contract_version int, status string, "
     "row_count long, columns_dropped_excluded int, reason string"
 )
+PROFILE_SCHEMA = (
+    "uri string, file string, header array<string>, header_split boolean, n_split long, "
+    "n_bad long, row_count long"
+)
 _COMMA_OUTSIDE_QUOTES = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 _QUOTES = r'[^"]'
 
@@ -42,6 +46,10 @@ def list_files(spark: SparkSession, folder: str, match: str) -> list[str]:
     return sorted(files.inputFiles())
 
 
+def _name(uri: str) -> str:
+    return unquote(uri.rsplit("/", 1)[-1])
+
+
 def _paths(uris: Sequence[str]) -> list[str]:
     return [unquote(uri) for uri in uris]
 
@@ -82,7 +90,7 @@ def _exact_counts(spark: SparkSession, uris: Sequence[str]) -> DataFrame:
     """Record counts by the CSV reader, for the files with values that span lines."""
     rows = _read_csv(spark, uris, None, multi_line=True)
     return rows.groupBy(F.col("_metadata.file_name").alias("file")).agg(
-        F.count("*").alias("_exact")
+        F.count("*").alias("n")
     )
 
 
@@ -161,17 +169,24 @@ def check_source(
     uris = list_files(spark, folder, contract.match)
     if not uris:
         return None
-    names = [unquote(uri.rsplit("/", 1)[-1]) for uri in uris]
-    listing = spark.createDataFrame(list(zip(uris, names, strict=True)), "uri string, file string")
-    profiles = listing.join(file_profiles(spark, uris), "file", "left")
-    # one short row per file, like the listing itself
-    spanning = [row["uri"] for row in profiles.filter("n_split > 0").select("uri").collect()]
-    row_count = F.col("n_lines")
+    # one short row per file from here on, like the listing: the files are scanned once, not again
+    # by everything that looks at the verdicts
+    found = {row["file"]: row for row in file_profiles(spark, uris).collect()}
+    spanning = [u for u in uris if _name(u) in found and found[_name(u)]["n_split"] > 0]
+    exact = {}
     if spanning:
-        exact = _exact_counts(spark, spanning)
-        profiles = profiles.join(exact, "file", "left")
-        row_count = F.when(F.col("n_split") > 0, F.coalesce("_exact", F.lit(0))).otherwise(row_count)
-    return judge(profiles.withColumn("row_count", row_count), contract, classes)
+        exact = {row["file"]: row["n"] for row in _exact_counts(spark, spanning).collect()}
+    profiles = []
+    for uri in uris:
+        name = _name(uri)
+        row = found.get(name)
+        if row is None:
+            profiles.append((uri, name, None, None, None, None, None))
+            continue
+        count = exact.get(name, 0) if row["n_split"] else row["n_lines"]
+        profiles.append((uri, name, row["header"], row["header_split"], row["n_split"],
+                         row["n_bad"], count))
+    return judge(spark.createDataFrame(profiles, PROFILE_SCHEMA), contract, classes)
 
 
 def load_accepted(

@@ -35,6 +35,7 @@ class SnapshotStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._last_version: int | None = None
 
     def manifest(self) -> DataFrame:
         try:
@@ -74,9 +75,11 @@ class SnapshotStore:
 
     def commit(self, staged: Mapping[str, Version]) -> None:
         """Make staged versions the current ones of their tables, all at once."""
-        last = self.manifest().agg(F.max("version").alias("v")).first()["v"] or 0
+        if self._last_version is None:
+            self._last_version = self.manifest().agg(F.max("version").alias("v")).first()["v"] or 0
+        self._last_version += 1
         rows = [
-            (last + 1, table, path, version.schema.json())
+            (self._last_version, table, path, version.schema.json())
             for table, version in staged.items() for path in version.paths
         ]
         (

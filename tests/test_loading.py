@@ -126,6 +126,9 @@ def test_assertions_on_good_and_bad_tables(spark):
     assert [tuple(r) for r in c.check_accepted_values(child, "pid", ["p"]).collect()] == [("q", 2)]
     assert [tuple(r) for r in c.check_unique(child, "pid").collect()] == [("q", 2)]
     assert c.check_not_null(child, "pid").count() == 1
+    counted = c.column_checks(child, "t", ["pid"], {"pid": ["p"]})
+    assert sorted(tuple(r) for r in c.run_checks({}, [counted]).collect()) == [
+        ("accepted_values_pid", 2, False), ("not_null_t_pid", 1, False)]
     expected = spark.createDataFrame([("a", "1"), ("a", "2"), ("a", "3")], "source_system string, source_id string")
     links = spark.createDataFrame([("a", "1"), ("a", "2"), ("a", "2"), ("b", "9")],
                                   "source_system string, source_id string")
