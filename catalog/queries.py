@@ -58,7 +58,7 @@ class Lending:
         return self._built[name]
 
     def raw(self, source: str) -> DataFrame:
-        return raw(self.spark, self.sf_dir, source)
+        return self._once(f"raw {source}", lambda: raw(self.spark, self.sf_dir, source))
 
     def lookup(self) -> DataFrame:
         return self._once("lookup", lambda: plan.country_lookup(self.spark))
@@ -436,9 +436,8 @@ def _event_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
         on e.user_id = v.user_id and e.ts >= v.ts""")
 def asof_backward(spark, sf_dir):
     buys, views = _event_sides(spark, sf_dir)
-    (heavy,) = heavy_keys(buys, ["user_id", "ts"])
     return asof_merge(buys, views, ["user_id"], "ts", "viewed_at", ["view_value"],
-                      fallback=False, how="inner", heavy=heavy)
+                      fallback=False, how="inner")
 
 
 @register("asof_fallback", f"""
@@ -450,8 +449,7 @@ def asof_backward(spark, sf_dir):
         on f.user_id = e.user_id""")
 def asof_fallback(spark, sf_dir):
     buys, views = _event_sides(spark, sf_dir)
-    (heavy,) = heavy_keys(buys, ["user_id", "ts"])
-    return asof_merge(buys, views, ["user_id"], "ts", "viewed_at", ["view_value"], heavy=heavy)
+    return asof_merge(buys, views, ["user_id"], "ts", "viewed_at", ["view_value"])
 
 
 # ---- reconciliation --------------------------------------------------------------------------

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyline.operators.skew import HeavyKeys, lookup_join
+from tallyline.operators.skew import HeavyKeys, heavy_keys, lookup_join
 
 ESTIMATED = "is_estimated"
 
@@ -60,9 +60,9 @@ def asof_calendar(
     """``left`` plus ``values``, the matched ``right_on`` and ``is_estimated``.
 
     ``left_on`` and ``right_on`` are dates. The right side is reduced to a row per key and day
-    first, so no window here sees more rows than a key has days. The calendar is broadcast when
-    it is measured to have at most ``broadcast_rows`` rows; beyond that it is joined the way
-    Catalyst decides.
+    first, so no window here sees more rows than a key has days. The calendar, and the first and
+    last day per key, are broadcast when measured to have at most ``broadcast_rows`` rows; beyond
+    that they are joined the way Catalyst decides.
     """
     by = list(by)
     points = _points(right, by, right_on, values)
@@ -76,8 +76,11 @@ def asof_calendar(
         F.min(right_on).alias("_first"), F.max(right_on).alias("_last")
     )
     days = F.coalesce(F.sum(F.datediff("_last", "_first") + 1), F.lit(0))
-    if ends.agg(days.alias("rows")).first()["rows"] <= broadcast_rows:
-        calendar, ends = F.broadcast(calendar), F.broadcast(ends)
+    size = ends.agg(F.count("*").alias("keys"), days.alias("days")).first()
+    if size["keys"] <= broadcast_rows:  # few keys: a shuffle on them would pile the left side up
+        ends = F.broadcast(ends)
+    if size["days"] <= broadcast_rows:
+        calendar = F.broadcast(calendar)
 
     # a day outside the calendar looks up the nearest end; before the start that is the fallback
     probed = left.join(ends, by, "left").withColumn(
@@ -114,7 +117,7 @@ def asof_merge(
 
     The result depends on a left row only through its key and instant, so the merge runs over
     distinct pairs of those and is joined back by equality. ``heavy`` are heavy hitters of
-    ``(*by, left_on)`` in ``left``. ``coarse`` and ``fine`` are ``date_trunc`` units; per key, the
+    ``(*by, left_on)`` in ``left``, measured here unless given. ``coarse`` and ``fine`` are ``date_trunc`` units; per key, the
     windows hold one row per coarse unit, one per fine unit of a coarse one, and the distinct
     instants of one fine unit.
     """
@@ -163,6 +166,8 @@ def asof_merge(
         F.col("_hit").isNull().alias("_early"),
     ).filter(F.col("_found").isNotNull())
 
+    if heavy is None:
+        (heavy,) = heavy_keys(left, [*by, left_on])
     joined = lookup_join(left, resolved, [*by, left_on], heavy, how)
     return joined.select(
         *[F.col(c) for c in left.columns],

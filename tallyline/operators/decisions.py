@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.operators.skew import HeavyKeys, lookup_join
+from tallyline.operators.skew import heavy_keys, lookup_join
 
 RECORD = ("source_system", "source_id")
 
@@ -34,14 +32,16 @@ def gated_export(links: DataFrame, confirmed: DataFrame) -> DataFrame:
     return sure.unionByName(rest.join(confirmed.select(*RECORD), list(RECORD), "left_semi"))
 
 
-def match_quality(
-    links: DataFrame, labelled: DataFrame, heavy: Sequence[HeavyKeys | None] = (None, None)
-) -> DataFrame:
+def match_quality(links: DataFrame, labelled: DataFrame, **heavy_options) -> DataFrame:
     """Precision and recall of 'same identity' over labelled pairs of records.
 
     ``labelled`` has ``source_system_a, source_id_a, source_system_b, source_id_b, is_same``.
-    Pairs with a record missing from the crosswalk count as not matched.
+    Pairs with a record missing from the crosswalk count as not matched. One record may appear in
+    any number of pairs.
     """
+    heavy = heavy_keys(
+        labelled, *[[f"source_system_{side}", f"source_id_{side}"] for side in "ab"],
+        **heavy_options)
     scored = labelled
     for side, hot in zip("ab", heavy, strict=True):
         ids = links.select(

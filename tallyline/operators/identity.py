@@ -71,12 +71,16 @@ def identity_conflicts(
     """Identities whose linked records disagree on country or birth date."""
     a, b = systems
     per_id = links.groupBy("enterprise_client_id").agg(
-        F.countDistinct("source_system").alias("system_count"),
         F.count_if(_in_system(a)).alias(f"{a}_record_count"),
         F.count_if(_in_system(b)).alias(f"{b}_record_count"),
         F.countDistinct("country").alias("distinct_country_count"),
         F.countDistinct("date_of_birth").alias("distinct_dob_count"),
     )
+    present = [F.when(F.col(f"{s}_record_count") > 0, 1).otherwise(0) for s in systems]
+    per_id = per_id.select(
+        "enterprise_client_id", (present[0] + present[1]).cast("long").alias("system_count"),
+        f"{a}_record_count", f"{b}_record_count", "distinct_country_count", "distinct_dob_count",
+    )
     return per_id.filter("distinct_country_count > 1 or distinct_dob_count > 1")
 
 

@@ -426,7 +426,10 @@ def loan_fx(loans: DataFrame, rates: DataFrame) -> DataFrame:
 def loan_mart(
     loans: DataFrame, links: DataFrame, rates: DataFrame, heavy: HeavyKeys | None = None
 ) -> DataFrame:
-    """One row per loan with its identity and USD amount. ``heavy`` are heavy borrowers."""
+    """One row per loan with its identity and USD amount. ``heavy`` are heavy borrowers, measured
+    here unless given."""
+    if heavy is None:
+        (heavy,) = heavy_keys(loans, ["borrower_id"])
     banking = links.filter(F.col("source_system") == "cbs").select(
         F.col("source_id").alias("borrower_id"), "enterprise_client_id", "is_minor"
     )

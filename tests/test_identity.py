@@ -125,7 +125,8 @@ def test_overrides_export_and_quality(spark):
         [("ims", "1", "cbs", "2", True), ("ims", "3", "cbs", "4", False), ("ims", "1", "cbs", "5", True),
          ("ims", "9", "cbs", "5", False)],
         "source_system_a string, source_id_a string, source_system_b string, source_id_b string, is_same boolean")
-    q = d.match_quality(links, labelled).first()
-    assert tuple(q) == (1, 1, 1, 0.5, 0.5)
+    for options in ({}, {"min_rows": 2}):
+        q = d.match_quality(links, labelled, **options).first()
+        assert tuple(q) == (1, 1, 1, 0.5, 0.5)
     none = d.match_quality(links, labelled.filter(F.lit(False))).first()
     assert none["precision"] is None and none["recall"] is None
