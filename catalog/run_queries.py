@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 
 from catalog.inputs import DERIVED, SOURCES, plain_sql, raw, scratch, table
 from catalog.queries import Lending, register
-from tallyline.operators import checks, decisions, history, identity
+from tallyline.operators import checks, decisions, history
 from tallyline.operators.dedup import latest_first
 from tallyline.operators.privacy import drop_classes, guard_classified, tag_columns
 from tallyline.operators.upsert import upsert_by_key
 from tallyline.plans import lending as plan
 from tallyline.plans.nightly import run_nightly
 from tallyline.sources.arrival import check_source, load_accepted
-from tallyline.sources.contracts import Contract, union_versions
+from tallyline.sources.contracts import union_versions
 from tallyline.sources.merge import merge_load
 from tallyline.sources.publish import publish_if
 from tallyline.sources.store import SnapshotStore
