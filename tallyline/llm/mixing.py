@@ -40,7 +40,7 @@ def _hash(doc_id: Column, seed: int) -> Column:
 
 def fill(sources: DataFrame, weights: tuple[int, ...], share: float, epochs: int) -> DataFrame:
     """``sources`` (_none, _name, source_size) with ``target``: rounds of clamping over one row a source."""
-    spread = running(sources, [F.col("_none"), F.col("_name")], F.lit(1), "_rank")
+    spread = running(sources, [F.col("_none"), F.col("_name")], {"_rank": F.lit(1)})
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("_rank") % len(weights) + 1).cast("int"))
     table_ = stored(spread.withColumn("_weight", weight).withColumn("_cap", (F.col("source_size") * epochs).cast("double")))
     total = float(table_.agg(F.sum("source_size")).first()[0] or 0)

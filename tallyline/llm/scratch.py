@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,3 +25,8 @@ def stored(df: DataFrame) -> DataFrame:
 def width(spark: SparkSession) -> int:
     """Number of partitions of an exchange that is asked for by name."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def per_process(name: str) -> dict:
+    """A dict that lives as long as the Python process, over all tasks that it runs."""
+    return sys.modules.setdefault(f"_tallyline_llm_{name}", types.ModuleType(name)).__dict__
