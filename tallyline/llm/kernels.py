@@ -94,10 +94,10 @@ class Powers:
     @classmethod
     def get(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(cls.up) < n:
-            n = max(n, CHUNK + 4096)
-            cls.up = np.cumprod(np.concatenate(([_U(1)], np.full(n - 1, BASE, np.uint64))), dtype=np.uint64)
+            size = max(n, CHUNK + 4096)
+            cls.up = np.cumprod(np.concatenate(([_U(1)], np.full(size - 1, BASE, np.uint64))), dtype=np.uint64)
             inverse = pow(BASE, -1, 1 << 64)
-            cls.down = np.cumprod(np.concatenate(([_U(1)], np.full(n - 1, inverse, np.uint64))).astype(np.uint64), dtype=np.uint64)
+            cls.down = np.cumprod(np.concatenate(([_U(1)], np.full(size - 1, inverse, np.uint64))).astype(np.uint64), dtype=np.uint64)
         return cls.up[:n], cls.down[:n]
 
 

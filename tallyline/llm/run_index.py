@@ -13,6 +13,7 @@ from __future__ import annotations
 import numpy as np
 
 _U = np.uint64
+SYMBOLS = 7
 
 
 class RunIndex:
@@ -34,28 +35,39 @@ class RunIndex:
     def _sort(self, longest: int) -> None:
         n = len(self.text)
         key = np.zeros(n, _U)
-        for k in range(7):
+        for k in range(SYMBOLS):
             step = np.zeros(n, _U)
             step[:n - k] = self.text[k:]
             step[self.left < k] = 0
             key = (key << _U(9)) | step
-        depth = 7
-        place = np.arange(n)
+        self.words = key
+        order = np.argsort(key)
+        fresh = np.ones(n + 1, bool)
+        sorted_key = key[order]
+        fresh[1:n] = sorted_key[1:] != sorted_key[:-1]
+        rank = np.empty(n, np.int64)  # row of the first suffix that is equal so far
+        rank[order] = np.maximum.accumulate(np.where(fresh[:n], np.arange(n), 0))
+        depth = SYMBOLS
         while True:
-            order = np.argsort(key)
-            follow = key[order]
-            fresh = np.ones(n, bool)
-            fresh[1:] = follow[1:] != follow[:-1]
-            if fresh.all():
+            rows = np.flatnonzero(~(fresh[:n] & fresh[1:]))  # rows not told apart yet
+            if not len(rows):
                 break
-            rank = np.empty(n, np.int64)
-            rank[order] = np.cumsum(fresh)
+            at = order[rows]
             if depth >= longest:  # equal up to their terminators, which stand in the order of the strings
-                order = np.argsort((rank << 32) | place)
+                follow = at
+            else:
+                follow = rank[np.minimum(at + depth, n - 1)] + 1
+                follow[self.left[at] < depth] = 0
+            pair = (rank[at].astype(_U) << _U(32)) | follow.astype(_U)
+            by = np.argsort(pair)
+            at, pair = at[by], pair[by]
+            order[rows] = at
+            if depth >= longest:
                 break
-            follow = rank[np.minimum(place + depth, n - 1)]
-            follow[self.left < depth] = 0
-            key = (rank.astype(_U) << _U(32)) | follow.astype(_U)
+            new = np.ones(len(rows), bool)
+            new[1:] = pair[1:] != pair[:-1]
+            fresh[rows] = new
+            rank[at] = np.maximum.accumulate(np.where(new, rows, 0))
             depth *= 2
         self.suffixes = order
 
@@ -74,17 +86,15 @@ class RunIndex:
         most = np.minimum(self.left[x], self.left[y])
         length = np.zeros(len(x), np.int64)
         live = np.flatnonzero(most > 0)
-        step = 16
-        window = np.arange(step)
         top = len(self.text) - 1
         while len(live):
             at = length[live]
-            a = self.text[np.minimum((x[live] + at)[:, None] + window, top)]
-            b = self.text[np.minimum((y[live] + at)[:, None] + window, top)]
-            same = (a == b) & (a != 0)
-            got = np.where(same.all(1), step, same.argmin(1))
+            differ = self.words[np.minimum(x[live] + at, top)] ^ self.words[np.minimum(y[live] + at, top)]
+            got = np.zeros(len(live), np.int64)
+            for k in range(SYMBOLS):
+                got += differ < _U(1 << (9 * k))  # symbols from the front that agree
             length[live] = np.minimum(at + got, most[live])
-            live = live[(got == step) & (length[live] < most[live])]
+            live = live[(got == SYMBOLS) & (length[live] < most[live])]
         return length
 
     def statistics(self) -> tuple[np.ndarray, np.ndarray]:
@@ -93,13 +103,14 @@ class RunIndex:
         match = np.zeros(len(self.run_heads), np.int64)
         has = self.run_above >= 0
         match[has] = self._common(self.run_heads[has], self.run_above[has])
-        by_text = np.argsort(self.run_heads)
-        heads, above, match = self.run_heads[by_text], self.run_above[by_text], match[by_text]
-        last = np.zeros(n, np.int64)
-        last[heads] = np.arange(len(heads))
-        last = np.maximum.accumulate(last)  # position 0 follows a terminator, so it heads a run
-        moved = np.arange(n) - heads[last]
-        return np.maximum(match[last] - moved, 0), np.where(above[last] >= 0, above[last] + moved, -1)
+        sample = np.zeros(n, bool)
+        sample[self.run_heads] = True
+        matches, places = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        matches[self.run_heads], places[self.run_heads] = match, self.run_above
+        last = np.maximum.accumulate(np.where(sample, np.arange(n), 0))  # position 0 heads a run
+        moved = np.arange(n) - last
+        above = places[last]
+        return np.maximum(matches[last] - moved, 0), np.where(above >= 0, above + moved, -1)
 
     def repeated(self, least: int, place: np.ndarray) -> np.ndarray:
         """Text positions whose next ``least`` bytes also start at a smaller ``place``.

@@ -31,25 +31,20 @@ from tallyline.llm.run_index import RunIndex
 from tallyline.llm.scratch import width
 
 ANCHOR = 40
-BLOCK = 12
+BLOCK = 21
 BUNDLE = 1 << 20
 _U = np.uint64
-_NONE = _U(0xFFFFFFFFFFFFFFFF)
 
 
 def _window_hashes(data: np.ndarray, size: int) -> np.ndarray:
     """Hash of the ``size`` bytes from each position; the last positions are wrong and must be masked."""
-    h = K.mix(data.astype(_U) + _U(1))
-    length = 1
-    while length * 2 <= size:
-        fresh = h.copy()
-        fresh[:-length] += h[length:] * _U(pow(K.BASE, length, 1 << 64))
-        h = fresh
-        length *= 2
-    if length < size:
-        fresh = h.copy()
-        fresh[:-(size - length)] += h[size - length:] * K.MIX
-        h = fresh
+    n = len(data)
+    up, down = K.Powers.get(n)
+    sums = np.zeros(n + 1, _U)
+    np.cumsum((data.astype(_U) + _U(1)) * up, out=sums[1:])
+    h = np.zeros(n, _U)
+    np.subtract(sums[size:], sums[:n + 1 - size], out=h[:n + 1 - size])
+    h *= down
     return K.mix(h)
 
 
@@ -74,13 +69,14 @@ def anchors(data: np.ndarray, ends: np.ndarray, least: int, anchor: int) -> tupl
     n = len(data)
     if n < least:
         return np.zeros(0, np.int64), np.zeros(0, _U)
-    left = np.repeat(ends[1:], np.diff(ends)) - np.arange(n)
+    left = (np.repeat(ends[1:], np.diff(ends)) - np.arange(n)).astype(np.int32)
     h = _window_hashes(data, anchor)
-    h[left < anchor] = _NONE
+    brief = (h >> _U(32)).astype(np.uint32)  # the order of anchors needs no more bits
+    brief[left < anchor] = 0xFFFFFFFF
     span = least - anchor + 1
-    lowest = _slide(h, span, np.minimum, back=False)
+    lowest = _slide(brief, span, np.minimum, back=False)
     lowest[left < least] = 0
-    x = np.flatnonzero((_slide(lowest, span, np.maximum, back=True) == h) & (left >= anchor))
+    x = np.flatnonzero((_slide(lowest, span, np.maximum, back=True) == brief) & (left >= anchor))
     return x, h[x]
 
 
@@ -212,7 +208,8 @@ def mark_repeats(base: DataFrame, frequent: np.ndarray, least: int, anchor: int)
                 inner[1] = np.minimum(inner[1], size)
                 pieces.append((first, row[ok], a[ok], z[ok], inner[:, ok]))
             blob = data.tobytes()
-            out: list[list] = [[], [], [], [], [], []]
+            out: list[list] = [[], [], [], [], []]
+            again: list[tuple[int, int, int]] = []
             for kind, rows, a, z, inner in pieces:
                 begin = ends[rows]
                 fit = z - a >= least
@@ -221,17 +218,18 @@ def mark_repeats(base: DataFrame, frequent: np.ndarray, least: int, anchor: int)
                     context = blob[at + s:at + e]
                     name = (context, c0 - s, kind)
                     if name in known:
-                        values = (None, r, s, e, None)
-                    else:
-                        known.add(name)
-                        values = (blob[at + c0:at + c1], r, s, e, context)
-                    for column, value in zip(out, values, strict=False):
+                        again.append((r, s, e))
+                        continue
+                    known.add(name)
+                    for column, value in zip(out, (blob[at + c0:at + c1], r, s, e, context), strict=True):
                         column.append(value)
-            rows = np.array(out[1], np.int64)
+            r, s, e = _merged(np.array(again, np.int64).reshape(-1, 3))
+            rows = np.concatenate((r, np.array(out[1], np.int64)))
+            none = [None] * len(r)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.binary()), pa.array(ids[rows]), pa.array(number[rows].astype(np.int32)),
-                 pa.array(out[2], pa.int32()), pa.array(out[3], pa.int32()), pa.array(out[4], pa.binary())],
-                names=["core", "_id", "no", "s", "e", "context"])
+                [pa.array(none + out[0], pa.binary()), pa.array(ids[rows]), pa.array(number[rows].astype(np.int32)),
+                 pa.array(s.tolist() + out[2], pa.int32()), pa.array(e.tolist() + out[3], pa.int32()),
+                 pa.array(none + out[4], pa.binary())], names=["core", "_id", "no", "s", "e", "context"])
 
     around = base.join(places, "_id", "left").mapInArrow(
         surround, "core binary, _id long, no int, s int, e int, context binary")
@@ -241,18 +239,38 @@ def mark_repeats(base: DataFrame, frequent: np.ndarray, least: int, anchor: int)
         for bundle in _bundles(batches):
             done = bundle.filter(pc.is_null(bundle.column("context")))
             yield from done.select(["_id", "no", "s", "e"]).to_batches()
-            fresh = bundle.filter(pc.is_valid(bundle.column("context")))
+            fresh = bundle.filter(pc.is_valid(bundle.column("context"))).combine_chunks()
             if fresh.num_rows < 2:
                 continue
-            data, ends = K.bytes_of(fresh.column("context"))
-            runs = RunIndex(data, ends)
             ids, no = fresh.column("_id").to_numpy(), fresh.column("no").to_numpy()
-            s = fresh.column("s").to_numpy().astype(np.int64)
+            s, e = (fresh.column(c).to_numpy().astype(np.int64) for c in ("s", "e"))
             order = np.lexsort((no, ids))
             new = np.ones(len(ids), bool)
             new[1:] = (ids[order][1:] != ids[order][:-1]) | (no[order][1:] != no[order][:-1])
             ordinal = np.empty(len(ids), np.int64)
             ordinal[order] = np.cumsum(new)
+            # Equal surroundings of one group come from other tasks: the first stays, the others repeat it.
+            group = fresh.column("m").to_numpy()
+            text = pc.dictionary_encode(fresh.column("context")).combine_chunks().indices.to_numpy()
+            at = (ordinal << 32) | s
+            order = np.lexsort((at, text, group))
+            new = np.ones(len(ids), bool)
+            new[1:] = (group[order][1:] != group[order][:-1]) | (text[order][1:] != text[order][:-1])
+            first = np.flatnonzero(new)
+            later = order[at[order] > np.repeat(at[order[first]], np.diff(np.append(first, len(order))))]
+            if len(later):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[later]), pa.array(no[later]), pa.array(s[later].astype(np.int32)),
+                                                  pa.array(e[later].astype(np.int32))], names=["_id", "no", "s", "e"])
+            stay = order[first]
+            alone = np.ones(len(stay) + 1, bool)
+            alone[1:-1] = group[stay][1:] != group[stay][:-1]
+            stay = stay[~(alone[:-1] & alone[1:])]  # a group of one has nothing to match
+            if not len(stay):
+                continue
+            fresh = fresh.take(pa.array(stay))
+            ids, no, s, ordinal = ids[stay], no[stay], s[stay], ordinal[stay]
+            data, ends = K.bytes_of(fresh.column("context"))
+            runs = RunIndex(data, ends)
             inside = np.arange(len(runs.text)) - runs.starts[runs.string]
             place = (ordinal[runs.string] << 32) | (s[runs.string] + inside)
             p = runs.repeated(least, place)
@@ -272,6 +290,19 @@ def mark_repeats(base: DataFrame, frequent: np.ndarray, least: int, anchor: int)
             .mapInArrow(index, "_id long, no int, s int, e int"))
 
 
+def _merged(spans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, end) spans of rows, those of a row that touch or overlap joined."""
+    row, s, e = spans[np.lexsort((spans[:, 1], spans[:, 0]))].T
+    if not len(row):
+        return row, s, e
+    far = row << 32  # keeps the rows apart
+    reach = np.maximum.accumulate(far + e)
+    new = np.ones(len(row), bool)
+    new[1:] = far[1:] + s[1:] > reach[:-1]
+    first = np.flatnonzero(new)
+    return row[first], s[first], reach[np.append(first[1:], len(row)) - 1] - far[first]
+
+
 def _split_hot(batches: Iterator[pa.RecordBatch], repeated) -> Iterator[pa.RecordBatch]:
     """Passes frequent anchors through; hands the others on, still sorted by hash."""
     aside: list[pa.RecordBatch] = []
@@ -316,7 +347,7 @@ def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def remove_repeats(docs: DataFrame, keep: list[str], least: int = 100, anchor: int = ANCHOR, share: float = 0.005,
+def remove_repeats(docs: DataFrame, keep: list[str], least: int = 100, anchor: int = ANCHOR, share: float = 0.01,
                    text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Drop each byte that a ``least``-byte string covers which also starts earlier.
 
