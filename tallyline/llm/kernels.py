@@ -117,12 +117,10 @@ def shingles(hashes: np.ndarray, rows: np.ndarray, size: int) -> tuple[np.ndarra
     n = len(hashes)
     if n == 0:
         return hashes, rows
-    ordered = hashes.copy()
-    factor = _U(1)
+    factors = [_U(pow(0x9E3779B97F4A7C15, k + 1, 1 << 64)) for k in range(size)]
     joined = np.zeros(n, np.uint64)
-    for k in range(size):
-        factor = factor * _U(0x9E3779B97F4A7C15)
-        joined[:n - k] += mix(ordered[k:] + factor)[:n - k] * (factor | _U(1))
+    for k, factor in enumerate(factors):
+        joined[:n - k] += mix(hashes[k:] + factor) * factor
     last = np.minimum(np.arange(n) + size - 1, n - 1)
     full = (rows[last] == rows) & (np.arange(n) + size - 1 < n)
     out_h, out_r = mix(joined[full]), rows[full]
@@ -132,11 +130,8 @@ def shingles(hashes: np.ndarray, rows: np.ndarray, size: int) -> tuple[np.ndarra
     if short.any():
         extra_h, extra_r = [], []
         for at, c in zip(first[short].tolist(), count[short].tolist(), strict=True):
-            factor, total = _U(1), _U(c)
-            for k in range(c):
-                factor = factor * _U(0x9E3779B97F4A7C15)
-                total = total + mix(ordered[at + k:at + k + 1] + factor)[0] * (factor | _U(1))
-            extra_h.append(total)
+            few = np.array(factors[:c])
+            extra_h.append((mix(hashes[at:at + c] + few) * few).sum(dtype=np.uint64) ^ _U(c))
             extra_r.append(rows[at])
         out_h = np.concatenate((out_h, mix(np.array(extra_h, np.uint64))))
         out_r = np.concatenate((out_r, np.array(extra_r, out_r.dtype)))

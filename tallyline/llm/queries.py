@@ -1,6 +1,6 @@
 """All queries of this subpackage; importing it registers them."""
 
-from tallyline.llm import mixing, pieces, simhash, suffix_dedup, token_counts, token_files, toxicity, warc  # noqa: F401
+from tallyline.llm import mixing, pieces, signature_join, simhash, suffix_dedup, token_counts, token_files, toxicity, warc  # noqa: F401
 from tallyline.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
