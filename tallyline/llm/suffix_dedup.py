@@ -17,6 +17,7 @@ one frequent phrase with many different surroundings is spread over many groups.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +32,8 @@ from tallyline.llm.run_index import RunIndex
 from tallyline.llm.scratch import width
 
 ANCHOR = 40
-BLOCK = 21
-BUNDLE = 1 << 20
+BLOCK = 31
+BUNDLE = 1 << 19
 _U = np.uint64
 
 
@@ -145,9 +146,10 @@ def mark_repeats(base: DataFrame, frequent: np.ndarray, least: int, anchor: int)
             for row, x, h in _anchor_rows(batch, least, anchor):
                 h = h.view(np.int64)
                 hot = np.isin(h, frequent)
+                h = np.where(hot, K.mix(x.astype(_U) + K.mix(ids[row].view(_U))).view(np.int64), h)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h), pa.array(ids[row]), pa.array(number[row].astype(np.int32)), pa.array(x.astype(np.int32)),
-                     pa.array(hot)], names=["h", "_id", "no", "x", "hot"])
+                    [pa.array(h), pa.array(hot), pa.array(ids[row]), pa.array(number[row].astype(np.int32)),
+                     pa.array(x.astype(np.int32))], names=["h", "hot", "_id", "no", "x"])
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows whose hash the row before or after shares; a row is held back until the next one is known."""
@@ -169,12 +171,10 @@ def mark_repeats(base: DataFrame, frequent: np.ndarray, least: int, anchor: int)
         if held and held[1]:
             yield held[0].drop_columns(["h"])
 
-    kinds = "h long, _id long, no int, x int, hot boolean"
-    found = base.mapInArrow(find, kinds)
-    # Frequent anchors are known to repeat: they keep out of the shuffle by hash and travel by place.
-    route = F.when(F.col("hot"), F.xxhash64("_id", "no", "x")).otherwise(F.col("h"))
-    again = (found.withColumn("h", route).repartition(n, "h").sortWithinPartitions("h")
-             .mapInArrow(lambda it: _split_hot(it, repeated), "_id long, no int, x int, hot boolean"))
+    # A frequent anchor is known to repeat: it keeps out of the shuffle by hash and travels by place.
+    found = base.mapInArrow(find, "h long, hot boolean, _id long, no int, x int")
+    again = (found.repartition(n, "h").sortWithinPartitions("h")
+             .mapInArrow(lambda it: _split_hot(it, repeated), "hot boolean, _id long, no int, x int"))
     places = again.groupBy("_id").agg(F.collect_list(F.struct("no", "x", "hot")).alias("_at"))
 
     def surround(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,45 +195,12 @@ def mark_repeats(base: DataFrame, frequent: np.ndarray, least: int, anchor: int)
             row, x, hot = row[mine], x[mine].astype(np.int64), hot[mine]
             order = np.lexsort((x, row))
             row, x, hot = row[order], x[order], hot[order]
-            size = np.diff(ends)[row]
-            low, high = np.maximum(x - reach, 0), np.minimum(x + least, size)
-            core = np.stack((x, x + anchor))
-            normal = ~hot
-            pieces = [(-1, row[normal], low[normal], high[normal], core[:, normal])]
-            for first in range(0, reach + 1, BLOCK):  # starts x - last .. x - first share x - first .. x - last + least
-                last = min(first + BLOCK - 1, reach)
-                ok = hot & (x - first >= 0) & (np.maximum(x - last, 0) + least <= size)
-                a, z = np.maximum(x - last, 0), np.minimum(x - first + least, size)
-                inner = np.stack((x - first, x - last + least))
-                inner[1] = np.minimum(inner[1], size)
-                pieces.append((first, row[ok], a[ok], z[ok], inner[:, ok]))
-            blob = data.tobytes()
-            out: list[list] = [[], [], [], [], []]
-            again: list[tuple[int, int, int]] = []
-            for kind, rows, a, z, inner in pieces:
-                begin = ends[rows]
-                fit = z - a >= least
-                for r, at, s, e, c0, c1 in zip(rows[fit].tolist(), begin[fit].tolist(), a[fit].tolist(), z[fit].tolist(),
-                                               inner[0][fit].tolist(), inner[1][fit].tolist(), strict=True):
-                    context = blob[at + s:at + e]
-                    name = (context, c0 - s, kind)
-                    if name in known:
-                        again.append((r, s, e))
-                        continue
-                    known.add(name)
-                    for column, value in zip(out, (blob[at + c0:at + c1], r, s, e, context), strict=True):
-                        column.append(value)
-            r, s, e = _merged(np.array(again, np.int64).reshape(-1, 3))
-            rows = np.concatenate((r, np.array(out[1], np.int64)))
-            none = [None] * len(r)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(none + out[0], pa.binary()), pa.array(ids[rows]), pa.array(number[rows].astype(np.int32)),
-                 pa.array(s.tolist() + out[2], pa.int32()), pa.array(e.tolist() + out[3], pa.int32()),
-                 pa.array(none + out[4], pa.binary())], names=["core", "_id", "no", "s", "e", "context"])
+            for i, j, part, stops in K.chunks(data, ends):
+                lo, hi = np.searchsorted(row, (i, j))
+                if lo < hi:
+                    yield _surroundings(part, stops, row[lo:hi] - i, x[lo:hi], hot[lo:hi], ids[i:j], number[i:j], least, anchor, known)
 
-    around = base.join(places, "_id", "left").mapInArrow(
-        surround, "core binary, _id long, no int, s int, e int, context binary")
-    meet = F.when(F.col("core").isNull(), F.xxhash64("_id", "no", "s")).otherwise(F.xxhash64("core"))
+    around = base.join(places, "_id", "left").mapInArrow(surround, "m long, _id long, no int, s int, e int, context binary")
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bundle in _bundles(batches):
@@ -286,10 +253,60 @@ def mark_repeats(base: DataFrame, frequent: np.ndarray, least: int, anchor: int)
                 [pa.array(ids[of]), pa.array(no[of]), pa.array(at[first].astype(np.int32)),
                  pa.array((at[final] + least).astype(np.int32))], names=["_id", "no", "s", "e"])
 
-    return (around.withColumn("m", meet).repartition(n, "m").sortWithinPartitions("m")
+    return (around.repartition(n, "m").sortWithinPartitions("m")
             .mapInArrow(index, "_id long, no int, s int, e int"))
 
 
+def _surroundings(data: np.ndarray, ends: np.ndarray, row: np.ndarray, x: np.ndarray, hot: np.ndarray, ids: np.ndarray,
+                  number: np.ndarray, least: int, anchor: int, known: set) -> pa.RecordBatch:
+    """What surrounds the repeated anchors x (ascending within ``row``) of a chunk, as far as their windows reach.
+
+    A window belongs to the leftmost of its smallest anchors, so the windows of an anchor end where a
+    smaller anchor comes in, and no window goes out twice. What an earlier row of the task also holds
+    is marked (null ``context``), the first one goes on to meet others by ``m``.
+    """
+    reach = least - anchor
+    brief = (_window_hashes(data, anchor) >> _U(32)).astype(np.uint32)
+    begin, size = ends[row], np.diff(ends)[row]
+    at = begin + x
+    step = np.arange(1, reach + 1)
+    before, after = at[:, None] - step, at[:, None] + step
+    ahead = (before >= begin[:, None]) & (brief[np.maximum(before, 0)] <= brief[at][:, None])
+    behind = (after + anchor <= (begin + size)[:, None]) & (brief[np.minimum(after, len(data) - 1)] < brief[at][:, None])
+    low = np.maximum(x - np.where(ahead.any(1), ahead.argmax(1), reach), 0)
+    high = np.minimum(x - reach + np.where(behind.any(1), behind.argmax(1), reach), size - least)
+    whole = ~hot & (low <= high)
+    pieces = [(-1, row[whole], low[whole], high[whole], x[whole], x[whole] + anchor)]
+    for first in range(0, reach + 1, BLOCK):
+        last = min(first + BLOCK - 1, reach)  # windows that start last .. first bytes before the anchor share a core
+        a, z = np.maximum(x - last, low), np.minimum(x - first, high)
+        some = hot & (a <= z)
+        pieces.append((first, row[some], a[some], z[some], x[some] - first, x[some] - last + least))
+    blob = data.tobytes()
+    out: list[list] = [[], [], [], [], []]
+    again: list[tuple[int, int, int]] = []
+    for kind, rows, a, z, c0, c1 in pieces:
+        for r, o, s, e, p, q in zip(rows.tolist(), ends[rows].tolist(), a.tolist(), (z + least).tolist(), c0.tolist(), c1.tolist(),
+                                    strict=True):
+            context = blob[o + s:o + e]
+            name = hashlib.blake2b(context, digest_size=12, salt=b"%d,%d" % (kind, p - s)).digest()
+            if name in known:
+                again.append((r, s, e))
+                continue
+            known.add(name)
+            core = hashlib.blake2b(blob[o + p:o + q], digest_size=8).digest()
+            for column, value in zip(out, (core, r, s, e, context), strict=True):
+                column.append(value)
+    r, s, e = _merged(np.array(again, np.int64).reshape(-1, 3))
+    rows = np.concatenate((r, np.array(out[1], np.int64)))
+    spread = K.mix(ids[r].view(_U) + s.astype(_U)).view(np.int64)
+    meet = np.concatenate((spread, np.frombuffer(b"".join(out[0]), np.int64)))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(meet), pa.array(ids[rows]), pa.array(number[rows].astype(np.int32)), pa.array(s.tolist() + out[2], pa.int32()),
+         pa.array(e.tolist() + out[3], pa.int32()), pa.array([None] * len(r) + out[4], pa.binary())],
+        names=["m", "_id", "no", "s", "e", "context"])
+
+
 def _merged(spans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, start, end) spans of rows, those of a row that touch or overlap joined."""
     row, s, e = spans[np.lexsort((spans[:, 1], spans[:, 0]))].T
