@@ -110,7 +110,7 @@ def copies(mixed: DataFrame, columns: list[str], text: str = "text", n_chars: st
     words = F.regexp_extract_all(F.col(f"row.{text}"), F.lit(f"[{SPACE}]*[^{SPACE}]+"), F.lit(0))
     cut = (F.col("_copy") == F.col("_copies")) & (F.col("_rest") > 0)
     body = F.when(cut, F.array_join(F.slice(words, F.lit(1), F.greatest("_rest", F.lit(1))), "")).otherwise(F.col(f"row.{text}"))
-    kept = {text: body, n_chars: F.length(body).cast("long")}
+    kept = {text: body, n_chars: F.when(cut, F.length(body)).otherwise(F.col(f"row.{n_chars}")).cast("long")} if n_chars in columns else {text: body}
     return each.select(*[kept.get(c, F.col(f"row.{c}")).alias(c) for c in columns])
 
 
