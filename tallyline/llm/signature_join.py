@@ -4,11 +4,14 @@ Documents with equal shingle sets are one class. Two classes that link share a t
 the first tokens of each set in one global order: every other token by hash, then the frequent ones.
 
 1. One pass over the texts writes a narrow row a document: class, set size, and a bitmap of its tokens.
-2. Prefix tokens held by two or more classes are kept. In each token's group every class is first compared
-   with one representative; the exact links among these pairs give preliminary components.
+2. Prefix tokens held by two or more classes are kept. In each token's group every class is first paired
+   with one representative; the exact links among likely pairs give preliminary components.
 3. Groups that still hold several components are searched by a signature tree: nodes hold the OR of the
    bitmaps and the size range below them; a dual traversal drops a pair of nodes as soon as the largest
-   possible overlap falls short, or when both lie in one component. What is left is compared exactly.
+   possible overlap falls short, or when both lie in one component. Groups of at most ``FANOUT`` classes are
+   a single leaf. Each pair's shared prefix tokens are counted over all groups; all tokens of a set that
+   stand before the end of both prefixes are known, so the count bounds the overlap once more. What is
+   left is compared exactly.
 
 Every pair that links is in one component after step 2 or compared in step 3, so no link between two
 components is lost. Tokens and classes are known by 64-bit hashes.
@@ -20,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm import kernels as K
@@ -170,27 +173,28 @@ class SignatureTree:
             stack.append((level - 1, a[real], b[real]))
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Whole groups of rows that come sorted by ``keys``."""
+def _bundles(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Whole neighbouring groups, about ``TILE`` rows and more at a time, of rows that come sorted by ``keys``."""
     held: list[pa.Table] = []
+    rows = 0
     for batch in batches:
         if not batch.num_rows:
             continue
         tab = pa.Table.from_batches([batch])
-        cols = [tab.column(k).to_numpy() for k in keys]
         new = np.zeros(len(tab), bool)
-        for c, k in zip(cols, keys, strict=True):
+        for k in keys:
+            c = tab.column(k).to_numpy()
             new[1:] |= c[1:] != c[:-1]
-            if held and held[-1].column(k)[-1].as_py() != c[0]:
-                new[0] = True
+            new[0] |= bool(held) and held[-1].column(k)[-1].as_py() != c[0]
         begin = 0
         for cut in np.flatnonzero(new).tolist():
-            if cut > begin:
-                held.append(tab.slice(begin, cut - begin))
-            if held:
+            if rows + cut - begin >= TILE:
+                if cut > begin:
+                    held.append(tab.slice(begin, cut - begin))
                 yield pa.concat_tables(held)
-            held, begin = [], cut
+                held, rows, begin = [], 0, cut
         held.append(tab.slice(begin))
+        rows += len(tab) - begin
     if held:
         yield pa.concat_tables(held)
 
@@ -215,49 +219,59 @@ def _tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
               .select("token", "_in", "_x", "_y", "_band", "_tile", "cls", "n", "sig", "comp"))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set = set()
-        for tab in _groups(batches, ["token", "_in", "_x", "_y"]):
-            if len(tab) < 2:
-                continue
-            size, cls, comp, lower, tile = (tab.column(c).to_numpy().astype(np.int64) for c in ("n", "cls", "comp", "_band", "_tile"))
+        for tab in _bundles(batches, ["token", "_in", "_x", "_y"]):
+            size, cls, comp, lower, tile, inside, x, y = (
+                tab.column(c).to_numpy().astype(np.int64) for c in ("n", "cls", "comp", "_band", "_tile", "_in", "_x", "_y"))
             bits = np.frombuffer(b"".join(tab.column("sig").to_pylist()), _U).reshape(len(tab), -1)
-            order = np.lexsort((cls, comp, size))
-            group = np.unique(comp[order], return_inverse=True)[1]
-            inside, x, y = tab.column("_in")[0].as_py(), tab.column("_x")[0].as_py(), tab.column("_y")[0].as_py()
-            for i, j in SignatureTree(size[order], bits[order], group).pairs(percent):
-                p, q = order[i], order[j]
-                ok = (lower[p] == inside) | (lower[q] == inside)  # two rows of the lower band meet in their own
-                if x != y:
-                    ok &= tile[p] != tile[q]
-                p, q = p[ok], q[ok]
-                a, b = np.minimum(cls[p], cls[q]), np.maximum(cls[p], cls[q])
-                fresh = [pair for pair in zip(a.tolist(), b.tolist(), strict=True) if pair not in seen]
-                if len(seen) < 1_000_000:
-                    seen.update(fresh)
-                if fresh:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*fresh, strict=True)], names=["a", "b"])
+            key = np.stack((tab.column("token").to_numpy(), inside, x, y))
+            group = np.concatenate(([0], np.cumsum((key[:, 1:] != key[:, :-1]).any(axis=0))))
+            order = np.lexsort((cls, comp, size, group))
+            size, cls, comp, lower, tile, bits = size[order], cls[order], comp[order], lower[order], tile[order], bits[order]
+            first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+            count = np.diff(np.append(first, len(group)))
+            found = list(_leaves(size, bits, comp, group, np.repeat(count <= FANOUT, count), percent))
+            for at, many in zip(first[count > FANOUT].tolist(), count[count > FANOUT].tolist(), strict=True):
+                part = slice(at, at + many)
+                names = np.unique(comp[part], return_inverse=True)[1]
+                if names.any():
+                    found += [(i + at, j + at) for i, j in SignatureTree(size[part], bits[part], names).pairs(percent)]
+            for i, j in found:
+                ok = ((lower[i] == inside[i]) | (lower[j] == inside[j])) & ((x[i] == y[i]) | (tile[i] != tile[j]))
+                a, b = np.minimum(cls[i], cls[j])[ok], np.maximum(cls[i], cls[j])[ok]
+                large, small_ = np.maximum(size[i], size[j])[ok], np.minimum(size[i], size[j])[ok]
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(large), pa.array(small_)], names=["a", "b", "large", "small"])
 
     keys = ["token", "_in", "_x", "_y"]
-    return (placed.repartition(n, *keys).sortWithinPartitions(*keys).mapInArrow(search, "a long, b long").distinct())
+    met = (placed.repartition(n, *keys).sortWithinPartitions(*keys)
+           .mapInArrow(search, "a long, b long, large long, small long").groupBy("a", "b", "large", "small").agg(F.count("*").alias("shared")))
+    return met.where(_likely(F.col("shared"), F.col("large"), F.col("small"), percent)).select("a", "b")
 
 
-def _pruned(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that sizes and bitmaps let through."""
-    one = sets.select(F.col("cls").alias("a"), F.col("n").alias("_na"), F.col("sig").alias("_sa"))
-    two = sets.select(F.col("cls").alias("b"), F.col("n").alias("_nb"), F.col("sig").alias("_sb"))
-    sized = pairs.join(one, "a").join(two, "b").where(f"100 * least(_na, _nb) >= {percent} * greatest(_na, _nb)")
+def _prefix_size(n: Column, percent: int) -> Column:
+    return n - F.ceil(n * percent / F.lit(100)) + 1
+
+
+def _likely(shared: Column, large: Column, small: Column, percent: int) -> Column:
+    """Whether sets of these sizes can link when their prefixes share so many tokens.
+
+    The set whose prefix ends first has no further token in common up to there, so the overlap is at
+    most the shared ones and what it holds beyond its prefix.
+    """
+    beyond = F.greatest(large - _prefix_size(large, percent), small - _prefix_size(small, percent))
+    return (100 * small >= percent * large) & ((shared + beyond) * (100 + percent) >= percent * (large + small))
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            na, nb = batch.column("_na").to_numpy(), batch.column("_nb").to_numpy()
-            sa, sb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), _U).reshape(len(na), -1) for c in ("_sa", "_sb"))
-            slack = [m - np.bitwise_count(s).sum(axis=1, dtype=np.int64) for m, s in ((na, sa), (nb, sb))]
-            keep = np.minimum(_bound(sa, sb, *slack), np.minimum(na, nb)) >= _need(na, nb, percent)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    return sized.mapInArrow(work, "b long, a long" if sized.columns[0] == "b" else "a long, b long").select("a", "b")
+def _leaves(size: np.ndarray, bits: np.ndarray, comp: np.ndarray, group: np.ndarray, few: np.ndarray,
+            percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs within groups of at most ``FANOUT`` rows, all groups at once; rows ascend by size in a group."""
+    slack = size - np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+    for step in range(1, FANOUT):
+        i = np.flatnonzero((group[:-step] == group[step:]) & few[:-step] & (comp[:-step] != comp[step:]))
+        j = i + step
+        keep = 100 * size[i] >= percent * size[j]
+        i, j = i[keep], j[keep]
+        fits = np.minimum(_bound(bits[i], bits[j], slack[i], slack[j]), size[i]) >= _need(size[i], size[j], percent)
+        yield i[fits], j[fits]
 
 
 def _verified(docs: DataFrame, narrow: DataFrame, pairs: DataFrame, size: int, percent: int, text: str, doc_id: str) -> DataFrame:
@@ -312,7 +326,10 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80, share: float = SHA
     met = stored(prefixes.join(shared, "token").select("token", "cls", "n", "lead"))
     sets = stored(met.select("cls").distinct().join(narrow.where("cls is not null").groupBy("cls").agg(
         F.max("n").alias("n"), F.max("sig").alias("sig")), "cls"))
-    stars = _pruned(met.where("cls <> lead").select(F.col("lead").alias("a"), F.col("cls").alias("b")).distinct(), sets, percent)
+    near = met.where("cls <> lead").groupBy("lead", "cls", "n").agg(F.count("*").alias("shared"))
+    sized = near.join(sets.select(F.col("cls").alias("lead"), F.col("n").alias("_n")), "lead")
+    likely = _likely(F.col("shared"), F.greatest("n", "_n"), F.least("n", "_n"), percent)
+    stars = stored(sized.where(likely).select(F.col("lead").alias("a"), F.col("cls").alias("b")))
     links = _verified(docs, narrow, stars, size, percent, text, doc_id)
     part = stored(components(links))
     known = met.select("token", "cls").distinct().join(part.withColumnRenamed("id", "cls"), "cls", "left").withColumn(
