@@ -138,43 +138,41 @@ def mark_repeats(base: DataFrame, frequent: np.ndarray, least: int, anchor: int)
     n = width(spark)
     reach = least - anchor
 
+    buckets = 8 * n  # several a partition, to even them out
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbering = _Numbering()
         for batch in batches:
             ids = batch.column("_id").to_numpy()
             number = numbering.of(ids)
-            for row, x, h in _anchor_rows(batch, least, anchor):
-                h = h.view(np.int64)
-                hot = np.isin(h, frequent)
-                h = np.where(hot, K.mix(x.astype(_U) + K.mix(ids[row].view(_U))).view(np.int64), h)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h), pa.array(hot), pa.array(ids[row]), pa.array(number[row].astype(np.int32)),
-                     pa.array(x.astype(np.int32))], names=["h", "hot", "_id", "no", "x"])
+            found = list(_anchor_rows(batch, least, anchor))
+            if not found:
+                continue
+            row, x, h = (np.concatenate(c) for c in zip(*found, strict=True))
+            hot = np.isin(h.view(np.int64), frequent)
+            # A frequent anchor is known to repeat: it does not meet others by hash and travels by place.
+            meet = np.where(hot, K.mix(x.astype(_U) + K.mix(ids[row].view(_U))), h)
+            bucket = (meet % _U(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            some = np.flatnonzero(np.diff(ends))
+            blobs = []
+            for k in some.tolist():
+                of = order[ends[k]:ends[k + 1]]
+                place = ids[row[of]]
+                blobs.append(_packed(h[of], np.diff(place, prepend=0), number[row[of]].astype(np.int32), x[of].astype(np.int32), hot[of]))
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows whose hash the row before or after shares; a row is held back until the next one is known."""
-        held = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            tab = pa.Table.from_batches([held[0], batch] if held else [batch]).combine_chunks()
-            h = tab.column("h").to_numpy()
-            before = np.zeros(len(h), bool)
-            before[1:] = h[1:] == h[:-1]
-            if held:
-                before[0] = held[1]
-            keep = before.copy()
-            keep[:-1] |= before[1:]
-            body = tab.slice(0, len(h) - 1).filter(pa.array(keep[:-1])).drop_columns(["h"])
-            yield from body.to_batches()
-            held = tab.slice(len(h) - 1).combine_chunks().to_batches()[0], bool(before[-1])
-        if held and held[1]:
-            yield held[0].drop_columns(["h"])
-
-    # A frequent anchor is known to repeat: it keeps out of the shuffle by hash and travels by place.
-    found = base.mapInArrow(find, "h long, hot boolean, _id long, no int, x int")
-    again = (found.repartition(n, "h").sortWithinPartitions("h")
-             .mapInArrow(lambda it: _split_hot(it, repeated), "hot boolean, _id long, no int, x int"))
+        for blobs in _buckets(batches):
+            h, place, no, x, hot = (np.concatenate(c) for c in zip(*map(_unpacked, blobs), strict=True))
+            _, which, count = np.unique(h, return_inverse=True, return_counts=True)
+            keep = hot | (count[which] > 1)
+            yield pa.RecordBatch.from_arrays([pa.array(hot[keep]), pa.array(place[keep]), pa.array(no[keep]), pa.array(x[keep])],
+                                             names=["hot", "_id", "no", "x"])
+
+    again = (base.mapInArrow(find, "bucket int, blob binary").repartition(n, "bucket").sortWithinPartitions("bucket")
+             .mapInArrow(repeated, "hot boolean, _id long, no int, x int"))
     places = again.groupBy("_id").agg(F.collect_list(F.struct("no", "x", "hot")).alias("_at"))
 
     def surround(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,21 +318,39 @@ def _merged(spans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row[first], s[first], reach[np.append(first[1:], len(row)) - 1] - far[first]
 
 
-def _split_hot(batches: Iterator[pa.RecordBatch], repeated) -> Iterator[pa.RecordBatch]:
-    """Passes frequent anchors through; hands the others on, still sorted by hash."""
-    aside: list[pa.RecordBatch] = []
+_KINDS = (np.uint64, np.int64, np.int32, np.int32, np.bool_)
 
-    def others() -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hot = batch.column("hot")
-            aside.append(batch.filter(hot).drop_columns(["h"]))
-            yield batch.filter(pc.invert(hot))
-
-    for out in repeated(others()):
-        yield from aside
-        aside.clear()
-        yield out
-    yield from aside
+
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns as planes of bytes, so that the bytes that are all zero cost nothing in a shuffle file."""
+    return b"".join(np.ascontiguousarray(c.view(np.uint8).reshape(len(c), -1).T).tobytes() for c in columns)
+
+
+def _unpacked(blob: bytes) -> tuple[np.ndarray, ...]:
+    """Hash, id, number, place and frequency mark of packed anchors."""
+    sizes = [np.dtype(k).itemsize for k in _KINDS]
+    n = len(blob) // sum(sizes)
+    raw, at, out = np.frombuffer(blob, np.uint8), 0, []
+    for kind, size in zip(_KINDS, sizes, strict=True):
+        out.append(np.ascontiguousarray(raw[at:at + n * size].reshape(size, n).T).view(kind).ravel())
+        at += n * size
+    out[1] = np.cumsum(out[1])
+    return tuple(out)
+
+
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
+    """The blobs of each bucket, from rows sorted by bucket."""
+    held: list[bytes] = []
+    last = None
+    for batch in batches:
+        for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob").to_pylist(), strict=True):
+            if held and bucket != last:
+                yield held
+                held = []
+            last = bucket
+            held.append(blob)
+    if held:
+        yield held
 
 
 def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
