@@ -8,16 +8,13 @@ bad dates, unknown codes, shared phones.
 
 from __future__ import annotations
 
-import os
 import re
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyline.session import spread
 from tallyline.sources.store import scratch_root
 
-_LOCAL_SCRATCH = os.path.join(tempfile.gettempdir(), "tallyline")  # only without a shared folder
 TABLES = ("customer", "orders", "lineitem", "events", "nation", "region", "supplier", "part")
 
 NBSP = "\u00a0"
@@ -249,4 +246,4 @@ def plain_sql(name: str) -> str:
 
 def scratch(spark: SparkSession) -> str:
     """A new folder for what a query has to write."""
-    return scratch_root(spark, fallback=_LOCAL_SCRATCH)
+    return scratch_root(spark)

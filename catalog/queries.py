@@ -356,32 +356,33 @@ def identity_summary(spark, sf_dir):
     return identity.identity_summary(run.links(), run.matched())
 
 
-@register("review_pairs", "select * from pairs")
-def review_pairs(spark, sf_dir):
-    return identity.review_queue(Lending(spark, sf_dir, keep=("parties",)).matched()).pairs
+@register("review_pair_count", "select count(*) as pairs from pairs")
+def review_pair_count(spark, sf_dir):
+    return identity.review_pair_count(Lending(spark, sf_dir, keep=("parties",)).matched())
 
 
-@register("review_pairs_unordered", "select * from pairs where system_a = 'ims'")
-def review_pairs_unordered(spark, sf_dir):
-    return identity.review_queue(Lending(spark, sf_dir, keep=("parties",)).matched(), ordered=False).pairs
+REVIEW_MEMBERS = """
+    select a.source_system, a.source_id, a.match_key, a.phone_key, a.country,
+        b.n - coalesce(g.n, 0) as partner_count
+    from parties a
+    join (select phone_key, country, source_system, count(*) as n from parties group by all) b
+        on a.phone_key = b.phone_key and a.country = b.country and a.source_system <> b.source_system
+    left join (select phone_key, country, match_key, source_system, count(*) as n from parties group by all) g
+        on a.phone_key = g.phone_key and a.country = g.country and a.match_key = g.match_key
+        and a.source_system <> g.source_system
+    where b.n > coalesce(g.n, 0)"""
 
 
-@register("review_pair_count", "select count(*) as pairs from pairs")
-def review_pair_count(spark, sf_dir):
-    return identity.review_pair_count(Lending(spark, sf_dir, keep=("parties",)).matched())
+@register("review_members", REVIEW_MEMBERS)
+def review_members(spark, sf_dir):
+    """Every record with partners and their exact number, in blocks of any size."""
+    return identity.review_queue(Lending(spark, sf_dir, keep=("parties",)).matched())
 
 
-@register("review_block_members", """
-    select system_a as source_system, source_id_a as source_id, match_key_a as match_key, phone_key, country,
-        count(*) as partner_count
-    from pairs semi join (
-        select phone_key, country from parties group by all
-        having count(*) filter (source_system = 'ims') * count(*) filter (source_system = 'cbs') > 9
-    ) using (phone_key, country) group by all""")
-def review_block_members(spark, sf_dir):
-    """Blocks of over nine candidate pairs, reported record by record."""
-    return identity.review_queue(
-        Lending(spark, sf_dir, keep=("parties",)).matched(), max_block_pairs=9, min_rows=20).members
+@register("review_members_heavy", REVIEW_MEMBERS)
+def review_members_heavy(spark, sf_dir):
+    """The same with blocks of twenty records treated as heavy."""
+    return identity.review_queue(Lending(spark, sf_dir, keep=("parties",)).matched(), min_rows=20)
 
 
 @register("review_partners",

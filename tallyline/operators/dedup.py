@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyline.operators.skew import HeavyKeys
-
-ROWS_PER_SALT = 1_000_000
+from tallyline.operators.skew import ROWS_PER_SALT, HeavyKeys
 
 
 def latest_first(*columns: str) -> list[Column]:
@@ -30,27 +28,27 @@ def flag_duplicates(
     Null keys form one group. Rows that tie on ``order_by`` are told apart by their content
     (``tie_columns``, by default every column), so the same input always splits the same way.
 
-    A heavy key is ranked in two rounds: first inside random slices of about a million rows,
-    then only the slice winners against each other. Slicing cannot change the outcome because
-    rows are totally ordered by content and identical rows are interchangeable.
+    A heavy key is ranked in two rounds: first inside slices of about a million rows, cut by a hash
+    of the content, then only the slice winners against each other. All rows take the same plan, so
+    the input is read once. Slicing cannot change the outcome because rows are totally ordered by
+    content and identical rows are interchangeable.
     """
-    total_order = [*order_by, *[F.col(c).asc_nulls_first() for c in (tie_columns or df.columns)]]
+    compared = list(tie_columns or df.columns)
+    total_order = [*order_by, *[F.col(c).asc_nulls_first() for c in compared]]
     by_key = [F.col(k) for k in key]
     rank = F.row_number().over(W.partitionBy(*by_key).orderBy(*total_order))
     if not heavy:
         return df.withColumn(flag, rank > 1)
 
-    light = df.filter(~heavy.matches(key)).withColumn(flag, rank > 1)
-    slices = max(2, -(-heavy.largest // ROWS_PER_SALT))
-    sliced = df.filter(heavy.matches(key)).withColumn(
-        "_slice", F.floor(F.rand(7) * slices).cast("int")
-    )
+    slice_of = F.pmod(F.xxhash64(*compared), F.lit(heavy.salts(ROWS_PER_SALT))).cast("int")
+    sliced = df.withColumn("_slice", F.when(heavy.matches(key), slice_of).otherwise(-1))
     in_slice = W.partitionBy(*by_key, "_slice").orderBy(*total_order)
     ranked = sliced.withColumn("_place", F.row_number().over(in_slice))
+    # winners of slices meet under one label; all other rows stay with the slice they were in
     round_two = F.when(F.col("_place") == 1, F.lit(-1)).otherwise(F.col("_slice"))
-    final = W.partitionBy(*by_key, round_two).orderBy(*total_order)
-    hot = ranked.withColumn(flag, (F.col("_place") > 1) | (F.row_number().over(final) > 1))
-    return light.unionByName(hot.drop("_slice", "_place"))
+    final = W.partitionBy(*by_key, round_two).orderBy("_place", *total_order)
+    out = ranked.withColumn(flag, (F.col("_place") > 1) | (F.row_number().over(final) > 1))
+    return out.drop("_slice", "_place")
 
 
 def keep_latest(

@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.operators.skew import HeavyKeys, heavy_keys, lookup_join
+from tallyline.operators.skew import heavy_keys, lookup_join
 
 SYSTEMS = ("ims", "cbs")
-MAX_BLOCK_PAIRS = 2_500
+ROWS_PER_SALT = 10_000
+HEX_DIGITS = 10
 BLOCK = ("phone_key", "country")
 
 
@@ -34,14 +33,14 @@ def add_match_key(parties: DataFrame) -> DataFrame:
     return parties.withColumn("match_key", key).withColumn("match_tier", tier)
 
 
-def enterprise_id(match_key: Column | str, hex_digits: int = 10) -> Column:
+def enterprise_id(match_key: Column | str, hex_digits: int = HEX_DIGITS) -> Column:
     """Stable id out of the match key. Ten hex digits (40 bits) equal the reference; beyond a
-    million identities take more, see ``id_collisions``."""
+    million identities take more. The night is blocked by ``id_collisions``."""
     digest = F.md5(F.col(match_key) if isinstance(match_key, str) else match_key)
     return F.concat(F.lit("ECID-"), F.upper(F.substring(digest, 1, hex_digits)))
 
 
-def crosswalk(matched: DataFrame, hex_digits: int = 10) -> DataFrame:
+def crosswalk(matched: DataFrame, hex_digits: int = HEX_DIGITS) -> DataFrame:
     """Every record with its enterprise id. The id is a function of the key: no join, no shuffle."""
     return matched.select(
         enterprise_id("match_key", hex_digits).alias("enterprise_client_id"),
@@ -50,7 +49,7 @@ def crosswalk(matched: DataFrame, hex_digits: int = 10) -> DataFrame:
     )
 
 
-def id_collisions(matched: DataFrame, hex_digits: int = 10) -> DataFrame:
+def id_collisions(matched: DataFrame, hex_digits: int = HEX_DIGITS) -> DataFrame:
     """Enterprise ids shared by different match keys; must stay empty."""
     digest = F.sha2("match_key", 256)  # fixed width, so min and max stay cheap on long keys
     return (
@@ -116,9 +115,8 @@ def identity_summary(
 
 # --- review queue -------------------------------------------------------------------------
 # Records of different systems that share a phone and a country but not a match key are for a
-# person to look at. A switchboard number shared by n records means n * n pairs, so pairs are
-# listed only for blocks of bounded size; a larger block is reported record by record, each with
-# the exact number of its partners. Both together hold the whole queue in linear space.
+# person to decide. The queue has one row per record with the exact number of its partners, in
+# blocks of any size; the partners of chosen records are listed on request.
 
 
 def _members(matched: DataFrame) -> DataFrame:
@@ -150,81 +148,23 @@ def review_pair_count(
     return total.select((F.col("p") * (2 if ordered else 1)).cast("long").alias("pairs"))
 
 
-@dataclass(frozen=True)
-class ReviewQueue:
-    """``pairs`` of the bounded blocks and ``members`` of the larger ones."""
-
-    pairs: DataFrame
-    members: DataFrame
-
-
 def review_queue(
-    matched: DataFrame,
-    systems: tuple[str, str] = SYSTEMS,
-    ordered: bool = True,
-    max_block_pairs: int = MAX_BLOCK_PAIRS,
-    **heavy_options,
-) -> ReviewQueue:
-    """Build the review queue.
-
-    ``ordered`` lists each pair twice, once from either side, as the reference does.
-    Rows of heavy blocks are sorted out by a broadcast of those few blocks, before any shuffle.
+    matched: DataFrame, systems: tuple[str, str] = SYSTEMS, **heavy_options
+) -> DataFrame:
+    """Every record that has partners, with their number.
+
+    Partners are counted as the other system's records of the block less those of its match key,
+    so the queue is as long as the records and no pair is formed.
     """
+    a, _ = systems
     members = _members(matched)
     block_heavy, group_heavy = heavy_keys(
         members, BLOCK, (*BLOCK, "match_key"), **heavy_options
     )
-    sizes = _sizes(members, BLOCK, systems)
-    pairs = _list_pairs(members, sizes, systems, ordered, max_block_pairs, block_heavy)
-    crowd = _large_block_members(
-        members, sizes, systems, max_block_pairs, block_heavy, group_heavy
-    )
-    return ReviewQueue(pairs, crowd)
-
-
-def _list_pairs(
-    members: DataFrame, sizes: DataFrame, systems: tuple[str, str], ordered: bool,
-    max_block_pairs: int, heavy: HeavyKeys,
-) -> DataFrame:
-    a, b = systems
-    small = sizes.filter((_product() > 0) & (_product() <= max_block_pairs)).select(*BLOCK)
-    rows = lookup_join(members, small, BLOCK, heavy, "left_semi")
-    # a listed block holds at most max_block_pairs + 1 records, so its lists are bounded
-    record = F.struct(F.col("source_id").alias("id"), F.col("match_key").alias("key"))
-    blocks = rows.groupBy(*BLOCK).agg(
-        F.collect_set(F.when(_in_system(a), record)).alias("of_a"),
-        F.collect_set(F.when(_in_system(b), record)).alias("of_b"),
-    )
-    met = (
-        blocks.select(*BLOCK, F.explode("of_a").alias("r1"), "of_b")
-        .select(*BLOCK, "r1", F.explode("of_b").alias("r2")).filter("r1.key <> r2.key")
-        .select(*BLOCK, F.col("r1.id").alias("id_1"), F.col("r1.key").alias("key_1"),
-                F.col("r2.id").alias("id_2"), F.col("r2.key").alias("key_2"))
-    )
-
-    def facing(one: str, two: str) -> list[Column]:
-        name = {"1": a, "2": b}
-        return [
-            F.lit(name[one]).alias("system_a"), F.col(f"id_{one}").alias("source_id_a"),
-            F.col(f"key_{one}").alias("match_key_a"), F.lit(name[two]).alias("system_b"),
-            F.col(f"id_{two}").alias("source_id_b"), F.col(f"key_{two}").alias("match_key_b"),
-        ]
-
-    if not ordered:
-        return met.select(*facing("1", "2"), *BLOCK)
-    both = F.explode(F.array(F.struct(*facing("1", "2")), F.struct(*facing("2", "1"))))
-    return met.select(both.alias("pair"), *BLOCK).select("pair.*", *BLOCK)
-
-
-def _large_block_members(
-    members: DataFrame, sizes: DataFrame, systems: tuple[str, str], max_block_pairs: int,
-    block_heavy: HeavyKeys, group_heavy: HeavyKeys,
-) -> DataFrame:
-    a, _ = systems
-    large = sizes.filter(_product() > max_block_pairs)
     groups = _sizes(members, (*BLOCK, "match_key"), systems).withColumnsRenamed(
         {"n_a": "g_a", "n_b": "g_b"})
-    rows = lookup_join(members, large, BLOCK, block_heavy, "inner")
+    both = _sizes(members, BLOCK, systems).filter(_product() > 0)
+    rows = lookup_join(members, both, BLOCK, block_heavy, "inner")
     rows = lookup_join(rows, groups, (*BLOCK, "match_key"), group_heavy, "inner")
     partners = F.when(_in_system(a), F.col("n_b") - F.col("g_b")).otherwise(
         F.col("n_a") - F.col("g_a"))
@@ -233,13 +173,17 @@ def _large_block_members(
     )
 
 
-def review_partners(matched: DataFrame, wanted: DataFrame) -> DataFrame:
+def review_partners(
+    matched: DataFrame, wanted: DataFrame, rows_per_salt: int = ROWS_PER_SALT
+) -> DataFrame:
     """Partners of the chosen records (``source_system``, ``source_id``), in blocks of any size.
 
-    The way to open up a large block for one record at a time: the output is as long as the
-    chosen records' partner counts say.
+    The output is as long as the chosen records' partner counts say. A block of more than
+    ``rows_per_salt`` records is dealt over several tasks; the chosen records go to each of them.
     """
     members = _members(matched)
+    large = members.groupBy(*BLOCK).agg(
+        F.ceil(F.count("*") / rows_per_salt).cast("int").alias("_salts")).filter("_salts > 1")
     chosen = members.join(wanted.select("source_system", "source_id").distinct(),
                           ["source_system", "source_id"], "left_semi")
     one = chosen.select(
@@ -248,7 +192,12 @@ def review_partners(matched: DataFrame, wanted: DataFrame) -> DataFrame:
     two = members.select(
         *BLOCK, F.col("source_system").alias("system_b"), F.col("source_id").alias("source_id_b"),
         F.col("match_key").alias("match_key_b"))
-    return one.join(two, list(BLOCK)).filter(
+    salts = F.coalesce("_salts", F.lit(1))
+    one = one.join(large, list(BLOCK), "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    two = two.join(large, list(BLOCK), "left").withColumn(
+        "_salt", F.pmod(F.xxhash64("system_b", "source_id_b"), salts).cast("int")).drop("_salts")
+    return one.join(two, [*BLOCK, "_salt"]).filter(
         "system_a <> system_b and match_key_a <> match_key_b"
     ).select("system_a", "source_id_a", "match_key_a", "system_b", "source_id_b", "match_key_b",
              *BLOCK)

@@ -1,9 +1,9 @@
 """Keeping one heavy key from landing in one task.
 
 ``heavy_keys`` measures, with one narrow scan and a mergeable frequent-items sketch, which key
-hashes hold more than a fixed share of the rows. At most ``1 / share`` keys can, so the answer
-is bounded whatever the data size. The other functions use that list to route the heavy rows
-around the shuffle on their key. Routing never changes a result, only where a row is processed.
+hashes hold more rows than one task should get. The answer holds at most ``1 / share`` keys
+whatever the data size. The other functions use that list to salt the heavy rows within the same
+plan, so their input is read once. Salting never changes a result, only where a row is processed.
 """
 
 from __future__ import annotations
@@ -14,8 +14,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_SHARE = 0.001
+DEFAULT_SHARE = 0.0001
 DEFAULT_MIN_ROWS = 1_000_000
+ROWS_PER_SALT = 1_000_000
+SALT = "_salt"
 
 
 @dataclass(frozen=True)
@@ -32,6 +34,10 @@ class HeavyKeys:
     def largest(self) -> int:
         return max(self.rows.values(), default=0)
 
+    def salts(self, rows_per_salt: int) -> int:
+        """Over how many tasks a heavy key is dealt."""
+        return max(2, -(-self.largest // rows_per_salt))
+
     def matches(self, key: Sequence[str] | None = None) -> Column:
         """True on rows of a heavy key. Null keys hash like any other value."""
         return key_hash(key or self.key).isin([int(h) for h in self.rows])
@@ -49,19 +55,18 @@ def heavy_keys(
 ) -> list[HeavyKeys]:
     """Heavy keys of each given column list, all from one scan of just those columns.
 
-    A key is heavy when it holds over ``share`` of the rows and at least ``min_rows`` of them.
-    The sketch tracks eight times as many items as can be heavy, so none is missed.
+    A key is heavy when it holds at least ``min_rows`` rows, a bar that does not grow with the
+    data. The sketch tracks eight times ``1 / share`` items, so no key above both bars is missed.
     """
     top = int(1 / share)
     hashed = df.select(*[key_hash(k).alias(f"h{i}") for i, k in enumerate(keys)])
     sketches = [
         F.expr(f"approx_top_k(h{i}, {top}, {8 * top})").alias(f"top{i}") for i in range(len(keys))
     ]
-    measured = hashed.agg(F.count("*").alias("n"), *sketches).first()
-    floor = max(min_rows, share * measured["n"])
+    measured = hashed.agg(*sketches).first()
     return [
         HeavyKeys(tuple(k), {t["item"]: t["count"] for t in measured[f"top{i}"] or []
-                             if t["count"] >= floor})
+                             if t["count"] >= min_rows})
         for i, k in enumerate(keys)
     ]
 
@@ -75,13 +80,15 @@ def lookup_join(
 ) -> DataFrame:
     """Join many rows to a side that is unique on ``on``.
 
-    Rows of heavy keys meet their (at most one per key) partners by broadcast, which is bounded
-    by the number of heavy keys; all other rows take the join Catalyst picks from the sizes.
+    Rows of a heavy key are dealt over several tasks by a hash of their content; the one row they
+    meet travels to each of these. A right side that is not unique joins as usual, only wider.
     """
     on = list(on)
     if not heavy:
         return left.join(right, on, how)
+    n = heavy.salts(ROWS_PER_SALT)
     is_heavy = heavy.matches(on)
-    light = left.filter(~is_heavy).join(right, on, how)
-    hot = left.filter(is_heavy).join(F.broadcast(right.filter(is_heavy)), on, how)
-    return light.unionByName(hot)
+    dealt = F.when(is_heavy, F.pmod(F.xxhash64(*left.columns), F.lit(n)).cast("int")).otherwise(0)
+    everywhere = F.when(is_heavy, F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
+    return left.withColumn(SALT, dealt).join(
+        right.withColumn(SALT, F.explode(everywhere)), [*on, SALT], how).drop(SALT)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.operators.dedup import keep_latest
-from tallyline.operators.skew import heavy_keys
+from tallyline.operators.skew import heavy_keys, lookup_join
 
 _CONTENT = "_content"
 
@@ -53,16 +53,49 @@ def latest_by_key(
     return keep_latest(rows, match, order_by, heavy).drop(_CONTENT)
 
 
+def last_file_rows(
+    incoming: DataFrame, key: Sequence[str], file: str, ignore: Sequence[str] = (), **heavy_options
+) -> DataFrame:
+    """All incoming rows of the last file (by name) that holds their key, or their content where
+    the key is missing. Rows repeated within that file stay."""
+    rows = match_columns(incoming, key, ignore)
+    match = [*key, _CONTENT]
+    names = [f"_last_{c}" for c in match]
+    last = rows.groupBy(*match).agg(F.max(file).alias("_last")).withColumnsRenamed(
+        dict(zip(match, names, strict=True)))
+    # the group of a key is named by a digest, which is never null, so null keys join too
+    digest = F.sha2(F.to_json(F.struct(*match)), 256)
+    last = last.withColumn("_group", F.sha2(F.to_json(F.struct(
+        *[F.col(n).alias(c) for n, c in zip(names, match, strict=True)])), 256)).select("_group", "_last")
+    named = rows.withColumn("_group", digest)
+    (heavy,) = heavy_keys(named, ["_group"], **heavy_options)
+    joined = lookup_join(named, last, ["_group"], heavy, "inner")
+    return joined.filter(F.col(file).eqNullSafe(F.col("_last"))).drop("_group", "_last", _CONTENT)
+
+
 def without_matches(
     existing: DataFrame, latest: DataFrame, key: Sequence[str], ignore: Sequence[str] = ()
 ) -> DataFrame:
     """Existing rows that ``latest`` does not replace."""
+    return _matched(existing, latest, key, ignore, "left_anti")
+
+
+def with_matches(
+    existing: DataFrame, latest: DataFrame, key: Sequence[str], ignore: Sequence[str] = ()
+) -> DataFrame:
+    """Existing rows that ``latest`` would replace."""
+    return _matched(existing, latest, key, ignore, "left_semi")
+
+
+def _matched(
+    existing: DataFrame, latest: DataFrame, key: Sequence[str], ignore: Sequence[str], how: str
+) -> DataFrame:
     match = [*key, _CONTENT]
     arriving = match_columns(latest, key, ignore).select(
-        *[F.col(c).alias(f"_new_{c}") for c in match])
+        *[F.col(c).alias(f"_new_{c}") for c in match]).distinct()
     same = reduce(
         Column.__and__, [F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in match])
-    return match_columns(existing, key, ignore).join(arriving, same, "left_anti").drop(_CONTENT)
+    return match_columns(existing, key, ignore).join(arriving, same, how).drop(_CONTENT)
 
 
 def match_columns(df: DataFrame, key: Sequence[str], ignore: Sequence[str] = ()) -> DataFrame:

@@ -39,11 +39,11 @@ class NightlyRun:
 
 
 def load_raw(store: SnapshotStore, contract: Contract, rows: DataFrame) -> DataFrame:
-    """Merge an incremental source by key, the later file first; replace any other."""
+    """Merge an incremental source by key; replace any other. Of several files the last one that
+    holds a key counts, with all its rows: repeated keys are for validation to judge."""
     table = f"raw_{contract.source}"
     if contract.incremental:
-        newest_file = [F.col("_source_file").desc_nulls_last()]
-        return merge_load(store, table, rows, contract.key, newest_file, ignore=_STAMPS)
+        return merge_load(store, table, rows, contract.key, ignore=_STAMPS, file="_source_file")
     return store.replace(rows, table)
 
 
@@ -111,14 +111,12 @@ def run_nightly(
 
     parties = write("parties", plan.matched_parties(stg["ims_clients"], stg["cbs_borrowers"]))
     links = write("client_crosswalk", identity.crosswalk(parties))
-    queue = identity.review_queue(parties, **heavy_options)
     mart = write("loan_mart", plan.loan_mart(stg["cbs_loans"], links, stg["fx_rates"], heavy[1]))
     tables = {
         "parties": parties,
         "client_crosswalk": links,
         "loan_mart": mart,
-        "review_pairs": write("review_pairs", queue.pairs),
-        "review_block_members": write("review_block_members", queue.members),
+        "review_queue": write("review_queue", identity.review_queue(parties, **heavy_options)),
         "identity_conflicts": write("identity_conflicts", identity.identity_conflicts(links)),
         "identity_summary": write("identity_summary", identity.identity_summary(links, parties)),
         "period_summary": write("period_summary", plan.period_summary(mart)),
@@ -140,9 +138,9 @@ def run_nightly(
     return NightlyRun(published, results, tables)
 
 
-def run_assertions(t: Mapping[str, DataFrame]) -> DataFrame:
+def run_assertions(t: Mapping[str, DataFrame], hex_digits: int = identity.HEX_DIGITS) -> DataFrame:
     """Everything that must hold before the marts are published; checks on single columns share
-    one scan per table."""
+    one scan per table. No two match keys may share an enterprise id of ``hex_digits`` digits."""
     loans, paid = t["stg_cbs_loans"], t["stg_cbs_repayments"]
     keys = {
         "stg_ims_clients": "ims_client_id", "stg_cbs_borrowers": "borrower_id",
@@ -174,6 +172,7 @@ def run_assertions(t: Mapping[str, DataFrame]) -> DataFrame:
             "relationships_repayments_loans": c.check_relationship(
                 paid, "loan_id", loans, "loan_id"),
             "rows_accounted_for": c.check_rows_accounted(t["dq_summary"]),
+            "enterprise_ids_unique": identity.id_collisions(t["parties"], hex_digits),
             "crosswalk_complete": c.check_crosswalk(
                 expected[0].unionByName(expected[1]), t["client_crosswalk"]),
             "excluded_columns_never_loaded": guard_classified({"all": dict(t)}, excluded),

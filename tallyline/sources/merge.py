@@ -13,7 +13,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.operators.upsert import latest_by_key, match_columns, without_matches
+from tallyline.operators.upsert import (
+    last_file_rows, latest_by_key, match_columns, with_matches, without_matches,
+)
 from tallyline.sources.store import SnapshotStore, Version
 
 
@@ -24,11 +26,27 @@ def merge_load(
     key: Sequence[str],
     order_by: Sequence[Column] = (),
     ignore: Sequence[str] = (),
+    file: str | None = None,
+    ordered: bool = False,
     **heavy_options,
 ) -> DataFrame:
-    """Load ``incoming`` into ``table`` as ``upsert_by_key`` does, and return the table."""
+    """Load ``incoming`` into ``table`` as ``upsert_by_key`` does, and return the table.
+
+    With ``file``, the name of a column, the load keeps every row of the last file that holds a
+    key, so that rows repeated within a file stay for validation to judge. With ``ordered``, stored
+    rows take part in the choice of the first row by ``order_by``, so that a late load cannot bring
+    an older row back.
+    """
     before = store.current(table)
-    added = store.stage(latest_by_key(incoming, key, order_by, ignore, **heavy_options), table)
+    if file:
+        rows = last_file_rows(incoming, key, file, ignore, **heavy_options)
+    else:
+        if ordered and before is not None:
+            stored = store.open(before)
+            again = with_matches(stored, incoming, key, ignore)
+            incoming = incoming.unionByName(again, allowMissingColumns=True)
+        rows = latest_by_key(incoming, key, order_by, ignore, **heavy_options)
+    added = store.stage(rows, table)
     version = added if before is None else _merged(store, table, before, added, key, ignore)
     store.commit({table: version})
     return store.open(version)

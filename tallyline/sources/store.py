@@ -102,10 +102,8 @@ class SnapshotStore:
         return self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
 
 
-def scratch_root(spark: SparkSession, fallback: str | None = None) -> str:
-    """Folder for intermediate tables: the cluster's shared checkpoint folder, or ``fallback``
-    where none is configured (tests on one machine)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or fallback
-    if root is None:
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+def scratch_root(spark: SparkSession) -> str:
+    """A new folder for intermediate tables: below the cluster's shared checkpoint folder, or below
+    the warehouse where none is set."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/tallyline-{uuid.uuid4().hex}"

@@ -32,12 +32,13 @@ def stream_upsert(
 ) -> StreamingQuery:
     """Merge everything that has arrived into ``table`` and stop.
 
-    A batch replayed after a failure merges the same keys again, which changes nothing.
+    ``order_by`` also decides against the stored row, so batches may come in any order. A batch
+    replayed after a failure merges the same keys again, which changes nothing.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            merge_load(store, table, batch, key, order_by)
+            merge_load(store, table, batch, key, order_by, ordered=bool(order_by))
 
     return _start(stream, merge, checkpoint)
 

@@ -58,35 +58,30 @@ def brute_force(matched):
         and a.match_key != b.match_key)
 
 
-def test_review_pairs_equal_the_definition(spark):
+def test_review_queue_counts_every_partner(spark):
     _, matched = crowd(spark)
     want = brute_force(matched)
-    queue = ident.review_queue(matched, max_block_pairs=10**9)
-    assert sorted(map(tuple, queue.pairs.collect())) == want
-    assert queue.members.isEmpty()
-    unordered = ident.review_queue(matched, ordered=False, max_block_pairs=10**9).pairs
-    assert sorted(map(tuple, unordered.collect())) == [p for p in want if p[0] == "ims"]
+    counted = {}
+    for p in want:
+        counted[p[0], p[1]] = counted.get((p[0], p[1]), 0) + 1
+    for options in ({}, {"min_rows": 20}):
+        members = ident.review_queue(matched, **options).collect()
+        assert {(m.source_system, m.source_id): m.partner_count for m in members} == counted
     assert ident.review_pair_count(matched).first()["pairs"] == len(want)
     assert ident.review_pair_count(matched, ordered=False).first()["pairs"] * 2 == len(want)
+    for rows_per_salt in (10_000, 3):
+        wanted = ident.review_queue(matched).filter("source_id like '%3'")
+        opened = sorted(map(tuple, ident.review_partners(matched, wanted, rows_per_salt).collect()))
+        assert opened == [p for p in want if p[1].endswith("3")]
 
 
-def test_large_blocks_are_reported_record_by_record_and_nothing_is_lost(spark):
-    _, matched = crowd(spark)
-    want = brute_force(matched)
-    for options in ({}, {"min_rows": 20}):
-        queue = ident.review_queue(matched, max_block_pairs=30, **options)
-        pairs = sorted(map(tuple, queue.pairs.collect()))
-        members = queue.members.collect()
-        large = {(m.phone_key, m.country) for m in members}
-        assert large and pairs == [p for p in want if p[6:] not in large]
-        counted = {}
-        for p in want:
-            if p[6:] in large:
-                counted[p[0], p[1]] = counted.get((p[0], p[1]), 0) + 1
-        assert {(m.source_system, m.source_id): m.partner_count for m in members} == counted
-        wanted = queue.members.filter("source_id like '%3'")
-        opened = sorted(map(tuple, ident.review_partners(matched, wanted).collect()))
-        assert opened == [p for p in want if p[6:] in large and p[1].endswith("3")]
+def test_a_block_of_any_size_is_whole(spark):
+    rows = [party(system, f"{system}{k}", phone="p", country="KE") for system in ("ims", "cbs") for k in range(60)]
+    matched = ident.add_match_key(spark.createDataFrame(rows, SCHEMA))
+    members = ident.review_queue(matched)
+    assert members.count() == 120
+    assert members.agg(F.sum("partner_count")).first()[0] == 7_200
+    assert ident.review_partners(matched, members.filter("source_id = 'ims7'"), 7).count() == 60
 
 
 def test_summary_and_conflicts(spark):

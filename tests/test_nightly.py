@@ -91,7 +91,7 @@ def nights(spark, tmp_path_factory):
 def test_first_night_publishes(nights):
     _, first, _ = nights
     assert first.published, first.results.filter("not passed").collect()
-    assert first.results.count() == 25
+    assert first.results.count() == 26
     mart = {r.loan_id: r for r in first.tables["loan_mart"].collect()}
     assert set(mart) == {"L1", "L2"}
     assert (mart["L1"].principal_usd, mart["L1"].fx_rate_is_estimated) == (88.4, False)
@@ -116,8 +116,8 @@ def test_identity_and_privacy(nights):
     _, first, _ = nights
     ids = {r.source_id: r.enterprise_client_id for r in first.tables["client_crosswalk"].collect()}
     assert ids["C1"] == ids["B1"] and ids["C2"] != ids["B2"]
-    pairs = {(r.source_id_a, r.source_id_b) for r in first.tables["review_pairs"].collect()}
-    assert pairs == {("C2", "B2"), ("B2", "C2")}
+    queue = {(r.source_id, r.partner_count) for r in first.tables["review_queue"].collect()}
+    assert queue == {("C2", 1), ("B2", 1)}
     minors = {r.ims_client_id: r.is_minor for r in first.tables["stg_ims_clients"].collect()}
     assert minors == {"C1": False, "C2": True}
     for name, df in first.tables.items():
