@@ -7,7 +7,7 @@ a longer text is a chunk of its own, so memory follows the longest text, never t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -154,3 +154,34 @@ def list_array(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.
     offsets = np.zeros(len(counts) + 1, np.int32)
     np.cumsum(counts, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
+
+
+def packed(*columns: np.ndarray) -> bytes:
+    """Columns as planes of bytes, so that the bytes that are all zero cost nothing in a shuffle file."""
+    return b"".join(np.ascontiguousarray(c.view(np.uint8).reshape(len(c), -1).T).tobytes() for c in columns)
+
+
+def unpacked(blob: bytes, kinds: Sequence[type]) -> list[np.ndarray]:
+    """The columns of a packed block, of the given types."""
+    sizes = [np.dtype(k).itemsize for k in kinds]
+    n = len(blob) // sum(sizes)
+    raw, at, out = np.frombuffer(blob, np.uint8), 0, []
+    for kind, size in zip(kinds, sizes, strict=True):
+        out.append(np.ascontiguousarray(raw[at:at + n * size].reshape(size, n).T).view(kind).ravel())
+        at += n * size
+    return out
+
+
+def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
+    """The blocks of each bucket, from rows (bucket, blob) sorted by bucket."""
+    held: list[bytes] = []
+    last = None
+    for batch in batches:
+        for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob").to_pylist(), strict=True):
+            if held and bucket != last:
+                yield held
+                held = []
+            last = bucket
+            held.append(blob)
+    if held:
+        yield held

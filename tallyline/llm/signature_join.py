@@ -36,6 +36,7 @@ FANOUT = 8
 SHARE = 0.005
 TILE = 4_096
 MEMBERS = 256
+SALTS = 64
 BROADCAST_ROWS = 1_000_000
 PAIRS_AT_ONCE = 1 << 20
 _U = np.uint64
@@ -98,27 +99,76 @@ def _describe(docs: DataFrame, size: int, text: str, doc_id: str, share: float)
     return narrow, np.sort(np.array([r._id for r in often], np.int64).view(_U)), total
 
 
-def _prefixes(docs: DataFrame, size: int, percent: int, text: str, frequent: np.ndarray) -> DataFrame:
-    """(token, cls, n): the prefix tokens of every document."""
+_KINDS = (np.uint64, np.int64, np.int32)
+
+
+def _meetings(docs: DataFrame, size: int, percent: int, text: str, frequent: np.ndarray) -> DataFrame:
+    """(token, cls, n, lead, lead_n): the prefix tokens that two or more classes hold, with a representative of each group.
+
+    Tokens travel as packed blocks, by token; a block holds each class once. A frequent token is dealt
+    over several buckets, each with a representative of its own.
+    """
+    n = width(docs.sparkSession)
+    buckets = 8 * n
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()
         for batch in batches:
             out_t, out_c, out_n = [], [], []
-            done = set()
             for _, tokens in token_sets(batch.column(0), size):
-                name, n = class_of(tokens), len(tokens)
+                name, many = class_of(tokens), len(tokens)
                 if name in done:
                     continue
                 done.add(name)
-                hot = np.isin(tokens, frequent, assume_unique=True) if len(frequent) else np.zeros(n, bool)
-                line = np.concatenate((tokens[~hot], tokens[hot]))[:prefix_size(n, percent)]
+                hot = np.isin(tokens, frequent, assume_unique=True) if len(frequent) else np.zeros(many, bool)
+                line = np.concatenate((tokens[~hot], tokens[hot]))[:prefix_size(many, percent)]
                 out_t.append(line)
                 out_c.append(np.full(len(line), name))
-                out_n.append(np.full(len(line), n))
-            if out_t:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_t).view(np.int64)), pa.array(np.concatenate(out_c)),
-                                                  pa.array(np.concatenate(out_n).astype(np.int32))], names=["token", "cls", "n"])
+                out_n.append(np.full(len(line), many, np.int32))
+            if not out_t:
+                continue
+            token, cls, many = np.concatenate(out_t), np.concatenate(out_c), np.concatenate(out_n)
+            salted = np.where(np.isin(token, frequent), K.mix(token + K.mix(cls.view(_U) % _U(SALTS))), token)
+            bucket = (K.mix(salted) % _U(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            some = np.flatnonzero(np.diff(ends))
+            blobs = [K.packed(token[o], cls[o], many[o]) for o in (order[ends[k]:ends[k + 1]] for k in some.tolist())]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for blobs in K.buckets(batches):
+            token, cls, many = (np.concatenate(c) for c in zip(*(K.unpacked(b, _KINDS) for b in blobs), strict=True))
+            order = np.lexsort((cls, token))
+            token, cls, many = token[order], cls[order], many[order]
+            keep = np.ones(len(token), bool)
+            keep[1:] = (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])
+            token, cls, many = token[keep], cls[keep], many[keep]
+            first = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
+            count = np.diff(np.append(first, len(token)))
+            lead = np.repeat(first, count)
+            met = (np.repeat(count, count) > 1) | np.isin(token, frequent)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c[met]) for c in (token.view(np.int64), cls, many, cls[lead], many[lead])],
+                names=["token", "cls", "n", "lead", "lead_n"])
+
+    some = docs.select(F.col(text).cast("string"))
+    return (some.mapInArrow(work, "bucket int, blob binary").repartition(n, "bucket").sortWithinPartitions("bucket")
+            .mapInArrow(meet, "token long, cls long, n int, lead long, lead_n int"))
 
-    return docs.select(F.col(text).cast("string")).mapInArrow(work, "token long, cls long, n int")
+
+def _stars(met: DataFrame, percent: int) -> DataFrame:
+    """(a, b): likely pairs of a class and the representative of a group it is in.
+
+    Representatives of one frequent token are paired with the smallest of them in turn.
+    """
+    leads = met.groupBy("token", "lead", "lead_n").agg(F.count("*").alias("_n")).drop("_n")
+    top = leads.groupBy("token").agg(F.min(F.struct("lead", "lead_n")).alias("t"), F.count("*").alias("_n")).where("_n > 1")
+    between = leads.join(top, "token").where("lead <> t.lead").select(
+        F.col("t.lead").alias("a"), F.col("t.lead_n").cast("int").alias("na"), F.col("lead").alias("b"), F.col("lead_n").alias("nb"))
+    within = met.where("cls <> lead").select(F.col("lead").alias("a"), F.col("lead_n").alias("na"), F.col("cls").alias("b"), F.col("n").alias("nb"))
+    near = within.union(between).groupBy("a", "na", "b", "nb").agg(F.count("*").alias("shared"))
+    return near.where(_likely(F.col("shared"), F.greatest("na", "nb"), F.least("na", "nb"), percent)).select("a", "b")
 
 
 def _bound(bits_a: np.ndarray, bits_b: np.ndarray, slack_a: np.ndarray, slack_b: np.ndarray) -> np.ndarray:
@@ -202,17 +252,16 @@ def _bundles(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.
 def _tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """(a, b): pairs of classes of different components that a signature tree over each group lets through.
 
-    ``rows``: token, cls, n, sig, comp. A group of more than ``TILE`` rows is cut into bands of size, each
+    ``rows``: token, cls, n, sig, comp, _n (rows of the token). A group of more than ``TILE`` rows is cut into bands of size, each
     searched with the band below it, and bands into tiles, each searched with every tile, so that no
     task holds more than two tiles at once.
     """
     n = width(rows.sparkSession)
-    counted = rows.join(rows.groupBy("token").agg(F.count("*").alias("_n")), "token")
     small = F.col("_n") <= TILE
     band = F.when(small, 0).otherwise(F.floor(F.log(F.col("n").cast("double")) / np.log(100 / percent) + 1e-9)).cast("int")
     tiles = F.when(small, 1).otherwise(F.ceil(F.col("_n") / TILE)).cast("int")
     own = F.pmod(F.xxhash64("cls"), F.col("_tiles")).cast("int")
-    placed = counted.withColumn("_band", band).withColumn("_tiles", tiles).withColumn("_tile", own)
+    placed = rows.withColumn("_band", band).withColumn("_tiles", tiles).withColumn("_tile", own)
     bands = F.when(small, F.array(F.col("_band"))).otherwise(F.array(F.col("_band"), F.col("_band") + 1))
     placed = placed.withColumn("_in", F.explode(bands)).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1)))
     placed = (placed.withColumn("_x", F.least("_tile", "_other")).withColumn("_y", F.greatest("_tile", "_other"))
@@ -321,22 +370,16 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80, share: float = SHA
     null id links like any other but names no component: one of such rows alone has a null id.
     """
     narrow, frequent, _ = _describe(docs, size, text, doc_id, share)
-    prefixes = _prefixes(docs, size, percent, text, frequent)
-    shared = prefixes.groupBy("token").agg(F.min("cls").alias("lead"), F.max("cls").alias("_high")).where("lead <> _high").drop("_high")
-    met = stored(prefixes.join(shared, "token").select("token", "cls", "n", "lead"))
-    sets = stored(met.select("cls").distinct().join(narrow.where("cls is not null").groupBy("cls").agg(
-        F.max("n").alias("n"), F.max("sig").alias("sig")), "cls"))
-    near = met.where("cls <> lead").groupBy("lead", "cls", "n").agg(F.count("*").alias("shared"))
-    sized = near.join(sets.select(F.col("cls").alias("lead"), F.col("n").alias("_n")), "lead")
-    likely = _likely(F.col("shared"), F.greatest("n", "_n"), F.least("n", "_n"), percent)
-    stars = stored(sized.where(likely).select(F.col("lead").alias("a"), F.col("cls").alias("b")))
+    met = stored(_meetings(docs, size, percent, text, frequent))
+    stars = stored(_stars(met, percent))
     links = _verified(docs, narrow, stars, size, percent, text, doc_id)
     part = stored(components(links))
-    known = met.select("token", "cls").distinct().join(part.withColumnRenamed("id", "cls"), "cls", "left").withColumn(
-        "comp", F.coalesce("component", "cls")).drop("component")
-    known = stored(known)
-    mixed = known.groupBy("token").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b")).where("_a <> _b").select("token")
-    rows = known.join(mixed, "token").join(sets, "cls").select("token", "cls", "n", "sig", "comp")
+    known = stored(met.select("token", "cls", "n").join(part.withColumnRenamed("id", "cls"), "cls", "left")
+                   .withColumn("comp", F.coalesce("component", "cls")).drop("component"))
+    mixed = known.groupBy("token").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"), F.count("*").alias("_n"))
+    open_ = known.join(mixed.where("_a <> _b").select("token", "_n"), "token")
+    maps = narrow.where("cls is not null").groupBy("cls").agg(F.max("sig").alias("sig"))
+    rows = open_.join(maps, "cls")
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = _tree_pairs(rows, percent).join(tried, ["a", "b"], "left_anti")
     more = _verified(docs, narrow, rest, size, percent, text, doc_id)

@@ -160,12 +160,15 @@ def mark_repeats(base: DataFrame, frequent: np.ndarray, least: int, anchor: int)
             for k in some.tolist():
                 of = order[ends[k]:ends[k + 1]]
                 place = ids[row[of]]
-                blobs.append(_packed(h[of], np.diff(place, prepend=0), number[row[of]].astype(np.int32), x[of].astype(np.int32), hot[of]))
+                blobs.append(K.packed(h[of], np.diff(place, prepend=0), number[row[of]].astype(np.int32), x[of].astype(np.int32), hot[of]))
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for blobs in _buckets(batches):
-            h, place, no, x, hot = (np.concatenate(c) for c in zip(*map(_unpacked, blobs), strict=True))
+        for blobs in K.buckets(batches):
+            parts = [K.unpacked(blob, _KINDS) for blob in blobs]
+            for part in parts:
+                part[1] = np.cumsum(part[1])
+            h, place, no, x, hot = (np.concatenate(c) for c in zip(*parts, strict=True))
             _, which, count = np.unique(h, return_inverse=True, return_counts=True)
             keep = hot | (count[which] > 1)
             yield pa.RecordBatch.from_arrays([pa.array(hot[keep]), pa.array(place[keep]), pa.array(no[keep]), pa.array(x[keep])],
@@ -321,38 +324,6 @@ def _merged(spans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 _KINDS = (np.uint64, np.int64, np.int32, np.int32, np.bool_)
 
 
-def _packed(*columns: np.ndarray) -> bytes:
-    """Columns as planes of bytes, so that the bytes that are all zero cost nothing in a shuffle file."""
-    return b"".join(np.ascontiguousarray(c.view(np.uint8).reshape(len(c), -1).T).tobytes() for c in columns)
-
-
-def _unpacked(blob: bytes) -> tuple[np.ndarray, ...]:
-    """Hash, id, number, place and frequency mark of packed anchors."""
-    sizes = [np.dtype(k).itemsize for k in _KINDS]
-    n = len(blob) // sum(sizes)
-    raw, at, out = np.frombuffer(blob, np.uint8), 0, []
-    for kind, size in zip(_KINDS, sizes, strict=True):
-        out.append(np.ascontiguousarray(raw[at:at + n * size].reshape(size, n).T).view(kind).ravel())
-        at += n * size
-    out[1] = np.cumsum(out[1])
-    return tuple(out)
-
-
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
-    """The blobs of each bucket, from rows sorted by bucket."""
-    held: list[bytes] = []
-    last = None
-    for batch in batches:
-        for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob").to_pylist(), strict=True):
-            if held and bucket != last:
-                yield held
-                held = []
-            last = bucket
-            held.append(blob)
-    if held:
-        yield held
-
-
 def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Neighbouring whole groups of about ``BUNDLE`` bytes, from rows sorted by group."""
     held: list[pa.RecordBatch] = []
