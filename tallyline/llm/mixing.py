@@ -23,7 +23,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 EPOCHS = 2
 SEED = 17
-BUCKETS = 1 << 16
+BUCKETS = 1 << 12
 SALTS = 32
 SPACE = r"\x20\x09-\x0D"
 
