@@ -4,17 +4,20 @@ Documents with equal shingle sets are one class. Two classes that link share a t
 the first tokens of each set in one global order: every other token by hash, then the frequent ones.
 
 1. One pass over the texts writes a narrow row a document: class, set size, and a bitmap of its tokens.
-2. Prefix tokens held by two or more classes are kept. In each token's group every class is first paired
-   with one representative; the exact links among likely pairs give preliminary components.
-3. Groups that still hold several components are searched by a signature tree: nodes hold the OR of the
-   bitmaps and the size range below them; a dual traversal drops a pair of nodes as soon as the largest
-   possible overlap falls short, or when both lie in one component. Groups of at most ``FANOUT`` classes are
-   a single leaf. Each pair's shared prefix tokens are counted over all groups; all tokens of a set that
-   stand before the end of both prefixes are known, so the count bounds the overlap once more. What is
-   left is compared exactly.
-
-Every pair that links is in one component after step 2 or compared in step 3, so no link between two
-components is lost. Tokens and classes are known by 64-bit hashes.
+2. Prefix tokens held by two or more classes are kept. In each token's group every class is paired with
+   one representative; pairs that share enough prefix tokens tie classes into neighbourhoods.
+3. Each neighbourhood is searched by a signature tree: nodes hold the OR of the bitmaps and the size range
+   below them; a dual traversal drops a pair of nodes as soon as the largest possible overlap falls
+   short. Within a neighbourhood the bitmaps have a bit for every token that two of its sets share, so
+   the overlaps at the leaves are exact, and a task returns no more links than it has classes.
+4. Token groups with classes of several neighbourhoods are searched by trees over the hashed bitmaps, which
+   also drop pairs within one neighbourhood. Each pair's shared prefix tokens are counted over all groups;
+   all tokens of a set that stand before the end of both prefixes are known, so the count bounds the
+   overlap once more. What is left is compared token by token.
+
+Two classes that link share a prefix token, so they are compared in step 3 or in step 4 and no link is lost
+but those that a path of links within one task already implies.
+Tokens and classes are known by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -37,8 +40,10 @@ SHARE = 0.005
 TILE = 4_096
 MEMBERS = 256
 SALTS = 64
+HOOD = 512
 BROADCAST_ROWS = 1_000_000
-PAIRS_AT_ONCE = 1 << 20
+PAIRS_AT_ONCE = 1 << 15
+WORDS_AT_ONCE = 1 << 21
 _U = np.uint64
 
 
@@ -194,12 +199,16 @@ class SignatureTree:
             self.levels.append((np.bitwise_or.reduceat(b, at, axis=0), np.minimum.reduceat(low, at), np.maximum.reduceat(high, at),
                                 np.maximum.reduceat(s, at), np.where(same, g[at], -1)))
 
-    def pairs(self, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Pairs of sets, i < j, of different groups whose bound lets them link."""
+    def pairs(self, percent: int, exact: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of sets, i < j, of different groups whose bound lets them link.
+
+        With ``exact``, bitmaps whose bits are single tokens: the pairs that do link.
+        """
         stack = [(len(self.levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
         while stack:
             level, i, j = stack.pop()
-            if len(i) > PAIRS_AT_ONCE:
+            words = self.levels[0][0].shape[1]
+            if len(i) > max(256, min(WORDS_AT_ONCE // words, PAIRS_AT_ONCE if level else WORDS_AT_ONCE)):
                 half = len(i) // 2
                 stack += [(level, i[:half], j[:half]), (level, i[half:], j[half:])]
                 continue
@@ -207,7 +216,10 @@ class SignatureTree:
             keep = ~((group[i] == group[j]) & (group[i] >= 0)) if level else (i < j) & (group[i] != group[j])
             keep &= 100 * high[i] >= percent * low[j]  # sizes ascend, so i holds the smaller sets
             i, j = i[keep], j[keep]
-            most = np.minimum(_bound(bits[i], bits[j], slack[i], slack[j]), np.minimum(high[i], high[j]))
+            if exact:  # tokens beyond the bits are in no other set
+                most = np.bitwise_count(bits[i] & bits[j]).sum(axis=1, dtype=np.int64)
+            else:
+                most = np.minimum(_bound(bits[i], bits[j], slack[i], slack[j]), np.minimum(high[i], high[j]))
             fits = most >= _need(low[i], low[j], percent)
             i, j = i[fits], j[fits]
             if not len(i):
@@ -223,8 +235,8 @@ class SignatureTree:
             stack.append((level - 1, a[real], b[real]))
 
 
-def _bundles(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Whole neighbouring groups, about ``TILE`` rows and more at a time, of rows that come sorted by ``keys``."""
+def _bundles(batches: Iterator[pa.RecordBatch], keys: list[str], least: int) -> Iterator[pa.Table]:
+    """Whole neighbouring groups, at least ``least`` rows at a time, of rows that come sorted by ``keys``."""
     held: list[pa.Table] = []
     rows = 0
     for batch in batches:
@@ -238,7 +250,7 @@ def _bundles(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.
             new[0] |= bool(held) and held[-1].column(k)[-1].as_py() != c[0]
         begin = 0
         for cut in np.flatnonzero(new).tolist():
-            if rows + cut - begin >= TILE:
+            if rows + cut - begin >= least:
                 if cut > begin:
                     held.append(tab.slice(begin, cut - begin))
                 yield pa.concat_tables(held)
@@ -268,7 +280,7 @@ def _tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
               .select("token", "_in", "_x", "_y", "_band", "_tile", "cls", "n", "sig", "comp"))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tab in _bundles(batches, ["token", "_in", "_x", "_y"]):
+        for tab in _bundles(batches, ["token", "_in", "_x", "_y"], TILE):
             size, cls, comp, lower, tile, inside, x, y = (
                 tab.column(c).to_numpy().astype(np.int64) for c in ("n", "cls", "comp", "_band", "_tile", "_in", "_x", "_y"))
             bits = np.frombuffer(b"".join(tab.column("sig").to_pylist()), _U).reshape(len(tab), -1)
@@ -323,15 +335,83 @@ def _leaves(size: np.ndarray, bits: np.ndarray, comp: np.ndarray, group: np.ndar
         yield i[fits], j[fits]
 
 
+def _texts(docs: DataFrame, narrow: DataFrame, needed: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """``needed`` (cls and more) with the text of one document of the class.
+
+    The ids asked for are broadcast while they are few; beyond that the join shuffles. An id may stand for
+    texts of several classes; whoever reads the texts compares their class.
+    """
+    asked = stored(needed.join(narrow.where("cls is not null").groupBy("cls").agg(F.min("_id").alias("_doc")), "cls"))
+    held = docs.select(F.col(doc_id).cast("long").alias("_of"), F.col(text).cast("string").alias("_text"))
+    few = F.broadcast(asked) if asked.count() <= BROADCAST_ROWS else asked
+    return held.join(few, held["_of"].eqNullSafe(asked["_doc"])).drop("_of", "_doc")
+
+
+def _within(docs: DataFrame, narrow: DataFrame, hoods: DataFrame, size: int, percent: int, text: str, doc_id: str) -> DataFrame:
+    """(a, b): links that join up the linked classes of each neighbourhood (cls, hood), from exact overlaps.
+
+    A neighbourhood of more than ``HOOD`` classes is cut into parts; every two parts meet in a task.
+    """
+    parts = hoods.groupBy("hood").agg(F.ceil(F.count("*") / HOOD).cast("int").alias("_parts"))
+    dealt = (_texts(docs, narrow, hoods.join(parts, "hood"), text, doc_id)
+             .withColumn("_part", F.pmod(F.xxhash64("cls"), F.col("_parts")).cast("int"))
+             .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+             .withColumn("_x", F.least("_part", "_other")).withColumn("_y", F.greatest("_part", "_other"))
+             .select("hood", "_x", "_y", "cls", "_text"))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tab in _bundles(batches, ["hood", "_x", "_y"], 1):
+            names, sets = tab.column("cls").to_pylist(), []
+            for row, tokens in token_sets(tab.column("_text").combine_chunks(), size):
+                if class_of(tokens) == names[row]:
+                    sets.append((len(tokens), names[row], tokens))
+            sets.sort(key=lambda s: s[:2])
+            if len(sets) < 2:
+                continue
+            sizes = np.array([s[0] for s in sets])
+            cls = np.array([s[1] for s in sets], np.int64)
+            root = np.arange(len(sets))
+            for i, j in SignatureTree(sizes, _exact_bitmaps([s[2] for s in sets]), root).pairs(percent, exact=True):
+                root = _joined(root, i, j)
+            own = root != np.arange(len(sets))
+            yield pa.RecordBatch.from_arrays([pa.array(cls[root[own]]), pa.array(cls[own])], names=["a", "b"])
+
+    keys = ["hood", "_x", "_y"]
+    return (dealt.repartition(width(docs.sparkSession), *keys).sortWithinPartitions(*keys)
+            .mapInArrow(search, "a long, b long"))
+
+
+def _exact_bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    """A bit for each token that at least two of the sets hold."""
+    tokens, which, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count > 1
+    place = np.cumsum(shared) - 1
+    words = max(1, -(-int(shared.sum()) // 64))
+    bits = np.zeros((len(sets), words), _U)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    keep = shared[which]
+    row, at = row[keep], place[which[keep]]
+    np.bitwise_or.at(bits, (row, at >> 6), _U(1) << (at & 63).astype(_U))
+    return bits
+
+
+def _joined(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Roots of all sets after the links (i, j): the smallest index of each component."""
+    while True:
+        a, b = root[i], root[j]
+        apart = a != b
+        if not apart.any():
+            return root
+        np.minimum.at(root, np.maximum(a, b)[apart], np.minimum(a, b)[apart])
+        while (root != root[root]).any():
+            root = root[root]
+
+
 def _verified(docs: DataFrame, narrow: DataFrame, pairs: DataFrame, size: int, percent: int, text: str, doc_id: str) -> DataFrame:
     """The pairs (a, b) of classes whose sets link, compared token by token."""
     pairs = stored(pairs)
-    needed = stored(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-                    .join(narrow.groupBy("cls").agg(F.min("_id").alias("_doc")), "cls"))
-    held = docs.select(F.col(doc_id).cast("long").alias("_doc"), F.col(text).cast("string").alias("_text"))
-    few = F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed
-    # A document id may stand for texts of several classes: the class of the text decides.
-    texts = stored(held.join(few, held["_doc"].eqNullSafe(needed["_doc"])).select("cls", "_text"))
+    needed = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "cls")
+    texts = stored(_texts(docs, narrow, needed, text, doc_id))
     salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("_salts"))
     dealt = pairs.join(salts, "a").withColumn("_salt", F.pmod(F.xxhash64("b"), F.col("_salts")).cast("int")).drop("_salts")
     member = dealt.join(texts.withColumnRenamed("cls", "b"), "b").select("a", "_salt", "b", "_text", F.lit(True).alias("_member"))
@@ -371,18 +451,14 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80, share: float = SHA
     """
     narrow, frequent, _ = _describe(docs, size, text, doc_id, share)
     met = stored(_meetings(docs, size, percent, text, frequent))
-    stars = stored(_stars(met, percent))
-    links = _verified(docs, narrow, stars, size, percent, text, doc_id)
-    part = stored(components(links))
-    known = stored(met.select("token", "cls", "n").join(part.withColumnRenamed("id", "cls"), "cls", "left")
-                   .withColumn("comp", F.coalesce("component", "cls")).drop("component"))
+    hoods = stored(components(_stars(met, percent)).select(F.col("id").alias("cls"), F.col("component").alias("hood")))
+    links = stored(_within(docs, narrow, hoods, size, percent, text, doc_id))
+    known = stored(met.select("token", "cls", "n").join(hoods, "cls", "left")
+                   .withColumn("comp", F.coalesce("hood", "cls")).drop("hood"))
     mixed = known.groupBy("token").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"), F.count("*").alias("_n"))
     open_ = known.join(mixed.where("_a <> _b").select("token", "_n"), "token")
     maps = narrow.where("cls is not null").groupBy("cls").agg(F.max("sig").alias("sig"))
-    rows = open_.join(maps, "cls")
-    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = _tree_pairs(rows, percent).join(tried, ["a", "b"], "left_anti")
-    more = _verified(docs, narrow, rest, size, percent, text, doc_id)
+    more = _verified(docs, narrow, _tree_pairs(open_.join(maps, "cls"), percent), size, percent, text, doc_id)
     final = components(links.union(more))
     first = narrow.where("cls is not null").groupBy("cls").agg(F.min("_id").alias("_first"))
     held = first.join(final.withColumnRenamed("id", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))

@@ -65,6 +65,7 @@ def chains():
 def test_chains_and_shared_passages(frame, monkeypatch, tile):
     monkeypatch.setattr(signature_join, "TILE", tile)
     monkeypatch.setattr(signature_join, "MEMBERS", 3)
+    monkeypatch.setattr(signature_join, "HOOD", 1 + tile)
     rows = chains()
     got = signature_join.groups(frame(rows, "doc_id long, text string"), 4, 85, share=0.05)
     assert result(got) == brute(rows, 4, 85)
