@@ -102,7 +102,7 @@ select
     case when v = 1 then '2024-01-05' when k % 7 = 0 then '2025/02/03'
          when k % 7 = 1 then '2025-02-03 10:30:00' when k % 7 = 2 then '2025' when k % 7 = 3 then '2025-02-31'
          else '2025-' || {_text('1 + k % 12')} || '-' || {_text('1 + k % 28')} end as created_on
-from (select c_custkey as k, EACH(0, 1) as v from {{customer}} where c_custkey % 3 <> 0) as copies
+from (select c_custkey as k, EACH(0, 1) as v from {{customer}}) as copies
 where v = 0 or k % 34 = 0
 """
 
@@ -114,7 +114,8 @@ RAW["raw_cbs_loans"] = f"""
 select
     case when k % 331 = 0 then '' when k % 337 = 0 then null when k % 6 = 0 then ' L' || {_text('k')}
          else 'L' || {_text('k')} end as loan_id,
-    case when k % 149 = 0 then null when k % 50 <> 0 and o_custkey % 3 = 0 then 'B' || {_text('o_custkey + 1')}
+    case when k % 149 = 0 then null when k % 101 = 0 then 'BX' || {_text('o_custkey')}
+         when k % 50 <> 0 and o_custkey % 3 = 0 then 'B' || {_text('o_custkey + 1')}
          else 'B' || {_text('o_custkey')} end as borrower_id,
     case when k % 89 = 0 then null when k % 107 = 0 then 'Kenya' else {_pick('k', 'ET', 'ke ', 'RW', 'SS', 'td')} end as country,
     {_pick('k', 'North', ' ', 'South')} as branch,
@@ -162,18 +163,18 @@ select
     case when mk % 113 = 0 then 'GBP' else {_pick('idx', 'ETB', 'KSH', 'rwf', 'SSP', 'XAF')} end as currency,
     case when mk % 127 = 0 then 'today' when mk % 3 = 0 then replace({_text('d')}, '-', '/')
          else {_text('d')} end as rate_date,
-    case when v = 1 then ' Parallel' when mk % 131 = 0 then 'street' else 'Official' end as rate_type,
+    case when v = 1 then ' Parallel' when mk % 131 = 0 or d < cast(first_day as date) then 'street' else 'Official' end as rate_type,
     case when mk % 37 = 0 then '0' when mk % 41 = 0 then ''
          else {_text('50 + mk % 977 + v')} || '.' || {_two('mk % 100')} end as units_per_usd,
     'central bank' as source,
     {_text('d')} || 'T0' || {_text('v')} || ':00:00' as published_at
-from (select idx, d, mk, EACH(0, 1, 2) as v from {{rate_days}}) as copies
+from (select idx, d, mk, case when idx = 3 then '1996-06-01' else '1995-03-01' end as first_day, EACH(0, 1, 2) as v
+      from {{rate_days}}) as copies
 where v = 0 or (v = 1 and mk % 2 = 0) or (v = 2 and mk % 11 = 0)
 """
 RATE_DAYS = """
 select o_orderkey % 5 as idx, cast(o_orderdate as date) as d, min(o_orderkey) as mk
 from {orders}
-where o_orderdate >= (case when o_orderkey % 5 = 3 then timestamp '1996-06-01' else timestamp '1995-03-01' end)
 group by o_orderkey % 5, cast(o_orderdate as date)
 """
 
@@ -181,27 +182,30 @@ RAW["raw_cbs_control_totals"] = f"""
 select
     case when m = '1997-03' then 'Atlantis'
          else {_pick('idx', 'Ethiopia', 'Kenya ', 'RWA', 's. sudan', 'Tchad')} end as country,
-    case when m = '1997-04' then '1997/04' else m end as month,
-    {_pick('idx', 'ETB', 'Ksh', 'RWF', 'ssp', 'XAF')} as currency,
+    case when m = '1997-04' or (v = 0 and m like '%-07') then replace(m, '-', '/') else m end as month,
+    case when m = '1997-02' then 'GBP' else {_pick('idx', 'ETB', 'Ksh', 'RWF', 'ssp', 'XAF')} end as currency,
     case when m = '1997-06' then '-1' when m like '%-05' then {_text('n_loans * 2')} || '.4' else {_text('n_loans')} end as loans_disbursed_count,
-    case when m like '%-08' then {_text('loans * 1.1')} else {_text('loans')} end as loans_disbursed_amount,
-    {_text('n_paid + v')} as repayments_count,
+    case when m = '1997-01' then 'n/a' when m like '%-08' then {_text('loans * 1.1')} else {_text('loans')} end as loans_disbursed_amount,
+    case when m = '1997-12' then '-3' else {_text('n_paid + v')} end as repayments_count,
     case when m = '1997-11' then 'many' else {_text('paid')} end as repayments_amount
 from (select idx, m, n_loans, loans, n_paid, paid, EACH(0, 1) as v from {{control_months}}) as copies
-where (v = 0 and m not like '%-07') or (v = 1 and m like '%-09')
+where v = 0 or m like '%-09'
 """
 CONTROL_MONTHS = """
 select idx, m, sum(n_loans) as n_loans, sum(loans) as loans, sum(n_paid) as n_paid, sum(paid) as paid
 from (
     select o_orderkey % 5 as idx, substr(cast(cast(o_orderdate as date) as string), 1, 7) as m,
-           1 as n_loans, cast(o_totalprice as decimal(18,2)) as loans, 0 as n_paid, cast(0 as decimal(18,2)) as paid
-    from {orders}
-    where o_orderkey % 61 <> 0 and o_orderkey % 67 <> 0 and o_orderkey % 73 <> 0 and o_orderkey % 79 <> 0
+           case when sound then 1 else 0 end as n_loans,
+           case when sound then cast(o_totalprice as decimal(18,2)) else cast(0 as decimal(18,2)) end as loans,
+           0 as n_paid, cast(0 as decimal(18,2)) as paid
+    from (select o_orderkey, o_orderdate, o_totalprice, o_orderkey % 61 <> 0 and o_orderkey % 67 <> 0
+                 and o_orderkey % 73 <> 0 and o_orderkey % 79 <> 0 as sound from {orders}) as every_order
     union all
     select l_orderkey % 5 as idx, substr(cast(cast(l_shipdate as date) as string), 1, 7) as m,
-           0 as n_loans, cast(0 as decimal(18,2)) as loans, 1 as n_paid, cast(l_extendedprice as decimal(18,2)) as paid
-    from {lineitem}
-    where l_partkey % 211 <> 0 and l_suppkey % 19 <> 0 and l_linenumber <= 4
+           0 as n_loans, cast(0 as decimal(18,2)) as loans, case when sound then 1 else 0 end as n_paid,
+           case when sound then cast(l_extendedprice as decimal(18,2)) else cast(0 as decimal(18,2)) end as paid
+    from (select l_orderkey, l_shipdate, l_extendedprice, l_partkey % 211 <> 0 and l_suppkey % 19 <> 0
+                 and l_linenumber <= 4 as sound from {lineitem}) as every_line
 ) as facts
 group by idx, m
 """

@@ -13,9 +13,10 @@ RECORD = ("source_system", "source_id")
 def apply_overrides(links: DataFrame, overrides: DataFrame) -> DataFrame:
     """Crosswalk with the enterprise ids people decided on in place of the computed ones.
 
-    ``overrides`` holds at most one row per record (``source_system``, ``source_id``).
+    Of several decisions on a record (``source_system``, ``source_id``) the greatest id counts, so
+    that no record is doubled.
     """
-    decided = overrides.select(*RECORD, F.col("enterprise_client_id").alias("_decided"))
+    decided = overrides.groupBy(*RECORD).agg(F.max("enterprise_client_id").alias("_decided"))
     joined = lookup_join(links, decided, RECORD)
     return joined.select(
         F.coalesce("_decided", "enterprise_client_id").alias("enterprise_client_id"),
@@ -26,10 +27,11 @@ def apply_overrides(links: DataFrame, overrides: DataFrame) -> DataFrame:
 
 def gated_export(links: DataFrame, confirmed: DataFrame) -> DataFrame:
     """What another system may read: id-number matches, and other records a person confirmed."""
-    columns = ["enterprise_client_id", *RECORD, "match_tier"]
-    sure = links.filter(F.col("match_tier") == "id_number").select(*columns)
-    rest = links.filter(F.col("match_tier") != "id_number").select(*columns)
-    return sure.unionByName(rest.join(confirmed.select(*RECORD), list(RECORD), "left_semi"))
+    by_hand = confirmed.select(*RECORD).distinct().withColumn("_confirmed", F.lit(True))
+    marked = lookup_join(links, by_hand, RECORD)
+    allowed = (F.col("match_tier") == "id_number") | (
+        F.col("match_tier").isNotNull() & F.col("_confirmed").isNotNull())
+    return marked.filter(allowed).select("enterprise_client_id", *RECORD, "match_tier")
 
 
 def match_quality(links: DataFrame, labelled: DataFrame, **heavy_options) -> DataFrame:
