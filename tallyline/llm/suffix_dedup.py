@@ -138,7 +138,7 @@ def mark_repeats(base: DataFrame, frequent: np.ndarray, least: int, anchor: int)
     n = width(spark)
     reach = least - anchor
 
-    buckets = 8 * n  # several a partition, to even them out
+    buckets = 2 * n
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbering = _Numbering()
