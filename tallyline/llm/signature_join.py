@@ -114,7 +114,7 @@ def _meetings(docs: DataFrame, size: int, percent: int, text: str, frequent: np.
     over several buckets, each with a representative of its own.
     """
     n = width(docs.sparkSession)
-    buckets = 8 * n
+    buckets = 2 * n
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
