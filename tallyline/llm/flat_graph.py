@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tallyline.llm.links import components
 from tallyline.llm.registry import query, table
-from tallyline.llm.scratch import stored
+from tallyline.llm.scratch import sampled, stored
 
 COSINE = 0.95
 SHARD = 500
@@ -271,7 +271,7 @@ def _found(shards: DataFrame, radius: float, beam: int) -> DataFrame:
 
 def _recall(sets: DataFrame, pairs: DataFrame, radius: float) -> float:
     """The share of the true links of ``AUDIT`` classes (by hash) that were found; 1 without links."""
-    asked = sets.orderBy(F.xxhash64("cls", F.lit(5)), "cls").limit(AUDIT).select("cls", "raw").collect()
+    asked = sorted(sampled(sets, ["cls", "raw"], AUDIT).select("cls", "raw").collect())
     names = np.array([r.cls for r in asked], np.int64)
     x = np.frombuffer(b"".join(bytes(r.raw) for r in asked), np.float64).reshape(len(asked), -1)
     x = x / np.linalg.norm(x, axis=1)[:, None]
@@ -305,9 +305,9 @@ def near_duplicates(vectors: DataFrame, radius: float = COSINE, vec_id: str = "v
     for (size,) in sets.select(F.length("raw")).distinct().orderBy(F.length("raw")).collect():  # one row a vector length
         same = sets.where(F.length("raw") == size)
         n = same.count()
-        sample = same.orderBy(F.xxhash64("cls"), "cls").limit(SAMPLE).select("raw").collect()
+        sample = sampled(same, ["cls"], SAMPLE).select("cls", "raw").collect()
         k = max(1, min(-(-n // SHARD), CENTRES))
-        centres = _centres(_unit([bytes(r.raw) for r in sample]), k)
+        centres = _centres(_unit([bytes(r.raw) for r in sorted(sample)]), k)
         for attempt in range(ROUNDS):
             overlap = min(OVERLAP * (attempt + 1), len(centres))
             pairs = _found(_shards(same, centres, overlap), radius, BEAM * (attempt + 1))

@@ -7,6 +7,7 @@ import types
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def folder(spark: SparkSession) -> str:
@@ -22,6 +23,15 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sampled(df: DataFrame, by: list[str], rows: int) -> DataFrame:
+    """About ``rows`` rows of ``df``, those whose hash of ``by`` is low; all rows if there are no more."""
+    total = df.count()
+    if total <= rows:
+        return df
+    steps = 1 << 30
+    return df.where(F.pmod(F.xxhash64(*by, F.lit(23)), F.lit(steps)) < F.lit(rows * steps // total))
+
+
 def width(spark: SparkSession) -> int:
     """Number of partitions of an exchange that is asked for by name."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tallyline.llm import kernels as K
 from tallyline.llm.registry import query, table
+from tallyline.llm.scratch import sampled
 
 SAMPLE = 20_000
 FEATURES = 4_096
@@ -118,7 +119,7 @@ def _swapped(text: str) -> list[tuple[str, str]]:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int = FEATURES, penalty: float = PENALTY,
         text: str = "text", doc_id: str = "doc_id", toxic: str = "toxic", held_out: bool = True) -> Model:
-    """A model from at most ``sample`` labelled documents, those with the smallest hash of their id.
+    """A model from about ``sample`` labelled documents at most, those whose hash of the id is low.
 
     Rows of the held-out fold (crc32 of the id as text divisible by ``FOLDS``) are left out. A document
     labelled twice takes the larger label; null labels and ids are not used. Without documents of both
@@ -128,8 +129,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int
     known = labels.where(F.col(toxic).isNotNull() & F.col(doc_id).isNotNull())
     if held_out:
         known = known.where(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS != 0)
-    chosen = (known.groupBy(F.col(doc_id).cast("long").alias("_id")).agg(F.max(toxic).cast("int").alias("_y"))
-              .orderBy(F.xxhash64("_id"), "_id").limit(sample).collect())  # bounded by sample
+    known = known.groupBy(F.col(doc_id).cast("long").alias("_id")).agg(F.max(toxic).cast("int").alias("_y"))
+    chosen = sampled(known, ["_id"], sample).collect()
     if not chosen:
         return Model(np.zeros(0, _U), np.zeros(0), -35.0)
     ids = spark.createDataFrame([(r._id, r._y) for r in chosen], "_id long, _y int")

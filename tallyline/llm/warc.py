@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm.registry import query, table
-from tallyline.llm.scratch import folder
+from tallyline.llm.scratch import folder, sampled
 
 #: Fixed values of the format: the skippable frame of the dictionary, and the empty one between records.
 DICTIONARY_MAGIC = (0x184D2A5D).to_bytes(4, "little")
@@ -57,11 +57,9 @@ def _record(page_id: int | None, url: str | None, payload: bytes, kind: str, ref
 
 
 def train(pages: DataFrame, payload: str, sample_rows: int = SAMPLE_ROWS) -> bytes:
-    """A dictionary from at most ``sample_rows`` records and ``SAMPLE_BYTES`` of them; empty if there are too few."""
-    some = F.substring(F.col(payload).cast("string"), 1, SAMPLE_BYTES // sample_rows)
-    rows = (pages.select(some.alias("t"), F.xxhash64(payload).alias("h")).where("length(t) > 0")
-            .orderBy("h").limit(sample_rows).collect())
-    texts = [r.t.encode() for r in rows]
+    """A dictionary from about ``sample_rows`` records, ``SAMPLE_BYTES`` of them; empty if there are too few."""
+    chosen = sampled(pages.select(F.col(payload).alias("p")).where("length(p) > 0"), ["p"], sample_rows)
+    texts = sorted(r.t.encode() for r in chosen.select(F.substring("p", 1, SAMPLE_BYTES // sample_rows).alias("t")).collect())
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, texts).as_bytes()
     except (zstandard.ZstdError, ValueError):  # too few samples to train on
