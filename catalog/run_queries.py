@@ -413,11 +413,11 @@ def _event_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("stream_upsert", """
     select user_id, max(ts) as ts, arg_max(event_type, ts) as event_type from events group by 1""")
 def stream_upsert_query(spark, sf_dir):
-    """Extracts of two halves of the month, each ingested by a run of the stream when it is there."""
+    """Extracts of two halves of the month, the later half first, each ingested by a run of the stream."""
     root = scratch(spark)
     store = SnapshotStore(spark, f"{root}/store")
     events = _event_columns(spark, sf_dir)
-    for half in ("ts < timestamp_ntz '2024-01-16'", "ts >= timestamp_ntz '2024-01-16'"):
+    for half in ("ts >= timestamp_ntz '2024-01-16'", "ts < timestamp_ntz '2024-01-16'"):
         events.filter(half).write.mode("append").parquet(f"{root}/landing")
         stream_upsert(
             stream_files(spark, f"{root}/landing", _EVENT_COLUMNS, "parquet"), store, "latest",

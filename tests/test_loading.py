@@ -56,6 +56,27 @@ def test_upsert_replaces_adds_and_repeats_without_effect(spark):
         assert rows(upsert_by_key(once, new, ["id"], latest_first("day"), **options)) == want
 
 
+def test_rows_repeated_in_a_file_stay_and_loading_it_again_changes_nothing(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path))
+    files = spark.createDataFrame(
+        [("a", 1, "x", "f1"), ("a", 2, "y", "f1"), ("b", 1, "x", "f1"), ("b", 1, "z", "f2"), ("b", 1, "z", "f2"),
+         (None, 1, "bad", "f1"), (None, 1, "bad", "f1")], LOAD + ", file string")
+    want = sorted([("", 1, "bad"), ("", 1, "bad"), ("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z"), ("b", 1, "z")])
+    for _ in range(2):
+        table = merge_load(store, "t", files, ["id"], ignore=("file",), file="file")
+        assert sorted((r.id or "", r.day, r.v) for r in table.collect()) == want
+    late = spark.createDataFrame([("a", 9, "new", "f3")], LOAD + ", file string")
+    table = merge_load(store, "t", late, ["id"], ignore=("file",), file="file")
+    assert [(r.day, r.v) for r in table.filter("id = 'a'").collect()] == [(9, "new")]
+
+
+def test_ordered_merge_keeps_the_newer_stored_row(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path))
+    for rows in ([("a", 5, "new"), ("b", 1, "old")], [("a", 1, "late"), ("b", 2, "new"), ("c", 1, "n")]):
+        table = merge_load(store, "t", spark.createDataFrame(rows, LOAD), ["id"], latest_first("day"), ordered=True)
+    assert sorted(map(tuple, table.collect())) == [("a", 5, "new"), ("b", 2, "new"), ("c", 1, "n")]
+
+
 def test_merge_load_rewrites_only_the_folders_it_touches(spark, tmp_path):
     store = SnapshotStore(spark, str(tmp_path))
 
