@@ -50,14 +50,17 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     What a cut leaves of a split character goes too. ``n_chars`` counts what is left.
     """
-    out = suffix_dedup.remove_repeats(docs, docs.columns)
-    valid = F.make_valid_utf8(F.col("kept").cast("string"))
-    whole = F.when(F.col("row.text").contains("\ufffd"), valid).otherwise(F.replace(valid, F.lit("\ufffd"), F.lit("")))
-    out = out.withColumn("_text", F.when(F.col("n_removed") == 0, F.col("row.text")).otherwise(whole))
+    marked = docs.withColumn("_no_text", F.col("text").isNull())
+    others = [c for c in docs.columns if c != "text"]  # the text itself travels once, as bytes
+    out = suffix_dedup.remove_repeats(marked, [*others, "_no_text"])
+    left = F.col("kept").cast("string")
+    valid = F.make_valid_utf8(left)
+    whole = F.when(left.contains("\ufffd"), valid).otherwise(F.replace(valid, F.lit("\ufffd"), F.lit("")))
+    out = out.withColumn("_text", F.when(F.col("row._no_text"), F.lit(None)).when(F.col("n_removed") == 0, left).otherwise(whole))
     new = {"text": F.col("_text")}
-    if "n_chars" in docs.columns:
+    if "n_chars" in others:
         new["n_chars"] = F.when(F.col("n_removed") == 0, F.col("row.n_chars")).otherwise(F.length("_text")).cast("long")
-    return out.select(*[new.get(c, F.col(f"row.{c}")).alias(c) for c in docs.columns])
+    return out.select(*[new[c] if c in new else F.col(f"row.{c}") for c in docs.columns]).toDF(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
