@@ -13,7 +13,7 @@ from catalog.inputs import DERIVED, SOURCES, plain_sql, raw, scratch, table
 from catalog.queries import Lending, register
 from tallyline.operators import checks, decisions, history
 from tallyline.operators.dedup import latest_first
-from tallyline.operators.privacy import drop_classes, guard_classified, tag_columns
+from tallyline.operators.privacy import drop_classes, guard_values, tag_columns
 from tallyline.operators.upsert import upsert_by_key
 from tallyline.plans import lending as plan
 from tallyline.plans.nightly import run_nightly
@@ -281,14 +281,16 @@ def publish_gate(spark, sf_dir):
 
 
 @register("privacy_guard", """
-    select * from (values ('raw', 'borrowers', 'fingerprint_template_ref'),
-        ('marts', 'copy', 'template')) as v(layer, table_name, column_name)""")
+    select 'raw' as layer, 'borrowers' as table_name, 'fingerprint_template_ref' as column_name,
+        count(borrower_id) as n_values from raw_cbs_borrowers
+    union all select 'marts', 'copy', 'template', count(borrower_id) from raw_cbs_borrowers""")
 def privacy_guard(spark, sf_dir):
-    """A column of an excluded class is found by its name and, once renamed, by its tag."""
+    """A column of an excluded class is found by its name and, once renamed, by its tag, with the
+    number of values that got through."""
     classes = plan.CLASSIFICATION["cbs_borrowers.csv"]
-    rows = raw(spark, sf_dir, "cbs_borrowers").withColumn("fingerprint_template_ref", F.lit("x"))
+    rows = raw(spark, sf_dir, "cbs_borrowers").withColumn("fingerprint_template_ref", F.md5("borrower_id"))
     tagged = tag_columns(rows, classes)
-    return guard_classified({
+    return guard_values({
         "raw": {"borrowers": tagged, "cleaned": drop_classes(tagged, classes)},
         "marts": {"copy": tagged.select(
             "borrower_id", F.col("fingerprint_template_ref").alias("template"))},

@@ -60,3 +60,26 @@ def guard_classified(
             & (F.col("column_name") == column)
         )
     return catalogue.filter(hit)
+
+
+def guard_values(
+    layers: Mapping[str, Mapping[str, DataFrame]],
+    classes: Mapping[str, str],
+    forbidden: Iterable[str] = ("excluded",),
+) -> DataFrame:
+    """The columns ``guard_classified`` finds, each with its number of non-null values, counted in
+    one scan per table. A listed column without values leaked its name only."""
+    found = guard_classified(layers, classes, forbidden).collect()  # bounded by the schemas
+    tables: dict[tuple[str, str], list[str]] = {}
+    for row in found:
+        tables.setdefault((row["layer"], row["table_name"]), []).append(row["column_name"])
+    any_table = next(df for group in layers.values() for df in group.values())
+    out = any_table.sparkSession.createDataFrame(
+        [], "layer string, table_name string, column_name string, n_values long")
+    for (layer, name), columns in tables.items():
+        counts = layers[layer][name].agg(*[F.count(F.col(c)).alias(c) for c in columns])
+        each = F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_values")) for c in columns]))
+        out = out.unionByName(counts.select(each.alias("v")).select(
+            F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "v.*"))
+    return out
