@@ -5,7 +5,8 @@ the first tokens of each set in one global order: every other token by hash, the
 
 1. One pass over the texts writes a narrow row a document: class, set size, and a bitmap of its tokens.
 2. Prefix tokens held by two or more classes are kept. In each token's group every class is paired with
-   one representative; pairs that share enough prefix tokens tie classes into neighbourhoods.
+   one representative; pairs that share enough prefix tokens tie classes into neighbourhoods, and
+   neighbourhoods that share many tokens grow together.
 3. Each neighbourhood is searched by a signature tree: nodes hold the OR of the bitmaps and the size range
    below them; a dual traversal drops a pair of nodes as soon as the largest possible overlap falls
    short. Within a neighbourhood the bitmaps have a bit for every token that two of its sets share, so
@@ -36,7 +37,7 @@ from tallyline.llm.scratch import stored, width
 
 BITS = 512
 FANOUT = 8
-SHARE = 0.005
+SHARE = 0.001
 TILE = 4_096
 MEMBERS = 256
 SALTS = 64
@@ -176,6 +177,21 @@ def _stars(met: DataFrame, percent: int) -> DataFrame:
     return near.where(_likely(F.col("shared"), F.greatest("na", "nb"), F.least("na", "nb"), percent)).select("a", "b")
 
 
+def _ties(met: DataFrame, stars: DataFrame) -> DataFrame:
+    """(a, b): neighbourhoods (named by a class) that share a third of the prefix tokens of the smaller one.
+
+    They are compared as one, in place, rather than pair by pair. In each token's group the neighbourhoods are
+    only paired with the smallest of them.
+    """
+    held = stored(met.select("token", "cls").join(stars.withColumnRenamed("id", "cls"), "cls", "left")
+                  .select("token", F.coalesce("component", "cls").alias("b")).distinct())
+    low = held.groupBy("token").agg(F.min("b").alias("a"), F.max("b").alias("_high")).where("a <> _high").drop("_high")
+    both = held.join(low, "token").where("a <> b").groupBy("a", "b").agg(F.count("*").alias("shared"))
+    sizes = held.groupBy("b").agg(F.count("*").alias("m"))
+    near = both.join(sizes, "b").join(sizes.select(F.col("b").alias("a"), F.col("m").alias("_m")), "a")
+    return near.where(3 * F.col("shared") >= F.least("m", "_m")).select("a", "b")
+
+
 def _bound(bits_a: np.ndarray, bits_b: np.ndarray, slack_a: np.ndarray, slack_b: np.ndarray) -> np.ndarray:
     """The largest possible overlap: shared bits, and the tokens of a set beyond one a bit."""
     return np.bitwise_count(bits_a & bits_b).sum(axis=1, dtype=np.int64) + np.minimum(slack_a, slack_b)
@@ -451,7 +467,9 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80, share: float = SHA
     """
     narrow, frequent, _ = _describe(docs, size, text, doc_id, share)
     met = stored(_meetings(docs, size, percent, text, frequent))
-    hoods = stored(components(_stars(met, percent)).select(F.col("id").alias("cls"), F.col("component").alias("hood")))
+    stars = stored(_stars(met, percent))
+    ties = _ties(met, components(stars))
+    hoods = stored(components(stars.union(ties)).select(F.col("id").alias("cls"), F.col("component").alias("hood")))
     links = stored(_within(docs, narrow, hoods, size, percent, text, doc_id))
     known = stored(met.select("token", "cls", "n").join(hoods, "cls", "left")
                    .withColumn("comp", F.coalesce("hood", "cls")).drop("hood"))
