@@ -177,19 +177,20 @@ def _stars(met: DataFrame, percent: int) -> DataFrame:
     return near.where(_likely(F.col("shared"), F.greatest("na", "nb"), F.least("na", "nb"), percent)).select("a", "b")
 
 
-def _ties(met: DataFrame, stars: DataFrame) -> DataFrame:
-    """(a, b): neighbourhoods (named by a class) that share a third of the prefix tokens of the smaller one.
+def _ties(met: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
+    """(a, b): neighbourhoods (named by a class) that share half as many tokens as the prefix of the largest
+    set of the smaller one holds.
 
     They are compared as one, in place, rather than pair by pair. In each token's group the neighbourhoods are
     only paired with the smallest of them.
     """
-    held = stored(met.select("token", "cls").join(stars.withColumnRenamed("id", "cls"), "cls", "left")
-                  .select("token", F.coalesce("component", "cls").alias("b")).distinct())
+    held = stored(met.select("token", "cls", "n").join(stars.withColumnRenamed("id", "cls"), "cls", "left")
+                  .groupBy("token", F.coalesce("component", "cls").alias("b")).agg(F.max("n").alias("n")))
     low = held.groupBy("token").agg(F.min("b").alias("a"), F.max("b").alias("_high")).where("a <> _high").drop("_high")
     both = held.join(low, "token").where("a <> b").groupBy("a", "b").agg(F.count("*").alias("shared"))
-    sizes = held.groupBy("b").agg(F.count("*").alias("m"))
+    sizes = held.groupBy("b").agg(F.max("n").alias("m"))
     near = both.join(sizes, "b").join(sizes.select(F.col("b").alias("a"), F.col("m").alias("_m")), "a")
-    return near.where(3 * F.col("shared") >= F.least("m", "_m")).select("a", "b")
+    return near.where(2 * F.col("shared") >= _prefix_size(F.least("m", "_m"), percent)).select("a", "b")
 
 
 def _bound(bits_a: np.ndarray, bits_b: np.ndarray, slack_a: np.ndarray, slack_b: np.ndarray) -> np.ndarray:
@@ -468,7 +469,7 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80, share: float = SHA
     narrow, frequent, _ = _describe(docs, size, text, doc_id, share)
     met = stored(_meetings(docs, size, percent, text, frequent))
     stars = stored(_stars(met, percent))
-    ties = _ties(met, components(stars))
+    ties = _ties(met, components(stars), percent)
     hoods = stored(components(stars.union(ties)).select(F.col("id").alias("cls"), F.col("component").alias("hood")))
     links = stored(_within(docs, narrow, hoods, size, percent, text, doc_id))
     known = stored(met.select("token", "cls", "n").join(hoods, "cls", "left")
