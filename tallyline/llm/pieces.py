@@ -7,6 +7,7 @@ lattice falls into segments there. A segment is solved once for all places where
 * the forward pass of Viterbi leaves at each node the best score from the start to it;
 * the backward search extends partial paths from the end, ordered by their own score plus the forward
   score of the node they have reached. That bound is exact, so complete paths leave the queue best first.
+  No more than N partial paths go on from a node, as only its N best ones can be part of the N best paths.
 
 The N best paths of a text leave the best path of at most N - 1 segments, those with the smallest loss
 (a path that left another one could be bettered N times); the same search runs over the alternatives of these.
@@ -41,7 +42,8 @@ def n_best(edges: Sequence[Sequence[Edge]], n: int) -> list[tuple[float, list[tu
     """The ``n`` best paths of a lattice, best first, as (score, labels from start to end).
 
     ``edges[i]`` are the edges that end in node i as (node they start in, score, label); node 0 is the
-    start and the last node the end. Paths of equal score leave in the fixed order of the search.
+    start and the last node the end. Paths of equal score leave in the fixed order of the search, which
+    takes the node nearest to the start first.
     """
     last = len(edges) - 1
     best = [0.0] + [-np.inf] * last
@@ -49,10 +51,10 @@ def n_best(edges: Sequence[Sequence[Edge]], n: int) -> list[tuple[float, list[tu
         for start, score, _ in edges[node]:
             if best[start] + score > best[node]:
                 best[node] = best[start] + score
-    queue: list[tuple] = [(-best[last], 0, last, 0.0, None)]
-    serial, found = 0, []
+    queue: list[tuple] = [(-best[last], last, 0, 0.0, None)]
+    serial, found, taken = 0, [], [0] * (last + 1)
     while queue and len(found) < n:
-        bound, _, node, after, tail = heapq.heappop(queue)
+        bound, node, _, after, tail = heapq.heappop(queue)
         if node == 0:
             path = []
             while tail is not None:
@@ -60,10 +62,13 @@ def n_best(edges: Sequence[Sequence[Edge]], n: int) -> list[tuple[float, list[tu
                 path.append(label)
             found.append((-bound, path))
             continue
+        if taken[node] == n:
+            continue
+        taken[node] += 1
         for start, score, label in edges[node]:
-            if best[start] > -np.inf:
+            if best[start] > -np.inf and taken[start] < n:
                 serial += 1
-                heapq.heappush(queue, (-(best[start] + score + after), serial, start, score + after, (label, tail)))
+                heapq.heappush(queue, (-(best[start] + score + after), start, serial, score + after, (label, tail)))
     return found
 
 

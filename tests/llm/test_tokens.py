@@ -99,3 +99,34 @@ def test_pieces_round_trip_and_empty_table(docs, nothing):
     back = pieces.decode(got.select("row", "ids"), pieces.vocabulary_path())
     assert sorted(r.text for r in back.collect()) == sorted(t or "" for _, t in ROWS)
     assert pieces.encode(nothing, pieces.vocabulary_path()).count() == 0
+
+
+@pytest.mark.parametrize("mark", ["-", ".", " ", "="])
+def test_long_runs_of_one_character(mark):
+    vocabulary = pieces._loaded(pieces.vocabulary_path())
+    text = "before " + mark * 20_003 + " after"
+    ids, paths = next(pieces._encode([text], vocabulary, 4))
+    several = {tuple(pieces.apply_edits(ids.tolist(), p["edits"])) for p in paths}
+    assert len(several) == 4 and all(vocabulary.decode(p) == text for p in several)
+
+
+def test_equal_partial_paths_are_bounded():
+    edges = [[], *[[(i - k, -float(k), (k,)) for k in (1, 2, 3) if i >= k] for i in range(1, 3001)]]
+    found = pieces.n_best(edges, 4)
+    assert [score for score, _ in found] == [-3000.0] * 4
+    assert len({tuple(k for label in path for k in label) for _, path in found}) == 4
+
+
+def test_few_partial_paths_a_node_lose_no_path():
+    rng = random.Random(8)
+    for _ in range(200):
+        edges = [[], *[[(s, float(-rng.randrange(4)), (rng.randrange(10**6),)) for s in range(max(0, i - 3), i)] for i in range(1, 9)]]
+        every = []
+
+        def go(node, score, edges=edges, every=every):
+            if node == 0:
+                every.append(score)
+            for start, s, _ in edges[node]:
+                go(start, score + s)
+        go(8, 0.0)
+        assert [s for s, _ in pieces.n_best(edges, 5)] == sorted(every, reverse=True)[:5]
