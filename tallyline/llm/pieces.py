@@ -4,6 +4,9 @@ A text becomes, as the model asks, a word mark, the text, and a word mark for ev
 characters that no piece of the vocabulary holds side by side every path of the lattice has a node, so the
 lattice falls into segments there. A segment is solved once for all places where it stands:
 
+* the model's own merges give its first path. A piece of that path has the score of the model; any other piece
+  has the scores of the own pieces that start in its span, and a loss by its rank. So a path scores as the model's
+  own one less the losses of its other pieces, and no other path is as good as the own one;
 * the forward pass of Viterbi leaves at each node the best score from the start to it;
 * the backward search extends partial paths from the end, ordered by their own score plus the forward
   score of the node they have reached. That bound is exact, so complete paths leave the queue best first.
@@ -77,8 +80,12 @@ class Vocabulary:
 
     def __init__(self, path: str) -> None:
         import sentencepiece
+        from sentencepiece import sentencepiece_model_pb2
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
+        proto = sentencepiece_model_pb2.ModelProto.FromString(model.serialized_model_proto())
+        proto.normalizer_spec.add_dummy_prefix = False  # segments bring their marks
+        self.model = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
         size = model.get_piece_size()
         self.pieces = [model.id_to_piece(i) for i in range(size)]
         plain = [i for i in range(size) if not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i) or model.is_byte(i))]
@@ -88,6 +95,7 @@ class Vocabulary:
         self.unknown = model.unk_id()
         scores = [s for _, s in self.ids.values() if s > -1e8]
         self.unknown_score = min(scores, default=0.0) - UNKNOWN_PENALTY
+        self.top = max(scores, default=0.0) + 1.0  # every loss is 1 or more
         self.longest = max(map(len, self.ids), default=1)
         self.pairs = np.zeros(1 << TABLE_BITS, bool)  # a pair that no piece holds may share a slot; it is then not cut
         inside = {(a, b) for p in self.ids for a, b in zip(p, p[1:], strict=False)}
@@ -99,20 +107,50 @@ class Vocabulary:
     def slot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return ((a * np.uint32(0x9E3779B1)) ^ (b * np.uint32(0x85EBCA6B))) >> np.uint32(32 - TABLE_BITS)
 
+    def own(self, segment: str) -> list[int]:
+        """The nodes of the model's own segmentation, the start left out."""
+        ids, nodes, node, k = self.model.encode(segment), [], 0, 0
+        while k < len(ids):
+            if ids[k] in self.byte_of:
+                k += len(segment[node].encode())
+                node += 1
+            elif ids[k] == self.unknown:
+                k += 1
+                node += 1
+                while node < len(segment) and segment[node] not in self.ids and (k == len(ids) or not segment.startswith(self.pieces[ids[k]], node)):
+                    nodes.append(node)
+                    node += 1
+            else:
+                node += len(self.pieces[ids[k]])
+                k += 1
+            nodes.append(node)
+        return nodes
+
     def lattice(self, segment: str) -> list[list[Edge]]:
+        """Edges into each node, scored so that the best path is the model's own one."""
         edges: list[list[Edge]] = [[] for _ in range(len(segment) + 1)]
         ids, longest = self.ids, self.longest
+        stop_of, level, before, total = {}, [0.0] * (len(segment) + 1), 0, 0.0
+        for node in self.own(segment):
+            hit = ids.get(segment[before:node])
+            stop_of[before] = node
+            level[before:node] = [total] * (node - before)
+            total += self.unknown_score if hit is None else hit[1]
+            before = node
+        level[before] = total
         for i in range(len(segment)):
-            known = False
+            known, own = False, stop_of.get(i)
             for j in range(i + 1, min(i + longest, len(segment)) + 1):
                 hit = ids.get(segment[i:j])
                 if hit is not None:
-                    edges[j].append((i, hit[1], (hit[0],)))
+                    score = level[j] - level[i]
+                    edges[j].append((i, score if j == own else score + hit[1] - self.top, (hit[0],)))
                     known = known or j == i + 1
             if not known:
                 raw = segment[i].encode()
                 label = tuple(self.byte[b] for b in raw) if self.byte else (self.unknown,)
-                edges[i + 1].append((i, self.unknown_score, label))
+                score = level[i + 1] - level[i]
+                edges[i + 1].append((i, score if i + 1 == own else score + self.unknown_score - self.top, label))
         return edges
 
     def segment(self, segment: str, n: int) -> list[tuple[float, tuple[int, ...]]]:

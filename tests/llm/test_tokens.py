@@ -101,6 +101,22 @@ def test_pieces_round_trip_and_empty_table(docs, nothing):
     assert pieces.encode(nothing, pieces.vocabulary_path()).count() == 0
 
 
+def test_first_path_is_the_library_encoding(docs):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.vocabulary_path())
+    vocabulary = pieces._loaded(pieces.vocabulary_path())
+    rng = random.Random(4)
+    texts = [t or "" for _, t in ROWS] + ["The people walked through the old garden, and nobody said a word.", "a▁b  c", "x\0y", "½ ①\t\r\n\n"]
+    texts += ["".join(rng.choices("thean  dings▁-.é☃梦\n12A", k=rng.randrange(80))) for _ in range(300)]
+    texts += [c * k for c in "-. =" for k in (2, 17, 1001)]
+    for t, (ids, paths) in zip(texts, pieces._encode(texts, vocabulary, 4), strict=True):
+        assert ids.tolist() == (library.encode(t) or [library.piece_to_id("▁")])  # an empty text is a lone mark here
+        assert all(p["score"] < paths[0]["score"] for p in paths[1:])
+    got = {r.row.doc_id: r.ids for r in pieces.encode(docs, pieces.vocabulary_path()).collect()}
+    assert all(got[i] == library.encode(t) for i, t in ROWS if i is not None and t)
+
+
 @pytest.mark.parametrize("mark", ["-", ".", " ", "="])
 def test_long_runs_of_one_character(mark):
     vocabulary = pieces._loaded(pieces.vocabulary_path())
