@@ -4,9 +4,13 @@ Terms are pairs of neighbouring words, weighted by their length; every occurrenc
 on each of 128 bits, for or against by the sign of the bit in the term's hash. The fingerprint keeps the
 signs of the sums.
 
-The search cuts a fingerprint into ``BLOCKS`` blocks. Two fingerprints within ``RADIUS`` bits agree in
-at least two blocks, so they share a key in one of the tables that lead with a pair of blocks. A pair is
-counted in the first table in which it agrees, and nowhere else. Equal fingerprints are one entry.
+The search cuts a fingerprint into ``BLOCKS`` blocks of 16 bits. Of two fingerprints within a radius, at
+least one block differs in at most radius // BLOCKS bits. Fingerprints and queries are dealt into parts, and
+every part of the ones meets every part of the others in a task: a table for each block leads from its values
+to the fingerprints that hold them, and is asked for all values that near a query's. Equal fingerprints
+are one entry.
+
+``NEAR`` is the radius of near copies: at a Jaccard similarity of 0.8 of the terms about 19 bits differ.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm import kernels as K
@@ -28,9 +32,11 @@ from tallyline.llm.scratch import stored, width
 
 BITS = 128
 RADIUS = 3
-#: Blocks of the two 64-bit words of a fingerprint: word, low bit, bits.
-BLOCKS = ((0, 40, 24), (0, 20, 20), (0, 0, 20), (1, 32, 32), (1, 0, 32))
-TABLES = tuple(itertools.combinations(range(len(BLOCKS)), 2))
+NEAR = 23
+BLOCKS = 8
+PART = 1 << 17
+PARTS = 64
+AT_ONCE = 32
 EVERY = 50
 _U = np.uint64
 
@@ -156,45 +162,91 @@ def _edit(rows: pa.Table) -> pa.RecordBatch:
         names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
 
-def _word(fingerprint: Column, i: int) -> Column:
-    """A 64-bit word of a fingerprint in hex, as a long."""
-    halves = [F.conv(F.substring(fingerprint, 16 * i + 1 + 8 * k, 8), 16, 10).cast("long") for k in range(2)]
-    return F.shiftleft(halves[0], 32).bitwiseOR(halves[1])
-
-
-def _key(words: list[Column], pair: tuple[int, int]) -> Column:
-    parts = []
-    for b in pair:
-        word, low, bits = BLOCKS[b]
-        parts.append(F.shiftrightunsigned(words[word], low).bitwiseAND(F.lit((1 << bits) - 1)))
-    return F.shiftleft(parts[0], 32).bitwiseOR(parts[1])
+def _within(prints: np.ndarray, queries: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """(query, print) of all pairs within ``radius``, by place; rows of 16 bytes."""
+    flips = [sum(1 << b for b in some) for k in range(radius // BLOCKS + 1) for some in itertools.combinations(range(16), k)]
+    flips = np.array(flips, np.uint16)
+    held, asked = prints.view(np.uint16), queries.view(np.uint16)
+    words, wanted = prints.view(_U), queries.view(_U)
+    tables = []
+    for b in range(BLOCKS):
+        order = np.argsort(held[:, b], kind="stable")
+        tables.append((order, np.searchsorted(held[order, b], np.arange(1 << 16)), np.bincount(held[:, b], minlength=1 << 16)))
+    found = [np.zeros(0, np.int64)]
+    for i in range(0, len(queries), AT_ONCE):
+        pairs = []
+        for b, (order, first, size) in enumerate(tables):
+            values = (asked[i:i + AT_ONCE, b, None] ^ flips).ravel()
+            count = size[values]
+            some = np.flatnonzero(count)
+            count = count[some]
+            ends = np.cumsum(count)
+            if not len(ends):
+                continue
+            at = order[np.repeat(first[values[some]] - ends + count, count) + np.arange(ends[-1])]
+            q = np.repeat(i + some // len(flips), count)
+            apart = np.bitwise_count(words[at, 0] ^ wanted[q, 0]) + np.bitwise_count(words[at, 1] ^ wanted[q, 1])
+            near = apart <= radius
+            pairs.append(q[near] * len(prints) + at[near])
+        if pairs:
+            found.append(np.unique(np.concatenate(pairs)))
+    return np.divmod(np.concatenate(found), max(1, len(prints)))
+
+
+_KINDS = (np.uint64, np.uint64, np.int64)
 
 
 def search(prints: DataFrame, queries: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(fingerprint, n_within): for each distinct fingerprint of ``queries``, rows of ``prints`` within ``radius``, itself included.
 
-    Both frames have a column ``fingerprint`` (hex). ``radius`` is at most 3: two of five blocks agree then.
+    Both frames have a column ``fingerprint`` (hex). The counts are exact for any ``radius``; the work grows
+    with the values of a block that differ in radius // 8 bits.
     """
-    if radius > len(BLOCKS) - 2:
-        raise ValueError("two blocks agree for sure only up to a radius of 3")
-
-    def spread(df: DataFrame) -> DataFrame:
-        words = df.withColumns({"_w0": _word(F.col("fingerprint"), 0), "_w1": _word(F.col("fingerprint"), 1)})
-        both = [F.col("_w0"), F.col("_w1")]
-        entries = F.array(*[F.struct(F.lit(t).alias("t"), _key(both, pair).alias("key")) for t, pair in enumerate(TABLES)])
-        return words.withColumn("_e", F.explode(entries)).select("*", "_e.t", "_e.key").drop("_e")
-
-    entry = spread(prints.groupBy("fingerprint").agg(F.count("*").alias("_n"))).drop("fingerprint")
-    asked = spread(queries.select("fingerprint").distinct()).select(
-        "fingerprint", F.col("_w0").alias("_q0"), F.col("_w1").alias("_q1"), "t", "key")
-    apart = [F.col("_w0").bitwiseXOR(F.col("_q0")), F.col("_w1").bitwiseXOR(F.col("_q1"))]
-    agree = [F.shiftrightunsigned(apart[w], low).bitwiseAND(F.lit((1 << bits) - 1)) == 0 for w, low, bits in BLOCKS]
-    first = F.lit(-1)
-    for t, (a, b) in reversed(list(enumerate(TABLES))):
-        first = F.when(agree[a] & agree[b], F.lit(t)).otherwise(first)
-    left, right = asked.alias("q"), entry.alias("p")
-    near = (F.bit_count(apart[0]) + F.bit_count(apart[1]) <= radius) & (first == F.col("q.t"))
-    met = left.join(right, (F.col("q.t") == F.col("p.t")) & (F.col("q.key") == F.col("p.key")) & near)
+    entry = stored(prints.where("fingerprint is not null").groupBy("fingerprint").agg(F.count("*").alias("_n")))
+    asked = stored(queries.where("fingerprint is not null").select("fingerprint").distinct())
+    across = max(-(-entry.count() // PART), min(width(prints.sparkSession), PARTS))
+    down = max(1, -(-asked.count() // PART))
+
+    def deal(own: int, other: int, kind: int):
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                rows = np.frombuffer(bytes.fromhex("".join(batch.column(0).to_pylist())), _U).reshape(-1, 2)
+                part = (K.mix(rows[:, 0] + K.mix(rows[:, 1])) % _U(own)).astype(np.int64)
+                many = batch.column(1).to_numpy()
+                cells, blobs = [], []
+                for k in np.unique(part).tolist():
+                    of = part == k
+                    blob = bytes([kind]) + K.packed(rows[of, 0], rows[of, 1], many[of])
+                    for o in range(other):
+                        cells.append(o * across + k if kind else k * across + o)
+                        blobs.append(blob)
+                yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
+        return work
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for blobs in K.buckets(batches):
+            sides = []
+            for kind in range(2):
+                parts = [K.unpacked(blob[1:], _KINDS) for blob in blobs if blob[0] == kind]
+                if parts:
+                    low, high, many = (np.concatenate(c) for c in zip(*parts, strict=True))
+                    sides.append((np.stack((low, high), axis=1).view(np.uint8), many))
+            if len(sides) < 2:
+                continue
+            (wanted, _), (held, many) = sides
+            q, at = _within(held, wanted, radius)
+            total = np.zeros(len(wanted), np.int64)
+            np.add.at(total, q, many[at])
+            hit = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(_hex(wanted[hit]), pa.string()), pa.array(total[hit])], names=["fingerprint", "_n"])
+
+    n = width(prints.sparkSession)
+    kind = "bucket long, blob binary"
+    dealt = (asked.withColumn("_n", F.lit(0).cast("long")).mapInArrow(deal(down, across, 0), kind)
+             .union(entry.mapInArrow(deal(across, down, 1), kind)))
+    met = dealt.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, "fingerprint string, _n long")
     return met.groupBy("fingerprint").agg(F.sum("_n").alias("n_within"))
 
 
@@ -202,7 +254,7 @@ def search(prints: DataFrame, queries: DataFrame, radius: int = RADIUS) -> DataF
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = stored(edited(table(spark, sf_dir, "documents")))
     asked = prints.where(F.col("doc_id") % EVERY == 0)
-    found = search(prints, asked).withColumnRenamed("fingerprint", "_f")
+    found = search(prints, asked, NEAR).withColumnRenamed("fingerprint", "_f")
     found = asked.select("doc_id", "fingerprint").distinct().join(found, F.col("fingerprint") == F.col("_f")).select(
         F.col("doc_id").alias("_q"), F.col("_f"), (F.col("n_within") - 1).alias("n_near"))
     return prints.join(found, (F.col("doc_id") == F.col("_q")) & (F.col("fingerprint") == F.col("_f")), "left").drop("_q", "_f")

@@ -1,7 +1,9 @@
 import hashlib
+import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from conftest import ROWS, prose
 
 from tallyline.llm import simhash
@@ -51,3 +53,31 @@ def test_search_finds_all_within_the_radius(frame):
     got = {r.fingerprint: r.n_within for r in simhash.search(prints, prints).collect()}
     apart = np.unpackbits(every[:, None] ^ every[None], axis=2).sum(axis=2)
     assert got == dict(zip(simhash._hex(every), (apart <= 3).sum(axis=1).tolist(), strict=True))
+
+
+@pytest.mark.parametrize("part", [1 << 17, 40])
+def test_search_finds_near_copies(frame, monkeypatch, part):
+    monkeypatch.setattr(simhash, "PART", part)
+    rng = random.Random(2)
+    texts = []
+    for g in range(30):
+        words = prose(700 + g, 60 + 10 * g).split()
+        for _ in range(6):
+            texts.append(" ".join(words))
+            words[rng.randrange(len(words))] = f"new{rng.randrange(10**6)}"
+    every = simhash.fingerprints(pa.array([*texts, texts[0], "", None]))
+    prints = frame([(x,) for x in simhash._hex(every)], "fingerprint string")
+    apart = np.unpackbits(every[:, None] ^ every[None], axis=2).sum(axis=2)
+    for radius in (0, 3, simhash.NEAR):
+        got = {r.fingerprint: r.n_within for r in simhash.search(prints, prints, radius).collect()}
+        assert got == dict(zip(simhash._hex(every), (apart <= radius).sum(axis=1).tolist(), strict=True))
+    one_word = [(6 * g + k, 6 * g + k + 1) for g in range(30) for k in range(5)]
+    assert sum(apart[a, b] <= simhash.NEAR for a, b in one_word) >= 0.98 * len(one_word) > 2 * sum(apart[a, b] <= 3 for a, b in one_word)
+
+
+def test_query_counts_near_copies(spark, frame, tmp_path):
+    words = prose(5, 100).split()
+    rows = [(50, " ".join(words)), (51, " ".join([*words[:40], "changed", *words[41:]])), (52, prose(6, 100))]
+    frame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.n_near for r in simhash.op7(spark, str(tmp_path)).collect()}
+    assert got == {50: 1, 51: None, 52: None}
