@@ -10,14 +10,15 @@ the first tokens of each set in one global order: every other token by hash, the
 3. Each neighbourhood is searched by a signature tree: nodes hold the OR of the bitmaps and the size range
    below them; a dual traversal drops a pair of nodes as soon as the largest possible overlap falls
    short. Within a neighbourhood the bitmaps have a bit for every token that two of its sets share, so
-   the overlaps at the leaves are exact, and a task returns no more links than it has classes.
+   the overlaps at the leaves are exact. A task counts the links of each class and returns no more of them
+   than it has classes, enough to tell which classes hang together.
 4. Token groups with classes of several neighbourhoods are searched by trees over the hashed bitmaps, which
    also drop pairs within one neighbourhood. Each pair's shared prefix tokens are counted over all groups;
    all tokens of a set that stand before the end of both prefixes are known, so the count bounds the
    overlap once more. What is left is compared token by token.
 
-Two classes that link share a prefix token, so they are compared in step 3 or in step 4 and no link is lost
-but those that a path of links within one task already implies.
+Two classes that link share a prefix token, so they are compared in step 3 or in step 4, and only in one of
+them. No link is lost from the counts, and from the pairs only those that a path within one task implies.
 Tokens and classes are known by 64-bit hashes.
 """
 
@@ -365,37 +366,49 @@ def _texts(docs: DataFrame, narrow: DataFrame, needed: DataFrame, text: str, doc
 
 
 def _within(docs: DataFrame, narrow: DataFrame, hoods: DataFrame, size: int, percent: int, text: str, doc_id: str) -> DataFrame:
-    """(a, b): links that join up the linked classes of each neighbourhood (cls, hood), from exact overlaps.
+    """(a, b, n_links) of each neighbourhood (cls, hood, rows), from exact overlaps.
 
-    A neighbourhood of more than ``HOOD`` classes is cut into parts; every two parts meet in a task.
+    Rows with b are links that join up the linked classes; rows without b count the documents of other classes
+    that a document of class a links with. A neighbourhood of more than ``HOOD`` classes is cut into parts;
+    every two parts meet in a task, and a pair counts where its own two parts meet.
     """
     parts = hoods.groupBy("hood").agg(F.ceil(F.count("*") / HOOD).cast("int").alias("_parts"))
     dealt = (_texts(docs, narrow, hoods.join(parts, "hood"), text, doc_id)
              .withColumn("_part", F.pmod(F.xxhash64("cls"), F.col("_parts")).cast("int"))
              .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
              .withColumn("_x", F.least("_part", "_other")).withColumn("_y", F.greatest("_part", "_other"))
-             .select("hood", "_x", "_y", "cls", "_text"))
+             .select("hood", "_x", "_y", "cls", "_part", "rows", "_text"))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tab in _bundles(batches, ["hood", "_x", "_y"], 1):
-            names, sets = tab.column("cls").to_pylist(), []
+            names, sets, done = tab.column("cls").to_pylist(), [], set()
+            parts, rows = tab.column("_part").to_pylist(), tab.column("rows").to_pylist()
             for row, tokens in token_sets(tab.column("_text").combine_chunks(), size):
-                if class_of(tokens) == names[row]:
-                    sets.append((len(tokens), names[row], tokens))
+                if class_of(tokens) == names[row] and names[row] not in done:
+                    done.add(names[row])
+                    sets.append((len(tokens), names[row], tokens, parts[row], rows[row]))
             sets.sort(key=lambda s: s[:2])
             if len(sets) < 2:
                 continue
             sizes = np.array([s[0] for s in sets])
             cls = np.array([s[1] for s in sets], np.int64)
+            part, many = np.array([s[3] for s in sets]), np.array([s[4] for s in sets], np.int64)
+            one = tab.column("_x")[0] == tab.column("_y")[0]
+            linked = np.zeros(len(sets), np.int64)
             root = np.arange(len(sets))
             for i, j in SignatureTree(sizes, _exact_bitmaps([s[2] for s in sets]), root).pairs(percent, exact=True):
                 root = _joined(root, i, j)
-            own = root != np.arange(len(sets))
-            yield pa.RecordBatch.from_arrays([pa.array(cls[root[own]]), pa.array(cls[own])], names=["a", "b"])
+                here = np.full(len(i), True) if one else part[i] != part[j]
+                np.add.at(linked, i[here], many[j[here]])
+                np.add.at(linked, j[here], many[i[here]])
+            own, some = root != np.arange(len(sets)), linked > 0
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*cls[root[own]].tolist(), *cls[some].tolist()], pa.int64()), pa.array([*cls[own].tolist(), *[None] * some.sum()], pa.int64()),
+                 pa.array([*[0] * own.sum(), *linked[some].tolist()], pa.int64())], names=["a", "b", "n_links"])
 
     keys = ["hood", "_x", "_y"]
     return (dealt.repartition(width(docs.sparkSession), *keys).sortWithinPartitions(*keys)
-            .mapInArrow(search, "a long, b long"))
+            .mapInArrow(search, "a long, b long, n_links long"))
 
 
 def _exact_bitmaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -458,11 +471,11 @@ def _verified(docs: DataFrame, narrow: DataFrame, pairs: DataFrame, size: int, p
 
 
 def groups(docs: DataFrame, size: int = 5, percent: int = 80, share: float = SHARE, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(_id, n_shingles, component_id) of every row of ``docs``.
+    """(_id, n_shingles, component_id, n_links) of every row of ``docs``.
 
     A set holds the distinct ``size``-word shingles of the whole text, its A-Z in lower case; a text of
     fewer words is one shingle. Two documents link when 100 * overlap >= ``percent`` * union. The component
-    is the smallest document id reachable by links. Null and empty texts and those without words have
+    is the smallest document id reachable by links; ``n_links`` counts the other rows that a row links with. Null and empty texts and those without words have
     empty sets and link with nothing. Rows that share an id are judged row by row, each by its own text. A
     null id links like any other but names no component: one of such rows alone has a null id.
     """
@@ -471,20 +484,28 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80, share: float = SHA
     stars = stored(_stars(met, percent))
     ties = _ties(met, components(stars), percent)
     hoods = stored(components(stars.union(ties)).select(F.col("id").alias("cls"), F.col("component").alias("hood")))
-    links = stored(_within(docs, narrow, hoods, size, percent, text, doc_id))
+    classes = stored(narrow.where("cls is not null").groupBy("cls").agg(F.count("*").alias("rows")))
+    links = stored(_within(docs, narrow, hoods.join(classes, "cls"), size, percent, text, doc_id))
     known = stored(met.select("token", "cls", "n").join(hoods, "cls", "left")
                    .withColumn("comp", F.coalesce("hood", "cls")).drop("hood"))
     mixed = known.groupBy("token").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"), F.count("*").alias("_n"))
     open_ = known.join(mixed.where("_a <> _b").select("token", "_n"), "token")
     maps = narrow.where("cls is not null").groupBy("cls").agg(F.max("sig").alias("sig"))
     more = _verified(docs, narrow, _tree_pairs(open_.join(maps, "cls"), percent), size, percent, text, doc_id)
-    final = components(links.union(more))
+    more = more.distinct()  # rows that share id and text are compared more than once
+    final = components(links.where("b is not null").select("a", "b").union(more))
+    sides = more.select("a", F.col("b").alias("cls")).union(more.select("b", F.col("a").alias("cls")))
+    counts = (links.where("b is null").select("a", "n_links").union(sides.join(classes, "cls").select("a", "rows"))
+              .groupBy("a").agg(F.sum("n_links").alias("n_links")))
+    counts = classes.join(counts, classes["cls"] == counts["a"], "left").select(
+        F.col("cls").alias("_l"), (F.col("rows") - 1 + F.coalesce("n_links", F.lit(0))).alias("n_links"))
     first = narrow.where("cls is not null").groupBy("cls").agg(F.min("_id").alias("_first"))
     held = first.join(final.withColumnRenamed("id", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     top = held.groupBy("component").agg(F.min("_first").alias("_top"))
-    named = held.join(top, "component").select(F.col("cls").alias("_c"), "_top")
+    named = held.join(top, "component").join(counts, F.col("cls") == F.col("_l")).select(F.col("cls").alias("_c"), "_top", "n_links")
     return narrow.join(named, narrow["cls"] == named["_c"], "left").select(
-        "_id", F.col("n").alias("n_shingles"), F.when(F.col("cls").isNull(), F.col("_id")).otherwise(F.col("_top")).alias("component_id"))
+        "_id", F.col("n").alias("n_shingles"), F.when(F.col("cls").isNull(), F.col("_id")).otherwise(F.col("_top")).alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 @query("op10_signature_join")

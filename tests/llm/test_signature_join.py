@@ -71,6 +71,25 @@ def test_chains_and_shared_passages(frame, monkeypatch, tile):
     assert result(got) == brute(rows, 4, 85)
 
 
+@pytest.mark.parametrize("tile", [4096, 5])
+def test_links_equal_brute_force(frame, monkeypatch, tile):
+    monkeypatch.setattr(signature_join, "TILE", tile)
+    monkeypatch.setattr(signature_join, "MEMBERS", 3)
+    monkeypatch.setattr(signature_join, "HOOD", 1 + tile)
+    rows = chains() + [r for r in ROWS if r[0] is None or r[0] < 2000] + [(100, chains()[0][1])] * 2
+    sets = [shingle_set(t, 4) for _, t in rows]
+    want = []
+    for a, (i, _) in enumerate(rows):
+        linked = 0
+        for b in range(len(rows)):
+            both = len(sets[a] & sets[b])
+            linked += a != b and bool(sets[a]) and bool(sets[b]) and 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both)
+        want.append((-1 if i is None else i, len(sets[a]), linked))
+    got = signature_join.groups(frame(rows, "doc_id long, text string"), 4, 85, share=0.05).collect()
+    assert sorted((-1 if r._id is None else r._id, r.n_shingles, r.n_links) for r in got) == sorted(want)
+    assert max(w[2] for w in want) > 2
+
+
 def test_tree_lets_every_link_through():
     rng = random.Random(1)
     texts = [t for _, t in chains()]
