@@ -1,73 +1,110 @@
 """Arrival gate: which incoming CSV files may be loaded, and their rows.
 
-Files are listed by Spark. One splittable text pass over a source's files finds, per file, the
-header line, the number of records and whether any quoted value spans lines; grouping by file
-combines on the map side, so one huge file costs no more than many small ones. Verdicts are set
-operations on the header. Accepted files are then read grouped by header, because one CSV scan
-over files with different column orders would silently swap columns.
+The files of a source are rows: the names in Spark's own file index, joined to what one splittable text pass finds
+per file (the header line, the number of records and whether any quoted value spans lines). Grouping by file
+combines on the map side, so one huge file costs no more than many small ones. Files are known by
+their whole path. Verdicts are set operations on the header: each file is held against every version of its source's
+contract and judged by the one it comes closest to. Accepted files are then read grouped by
+header, because one CSV scan over files with different column orders would silently swap columns.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyline.operators.privacy import tag_columns
-from tallyline.sources.contracts import Contract
+from tallyline.operators.privacy import CLASSES, tag_columns
+from tallyline.sources.contracts import Contract, union_versions
+from tallyline.sources.store import scratch_root
 
 LOG_SCHEMA = (
     "checked_at timestamp, source string, file string, contract_version int, status string, "
     "row_count long, columns_dropped_excluded int, reason string"
 )
-PROFILE_SCHEMA = (
-    "uri string, file string, header array<string>, header_split boolean, n_split long, "
-    "n_bad long, row_count long"
+PROFILE = (
+    ("uri", "string"), ("path", "string"), ("file", "string"), ("header", "array<string>"),
+    ("header_split", "boolean"), ("n_split", "long"), ("n_bad", "long"), ("row_count", "long"),
 )
+LISTED = 10_000
 _COMMA_OUTSIDE_QUOTES = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 _QUOTES = r'[^"]'
+_NO_FILE = "no file found matching this source's pattern"
 
 
-def list_files(spark: SparkSession, folder: str, match: str) -> list[str]:
-    """URIs of the files in ``folder`` that match, empty ones included; no file is opened."""
-    subfolder, _, pattern = match.rpartition("/")
-    try:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(
-            f"{folder}/{subfolder}" if subfolder else folder)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return []
-        raise
-    return sorted(files.inputFiles())
+def _place(folder: str, match: str) -> tuple[str, str, int]:
+    """Folder (or glob of folders) to read, file pattern, and levels of the path that name a file."""
+    above, _, pattern = match.rpartition("/")
+    return (f"{folder}/{above}" if above else folder), pattern, match.count("/") + 1
+
 
+def _uri(path: Column) -> Column:
+    """A file's path as the metadata of a scan has it: without an empty authority."""
+    return F.regexp_replace(path, "^([A-Za-z][A-Za-z0-9+.-]*):/{3,}", "$1:/")
 
-def _name(uri: str) -> str:
-    return unquote(uri.rsplit("/", 1)[-1])
 
+def _decoded(uri: Column) -> Column:
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
 
-def _paths(uris: Sequence[str]) -> list[str]:
-    return [unquote(uri) for uri in uris]
+
+def list_files(spark: SparkSession, folder: str, match: str) -> DataFrame:
+    """(uri, path, file) of the files that match, empty ones included; no file is opened.
+
+    ``file`` is the part of the path that ``match`` describes, so equal names in two subfolders differ.
+    """
+    where, pattern, levels = _place(folder, match)
+    try:
+        index = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(where)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        names = spark.createDataFrame([], "value string")
+    else:  # a scan leaves out empty files, the index does not
+        names = spark.createDataFrame(index.inputFiles(), "string")
+    path = _decoded(F.col("uri"))
+    return names.select(_uri(F.col("value")).alias("uri")).select(
+        "uri", path.alias("path"), F.substring_index(path, "/", -levels).alias("file"))
 
 
-def file_profiles(spark: SparkSession, uris: Sequence[str]) -> DataFrame:
-    """Per file: header names, records below the header, records spanning lines, bad characters."""
-    lines = spark.read.text(_paths(uris)).select(
-        F.col("_metadata.file_name").alias("file"),
+def _lines(reader: DataFrameReader, paths: str | list[str]) -> DataFrame:
+    return reader.text(paths).select(
+        F.col("_metadata.file_path").alias("uri"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("position"),
         "value",
+        F.length(F.regexp_replace("value", _QUOTES, "")).alias("quotes"),
     )
-    quotes = F.length(F.regexp_replace("value", _QUOTES, ""))
+
+
+def _of_files(
+    spark: SparkSession, folder: str, match: str, files: DataFrame,
+    read: Callable[[DataFrameReader, str | list[str]], DataFrame],
+) -> DataFrame:
+    """``read`` of the given ``files`` (uri, path) alone; its rows have their ``uri``.
+
+    Up to ``LISTED`` files are named to the reader. Beyond that the folder is read and rows of other files are left out.
+    """
+    where, pattern, _ = _place(folder, match)
+    few = files.select("path").limit(LISTED + 1).collect()
+    if len(few) <= LISTED:
+        return read(spark.read, [row["path"] for row in few])
+    rows = read(spark.read.option("pathGlobFilter", pattern), where)
+    return rows.join(files.select("uri"), "uri", "left_semi")
+
+
+def file_profiles(spark: SparkSession, folder: str, match: str) -> DataFrame:
+    """Per file with any line: header names, records below the header, lines with odd quotes, bad characters."""
+    where, pattern, _ = _place(folder, match)
     first_line = F.when(F.col("block") == 0, F.struct("position", "value"))
-    per_file = lines.groupBy("file").agg(
+    per_file = _lines(spark.read.option("pathGlobFilter", pattern), where).groupBy("uri").agg(
         F.min(first_line).alias("first"),
         F.count_if(F.trim("value") != "").alias("n_lines"),
-        F.count_if(quotes % 2 == 1).alias("n_split"),
+        F.count_if(F.col("quotes") % 2 == 1).alias("n_split"),
         F.count_if(~F.is_valid_utf8("value")).alias("n_bad"),
     )
     header_line = F.regexp_replace("first.value", "^\\uFEFF", "")
@@ -76,34 +113,46 @@ def file_profiles(spark: SparkSession, uris: Sequence[str]) -> DataFrame:
         lambda c: F.replace(F.regexp_replace(F.trim(c), '^"(.*)"$', "$1"), F.lit('""'), F.lit('"')),
     )
     return per_file.select(
-        "file",
+        "uri",
         F.transform(names, lambda c: F.trim(c)).alias("header"),
         (F.length(F.regexp_replace(header_line, _QUOTES, "")) % 2 == 1).alias("header_split"),
-        # a record that spans lines opens on one odd-quoted line and closes on another
-        (F.col("n_lines") - 1).alias("n_lines"),
         "n_split",
         "n_bad",
+        (F.col("n_lines") - 1).alias("row_count"),
     )
 
 
-def _exact_counts(spark: SparkSession, uris: Sequence[str]) -> DataFrame:
-    """Record counts by the CSV reader, for the files with values that span lines."""
-    rows = _read_csv(spark, uris, None, multi_line=True)
-    return rows.groupBy(F.col("_metadata.file_name").alias("file")).agg(
-        F.count("*").alias("n")
-    )
+def spanning_counts(
+    spark: SparkSession, folder: str, match: str, files: DataFrame
+) -> DataFrame:
+    """(uri, n): records below the header of ``files`` with quoted values that span lines.
+
+    A record ends on a line after which an even number of quotes has been seen. Each block of a file counts its
+    lines for both cases, and the quotes of the blocks before it tell which one holds, so a file is split like any other.
+    """
+    lines = _of_files(spark, folder, match, files, _lines)
+    in_block = W.partitionBy("uri", "block").orderBy("position").rowsBetween(W.unboundedPreceding, W.currentRow)
+    odd = F.col("quotes") % 2
+    seen = lines.withColumn("after", F.sum("quotes").over(in_block) % 2).withColumn("before", (F.col("after") + odd) % 2)
+    blank = F.trim("value") == ""
+
+    def ends(parity: int) -> Column:
+        return F.count_if((F.col("after") == parity) & ~((F.col("before") == parity) & blank))
+
+    blocks = seen.groupBy("uri", "block").agg(
+        ends(0).alias("even"), ends(1).alias("odd"), (F.sum("quotes") % 2).alias("turn"))
+    ahead = W.partitionBy("uri").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    turned = F.coalesce(F.sum("turn").over(ahead), F.lit(0)) % 2
+    counted = blocks.withColumn("n", F.when(turned == 0, F.col("even")).otherwise(F.col("odd")))
+    return counted.groupBy("uri").agg((F.sum("n") - 1).alias("n"))
 
 
 def _read_csv(
-    spark: SparkSession, uris: Sequence[str], header: Sequence[str] | None, multi_line: bool
+    reader: DataFrameReader, paths: str | list[str], header: Sequence[str], multi_line: bool, keep: Sequence[str]
 ) -> DataFrame:
-    reader = (
-        spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
-        .option("inferSchema", False)
-    )
-    if header is not None:
-        reader = reader.schema(", ".join(f"`{c}` string" for c in header))
-    return reader.csv(_paths(uris))
+    reader = reader.options(header=True, escape='"', multiLine=multi_line, inferSchema=False)
+    rows = reader.schema(", ".join(f"`{c}` string" for c in header)).csv(paths)
+    return rows.select(*keep, F.col("_metadata.file_path").alias("uri"))
 
 
 def _list_text(names: Column) -> Column:
@@ -111,26 +160,41 @@ def _list_text(names: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
 
 
-def judge(profiles: DataFrame, contract: Contract, classes: Mapping[str, str] | None) -> DataFrame:
-    """Verdict per file: ``status``, ``row_count``, ``columns_dropped_excluded``, ``reason``.
+def _names(columns: Sequence[str]) -> Column:
+    return F.array(*[F.lit(c) for c in columns]).cast("array<string>")
 
-    ``profiles`` holds uri and name and, where the file has any line, header and counts.
-    """
+
+def _against(version: Contract, place: int) -> Column:
+    """How many columns of a header differ from a version, and how."""
     header = F.col("header")
-    expected = F.array(*[F.lit(c) for c in contract.columns])
-    classified = F.array(*[F.lit(c) for c in (classes or {})]).cast("array<string>")
-    excluded = F.array(
-        *[F.lit(c) for c, cls in (classes or {}).items() if cls == "excluded"]
-    ).cast("array<string>")
-    missing, extra = F.array_except(expected, header), F.array_except(header, expected)
-    unclassified = F.array_except(header, classified)
+    missing, extra = F.array_except(_names(version.columns), header), F.array_except(header, _names(version.columns))
     lists = F.concat_ws(
         "; ",
         F.when(F.size(missing) > 0, F.concat(F.lit("missing columns "), _list_text(missing))),
         F.when(F.size(extra) > 0, F.concat(F.lit("unexpected columns "), _list_text(extra))),
     )
+    text = F.concat(F.lit(f"header does not match contract v{version.version}: "), lists)
+    return F.struct(
+        (F.size(missing) + F.size(extra)).alias("differences"), F.lit(place).alias("place"),
+        F.lit(version.version).alias("version"), F.when(lists != "", text).alias("mismatch"))
+
+
+def judge(profiles: DataFrame, versions: Sequence[Contract], classes: Mapping[str, str] | None) -> DataFrame:
+    """Verdict per file: ``contract_version``, ``status``, ``row_count``, ``columns_dropped_excluded``, ``reason``.
+
+    ``profiles`` holds uri, path and file and, where the file has any line, header and counts. A file answers to the
+    version whose columns its header comes closest to, of equally close ones the first. A row without uri stands for a source
+    without files.
+    """
+    header = F.col("header")
+    classified = _names(list(classes or {}))
+    excluded = _names([c for c, cls in (classes or {}).items() if cls == "excluded"])
+    unclassified = F.array_except(header, classified)
+    nearest = F.array_min(F.array(*[_against(v, place) for place, v in enumerate(versions)]))
+    judged = profiles.withColumn("_near", F.when(header.isNotNull(), nearest))
+    absent = F.when(F.col("uri").isNull(), _NO_FILE)
     if classes is None:
-        reason = F.lit(f"no classification entry found for '{contract.match}'")
+        reason = F.coalesce(absent, F.lit(f"no classification entry found for '{versions[0].match}'"))
         counted = F.lit(False)
     else:
         unreadable = (
@@ -138,20 +202,18 @@ def judge(profiles: DataFrame, contract: Contract, classes: Mapping[str, str] |
             .when(F.col("n_bad") > 0, "could not read file: invalid UTF-8")
             .when(F.col("header_split"), "could not read file: header spans lines")
         )
-        mismatch = F.when(
-            lists != "",
-            F.concat(F.lit(f"header does not match contract v{contract.version}: "), lists),
-        )
         repeated = F.when(F.size(F.array_distinct(header)) < F.size(header),
                           "header repeats a column name")
         unknown = F.when(F.size(unclassified) > 0,
                          F.concat(F.lit("columns not classified: "), _list_text(unclassified)))
-        reason = F.coalesce(unreadable, mismatch, repeated, unknown, F.lit(""))
+        reason = F.coalesce(absent, unreadable, F.col("_near.mismatch"), repeated, unknown, F.lit(""))
         counted = unreadable.isNull()
     passed = reason == ""
-    return profiles.select(
+    return judged.select(
         "uri",
+        "path",
         "file",
+        F.coalesce("_near.version", F.lit(versions[0].version)).alias("contract_version"),
         F.when(passed, "PASS").otherwise("FAIL").alias("status"),
         F.when(counted, F.col("row_count")).alias("row_count"),
         F.when(passed, F.size(F.array_intersect(header, excluded))).otherwise(0)
@@ -163,50 +225,67 @@ def judge(profiles: DataFrame, contract: Contract, classes: Mapping[str, str] |
 
 
 def check_source(
-    spark: SparkSession, folder: str, contract: Contract, classes: Mapping[str, str] | None
-) -> DataFrame | None:
-    """Verdicts on the files of one source; None when no file matches."""
-    uris = list_files(spark, folder, contract.match)
-    if not uris:
-        return None
-    # one short row per file from here on, like the listing: the files are scanned once, not again
-    # by everything that looks at the verdicts
-    found = {row["file"]: row for row in file_profiles(spark, uris).collect()}
-    spanning = [u for u in uris if _name(u) in found and found[_name(u)]["n_split"] > 0]
-    exact = {}
-    if spanning:
-        exact = {row["file"]: row["n"] for row in _exact_counts(spark, spanning).collect()}
-    profiles = []
-    for uri in uris:
-        name = _name(uri)
-        row = found.get(name)
-        if row is None:
-            profiles.append((uri, name, None, None, None, None, None))
-            continue
-        count = exact.get(name, 0) if row["n_split"] else row["n_lines"]
-        profiles.append((uri, name, row["header"], row["header_split"], row["n_split"],
-                         row["n_bad"], count))
-    return judge(spark.createDataFrame(profiles, PROFILE_SCHEMA), contract, classes)
+    spark: SparkSession, folder: str, versions: Contract | Sequence[Contract], classes: Mapping[str, str] | None
+) -> DataFrame:
+    """Verdicts on the files of one source, by the versions of its contract; one row with the pattern for a file when
+    no file matches.
+
+    The profiles, one short row per file, are written once to the shared scratch folder: what looks at the verdicts does not
+    scan the files again.
+    """
+    versions = [versions] if isinstance(versions, Contract) else list(versions)
+    match = versions[0].match
+    files = list_files(spark, folder, match)
+    if files.isEmpty():
+        return judge(spark.createDataFrame([(match,)], "file string").select(
+            *[F.col(n) if n == "file" else F.lit(None).cast(kind).alias(n) for n, kind in PROFILE]), versions, classes)
+    found = files.join(file_profiles(spark, folder, match), "uri", "left")
+    kept = f"{scratch_root(spark)}/profiles"
+    found.write.parquet(kept)
+    profiles = spark.read.schema(found.schema).parquet(kept)
+    spanning = profiles.filter("n_split > 0").select("uri", "path")
+    if not spanning.isEmpty():
+        exact = spanning_counts(spark, folder, match, spanning)
+        profiles = profiles.join(exact, "uri", "left").withColumn("row_count", F.coalesce("n", "row_count")).drop("n")
+    return judge(profiles, versions, classes)
 
 
 def load_accepted(
-    spark: SparkSession, verdicts: DataFrame, contract: Contract, classes: Mapping[str, str]
+    spark: SparkSession, folder: str, verdicts: DataFrame, versions: Contract | Sequence[Contract],
+    classes: Mapping[str, str],
 ) -> DataFrame | None:
-    """Rows of the accepted files: strings, excluded columns never read, plus file and load time."""
-    accepted = verdicts.filter("status = 'PASS'").groupBy("header", "multi_line").agg(
-        F.sort_array(F.collect_list("uri")).alias("uris")
-    ).collect()
-    keep = [c for c in contract.columns if classes.get(c) != "excluded"]
-    parts = [
-        _read_csv(spark, group["uris"], group["header"], group["multi_line"]).select(
-            *keep, F.col("_metadata.file_name").alias("_source_file")
-        )
-        for group in accepted
-    ]
+    """Rows of the accepted files: strings, excluded columns never read, plus file and load time.
+
+    Rows of several versions stand under the names of the first one; a column that a version lacks is null. A renamed column
+    has the more protected class of both names.
+    """
+    versions = [versions] if isinstance(versions, Contract) else list(versions)
+    match = versions[0].match
+    levels = match.count("/") + 1
+    accepted = verdicts.filter("status = 'PASS'")
+    # as many rows as there are different headers
+    headers = accepted.groupBy("contract_version", "header", "multi_line").count().collect()
+    parts = []
+    for version in versions:
+        keep = [c for c in version.columns if classes.get(c) != "excluded"]
+        mine = [
+            _of_files(
+                spark, folder, match,
+                accepted.filter((F.col("contract_version") == version.version) & (F.col("header") == _names(h["header"]))
+                                & (F.col("multi_line") == h["multi_line"])),
+                lambda reader, paths, h=h, keep=keep: _read_csv(reader, paths, h["header"], h["multi_line"], keep))
+            for h in headers if h["contract_version"] == version.version
+        ]
+        if mine:
+            parts.append((version, reduce(DataFrame.unionByName, mine)))
     if not parts:
         return None
-    rows = reduce(DataFrame.unionByName, parts).withColumn("_loaded_at", F.current_timestamp())
-    return tag_columns(rows, classes)
+    rows = union_versions(parts, {c for version in versions for c in version.optional})
+    rows = rows.withColumn("_source_file", F.substring_index(_decoded(F.col("uri")), "/", -levels)).drop("uri")
+    known = dict(classes)
+    for old, new in (pair for version in versions for pair in version.renames.items()):
+        known[new] = max(known.get(new, CLASSES[0]), known.get(old, CLASSES[0]), key=CLASSES.index)
+    return tag_columns(rows.withColumn("_loaded_at", F.current_timestamp()), known)
 
 
 def arrival_check(
@@ -219,31 +298,27 @@ def arrival_check(
     """Check every source of ``folder``.
 
     Returns the log rows, one per file (or per source without a file), and the accepted rows per
-    source. A source that fails has no entry: what was loaded before stays in service.
+    source. A source that fails has no entry: what was loaded before stays in service. Contracts of one source are its versions,
+    the one whose names are used downstream first.
     ``classification`` is keyed by the contracts' ``match`` pattern.
     """
     stamp = F.lit(checked_at) if checked_at else F.current_timestamp()
-    logs, accepted = [], {}
+    by_source: dict[str, list[Contract]] = {}
     for contract in contracts:
-        classes = classification.get(contract.match)
-        verdicts = check_source(spark, folder, contract, classes)
-        if verdicts is None:
-            reason = "no file found matching this source's pattern"
-            verdicts = spark.range(1).select(
-                F.lit(contract.match).alias("file"), F.lit("FAIL").alias("status"),
-                F.lit(None).cast("long").alias("row_count"),
-                F.lit(0).alias("columns_dropped_excluded"), F.lit(reason).alias("reason"),
-            )
-        elif classes is not None:
-            rows = load_accepted(spark, verdicts, contract, classes)
+        by_source.setdefault(contract.source, []).append(contract)
+    logs, accepted = [], {}
+    for source, versions in by_source.items():
+        classes = classification.get(versions[0].match)
+        verdicts = check_source(spark, folder, versions, classes)
+        if classes is not None:
+            rows = load_accepted(spark, folder, verdicts, versions, classes)
             if rows is not None:
-                accepted[contract.source] = rows
+                accepted[source] = rows
         logs.append(
             verdicts.select(
                 stamp.cast("timestamp").alias("checked_at"),
-                F.lit(contract.source).alias("source"),
-                "file",
-                F.lit(contract.version).alias("contract_version"),
+                F.lit(source).alias("source"),
+                "file", "contract_version",
                 "status", "row_count", "columns_dropped_excluded", "reason",
             )
         )

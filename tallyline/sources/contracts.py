@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -34,9 +34,13 @@ def map_version(df: DataFrame, contract: Contract) -> DataFrame:
     return df.withColumnsRenamed(dict(contract.renames))
 
 
-def union_versions(parts: Mapping[Contract, DataFrame] | list[tuple[Contract, DataFrame]]):
-    """Rows of several contract versions in one table; optional columns are null where absent."""
+def union_versions(
+    parts: Mapping[Contract, DataFrame] | list[tuple[Contract, DataFrame]], optional: Iterable[str] = ()
+) -> DataFrame:
+    """Rows of several contract versions in one table; optional columns, and those named as ``optional``, are null where
+    absent."""
     items = list(parts.items()) if isinstance(parts, Mapping) else list(parts)
+    optional = {*optional, *(c for known, _ in items for c in known.optional)}
     union = None
     for contract, df in items:
         mapped = map_version(df, contract)
@@ -44,11 +48,10 @@ def union_versions(parts: Mapping[Contract, DataFrame] | list[tuple[Contract, Da
             union = mapped
             continue
         missing = set(union.columns) ^ set(mapped.columns)
-        allowed = {c for known, _ in items for c in known.optional}
-        if missing - allowed:
-            raise ValueError(f"versions differ in required columns: {sorted(missing - allowed)}")
+        if missing - optional:
+            raise ValueError(f"versions differ in required columns: {sorted(missing - optional)}")
         union = union.unionByName(mapped, allowMissingColumns=True)
-    for column in sorted({c for known, _ in items for c in known.optional}):
+    for column in sorted(optional):
         if column not in union.columns:
             union = union.withColumn(column, F.lit(None).cast("string"))
     return union
