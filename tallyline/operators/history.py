@@ -12,6 +12,20 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+def arrival_history(log: DataFrame) -> DataFrame:
+    """What the arrival log says of each source and night: the verdict, a reason if any file failed, the rows counted,
+    the last night on which all its files passed, and on how many nights up to then some did not."""
+    failed = F.col("status") == "FAIL"
+    nights = log.groupBy("night", "source").agg(
+        F.when(F.max(failed), "FAIL").otherwise("PASS").alias("status"),
+        F.coalesce(F.min(F.when(failed, F.col("reason"))), F.lit("")).alias("reason"),
+        F.sum("row_count").alias("row_count"))
+    so_far = W.partitionBy("source").orderBy("night").rowsBetween(W.unboundedPreceding, W.currentRow)
+    return nights.withColumn(
+        "last_good_night", F.max(F.when(F.col("status") == "PASS", F.col("night"))).over(so_far)
+    ).withColumn("failed_nights", F.count_if(failed).over(so_far))
+
+
 def recon_drift(
     history: DataFrame, keys: Sequence[str], run: str, verdict: str, diff: str
 ) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyline.operators.dedup import keep_latest
 from tallyline.operators.skew import heavy_keys, lookup_join
 
-_CONTENT = "_content"
+CONTENT = "_content"
 
 
 def upsert_by_key(
@@ -48,9 +48,9 @@ def latest_by_key(
 ) -> DataFrame:
     """One incoming row per key, or per content where the key is missing."""
     rows = match_columns(incoming, key, ignore)
-    match = [*key, _CONTENT]
+    match = [*key, CONTENT]
     (heavy,) = heavy_keys(rows, match, **heavy_options)
-    return keep_latest(rows, match, order_by, heavy).drop(_CONTENT)
+    return keep_latest(rows, match, order_by, heavy).drop(CONTENT)
 
 
 def last_file_rows(
@@ -59,7 +59,7 @@ def last_file_rows(
     """All incoming rows of the last file (by name) that holds their key, or their content where
     the key is missing. Rows repeated within that file stay."""
     rows = match_columns(incoming, key, ignore)
-    match = [*key, _CONTENT]
+    match = [*key, CONTENT]
     names = [f"_last_{c}" for c in match]
     last = rows.groupBy(*match).agg(F.max(file).alias("_last")).withColumnsRenamed(
         dict(zip(match, names, strict=True)))
@@ -70,7 +70,7 @@ def last_file_rows(
     named = rows.withColumn("_group", digest)
     (heavy,) = heavy_keys(named, ["_group"], **heavy_options)
     joined = lookup_join(named, last, ["_group"], heavy, "inner")
-    return joined.filter(F.col(file).eqNullSafe(F.col("_last"))).drop("_group", "_last", _CONTENT)
+    return joined.filter(F.col(file).eqNullSafe(F.col("_last"))).drop("_group", "_last", CONTENT)
 
 
 def without_matches(
@@ -90,12 +90,12 @@ def with_matches(
 def _matched(
     existing: DataFrame, latest: DataFrame, key: Sequence[str], ignore: Sequence[str], how: str
 ) -> DataFrame:
-    match = [*key, _CONTENT]
+    match = [*key, CONTENT]
     arriving = match_columns(latest, key, ignore).select(
-        *[F.col(c).alias(f"_new_{c}") for c in match]).distinct()
+        *[F.col(c).alias(f"_new_{c}") for c in match])
     same = reduce(
         Column.__and__, [F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in match])
-    return match_columns(existing, key, ignore).join(arriving, same, how).drop(_CONTENT)
+    return match_columns(existing, key, ignore).join(arriving, same, how).drop(CONTENT)
 
 
 def match_columns(df: DataFrame, key: Sequence[str], ignore: Sequence[str] = ()) -> DataFrame:
@@ -103,4 +103,4 @@ def match_columns(df: DataFrame, key: Sequence[str], ignore: Sequence[str] = ())
     compared = sorted(c for c in df.columns if c not in ignore)
     no_key = reduce(Column.__or__, [F.col(k).isNull() for k in key])
     digest = F.sha2(F.to_json(F.struct(*compared)), 256)
-    return df.withColumn(_CONTENT, F.when(no_key, digest).otherwise(F.lit("")))
+    return df.withColumn(CONTENT, F.when(no_key, digest).otherwise(F.lit("")))

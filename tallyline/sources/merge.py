@@ -1,12 +1,14 @@
 """Keyed load into a stored table without rewriting what the load does not touch.
 
-A merged table consists of one folder per load. A new load adds a folder; only folders that hold
-a key arriving again are rewritten without it. Finding those folders reads the key columns alone,
-so a night of new transactions costs the night's rows and a key scan, not the whole table.
+A merged table is dealt into buckets by a hash of the key. A new load is written into the buckets of its keys; only buckets
+that hold a key arriving again are rewritten without it. Finding those reads the key columns of the load's own
+buckets, so a corrected row costs a look at one bucket and its rewriting, and a night of new transactions
+costs the night's rows and a key scan.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from functools import reduce
 
@@ -14,9 +16,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.operators.upsert import (
-    last_file_rows, latest_by_key, match_columns, with_matches, without_matches,
+    CONTENT, last_file_rows, latest_by_key, match_columns, with_matches, without_matches,
 )
-from tallyline.sources.store import SnapshotStore, Version
+from tallyline.sources.store import BUCKET, SnapshotStore, Version, bucket_of
+
+BUCKETS = 64
+MOST_FOLDERS = 16
+
+
+def bucket_number(key: Sequence[str], buckets: int) -> Column:
+    """The bucket of a row: by its key as text, whatever type that is stored in, or by its content where the key is missing."""
+    return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in key], F.col(CONTENT)), F.lit(buckets)).cast("int")
 
 
 def merge_load(
@@ -28,6 +38,7 @@ def merge_load(
     ignore: Sequence[str] = (),
     file: str | None = None,
     ordered: bool = False,
+    buckets: int = BUCKETS,
     **heavy_options,
 ) -> DataFrame:
     """Load ``incoming`` into ``table`` as ``upsert_by_key`` does, and return the table.
@@ -35,53 +46,69 @@ def merge_load(
     With ``file``, the name of a column, the load keeps every row of the last file that holds a
     key, so that rows repeated within a file stay for validation to judge. With ``ordered``, stored
     rows take part in the choice of the first row by ``order_by``, so that a late load cannot bring
-    an older row back.
+    an older row back. ``buckets`` counts for the first load: choose it so that one bucket is what a single
+    correction may rewrite.
     """
     before = store.current(table)
+    buckets = before.buckets if before else buckets
     if file:
         rows = last_file_rows(incoming, key, file, ignore, **heavy_options)
     else:
         if ordered and before is not None:
-            stored = store.open(before)
-            again = with_matches(stored, incoming, key, ignore)
+            again = with_matches(_near(store, before, incoming, key, ignore), incoming, key, ignore)
             incoming = incoming.unionByName(again, allowMissingColumns=True)
         rows = latest_by_key(incoming, key, order_by, ignore, **heavy_options)
-    added = store.stage(rows, table)
+    added = _staged(store, table, rows, key, ignore, buckets)
     version = added if before is None else _merged(store, table, before, added, key, ignore)
     store.commit({table: version})
     return store.open(version)
 
 
+def _near(
+    store: SnapshotStore, before: Version, incoming: DataFrame, key: Sequence[str], ignore: Sequence[str]
+) -> DataFrame:
+    """Stored rows of the buckets that incoming rows fall into."""
+    numbers = match_columns(incoming, key, ignore).select(bucket_number(key, before.buckets).alias(BUCKET)).distinct()
+    return store.open(before.of_buckets({row[BUCKET] for row in numbers.collect()}))
+
+
+def _staged(
+    store: SnapshotStore, table: str, rows: DataFrame, key: Sequence[str], ignore: Sequence[str], buckets: int
+) -> Version:
+    dealt = match_columns(rows, key, ignore).withColumn(BUCKET, bucket_number(key, buckets)).drop(CONTENT)
+    return store.stage_buckets(dealt, table, buckets)
+
+
 def _merged(
     store: SnapshotStore, table: str, before: Version, added: Version, key: Sequence[str],
     ignore: Sequence[str],
 ) -> Version:
     new = store.open(added)
-    touched = _touched(store, table, before, new, key, ignore)
-    kept = [path for path in before.paths if path.rsplit("/", 1)[-1] not in touched]
-    hit = tuple(path for path in before.paths if path not in kept)
-    paths = [*kept, *added.paths]
+    hit = _touched(store, before.of_buckets({bucket_of(path) for path in added.paths}), new, key, ignore)
+    paths = [path for path in before.paths if bucket_of(path) not in hit]
     if hit:
-        rest = without_matches(store.open(Version(hit, before.schema)), new, key, ignore)
-        paths += store.stage(rest, table).paths
+        rest = without_matches(store.open(before.of_buckets(hit)), new, key, ignore)
+        paths += _staged(store, table, rest, key, ignore, before.buckets).paths
     wider = [f for f in added.schema.fields if f.name not in before.schema.names]
     schema = reduce(lambda s, f: s.add(f), wider, type(before.schema)(list(before.schema.fields)))
-    return Version(tuple(sorted(paths)), schema)
+    return Version(tuple(sorted([*paths, *added.paths])), schema, before.buckets)
 
 
 def _touched(
-    store: SnapshotStore, table: str, before: Version, new: DataFrame, key: Sequence[str],
-    ignore: Sequence[str],
-) -> set[str]:
-    """Names of the folders that hold rows the load replaces; at most one per earlier load."""
-    folder = F.regexp_extract("_metadata.file_path", rf"/{table}/([0-9a-f]{{32}})/", 1)
-    old = store.open(before).withColumn("_folder", folder)
+    store: SnapshotStore, asked: Version, new: DataFrame, key: Sequence[str], ignore: Sequence[str]
+) -> set[int]:
+    """Buckets that hold rows the load replaces, or that lie in too many folders."""
+    if not asked.paths:
+        return set()
+    number = F.regexp_extract("_metadata.file_path", rf"/{BUCKET}=([0-9]+)/", 1).cast("int")
+    old = store.open(asked).withColumn(BUCKET, number)
     has_key = reduce(Column.__and__, [F.col(k).isNotNull() for k in key])
-    keyed = old.filter(has_key).select("_folder", *key).join(
+    keyed = old.filter(has_key).select(BUCKET, *key).join(
         new.filter(has_key).select(*key), list(key), "left_semi")
     # rows without a key are compared by content; Parquet statistics skip files that have none
-    left = match_columns(old.filter(~has_key), key, [*ignore, "_folder"])
+    left = match_columns(old.filter(~has_key), key, [*ignore, BUCKET])
     right = match_columns(new.filter(~has_key), key, ignore)
-    bare = left.join(right.select("_content"), "_content", "left_semi")
-    found = keyed.select("_folder").distinct().union(bare.select("_folder").distinct()).distinct()
-    return {row["_folder"] for row in found.collect()}
+    bare = left.join(right.select(CONTENT), CONTENT, "left_semi")
+    found = keyed.select(BUCKET).union(bare.select(BUCKET)).distinct().collect()
+    folders = Counter(bucket_of(path) for path in asked.paths)
+    return {row[BUCKET] for row in found} | {b for b, n in folders.items() if n >= MOST_FOLDERS}

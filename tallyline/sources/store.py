@@ -4,14 +4,17 @@ Every write goes to a new folder; a table changes when rows naming its folders a
 the manifest, one small file that Spark's committer puts in place by a rename. Several tables
 committed in one manifest append change together. Readers see the last committed version; a run
 that dies halfway leaves only folders nobody refers to. One writer at a time is assumed.
+
+A table that is loaded by key is laid out in buckets: rows are dealt by a hash of the key, a folder holds the rows of one
+bucket, and whoever looks for some keys reads the folders of their buckets alone.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Collection, Mapping, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -19,16 +22,29 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 MANIFEST_SCHEMA = (
-    "committed_at timestamp, version long, table_name string, path string, columns string"
+    "committed_at timestamp, version long, table_name string, path string, columns string, buckets int"
 )
+BUCKET = "_bucket"
 
 
 @dataclass(frozen=True)
 class Version:
-    """Folders that make up a table, with the schema to read them by."""
+    """Folders that make up a table, with the schema to read them by.
+
+    With ``buckets`` each folder holds rows of one of so many buckets, and is named after it.
+    """
 
     paths: tuple[str, ...]
     schema: StructType
+    buckets: int = 0
+
+    def of_buckets(self, numbers: Collection[int]) -> Version:
+        """The part of the table that lies in these buckets."""
+        return replace(self, paths=tuple(p for p in self.paths if bucket_of(p) in numbers))
+
+
+def bucket_of(path: str) -> int:
+    return int(path.rsplit(f"{BUCKET}=", 1)[1])
 
 
 class SnapshotStore:
@@ -47,7 +63,7 @@ class SnapshotStore:
 
     def current(self, table: str) -> Version | None:
         """The committed version of ``table``."""
-        mine = F.struct("path", "columns")
+        mine = F.struct("path", "columns", "buckets")
         of_version = (
             self.manifest().filter(F.col("table_name") == table).groupBy("version")
             .agg(F.sort_array(F.collect_list(mine)).alias("parts"))
@@ -56,11 +72,13 @@ class SnapshotStore:
         if last is None:
             return None
         schema = StructType.fromJson(json.loads(last[0]["columns"]))
-        return Version(tuple(part["path"] for part in last), schema)
+        return Version(tuple(part["path"] for part in last), schema, last[0]["buckets"] or 0)
 
     def open(self, version: Version) -> DataFrame:
         """Rows of a version. The stored schema spares reading footers, fills columns an older
         folder lacks with nulls, and keeps the types of partition columns."""
+        if not version.paths:
+            return self.spark.createDataFrame([], version.schema)
         return self.spark.read.schema(version.schema).parquet(*version.paths)
 
     def read(self, table: str) -> DataFrame | None:
@@ -73,18 +91,29 @@ class SnapshotStore:
         df.write.partitionBy(*partition_by).parquet(path)
         return Version((path,), df.schema)
 
+    def stage_buckets(self, df: DataFrame, table: str, buckets: int) -> Version:
+        """Write ``df``, whose column ``_bucket`` holds numbers below ``buckets``, with a folder for each bucket that has rows.
+
+        Small buckets share a task and large ones are split, as their size turns out.
+        """
+        path = f"{self.root}/{table}/{uuid.uuid4().hex}"
+        df.hint("rebalance", F.col(BUCKET)).write.partitionBy(BUCKET).parquet(path)
+        found = self.spark.read.schema(df.schema).parquet(path).select(BUCKET).distinct().collect()
+        folders = tuple(f"{path}/{BUCKET}={number}" for number in sorted(row[BUCKET] for row in found))
+        return Version(folders, df.drop(BUCKET).schema, buckets)
+
     def commit(self, staged: Mapping[str, Version]) -> None:
         """Make staged versions the current ones of their tables, all at once."""
         if self._last_version is None:
             self._last_version = self.manifest().agg(F.max("version").alias("v")).first()["v"] or 0
         self._last_version += 1
         rows = [
-            (self._last_version, table, path, version.schema.json())
+            (self._last_version, table, path, version.schema.json(), version.buckets)
             for table, version in staged.items() for path in version.paths
         ]
         (
             self.spark.createDataFrame(
-                rows, "version long, table_name string, path string, columns string")
+                rows, "version long, table_name string, path string, columns string, buckets int")
             .select(F.current_timestamp().alias("committed_at"), "*")
             .coalesce(1).write.mode("append").parquet(f"{self.root}/_manifest")
         )
@@ -95,11 +124,17 @@ class SnapshotStore:
         self.commit({table: version})
         return self.open(version)
 
-    def append_log(self, df: DataFrame, table: str) -> None:
-        df.write.mode("append").parquet(f"{self.root}/{table}")
+    def append_log(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
+        df.write.mode("append").partitionBy(*partition_by).parquet(f"{self.root}/{table}")
 
     def read_log(self, table: str, schema: str) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
+        """Rows of a log; none where nothing was logged yet. A filter on what it is partitioned by reads those folders alone."""
+        try:
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{table}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
 
 
 def scratch_root(spark: SparkSession) -> str:

@@ -12,7 +12,7 @@ from tallyline.operators.upsert import upsert_by_key
 from tallyline.sources.contracts import Contract, union_versions
 from tallyline.sources.merge import merge_load
 from tallyline.sources.publish import publish_if
-from tallyline.sources.store import SnapshotStore, scratch_root
+from tallyline.sources.store import BUCKET, SnapshotStore, bucket_of, scratch_root
 
 
 def test_reconcile_keeps_null_keys_apart_and_judges_by_tolerance(spark):
@@ -77,31 +77,76 @@ def test_ordered_merge_keeps_the_newer_stored_row(spark, tmp_path):
     assert sorted(map(tuple, table.collect())) == [("a", 5, "new"), ("b", 2, "new"), ("c", 1, "n")]
 
 
-def test_merge_load_rewrites_only_the_folders_it_touches(spark, tmp_path):
+def _sorted(df):
+    return sorted((r.id or "", r.day, r.v) for r in df.collect())
+
+
+def test_a_correction_reads_and_rewrites_one_bucket(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path))
+    rows = [(f"k{i}", 1, "x") for i in range(400)] + [(None, i, "bad") for i in range(40)]
+    merge_load(store, "t", spark.createDataFrame(rows, LOAD), ["id"], buckets=16)
+    before = store.current("t")
+    assert before.buckets == 16 and sorted({bucket_of(p) for p in before.paths}) == list(range(16))
+    merge_load(store, "t", spark.createDataFrame([("k7", 2, "corrected")], LOAD), ["id"])
+    after = store.current("t")
+    gone, new = set(before.paths) - set(after.paths), set(after.paths) - set(before.paths)
+    (bucket,) = {bucket_of(p) for p in gone | new}  # the folder without the old row, and the one with the new
+    assert len(gone) == 1 and len(new) == 2
+    want = sorted([(i or "", 2, "corrected") if i == "k7" else (i or "", d, v) for i, d, v in rows])
+    assert _sorted(store.read("t")) == want
+    read = store.open(after.of_buckets({bucket}))
+    assert all(f"{BUCKET}={bucket}/" in file for file in read.inputFiles()) and read.filter("id = 'k7'").count() == 1
+    # the same again changes nothing
+    merge_load(store, "t", spark.createDataFrame([("k7", 2, "corrected"), (None, 3, "bad")], LOAD), ["id"])
+    assert _sorted(store.read("t")) == want
+
+
+def test_new_keys_rewrite_nothing_until_a_bucket_has_many_folders(spark, tmp_path, monkeypatch):
+    from tallyline.sources import merge
+
+    monkeypatch.setattr(merge, "MOST_FOLDERS", 3)
+    store = SnapshotStore(spark, str(tmp_path))
+    sizes = []
+    for night in range(5):
+        seen = set(store.current("t").paths) if night else set()
+        merge_load(store, "t", spark.createDataFrame([(f"{night}-{i}", night, "x") for i in range(20)], LOAD), ["id"], buckets=2)
+        sizes.append((len(seen - set(store.current("t").paths)), len(store.current("t").paths)))
+    assert sizes == [(0, 2), (0, 4), (0, 6), (6, 4), (0, 6)]
+    assert store.read("t").count() == 100
+
+
+def test_keys_match_whatever_type_they_arrive_in(spark, tmp_path):
     store = SnapshotStore(spark, str(tmp_path))
+    merge_load(store, "t", spark.createDataFrame([(1, "a"), (2, "a")], "id long, v string"), ["id"])
+    merge_load(store, "t", spark.createDataFrame([(2, "b"), (3, "b")], "id int, v string").select("id", "v"), ["id"])
+    assert sorted(map(tuple, store.read("t").collect())) == [(1, "a"), (2, "b"), (3, "b")]
 
-    def load(*rows):
-        merge_load(store, "t", spark.createDataFrame(rows, LOAD), ["id"], latest_first("day"))
-        return set(store.current("t").paths)
-
-    def rows():
-        return sorted((r.id or "", r.day, r.v) for r in store.read("t").collect())
-
-    one = load(("a", 1, "x"), ("b", 1, "x"), (None, 1, "bad"))
-    two = load(("c", 1, "x"))
-    assert one < two and len(two) == 2
-    three = load(("b", 2, "y"), ("b", 1, "z"))
-    assert len(three) == 3 and not one & three and len(two & three) == 1
-    assert rows() == [("", 1, "bad"), ("a", 1, "x"), ("b", 2, "y"), ("c", 1, "x")]
-    before = rows()
-    load(("b", 2, "y"), ("b", 1, "z"))
-    load((None, 1, "bad"))
-    assert rows() == before
-    # a load with a column more: earlier rows have it as null
-    wide = spark.createDataFrame([("d", 3, "x", "AG")], f"{LOAD}, agent string")
-    merge_load(store, "t", wide, ["id"])
-    got = {r.id: r.agent for r in store.read("t").collect()}
-    assert got["d"] == "AG" and got["a"] is None and len(got) == 5
+
+def test_a_load_with_a_column_more(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path))
+    merge_load(store, "t", spark.createDataFrame([("a", 1, "x"), (None, 1, "bad")], LOAD), ["id"])
+    merge_load(store, "t", spark.createDataFrame([("d", 3, "x", "AG"), ("a", 2, "y", "AH")], f"{LOAD}, agent string"), ["id"])
+    got = {r.id: (r.v, r.agent) for r in store.read("t").collect()}
+    assert got == {"a": ("y", "AH"), "d": ("x", "AG"), None: ("bad", None)}
+    merge_load(store, "t", spark.createDataFrame([], LOAD), ["id"])
+    assert store.read("t").count() == 3
+
+
+def test_logs_are_read_by_night(spark, tmp_path):
+    store = SnapshotStore(spark, str(tmp_path))
+    schema = "source string, status string, reason string, row_count long, night date"
+    assert store.read_log("log", schema).count() == 0
+    for day, rows in ((1, [("a", "PASS", "", 5), ("a", "PASS", "", 6)]), (2, [("a", "PASS", "", 5), ("a", "FAIL", "late", 1)]), (3, [("a", "FAIL", "gone", None)])):
+        night = spark.createDataFrame(rows, "source string, status string, reason string, row_count long").withColumn(
+            "night", F.lit(dt.date(2026, 1, day)))
+        store.append_log(night, "log", ["night"])
+    log = store.read_log("log", schema)
+    got = sorted(tuple(r) for r in h.arrival_history(log).collect())
+    days = [dt.date(2026, 1, d) for d in (1, 2, 3)]
+    assert got == [(days[0], "a", "PASS", "", 11, days[0], 0), (days[1], "a", "FAIL", "late", 6, days[0], 1),
+                   (days[2], "a", "FAIL", "gone", None, days[0], 2)]
+    last = log.filter("night = date '2026-01-03'")
+    assert len(last._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [isnotnull(night")) == 2 and last.count() == 1
 
 
 def test_store_swaps_whole_versions_and_keeps_partition_types(spark, tmp_path):
