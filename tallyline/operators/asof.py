@@ -5,10 +5,10 @@ Two plans for two shapes of data:
 ``asof_calendar``  day grain, few keys (exchange rates). The right side becomes one row per key
     and day, and the left side finds its row by plain equality. The left side is never sorted,
     and not shuffled at all while the calendar is small enough for Catalyst to broadcast.
-``asof_merge``     any grain, many keys. Left instants and right rows are merged per key and minute
-    and the last right value is carried forward, over days, over the minutes of a day and within
-    a minute. A key is never sorted as a whole, however many rows it has, and no left row is ever
-    paired with more than one right row.
+``asof_merge``     any grain, many keys. Left and right rows become one timeline, dealt into ranges of key and
+    instant; within a range the last right value is carried forward, and over ranges by one row each. A key
+    is never sorted as a whole, however many rows it has, and no left row is ever paired with more
+    than one right row.
 
 In both, a left row before the first right row of its key takes that first row and is marked as
 estimated when ``fallback`` is on, and finds nothing when it is off.
@@ -17,12 +17,13 @@ estimated when ``fallback`` is on, and finds nothing when it is off.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyline.operators.skew import HeavyKeys, heavy_keys, lookup_join
+from tallyline.sources.store import scratch_root
 
 ESTIMATED = "is_estimated"
 
@@ -37,15 +38,6 @@ def _points(right: DataFrame, by: Sequence[str], on: str, values: Sequence[str])
     return keyed.agg(F.max(F.struct(*values)).alias("_v"))
 
 
-def _unit(unit: str, instant: str) -> Column:
-    return F.date_trunc(unit, instant).cast("timestamp_ntz")
-
-
-def _last_before(window: WindowSpec) -> Column:
-    earlier = window.rowsBetween(W.unboundedPreceding, -1)
-    return F.last("_hit", ignorenulls=True).over(earlier)
-
-
 def asof_calendar(
     left: DataFrame,
     right: DataFrame,
@@ -109,69 +101,63 @@ def asof_merge(
     values: Sequence[str],
     fallback: bool = True,
     how: str = "left",
-    coarse: str = "day",
-    fine: str = "minute",
-    heavy: HeavyKeys | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """As ``asof_calendar`` for instants.
 
-    The result depends on a left row only through its key and instant, so the merge runs over
-    distinct pairs of those and is joined back by equality. ``heavy`` are heavy hitters of
-    ``(*by, left_on)`` in ``left``, measured here unless given. ``coarse`` and ``fine`` are ``date_trunc`` units; per key, the
-    windows hold one row per coarse unit, one per fine unit of a coarse one, and the distinct
-    instants of one fine unit.
+    Both sides become one timeline, dealt into ``ranges`` of key and instant (by default as many as the session has shuffle
+    partitions) and written once. A key with many rows lies in several ranges, and so do many left rows of one instant. Within a range a window
+    carries the last right value on; what a range inherits from the ones before it, and the next value behind it, comes from
+    one row a range with the ends of its right rows.
     """
     by = list(by)
-    points = _points(right, by, right_on, values)
-    probes = left.filter(F.col(left_on).isNotNull()).select(
-        *by, F.col(left_on).alias("_at")).distinct()
+    spark = left.sparkSession
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    has_key = reduce(Column.__and__, [F.col(k).isNotNull() for k in by])
+    points = _points(right.filter(has_key), by, right_on, values)
     hit = F.struct(F.col("_at").alias("at"), F.col("_v").alias("v"))
-    merged = points.select(*by, "_at", F.lit(1).alias("_side"), hit.alias("_hit")).unionByName(
-        probes.select(*by, "_at", F.lit(2).alias("_side")), allowMissingColumns=True
-    ).withColumn("_fine", _unit(fine, "_at"))
-
-    # hits per unit, then what each unit inherits from the ones before it: side 0 rows open a unit
-    ends = [F.max("_hit").alias("_hit"), F.min("_first").alias("_first")]
-    per_fine = merged.withColumn("_first", F.col("_hit")).groupBy(*by, "_fine").agg(*ends)
-    per_fine = per_fine.withColumn("_coarse", _unit(coarse, "_fine"))
-    per_coarse = per_fine.groupBy(*by, "_coarse").agg(*ends)
-    every = W.partitionBy(*by)
-    opening_coarse = per_coarse.select(
-        *by, "_coarse", F.lit(0).alias("_side"),
-        _last_before(every.orderBy("_coarse")).alias("_hit"),
-        F.min("_first").over(every).alias("_earliest"),
-    )
-    in_coarse = per_fine.select(*by, "_coarse", "_fine", F.lit(1).alias("_side"), "_hit").unionByName(
-        opening_coarse, allowMissingColumns=True)
-    of_coarse = W.partitionBy(*by, "_coarse")
-    opening_fine = in_coarse.select(
-        *by, "_fine", "_side",
-        _last_before(of_coarse.orderBy("_side", "_fine")).alias("_hit"),
-        F.max("_earliest").over(of_coarse).alias("_earliest"),
-    ).filter("_side = 1").withColumn("_side", F.lit(0))
-
-    timeline = merged.unionByName(opening_fine, allowMissingColumns=True)
-    so_far = (
-        W.partitionBy(*by, "_fine").orderBy(F.col("_side") > 0, "_at", "_side")
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    resolved = timeline.select(
-        *by, "_at", "_side",
-        F.last("_hit", ignorenulls=True).over(so_far).alias("_hit"),
-        F.last("_earliest", ignorenulls=True).over(so_far).alias("_earliest"),
-    ).filter("_side = 2")
-    answer = F.coalesce("_hit", "_earliest") if fallback else F.col("_hit")
-    resolved = resolved.select(
-        *by, F.col("_at").alias(left_on), answer.alias("_found"),
-        F.col("_hit").isNull().alias("_early"),
-    ).filter(F.col("_found").isNotNull())
-
-    if heavy is None:
-        (heavy,) = heavy_keys(left, [*by, left_on])
-    joined = lookup_join(left, resolved, [*by, left_on], heavy, how)
+    rows = left.select(*by, F.col(left_on).alias("_at"), F.lit(1).alias("_side"),
+                       F.xxhash64(*left.columns).alias("_deal"), F.struct(*left.columns).alias("_row"))
+    timeline = points.select(*by, "_at", F.lit(0).alias("_side"), hit.alias("_hit")).unionByName(rows, allowMissingColumns=True)
+    dealt = timeline.repartitionByRange(ranges, *by, "_at", "_side", "_deal").drop("_deal")
+    dealt = dealt.withColumn("_range", F.spark_partition_id())
+    path = scratch_root(spark)
+    dealt.write.parquet(path)
+    kept = spark.read.schema(dealt.schema).parquet(path)
+
+    here = [F.col("_range"), *[F.col(k) for k in by]]
+    so_far = W.partitionBy(*here).orderBy("_at", "_side").rowsBetween(W.unboundedPreceding, W.currentRow)
+    resolved = kept.withColumn("_found", F.last("_hit", ignorenulls=True).over(so_far)).withColumn(
+        "_first", F.min("_hit").over(W.partitionBy(*here))).filter("_side = 1")
+    joined = resolved.join(F.broadcast(_range_ends(kept, by)), "_range", "left")  # one row a range
+    same_first = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_ends.before.{k}")) for k in by])
+    same_last = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_ends.behind.{k}")) for k in by])
+    found = F.coalesce("_found", F.when(same_first, F.col("_ends.before._hit")))
+    later = F.coalesce("_first", F.when(same_last, F.col("_ends.behind._hit")))
+    asked = F.col("_at").isNotNull()
+    joined = joined.withColumn("_early", found.isNull()).withColumn(
+        "_found", F.when(asked, F.coalesce(found, later) if fallback else found))
+    hits = F.col("_found").isNotNull()
+    if how == "inner":
+        joined = joined.filter(hits)
     return joined.select(
-        *[F.col(c) for c in left.columns],
+        *[F.col(f"_row.{c}").alias(c) for c in left.columns],
         *[F.col(f"_found.v.{v}").alias(v) for v in values],
         F.col("_found.at").alias(right_on),
-        F.col("_early").alias(ESTIMATED),
+        F.when(hits, F.col("_early")).alias(ESTIMATED),
     )
+
+
+def _range_ends(kept: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(_range, _ends): the last right row before each range, and the first one behind it, each with its key.
+
+    Ranges follow each other in the order of key and instant, so the greatest right row of the ranges before is the one that
+    a range's first key may inherit, and the least of those behind is the one its last key may look forward to. Rows of this
+    table are as few as the ranges.
+    """
+    right = F.when(F.col("_side") == 0, F.struct(*by, "_hit"))
+    ends = kept.groupBy("_range").agg(F.min(right).alias("low"), F.max(right).alias("high"))
+    in_order = W.orderBy("_range")
+    before = F.max("high").over(in_order.rowsBetween(W.unboundedPreceding, -1))
+    behind = F.min("low").over(in_order.rowsBetween(1, W.unboundedFollowing))
+    return ends.select("_range", F.struct(before.alias("before"), behind.alias("behind")).alias("_ends"))

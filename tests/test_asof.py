@@ -4,7 +4,6 @@ import random
 import pytest
 
 from tallyline.operators.asof import asof_calendar, asof_merge
-from tallyline.operators.skew import heavy_keys
 
 DAY0 = dt.date(2026, 1, 1)
 
@@ -13,7 +12,7 @@ def expected(left, right, fallback):
     """By definition: latest right row at or before, else the earliest of the key."""
     out = []
     for i, key, at in left:
-        mine = sorted((t, v) for k, t, v in right if k == key and t is not None)
+        mine = sorted((t, v) for k, t, v in right if k == key and None not in (key, t))
         before = [p for p in mine if at is not None and p[0] <= at]
         if before:
             out.append((i, max(before)[1], max(before)[0], False))
@@ -52,16 +51,37 @@ def test_calendar_equals_the_definition(spark, fallback, limit):
 
 
 @pytest.mark.parametrize("fallback", [True, False])
-@pytest.mark.parametrize("units", [("day", "minute"), ("hour", "hour"), ("month", "day")])
-def test_merge_equals_the_definition(spark, fallback, units):
+@pytest.mark.parametrize("ranges", [1, 3, 16])
+def test_merge_equals_the_definition(spark, fallback, ranges):
     start = dt.datetime(2026, 1, 1)
     instants = [start + dt.timedelta(minutes=17 * m) for m in range(60)]
     left, right = data(instants, 5)
+    right += [(None, instants[0], 7.0)]
     df = spark.createDataFrame(left, "i int, k string, at timestamp_ntz")
-    (heavy,) = heavy_keys(df, ["k", "at"], min_rows=2)
-    for hot in (None, heavy):
-        got = asof_merge(
-            df, spark.createDataFrame(right, "k string, at_right timestamp_ntz, v double"),
-            ["k"], "at", "at_right", ["v"], fallback=fallback, coarse=units[0], fine=units[1],
-            heavy=hot)
+    points = spark.createDataFrame(right, "k string, at_right timestamp_ntz, v double")
+    got = asof_merge(df, points, ["k"], "at", "at_right", ["v"], fallback=fallback, ranges=ranges)
+    assert rows(got) == expected(left, right, fallback)
+    inner = asof_merge(df, points, ["k"], "at", "at_right", ["v"], fallback=fallback, how="inner", ranges=ranges)
+    assert rows(inner) == [r for r in expected(left, right, fallback) if r[2] is not None]
+
+
+def test_merge_carries_values_over_empty_and_crowded_ranges(spark):
+    """One key with most rows, one instant with a third of them, and keys whose only right row lies ranges away."""
+    start = dt.datetime(2026, 1, 1)
+    left = [(i, "a", start + dt.timedelta(minutes=i % 300)) for i in range(600)] + [(600 + i, "a", start) for i in range(300)]
+    left += [(900 + i, "b", start + dt.timedelta(minutes=i)) for i in range(200)]
+    left += [(1100, "c", start), (1101, None, start), (1102, "d", None)]
+    right = [("a", start + dt.timedelta(minutes=150), 1.0), ("b", start + dt.timedelta(minutes=500), 2.0), ("c", start, 3.0), ("d", start, 4.0)]
+    df = spark.createDataFrame(left, "i int, k string, at timestamp_ntz").repartition(5)
+    for fallback in (True, False):
+        got = asof_merge(df, spark.createDataFrame(right, "k string, at_right timestamp_ntz, v double"),
+                         ["k"], "at", "at_right", ["v"], fallback=fallback, ranges=12)
         assert rows(got) == expected(left, right, fallback)
+
+
+def test_merge_of_nothing(spark):
+    df = spark.createDataFrame([], "i int, k string, at timestamp_ntz")
+    points = spark.createDataFrame([], "k string, at_right timestamp_ntz, v double")
+    assert asof_merge(df, points, ["k"], "at", "at_right", ["v"]).count() == 0
+    one = spark.createDataFrame([(1, "a", dt.datetime(2026, 1, 1))], df.schema)
+    assert rows(asof_merge(one, points, ["k"], "at", "at_right", ["v"])) == [(1, None, None, None)]
