@@ -18,11 +18,12 @@ from tallyline.functions.text import (
     phone_digits,
     trim_spaces,
     upper_code,
+    whole_number,
 )
 
 __all__ = [
     "blank_to_null", "completed_years", "document_code", "exact_avg", "exact_sum", "fold_prefix",
     "fold_values", "is_under_age", "month_of", "name_key", "parse_cast_date", "parse_date",
     "parse_integer", "parse_number", "parse_timestamp", "phone_digits", "round_half_away",
-    "safe_ratio", "trim_spaces", "upper_code",
+    "safe_ratio", "trim_spaces", "upper_code", "whole_number",
 ]

@@ -30,6 +30,11 @@ def phone_digits(value: Column | str) -> Column:
     return F.nullif(F.regexp_replace(as_column(value), "[^0-9+]", ""), F.lit(""))
 
 
+def whole_number(value: Column | str) -> Column:
+    """Digits that a spreadsheet took for a number, without the ``.0`` it put behind them."""
+    return F.regexp_replace(as_column(value), r"^([0-9]+)\.0$", "$1")
+
+
 def document_code(value: Column | str) -> Column:
     """Upper-case letters and digits only, so punctuation and case never separate equal ids."""
     return F.nullif(F.upper(F.regexp_replace(as_column(value), "[^A-Za-z0-9]", "")), F.lit(""))

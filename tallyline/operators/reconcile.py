@@ -27,26 +27,22 @@ def reconcile(
 ) -> DataFrame:
     """One row per key on either side with figures, differences and verdicts.
 
-    ``control`` holds the keys and every measure; each computed frame the keys and some of the
-    measures, already grouped, so the outer joins only touch summary rows. Keys are compared by
-    equality: a row with a null key stays on its own instead of meeting other nulls.
+    ``control`` holds the keys and every measure, one row a key; each computed frame the keys and some of the
+    measures, already grouped. All sides are put under each other, every figure in a column of its own, and grouped once.
+    Keys are compared by equality: a row with a null key stays on its own instead of meeting other nulls.
     """
     keys, measures = list(keys), list(measures)
-    published = control.select(*keys, *[F.col(m).alias(f"control_{m}") for m in measures])
+    lacking = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
 
-    def outer(left: DataFrame, right: DataFrame) -> DataFrame:
-        mine = [m for m in measures if m in right.columns]
-        other = right.select(
-            *[F.col(k).alias(f"_{k}") for k in keys], *[F.col(m).alias(f"computed_{m}") for m in mine]
-        )
-        same = reduce(Column.__and__, [F.col(k) == F.col(f"_{k}") for k in keys])
-        rest = [c for c in left.columns if c not in keys]
-        return left.join(other, same, "full").select(
-            *[F.coalesce(k, f"_{k}").alias(k) for k in keys], *rest,
-            *[f"computed_{m}" for m in mine],
-        )
+    def side(df: DataFrame, number: int, prefix: str) -> DataFrame:
+        apart = F.struct(F.lit(number).alias("side"), F.monotonically_increasing_id().alias("row"))
+        return df.select(*keys, F.when(lacking, apart).alias("_apart"),
+                         *[F.col(m).alias(f"{prefix}_{m}") for m in measures if m in df.columns])
 
-    joined = reduce(outer, computed, published)
+    sides = [side(control, 0, "control"), *[side(df, i, "computed") for i, df in enumerate(computed, 1)]]
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
+    figures = [f"{prefix}_{m}" for prefix in ("control", "computed") for m in measures]
+    joined = every.groupBy(*keys, "_apart").agg(*[F.max(c).alias(c) for c in figures])
     diffs = {
         f"{m}_diff": F.coalesce(f"computed_{m}", F.lit(0)) - F.coalesce(f"control_{m}", F.lit(0))
         for m in measures
@@ -55,10 +51,7 @@ def reconcile(
         f"{m}_pass": within_tolerance(F.col(f"{m}_diff"), F.col(f"control_{m}"), tolerance, floor)
         for m in measures
     }
-    return joined.select(
-        *keys, *[f"control_{m}" for m in measures], *[f"computed_{m}" for m in measures],
-        *[c.alias(n) for n, c in diffs.items()],
-    ).withColumns(verdicts)
+    return joined.select(*keys, *figures, *[c.alias(n) for n, c in diffs.items()]).withColumns(verdicts)
 
 
 def failing(verdicts: DataFrame, measures: Sequence[str]) -> DataFrame:

@@ -7,10 +7,10 @@ keep SQL's three-valued logic, so a null value breaks only the rules about missi
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.functions.text import as_column
@@ -95,12 +95,16 @@ def found_in_parent(value: Column | str, found: str, reason: str) -> Column:
 
 @dataclass(frozen=True)
 class References:
-    """``column`` must appear as ``parent_key`` in ``parent``, where that key is unique."""
+    """``column`` must appear as ``parent_key`` in ``parent``, where that key is unique.
+
+    ``carry`` maps columns of the parent to the names they take in the checked rows.
+    """
 
     column: str
     parent: DataFrame
     parent_key: str
     flag: str
+    carry: Mapping[str, str] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -135,7 +139,8 @@ def validate(
     rows = typed
     for reference, heavy in zip(checks.references, measured[1:], strict=True):
         known = reference.parent.select(
-            F.col(reference.parent_key).alias(reference.column), F.lit(True).alias(reference.flag)
+            F.col(reference.parent_key).alias(reference.column), F.lit(True).alias(reference.flag),
+            *[F.col(old).alias(new) for old, new in reference.carry.items()],
         )
         rows = lookup_join(rows, known, [reference.column], heavy)
         rows = rows.withColumn(reference.flag, F.coalesce(reference.flag, F.lit(False)))
@@ -168,17 +173,31 @@ def quarantine(
     )
 
 
-def dq_summary(checked: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows in, passed and quarantined per source, in one pass over each source."""
-    counts = [
-        df.agg(
-            F.count("*").alias("raw_count"),
-            F.count_if(~F.col(QUARANTINED)).alias("passed_count"),
-            F.count_if(QUARANTINED).alias("quarantined_count"),
-        ).select(F.lit(source).alias("source_name"), "*")
-        for source, df in checked.items()
+_COUNTS = "source_name string, raw_count long, passed_count long, quarantined_count long"
+
+
+def observed(checked: DataFrame) -> tuple[DataFrame, Observation]:
+    """``checked`` and the counts of its rows, passed and quarantined, which are known once it has been written whole."""
+    counts = Observation()
+    rows = checked.observe(
+        counts, F.count(F.lit(1)).alias("raw_count"), F.count_if(~F.col(QUARANTINED)).alias("passed_count"),
+        F.count_if(QUARANTINED).alias("quarantined_count"))
+    return rows, counts
+
+
+def dq_summary(
+    spark: SparkSession, counts: Mapping[str, Observation], raw_counts: Mapping[str, int] | None = None
+) -> DataFrame:
+    """Rows in, passed and quarantined per source, as ``observed`` while they were written: no scan of its own.
+
+    ``raw_counts`` are counted elsewhere, to hold what was written against what came in.
+    """
+    rows = [
+        (source, (raw_counts or seen.get)[source if raw_counts else "raw_count"], seen.get["passed_count"],
+         seen.get["quarantined_count"])
+        for source, seen in counts.items()
     ]
-    return reduce(DataFrame.unionByName, counts)
+    return spark.createDataFrame(rows, _COUNTS)
 
 
 def stored_dq_summary(tables: Mapping[str, tuple[DataFrame, DataFrame, DataFrame]]) -> DataFrame:

@@ -7,7 +7,6 @@ totals. Every function maps DataFrames to a DataFrame; ``plans.nightly`` stores
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -259,7 +258,7 @@ def check_loans(
 
 
 def check_repayments(raw: DataFrame, loans: DataFrame, **heavy_options) -> DataFrame:
-    """``loans`` are the passed ones."""
+    """``loans`` are the passed ones; their country comes along as ``loan_country``."""
     typed = _typed(
         raw,
         txn_id=fn.trim_spaces("txn_id"),
@@ -274,7 +273,7 @@ def check_repayments(raw: DataFrame, loans: DataFrame, **heavy_options) -> DataF
         key=("txn_id",),
         order_by=tuple(latest_first("paid_at")),
         duplicate_reason="duplicate txn_id",
-        references=(r.References("loan_id", loans, "loan_id", "loan_found"),),
+        references=(r.References("loan_id", loans, "loan_id", "loan_found", {"country": "loan_country"}),),
         rules=(
             r.required("txn_id", "missing txn_id"),
             r.required("loan_id", "missing loan_id"),
@@ -482,23 +481,11 @@ def loan_totals(loans: DataFrame) -> DataFrame:
     )
 
 
-def repayment_totals(repayments: DataFrame, loans: DataFrame) -> DataFrame:
-    """Totals by the loan's country. Repayments are summed per loan and month before they meet the
-    loans, so a loan with a third of them joins as a handful of rows."""
-    amount = F.col("amount")
-    exact = amount.try_cast("decimal(28,4)")
-    per_loan = repayments.groupBy(
-        "loan_id", fn.month_of("paid_at").alias("month"), "currency"
-    ).agg(
-        F.count("*").alias("n"),
-        F.sum(exact).alias("exact"),
-        F.sum(F.when(amount.isNotNull() & exact.isNull(), amount)).alias("unfit"),
-    )
-    with_country = per_loan.join(loans.select("loan_id", "country"), "loan_id")
-    total = F.coalesce(F.sum("exact").cast("double"), F.lit(0.0)) + F.coalesce(
-        F.sum("unfit"), F.lit(0.0))
-    return with_country.groupBy("country", "month", "currency").agg(
-        F.sum("n").alias("repayments_count"), total.alias("repayments_amount")
+def repayment_totals(repayments: DataFrame) -> DataFrame:
+    """Totals by the loan's country, which passed repayments have from their check against the loans."""
+    month = fn.month_of("paid_at").alias("month")
+    return repayments.groupBy(F.col("loan_country").alias("country"), month, "currency").agg(
+        F.count("*").alias("repayments_count"), fn.exact_sum("amount").alias("repayments_amount")
     )
 
 
@@ -509,29 +496,12 @@ def reconciliation(
     tolerance: float = TOLERANCE,
     ordered: bool = True,
 ) -> DataFrame:
+    """``repayments`` are passed rows as ``check_repayments`` returns them, with the country of their loan."""
     published = control.withColumnsRenamed(
         {"loans_disbursed_count": "loans_count", "loans_disbursed_amount": "loans_amount"}
     )
     verdicts = reconcile(
-        published, [loan_totals(loans), repayment_totals(repayments, loans)], PERIOD, MEASURES,
+        published, [loan_totals(loans), repayment_totals(repayments)], PERIOD, MEASURES,
         tolerance,
     )
     return _by_period(verdicts) if ordered else verdicts
-
-
-def checked_sources(
-    raw: Mapping[str, DataFrame], lookup: DataFrame, **heavy_options
-) -> dict[str, DataFrame]:
-    """All six checked sources as one lazy plan each; children see passed parents only."""
-    checked = {
-        "ims_clients": check_clients(raw["ims_clients"], lookup, **heavy_options),
-        "cbs_borrowers": check_borrowers(raw["cbs_borrowers"], **heavy_options),
-        "fx_rates": check_rates(raw["fx_rates"], **heavy_options),
-        "cbs_control_totals": check_control_totals(
-            raw["cbs_control_totals"], lookup, **heavy_options),
-    }
-    borrowers = r.passed(checked["cbs_borrowers"])
-    checked["cbs_loans"] = check_loans(raw["cbs_loans"], borrowers, **heavy_options)
-    loans = r.passed(checked["cbs_loans"])
-    checked["cbs_repayments"] = check_repayments(raw["cbs_repayments"], loans, **heavy_options)
-    return checked

@@ -10,7 +10,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.operators import checks as c
@@ -18,13 +18,14 @@ from tallyline.operators import identity, reconcile
 from tallyline.operators import rules as r
 from tallyline.operators.privacy import guard_classified
 from tallyline.plans import lending as plan
-from tallyline.sources.arrival import arrival_check
+from tallyline.sources.arrival import LOG_SCHEMA, arrival_check
 from tallyline.sources.contracts import Contract
 from tallyline.sources.merge import merge_load
 from tallyline.sources.publish import publish_if
 from tallyline.sources.store import SnapshotStore, Version
 
 ARRIVAL_LOG = "arrival_log"
+ARRIVAL_LOG_SCHEMA = f"{LOG_SCHEMA}, night date"
 STAGED = tuple(s for s in plan.SOURCE_FILES if s != "investment_screening")
 _STAMPS = ("_loaded_at", "_source_file")
 
@@ -47,6 +48,28 @@ def load_raw(store: SnapshotStore, contract: Contract, rows: DataFrame) -> DataF
     return store.replace(rows, table)
 
 
+def load_night(
+    store: SnapshotStore,
+    source_dir: str,
+    contracts: Mapping[str, Contract | Sequence[Contract]] = plan.CONTRACTS,
+    classification: Mapping[str, Mapping[str, str]] = plan.CLASSIFICATION,
+    checked_at: dt.datetime | None = None,
+) -> dict[str, DataFrame | None]:
+    """Check what arrived, log every verdict under its night, and load what passed; the raw table of every source.
+
+    ``contracts`` has one contract a source, or its versions, the one with the names used downstream first. A source that was
+    rejected or didn't arrive keeps the rows of its last good night (None if there was none).
+    """
+    versions = {s: [c] if isinstance(c, Contract) else list(c) for s, c in contracts.items()}
+    log, accepted = arrival_check(
+        store.spark, source_dir, [c for known in versions.values() for c in known], classification, checked_at)
+    store.append_log(log.withColumn("night", F.to_date("checked_at")), ARRIVAL_LOG, ["night"])
+    return {
+        source: load_raw(store, known[0], accepted[source]) if source in accepted else store.read(f"raw_{source}")
+        for source, known in versions.items()
+    }
+
+
 def _missing_sources(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     return spark.createDataFrame(
         [(f"{name} loaded", 1, False) for name in names],
@@ -60,23 +83,16 @@ def run_nightly(
     root: str,
     as_of: dt.date = plan.AS_OF,
     tolerance: float = plan.TOLERANCE,
-    contracts: Mapping[str, Contract] = plan.CONTRACTS,
+    contracts: Mapping[str, Contract | Sequence[Contract]] = plan.CONTRACTS,
     classification: Mapping[str, Mapping[str, str]] = plan.CLASSIFICATION,
     **heavy_options,
 ) -> NightlyRun:
-    """Run everything for the files in ``source_dir``; all tables live below ``root``."""
+    """Run everything for the files in ``source_dir``; all tables live below ``root``. ``contracts`` and ``classification`` are those of
+    ``load_night``."""
     store = SnapshotStore(spark, root)
     lookup = plan.country_lookup(spark)
 
-    log, accepted = arrival_check(spark, source_dir, list(contracts.values()), classification)
-    store.append_log(log, ARRIVAL_LOG)
-    raw: dict[str, DataFrame | None] = {}
-    for source, contract in contracts.items():
-        if source in accepted:
-            raw[source] = load_raw(store, contract, accepted[source])
-        else:  # rejected or absent: yesterday's rows stay in service
-            raw[source] = store.read(f"raw_{source}")
-
+    raw = load_night(store, source_dir, contracts, classification)
     absent = [s for s in STAGED if raw[s] is None]
     if absent:
         results = _missing_sources(spark, absent)
@@ -84,13 +100,15 @@ def run_nightly(
 
     versions: dict[str, Version] = {}
     checked: dict[str, DataFrame] = {}
+    counts: dict[str, Observation] = {}
 
     def write(name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         versions[name] = store.stage(df, name, partition_by)
         return store.open(versions[name])
 
     def keep(source: str, df: DataFrame) -> DataFrame:
-        checked[source] = write(f"checked_{source}", df, [r.QUARANTINED])
+        rows, counts[source] = r.observed(df)
+        checked[source] = write(f"checked_{source}", rows, [r.QUARANTINED])
         return plan.staged(source, checked[source], as_of)
 
     stg = {
@@ -121,9 +139,9 @@ def run_nightly(
         "identity_summary": write("identity_summary", identity.identity_summary(links, parties)),
         "period_summary": write("period_summary", plan.period_summary(mart)),
         "reconciliation": write("reconciliation", plan.reconciliation(
-            stg["cbs_control_totals"], stg["cbs_loans"], stg["cbs_repayments"], tolerance)),
-        "dq_summary": write("dq_summary", r.stored_dq_summary(
-            {s: (raw[s], stg[s], quarantine[s]) for s in STAGED})),
+            stg["cbs_control_totals"], stg["cbs_loans"], r.passed(checked["cbs_repayments"]), tolerance)),
+        "dq_summary": write("dq_summary", r.dq_summary(
+            spark, counts, {s: raw[s].count() for s in STAGED})),
         **{f"raw_{s}": df for s, df in raw.items() if df is not None},
         **{f"stg_{s}": df for s, df in stg.items()},
         **{f"stg_{s}_quarantine": df for s, df in quarantine.items()},

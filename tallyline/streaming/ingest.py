@@ -12,11 +12,15 @@ from tallyline.sources.store import SnapshotStore
 
 
 def stream_files(spark: SparkSession, folder: str, schema: str, file_format: str = "csv",
-                 max_files: int | None = None) -> DataFrame:
-    """New files of ``folder``. One stream reads one column order; use a folder per header."""
+                 max_files: int | None = None, multi_line: bool = False) -> DataFrame:
+    """New files of ``folder``. One stream reads one column order; use a folder per header.
+
+    ``multi_line`` is for a folder of files with quoted values that span lines, as the arrival gate finds them; a
+    file read that way is not split.
+    """
     reader = spark.readStream.format(file_format).schema(schema)
     if file_format == "csv":
-        reader = reader.option("header", True).option("escape", '"').option("multiLine", True)
+        reader = reader.option("header", True).option("escape", '"').option("multiLine", multi_line)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(folder)
@@ -46,7 +50,11 @@ def stream_upsert(
 def stream_dedup(
     stream: DataFrame, event_time: str, key: Sequence[str], late: str
 ) -> DataFrame:
-    """First row per key, forgetting a key ``late`` after its event time."""
+    """First row per key, forgetting a key ``late`` after its event time.
+
+    The watermark trails the latest event time of the batches before by ``late``. A row at or below it is dropped, new key
+    or not; a key is forgotten once its first event time plus ``late`` is at or below it, and counts as new from then on.
+    """
     return stream.withWatermark(event_time, late).dropDuplicatesWithinWatermark(list(key))
 
 

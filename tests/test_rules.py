@@ -61,9 +61,12 @@ def test_reasons_accumulate_and_the_newest_row_survives_even_if_invalid(frame):
     ])
 
 
-def test_split_is_whole_and_counted_in_one_pass(frame):
+def test_split_is_whole_and_counted_while_it_is_written(spark, frame, tmp_path):
     checked = r.validate(frame(ROWS, "id string, day int, amount double"), checks())
-    summary = r.dq_summary({"s": checked}).first()
+    rows, counts = r.observed(checked)
+    rows.write.parquet(str(tmp_path / "checked"))
+    summary = r.dq_summary(spark, {"s": counts}).first()
+    assert r.dq_summary(spark, {"s": counts}, {"s": 12}).first().raw_count == 12
     assert (summary.raw_count, summary.passed_count, summary.quarantined_count) == (9, 2, 7)
     assert r.passed(checked).count() + r.quarantine(checked, ["id"]).count() == len(ROWS)
     reasons = {x["reason"]: x["row_count"] for x in r.reason_counts(checked).collect()}
