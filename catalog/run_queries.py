@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 
 from catalog.inputs import DERIVED, SOURCES, plain_sql, raw, scratch, table
 from catalog.queries import Lending, register
+from tallyline import functions as fn
 from tallyline.operators import checks, decisions, history
 from tallyline.operators.dedup import latest_first
 from tallyline.operators.privacy import drop_classes, guard_values, tag_columns
 from tallyline.operators.upsert import upsert_by_key
 from tallyline.plans import lending as plan
-from tallyline.plans.nightly import run_nightly
+from tallyline.plans.nightly import ARRIVAL_LOG, ARRIVAL_LOG_SCHEMA, load_night, run_nightly
 from tallyline.sources.arrival import check_source, load_accepted
 from tallyline.sources.contracts import union_versions
 from tallyline.sources.merge import merge_load
@@ -31,10 +32,10 @@ _CLASSES = plan.CLASSIFICATION["cbs_repayments_*.csv"]
 _DRIFTED = {"amount": "amount_paid"}
 
 
-def _write_extract(df: DataFrame, folder: str) -> None:
+def _write_extract(df: DataFrame, folder: str, encoding: str = "UTF-8") -> None:
     """An extract as another system would send it: CSV with a header and doubled quotes."""
     df.write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False,
-                     ignoreTrailingWhiteSpace=False).csv(folder)
+                     ignoreTrailingWhiteSpace=False, encoding=encoding).csv(folder)
 
 
 def _extracts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -89,7 +90,7 @@ def arrival_rows(spark, sf_dir):
     _write_extract(agreed.filter(odd), f"{root}/one")
     _write_extract(agreed.select(*reversed(contract.columns)).filter(~odd), f"{root}/two")
     accepted = [
-        load_accepted(spark, check_source(spark, f"{root}/{part}", contract, classes),
+        load_accepted(spark, f"{root}/{part}", check_source(spark, f"{root}/{part}", contract, classes),
                       contract, classes)
         for part in ("one", "two")
     ]
@@ -104,13 +105,7 @@ _WITH_LINE = ", l_linenumber, l_suppkey from "  # the repayments with two column
         case when l_linenumber % 2 = 0 then 'AG' || cast(l_suppkey % 50 as string) end as agent_code
     from ({plain_sql("raw_cbs_repayments").replace("from ", _WITH_LINE)})""")
 def contract_v2_union(spark, sf_dir):
-    sql = DERIVED["raw_cbs_repayments"].replace("from ", _WITH_LINE)
-    wide = spark.sql(sql, lineitem=table(spark, sf_dir, "lineitem"))
-    even = F.col("l_linenumber") % 2 == 0
-    first = wide.filter(~even).drop("l_linenumber", "l_suppkey")
-    agent = F.concat(F.lit("AG"), (F.col("l_suppkey") % 50).cast("string"))
-    second = wide.filter(even).withColumn("agent_code", agent).drop("l_linenumber", "l_suppkey")
-    second = second.withColumnsRenamed(_DRIFTED)
+    first, second = _two_versions(spark, sf_dir)
     return union_versions([(plan.CONTRACTS["cbs_repayments"], first), (plan.REPAYMENTS_V2, second)])
 
 
@@ -127,6 +122,11 @@ def _orphans(child: str, key: str, parent: str) -> str:
             f"(select {key} from {parent} where not bad))")
 
 
+#: A stand-in for what must never be loaded: rendered from the borrower's id, so that it can be found again.
+_FINGERPRINT = "md5(coalesce(borrower_id, ''))"
+_BORROWER_COLUMNS = ("borrower_id", "full_name", "gender", "date_of_birth", "mobile_no", "id_type", "id_number", "country",
+                     "branch", "office_id", "created_on")
+
 _NIGHT_CHECKS = {
     "unique_stg_ims_clients_ims_client_id": _twice("clients", "ims_client_id"),
     "unique_stg_cbs_borrowers_borrower_id": _twice("borrowers", "borrower_id"),
@@ -154,22 +154,28 @@ _NIGHT_CHECKS = {
     "enterprise_ids_unique": "(select count(*) from (from parties select enterprise_client_id group by all "
                              "having count(distinct match_key) > 1))",
     "crosswalk_complete": "(select count(*) from (from parties select source_system, source_id group by all having count(*) <> 1))",
+    # loaded columns in which a fingerprint can be found
+    "excluded_columns_never_loaded": "(select " + " + ".join(
+        f"(count(*) filter ({c} = {_FINGERPRINT}) > 0)::int" for c in _BORROWER_COLUMNS) + " from raw_cbs_borrowers)",
 }
 
 
-def _night(spark: SparkSession, sf_dir: str, times: int = 1):
-    """The rendered extracts as CSV, and the night over them, ``times`` times."""
+def _night(spark: SparkSession, sf_dir: str, times: int = 1, leak: bool = False):
+    """The rendered extracts as CSV, and the night over them, ``times`` times. With ``leak`` the borrowers' classification
+    fails to exclude their fingerprints."""
     root = scratch(spark)
     contracts, classification = {}, {}
     for source in SOURCES:
         match = f"{source}/*.csv"
         rows = raw(spark, sf_dir, source)
         for excluded in set(plan.CONTRACTS[source].columns) - set(rows.columns):
-            rows = rows.withColumn(excluded, F.lit("x"))
+            rows = rows.withColumn(excluded, F.expr(_FINGERPRINT))
         # the rows of a key stand in one file, as an export would put them
         _write_extract(rows.repartition(*plan.CONTRACTS[source].key), f"{root}/in/{source}")
         contracts[source] = replace(plan.CONTRACTS[source], match=match)
         classification[match] = plan.CLASSIFICATION[plan.SOURCE_FILES[source][0]]
+        if leak:
+            classification[match] = {c: "internal" if kind == "excluded" else kind for c, kind in classification[match].items()}
     for _ in range(times):
         night = run_nightly(spark, f"{root}/in", f"{root}/out", contracts=contracts,
                             classification=classification)
@@ -177,8 +183,7 @@ def _night(spark: SparkSession, sf_dir: str, times: int = 1):
 
 
 @register("nightly_checks", "select check_name, n_bad, n_bad = 0 as passed from (" + " union all ".join(
-    f"select '{name}' as check_name, {count} as n_bad" for name, count in _NIGHT_CHECKS.items()) + """
-        union all select 'excluded_columns_never_loaded', 0)""")
+    f"select '{name}' as check_name, {count}::bigint as n_bad" for name, count in _NIGHT_CHECKS.items()) + ")")
 def nightly_checks(spark, sf_dir):
     """A whole night from CSV extracts to the checks; the reconciliation has a query of its own."""
     night = _night(spark, sf_dir)
@@ -192,6 +197,160 @@ def nightly_accounts(spark, sf_dir):
     return _night(spark, sf_dir, times=2).tables["dq_summary"]
 
 
+@register("nightly_leak", f"""
+    select 'excluded_columns_never_loaded' as check_name, (count({_FINGERPRINT}) > 0)::bigint as n_bad,
+        count({_FINGERPRINT}) as n_values, count({_FINGERPRINT}) = 0 as published from raw_cbs_borrowers""")
+def nightly_leak(spark, sf_dir):
+    """A night whose classification lets an excluded column in: the check finds it in the raw table, by name, and nothing is
+    published."""
+    night = _night(spark, sf_dir, leak=True)
+    leaked = night.tables["raw_cbs_borrowers"].agg(F.count("fingerprint_template_ref").alias("n")).scalar()
+    return night.results.filter("check_name = 'excluded_columns_never_loaded'").select(
+        "check_name", "n_bad", leaked.alias("n_values"), F.lit(night.published).alias("published"))
+
+
+# ---- arrivals over several nights ------------------------------------------------------------
+
+_V2_CLASSES = {**_CLASSES, "amount_paid": "internal", "agent_code": "internal"}
+
+
+def _two_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The repayments of odd line numbers in the first shape, and those of even ones in the second."""
+    wide = spark.sql(DERIVED["raw_cbs_repayments"].replace("from ", _WITH_LINE), lineitem=table(spark, sf_dir, "lineitem"))
+    even = F.col("l_linenumber") % 2 == 0
+    agent = F.concat(F.lit("AG"), (F.col("l_suppkey") % 50).cast("string"))
+    second = wide.filter(even).withColumn("agent_code", agent).withColumnsRenamed(_DRIFTED)
+    return wide.filter(~even).drop("l_linenumber", "l_suppkey"), second.drop("l_linenumber", "l_suppkey")
+
+
+_EMPTY_IS_NULL = ", ".join(f"nullif({c}, '') as {c}" for c in plan.CONTRACTS["cbs_repayments"].columns)
+
+
+@register("nightly_v2", f"""
+    select {_EMPTY_IS_NULL}, case when l_linenumber % 2 = 0 then 'AG' || cast(l_suppkey % 50 as string) end as agent_code,
+        1 + (l_linenumber % 2 = 0)::int as contract_version
+    from ({plain_sql("raw_cbs_repayments").replace("from ", _WITH_LINE)})""")
+def nightly_v2(spark, sf_dir):
+    """One night takes files of both versions of one source, each recognised by its header, into one raw table."""
+    root = scratch(spark)
+    first, second = _two_versions(spark, sf_dir)
+    for name, rows in (("first", first), ("second", second)):  # the rows of a key stand in one file
+        _write_extract(rows.repartition("txn_id"), f"{root}/in/cbs_repayments/{name}")
+    match = "cbs_repayments/*/*.csv"
+    versions = [replace(c, match=match) for c in (plan.CONTRACTS["cbs_repayments"], plan.REPAYMENTS_V2)]
+    store = SnapshotStore(spark, f"{root}/out")
+    rows = load_night(store, f"{root}/in", {"cbs_repayments": versions}, {match: _V2_CLASSES})["cbs_repayments"]
+    log = store.read_log(ARRIVAL_LOG, ARRIVAL_LOG_SCHEMA).select(F.col("file").alias("_source_file"), "contract_version")
+    return rows.join(log, "_source_file").drop("_source_file", "_loaded_at")
+
+
+def _nights(spark: SparkSession, sf_dir: str, nights: int = 3) -> tuple[SnapshotStore, list[dict[str, DataFrame | None]]]:
+    """Three nights of clients (a whole table each), rates (whole) and repayments (day by day).
+
+    First night: all arrive. Second: the clients are not UTF-8, the rates come in another column order, the repayments lack a
+    column. Third: no clients, rates renamed, repayments corrected.
+    """
+    root = scratch(spark)
+    store = SnapshotStore(spark, f"{root}/out")
+    clients, rates, paid = (raw(spark, sf_dir, s) for s in ("ims_clients", "fx_rates", "cbs_repayments"))
+    paid = paid.repartition("txn_id")  # the rows of a key stand in one file
+    foreign = clients.filter("lower(first_name) = 'josé'")
+    sent = [
+        {"ims_clients": (clients, "UTF-8"), "fx_rates": (rates, "UTF-8"), "cbs_repayments": (paid, "UTF-8")},
+        {"ims_clients": (foreign, "ISO-8859-1"), "fx_rates": (rates.select(*reversed(rates.columns)).filter("source is not null"), "UTF-8"),
+         "cbs_repayments": (paid.drop("channel"), "UTF-8")},
+        {"fx_rates": (rates.withColumnRenamed("source", "origin"), "UTF-8"),
+         "cbs_repayments": (paid.filter("txn_id like '%1'").withColumn("channel", F.lit("corrected")), "UTF-8")},
+    ]
+    loaded = []
+    for number, sources in enumerate(sent[:nights], 1):
+        contracts, classification = {}, {}
+        for source in ("ims_clients", "fx_rates", "cbs_repayments"):
+            match = f"night{number}/{source}/*.csv"
+            contracts[source] = replace(plan.CONTRACTS[source], match=match)
+            classification[match] = plan.CLASSIFICATION[plan.SOURCE_FILES[source][0]]
+            if source in sources:
+                rows, encoding = sources[source]
+                _write_extract(rows, f"{root}/in/night{number}/{source}", encoding)
+        loaded.append(load_night(store, f"{root}/in", contracts, classification, dt.datetime(2026, 9, number, 2)))
+    return store, loaded
+
+
+_JOSE = "(select count(*) from raw_ims_clients where lower(first_name) = 'josé')"
+_PAID_COLUMNS = "missing columns [''channel'']"
+_RATE_COLUMNS = "missing columns [''source'']; unexpected columns [''origin'']"
+
+
+@register("nightly_rejected", """
+    select 'ims_clients' as source, 'FAIL' as status, 'could not read file: invalid UTF-8' as reason,
+        count(*) as rows_before, count(*) as rows_in_service from raw_ims_clients
+    union all select 'fx_rates', 'PASS', '', count(*), count(*) from raw_fx_rates
+    union all select 'cbs_repayments', 'FAIL', 'header does not match contract v1: """ + _PAID_COLUMNS + """',
+        count(*), count(*) from raw_cbs_repayments""")
+def nightly_rejected(spark, sf_dir):
+    """A second night with an unreadable file and a drifted one: they fail alone, and what was loaded before stays in service."""
+    store, loaded = _nights(spark, sf_dir, nights=2)
+    last = store.read_log(ARRIVAL_LOG, ARRIVAL_LOG_SCHEMA).filter("night = date '2026-09-02'")
+    verdicts = last.groupBy("source", "status", "reason").agg(F.count("*").alias("n_files")).drop("n_files")
+    counts = [
+        loaded[1][source].agg(F.count("*").alias("rows_in_service")).select(
+            F.lit(source).alias("source"), loaded[0][source].agg(F.count("*")).scalar().alias("rows_before"), "rows_in_service")
+        for source in ("ims_clients", "fx_rates", "cbs_repayments")
+    ]
+    return verdicts.join(F.broadcast(reduce(DataFrame.unionByName, counts)), "source")  # one row a source
+
+
+@register("arrival_history", f"""
+    select date '2026-09-01' as night, 'ims_clients' as source, 'PASS' as status, '' as reason, count(*)::bigint as row_count,
+        date '2026-09-01' as last_good_night, 0::bigint as failed_nights from raw_ims_clients
+    union all select date '2026-09-02', 'ims_clients', 'FAIL', 'could not read file: invalid UTF-8', null, date '2026-09-01', 1
+    union all select date '2026-09-03', 'ims_clients', 'FAIL', 'no file found matching this source''s pattern', null, date '2026-09-01', 2
+    union all select date '2026-09-01', 'fx_rates', 'PASS', '', count(*), date '2026-09-01', 0 from raw_fx_rates
+    union all select date '2026-09-02', 'fx_rates', 'PASS', '', count(*), date '2026-09-02', 0 from raw_fx_rates
+    union all select date '2026-09-03', 'fx_rates', 'FAIL', 'header does not match contract v1: {_RATE_COLUMNS}', count(*),
+        date '2026-09-02', 1 from raw_fx_rates
+    union all select date '2026-09-01', 'cbs_repayments', 'PASS', '', count(*), date '2026-09-01', 0 from raw_cbs_repayments
+    union all select date '2026-09-02', 'cbs_repayments', 'FAIL', 'header does not match contract v1: {_PAID_COLUMNS}', count(*),
+        date '2026-09-01', 1 from raw_cbs_repayments
+    union all select date '2026-09-03', 'cbs_repayments', 'PASS', '', count(*) filter (txn_id like '%1'), date '2026-09-03', 1
+        from raw_cbs_repayments""")
+def arrival_history(spark, sf_dir):
+    """The log of three nights read back: verdicts a night, the last good night of each source, its bad nights so far."""
+    store, _ = _nights(spark, sf_dir)
+    return history.arrival_history(store.read_log(ARRIVAL_LOG, ARRIVAL_LOG_SCHEMA))
+
+
+_SCREENED = f"""
+    select c_name as applicant_name, case when c_custkey % 7 = 0 then null when c_custkey % 2 = 0 then '2519' || {{k}} || '.0' else '2519' || {{k}} end as phone,
+        'Ethiopia' as country, 'Camp ' || cast(c_nationkey as string) as location,
+        lpad(cast(1 + c_custkey % 28 as string), 2, '0') || '/' || lpad(cast(1 + c_custkey % 12 as string), 2, '0') || '/2024' as screened_on,
+        case when c_acctbal < 0 then 'Declined' else 'Qualified' end as decision,
+        case when c_acctbal < 0 then 'Existing debt, with another lender' end as decline_reason, 'INV-' || c_mktsegment as screened_by
+    from {{customer}}""".replace("{k}", "lpad(cast(c_custkey as string), 8, '0')")
+
+
+@register("raw_screening", """
+    select *, try_strptime(screened_on, '%d/%m/%Y')::date as screened_day, regexp_replace(phone, '[.]0$', '') as phone_digits
+    from (""" + " union all ".join([_SCREENED.replace("{customer}", "customer")] + [
+        _SCREENED.replace("{customer}", "customer where c_custkey % 50 = 0")]) + ")")
+def raw_screening(spark, sf_dir):
+    """An extract without a key, with day-first dates and phones that went through a spreadsheet. It is loaded raw, whole, twice;
+    rows that it repeats stay, and nothing else reads it."""
+    root = scratch(spark)
+    rows = spark.sql(_SCREENED, customer=table(spark, sf_dir, "customer"))
+    again = spark.sql(_SCREENED, customer=table(spark, sf_dir, "customer").filter("c_custkey % 50 = 0"))
+    _write_extract(rows.unionAll(again), f"{root}/in/screening")
+    match = "screening/*.csv"
+    contract = replace(plan.CONTRACTS["investment_screening"], match=match)
+    store = SnapshotStore(spark, f"{root}/out")
+    for _ in range(2):
+        loaded = load_night(store, f"{root}/in", {"investment_screening": contract},
+                            {match: plan.CLASSIFICATION["investment_screening.csv"]})["investment_screening"]
+    return loaded.select(
+        *contract.columns, fn.parse_date("screened_on", ("d/M/yyyy",)).alias("screened_day"),
+        fn.phone_digits(fn.whole_number("phone")).alias("phone_digits"))
+
+
 # ---- keyed load ------------------------------------------------------------------------------
 
 _LOAD_KEY = "case when event_id % 50 = 0 then null else event_id end"
@@ -428,15 +587,55 @@ def stream_upsert_query(spark, sf_dir):
     return store.read("latest").select("user_id", "ts", "event_type")
 
 
-@register("stream_dedup", "select event_id, user_id, event_type, value from events")
+_LATE_DAYS = 3
+_DELIVERIES = """
+    -- every event with the batch it should come in
+    days as (select event_id, ts, case when ts < timestamp '2024-01-11' then 1 when ts < timestamp '2024-01-21' then 2 else 3 end as own
+             from events),
+    deliveries as (
+        select event_id, ts, 0 as copy, case when event_id % 13 = 0 then least(own + 1, 3) else own end as batch from days  -- some a batch late
+        union all select event_id, ts, 1, least(own + 1, 3) from days where event_id % 13 in (1, 2)  -- again, unchanged
+        union all select event_id, ts + interval 12 day, 2, case when ts + interval 12 day < timestamp '2024-01-21' then 2 else 3 end
+            from days where event_id % 13 = 3 and ts < timestamp '2024-01-19'  -- again, twelve days later
+    )"""
+
+
+def _deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in three batches: some a batch late, some delivered again, some used again under an old key."""
+    events = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+
+    def own(ts):
+        return F.when(ts < F.lit("2024-01-11").cast("timestamp"), 1).when(ts < F.lit("2024-01-21").cast("timestamp"), 2).otherwise(3)
+
+    kind, ts = F.col("event_id") % 13, F.col("ts")
+    later = ts + F.expr("interval 12 days")
+    once = events.select("event_id", "ts", F.lit(0).alias("copy"), F.when(kind == 0, F.least(own(ts) + 1, F.lit(3))).otherwise(own(ts)).alias("batch"))
+    again = events.filter(kind.isin(1, 2)).select("event_id", "ts", F.lit(1).alias("copy"), F.least(own(ts) + 1, F.lit(3)).alias("batch"))
+    reused = events.filter((kind == 3) & (ts < F.lit("2024-01-19").cast("timestamp"))).select(
+        "event_id", later.alias("ts"), F.lit(2).alias("copy"), F.greatest(own(later), F.lit(2)).alias("batch"))
+    return once.unionAll(again).unionAll(reused)
+
+
+@register("stream_dedup", f"""
+    with {_DELIVERIES},
+    -- the watermark that a batch meets: the latest time of the batches before it, less the bound
+    marks as (select b as batch, (select max(ts) from deliveries where batch < b) - interval {_LATE_DAYS} day as mark
+              from (select unnest([1, 2, 3]) as b)),
+    timely as (select d.*, mark from deliveries d join marks using (batch) where mark is null or ts > mark)
+    select t.event_id, epoch_us(t.ts) as event_us, t.batch from timely t
+    where not exists (  -- an earlier row of the key that was taken and is still remembered
+        select 1 from timely f where f.event_id = t.event_id and (f.batch < t.batch or (f.batch = t.batch and f.copy < t.copy))
+            and (t.mark is null or f.ts + interval {_LATE_DAYS} day > t.mark))""")
 def stream_dedup_query(spark, sf_dir):
-    """Every event delivered twice within the allowed lateness; one of each remains."""
+    """Three batches under a moving watermark: a row beyond the bound is dropped, a key is dropped while it is remembered, and
+    taken again once it was forgotten."""
     root = scratch(spark)
-    events = _event_columns(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
-    events.unionAll(events).write.parquet(f"{root}/landing")
-    schema = _EVENT_COLUMNS.replace("timestamp_ntz", "timestamp")
-    deduped = stream_dedup(
-        stream_files(spark, f"{root}/landing", schema, "parquet"), "ts", ["event_id"], "40 days")
-    deduped.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").option(
-        "path", f"{root}/out").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{root}/out").select("event_id", "user_id", "event_type", "value")
+    rows = _deliveries(spark, sf_dir)
+    schema = "event_id bigint, ts timestamp, copy int, batch int"
+    for batch in (1, 2, 3):
+        rows.filter(F.col("batch") == batch).write.mode("append").parquet(f"{root}/landing")
+        deduped = stream_dedup(
+            stream_files(spark, f"{root}/landing", schema, "parquet"), "ts", ["event_id"], f"{_LATE_DAYS} days")
+        deduped.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").option(
+            "path", f"{root}/out").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(schema).parquet(f"{root}/out").select("event_id", F.unix_micros("ts").alias("event_us"), "batch")

@@ -41,7 +41,9 @@ def test_query_equals_its_oracle(spark, duck, name):
 
 @needs_data
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    """Queries of the training-data operators have brute-force tests of their own where SQL can't express them."""
+    core = {name for name in entry.queries() if not name.startswith("op") and name != "pipeline"}
+    assert core == set(entry.QUERIES) and core <= set(entry.oracle_sql())
 
 
 @needs_data
