@@ -1,15 +1,16 @@
 """Exact Jaccard join of word shingles with signature trees, and the groups that its links form.
 
 Documents with equal shingle sets are one class. Two classes that link share a token of their prefixes,
-the first tokens of each set in one global order: every other token by hash, then the frequent ones.
+the first tokens of each set in one global order: the rarest first, by the exact number of sets that hold them.
 
 1. One pass over the texts writes a narrow row a document: class, set size, and a bitmap of its tokens.
-2. Prefix tokens held by two or more classes are kept. In each token's group every class is paired with
-   one representative; pairs that share enough prefix tokens tie classes into neighbourhoods, and
+2. Tokens are counted over all sets; prefix tokens held by two or more classes are kept. In each token's group every class is paired with
+   one representative; pairs whose bitmaps seem to share half of their tokens tie classes into neighbourhoods, and
    neighbourhoods that share many tokens grow together.
 3. Each neighbourhood is searched by a signature tree: nodes hold the OR of the bitmaps and the size range
    below them; a dual traversal drops a pair of nodes as soon as the largest possible overlap falls
-   short. Within a neighbourhood the bitmaps have a bit for every token that two of its sets share, so
+   short. A bitmap has a few bits for each token of its set, so long sets are told apart like short ones; trees over sets of two
+   widths fold the wider ones. Within a neighbourhood the bitmaps have a bit for every token that two of its sets share, so
    the overlaps at the leaves are exact. A task counts the links of each class and returns no more of them
    than it has classes, enough to tell which classes hang together.
 4. Token groups with classes of several neighbourhoods are searched by trees over the hashed bitmaps, which
@@ -28,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,16 +38,20 @@ from tallyline.llm.links import components
 from tallyline.llm.registry import query, table
 from tallyline.llm.scratch import stored, width
 
-BITS = 512
+LEAST_BITS = 512
+MOST_BITS = 1 << 15
+ALIKE = 0.5
 FANOUT = 8
 SHARE = 0.001
 TILE = 4_096
 MEMBERS = 256
 SALTS = 64
+LOT = 1 << 22
 HOOD = 512
 BROADCAST_ROWS = 1_000_000
 PAIRS_AT_ONCE = 1 << 15
 WORDS_AT_ONCE = 1 << 21
+PAIRS_HELD = 1 << 20
 _U = np.uint64
 
 
@@ -68,18 +74,39 @@ def class_of(tokens: np.ndarray) -> int:
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
-    bits = np.zeros(BITS, bool)
-    bits[(tokens % _U(BITS)).astype(np.int64)] = True
+    """Bits of a set: two to four times as many as it has tokens, a power of two between ``LEAST_BITS`` and ``MOST_BITS``."""
+    width = min(max(LEAST_BITS, 2 << (len(tokens) - 1).bit_length()), MOST_BITS)
+    bits = np.zeros(width, bool)
+    bits[(tokens % _U(width)).astype(np.int64)] = True
     return np.packbits(bits).tobytes()
 
 
+def folded(maps: list[bytes], size: int) -> np.ndarray:
+    """Bitmaps of ``size`` bytes or more, cut down to that size: a row of 64-bit words each."""
+    out = np.zeros((len(maps), size // 8), _U)
+    for k, m in enumerate(maps):
+        out[k] = np.frombuffer(m, _U) if len(m) == size else np.bitwise_or.reduce(np.frombuffer(m, _U).reshape(-1, size // 8), axis=0)
+    return out
+
+
+def alike(a: bytes, b: bytes, na: int, nb: int) -> float:
+    """About the similarity of two sets, from how many bits their union sets."""
+    size = min(len(a), len(b))
+    bits = 8 * size
+    on = int(np.bitwise_count(np.bitwise_or(*folded([a, b], size))).sum())
+    if on == bits:
+        return 0.0
+    union = max(-bits * np.log1p(-on / bits), na, nb)
+    return (na + nb - union) / union
+
+
 def prefix_size(n: int, percent: int) -> int:
     """Tokens of which a set must share one with any set it links with."""
     return n - -(-percent * n // 100) + 1
 
 
-def _describe(docs: DataFrame, size: int, text: str, doc_id: str, share: float) -> tuple[DataFrame, np.ndarray, int]:
-    """The narrow rows (_id, cls, n, sig), the frequent tokens in ascending order, and the number of rows."""
+def _describe(docs: DataFrame, size: int, text: str, doc_id: str, share: float) -> tuple[DataFrame, np.ndarray]:
+    """The narrow rows (_id, text_hash, cls, n, sig) and the frequent tokens, the rarest of them first."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.num_rows
@@ -94,48 +121,161 @@ def _describe(docs: DataFrame, size: int, text: str, doc_id: str, share: float)
             more = len(name)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([True] * rows + [False] * more), pa.concat_arrays([batch.column("_id"), pa.array(name, pa.int64())]),
+                 pa.concat_arrays([batch.column("text_hash"), pa.nulls(more, pa.int64())]),
                  pa.array(cls + [None] * more, pa.int64()), pa.array(n + count.tolist(), pa.int64()),
-                 pa.array(sig + [None] * more, pa.binary())], names=["doc", "_id", "cls", "n", "sig"])
+                 pa.array(sig + [None] * more, pa.binary())], names=["doc", "_id", "text_hash", "cls", "n", "sig"])
 
-    some = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).cast("string").alias("_text"))
-    rows = stored(some.mapInArrow(work, "doc boolean, _id long, cls long, n long, sig binary"))
+    words = F.col(text).cast("string")
+    some = docs.select(F.col(doc_id).cast("long").alias("_id"), F.xxhash64(words).alias("text_hash"), words.alias("_text"))
+    rows = stored(some.mapInArrow(work, "doc boolean, _id long, text_hash long, cls long, n long, sig binary"))
     narrow = rows.where("doc").drop("doc")
     total = narrow.count()
     often = (rows.where("not doc").groupBy("_id").agg(F.sum("n").alias("n")).where(F.col("n") > share * total)
-             .select("_id").collect())  # at most mean set size / share
-    return narrow, np.sort(np.array([r._id for r in often], np.int64).view(_U)), total
+             .collect())  # at most mean set size / share
+    frequent = np.array(sorted([(r.n, r._id) for r in often]), np.int64).reshape(-1, 2)[:, 1].view(_U)
+    return narrow, frequent
 
 
 _KINDS = (np.uint64, np.int64, np.int32)
 
 
+def _short(tokens: np.ndarray) -> bytes:
+    """The low 48 bits of tokens as planes of bytes."""
+    return np.ascontiguousarray(tokens.view(np.uint8).reshape(-1, 8)[:, :6].T).tobytes()
+
+
+def _long(blob: bytes) -> np.ndarray:
+    out = np.zeros((len(blob) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(blob, np.uint8).reshape(6, -1).T
+    return out.view(_U).ravel()
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[list[dict]]:
+    """All rows of each key, of rows that come sorted by it."""
+    held: list[dict] = []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if held and held[-1][key] != row[key]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def _lot(sets: list[tuple], lot: int, buckets: int) -> pa.RecordBatch:
+    """The tokens of the sets of a lot by bucket, each with the place of its set, and one row about the sets themselves."""
+    owner = np.repeat(np.arange(len(sets)), [len(s[2]) for s in sets]).astype(np.uint16)
+    tokens = np.concatenate([s[2] for s in sets])
+    bucket = (tokens >> _U(48)).astype(np.int64) % buckets
+    order = np.argsort(bucket, kind="stable")
+    ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    some = np.flatnonzero(np.diff(ends))
+    blobs = [_short(tokens[o]) + K.packed(owner[o]) for o in (order[ends[k]:ends[k + 1]] for k in some.tolist())]
+    about = [[s[0] for s in sets], [s[1] for s in sets], [len(s[2]) for s in sets], [len(s[3]) for s in sets]]
+    blobs.append(K.packed(*(np.array(c, np.int64) for c in about)) + np.concatenate([s[3] for s in sets]).tobytes())
+    return pa.RecordBatch.from_arrays(
+        [pa.array([*some.tolist(), lot % buckets], pa.int32()), pa.array([lot] * len(blobs), pa.int64()),
+         pa.array([0] * len(some) + [len(sets)], pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "lot", "sets", "blob"])
+
+
+def _shared(rows: list[dict]) -> Iterator[dict]:
+    """The blocks of a bucket, cut down to tokens that two or more sets hold, with the number of these sets."""
+    blocks = [r for r in rows if not r["sets"]]
+    sizes = [len(r["blob"]) // 8 for r in blocks]
+    token = np.concatenate([_long(r["blob"][:6 * k]) for r, k in zip(blocks, sizes, strict=True)])
+    order = np.argsort(token)
+    first = np.flatnonzero(np.concatenate(([True], token[order[1:]] != token[order[:-1]])))
+    count = np.diff(np.append(first, len(token)))
+    held = np.empty(len(token), np.uint32)
+    held[order] = np.repeat(np.minimum(count, (1 << 32) - 1), count)
+    at = 0
+    for r, k in zip(blocks, sizes, strict=True):
+        part = slice(at, at + k)
+        some = held[part] > 1
+        if some.any():
+            owner = K.unpacked(r["blob"][6 * k:], (np.uint16,))[0]
+            yield r | {"blob": _short(token[part][some]) + K.packed(owner[some], held[part][some])}
+        at += k
+
+
+def _prefixes(rows: list[dict], percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Token, class and size of what the prefixes of a lot's sets share with other sets; frequent tokens have the highest bit."""
+    about = next(r for r in rows if r["sets"])
+    sets = about["sets"]
+    names, n, rare, hot = K.unpacked(about["blob"][:32 * sets], (np.int64,) * 4)
+    last = np.frombuffer(about["blob"], _U, offset=32 * sets) | _U(1 << 63)
+    token, owner, held = [np.zeros(0, _U)], [np.zeros(0, np.uint16)], [np.zeros(0, np.uint32)]
+    for r in rows:
+        if not r["sets"]:
+            k = len(r["blob"]) // 12
+            token.append(K.mix(_long(r["blob"][:6 * k]) | _U(r["bucket"]) << _U(48)) >> _U(1))
+            o, h = K.unpacked(r["blob"][6 * k:], (np.uint16, np.uint32))
+            owner.append(o)
+            held.append(h)
+    token, owner, held = np.concatenate(token), np.concatenate(owner), np.concatenate(held)
+    order = np.lexsort((token, held, owner))
+    token, owner = token[order], owner[order]
+    shared = np.bincount(owner, minlength=sets)
+    prefix = np.minimum(n - -(-percent * n // 100) + 1, rare)
+    wanted = prefix - (rare - shared)  # what only this set holds comes first
+    keep = np.arange(len(token)) - (np.cumsum(shared) - shared)[owner] < wanted[owner]
+    at = np.concatenate((owner[keep].astype(np.int64), np.repeat(np.arange(sets), hot)))
+    return np.concatenate((token[keep], last)), names[at], n[at].astype(np.int32)
+
+
 def _meetings(docs: DataFrame, size: int, percent: int, text: str, frequent: np.ndarray) -> DataFrame:
     """(token, cls, n, lead, lead_n): the prefix tokens that two or more classes hold, with a representative of each group.
 
-    Tokens travel as packed blocks, by token; a block holds each class once. A frequent token is dealt
-    over several buckets, each with a representative of its own.
+    The order of prefixes is rarest first, by the exact number of sets that hold a token, the frequent ones last:
+
+    * a task gathers its sets into lots and deals their tokens by hash, each with the place of its set in the lot;
+    * by token, sets are counted, and tokens of two or more go back to their lots with that number. What doesn't come back is in one
+      set only and stands first in its prefix, where it can't meet anything;
+    * by lot, the rest of each prefix is filled with the rarest shared tokens. A set with enough tokens of its own is done.
+
+    Prefix tokens then travel as packed blocks, by token; a block holds each class once. A frequent token is dealt
+    over several buckets, each with a representative of its own. Equal sets of several tasks count apart in the
+    order, which is the same for all sets, and are one class where prefixes meet.
     """
     n = width(docs.sparkSession)
     buckets = 2 * n
+    rank = np.argsort(frequent)
+    known = frequent[rank]
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lot = TaskContext.get().partitionId() << 32
         done: set[int] = set()
+        sets: list[tuple] = []
+        rows = 0
         for batch in batches:
-            out_t, out_c, out_n = [], [], []
             for _, tokens in token_sets(batch.column(0), size):
-                name, many = class_of(tokens), len(tokens)
+                name = class_of(tokens)
                 if name in done:
                     continue
                 done.add(name)
-                hot = np.isin(tokens, frequent, assume_unique=True) if len(frequent) else np.zeros(many, bool)
-                line = np.concatenate((tokens[~hot], tokens[hot]))[:prefix_size(many, percent)]
-                out_t.append(line)
-                out_c.append(np.full(len(line), name))
-                out_n.append(np.full(len(line), many, np.int32))
-            if not out_t:
-                continue
-            token, cls, many = np.concatenate(out_t), np.concatenate(out_c), np.concatenate(out_n)
-            salted = np.where(np.isin(token, frequent), K.mix(token + K.mix(cls.view(_U) % _U(SALTS))), token)
+                at = np.minimum(np.searchsorted(known, tokens), max(len(known) - 1, 0))
+                hot = known[at] == tokens if len(known) else np.zeros(len(tokens), bool)
+                rare = tokens[~hot]
+                last = np.sort(rank[at[hot]])[:max(0, prefix_size(len(tokens), percent) - len(rare))]
+                sets.append((name, len(tokens), rare, last.astype(_U)))
+                rows += len(tokens)
+                if rows >= LOT or len(sets) == 1 << 16:
+                    yield _lot(sets, lot, buckets)
+                    sets, rows, lot = [], 0, lot + 1
+        if sets:
+            yield _lot(sets, lot, buckets)
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _gathered(batches, "bucket"):
+            yield pa.RecordBatch.from_pylist([r for r in rows if r["sets"]], packed)
+            for r in _shared(rows) if not all(r["sets"] for r in rows) else ():
+                yield pa.RecordBatch.from_pylist([r], packed)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _gathered(batches, "lot"):
+            token, cls, many = _prefixes(rows, percent)
+            salted = np.where(token >> _U(63) > 0, K.mix(token + K.mix(cls.view(_U) % _U(SALTS))), token)
             bucket = (K.mix(salted) % _U(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -154,28 +294,42 @@ def _meetings(docs: DataFrame, size: int, percent: int, text: str, frequent: np.
             first = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
             count = np.diff(np.append(first, len(token)))
             lead = np.repeat(first, count)
-            met = (np.repeat(count, count) > 1) | np.isin(token, frequent)
+            met = (np.repeat(count, count) > 1) | (token >> _U(63) > 0)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c[met]) for c in (token.view(np.int64), cls, many, cls[lead], many[lead])],
                 names=["token", "cls", "n", "lead", "lead_n"])
 
-    some = docs.select(F.col(text).cast("string"))
-    return (some.mapInArrow(work, "bucket int, blob binary").repartition(n, "bucket").sortWithinPartitions("bucket")
+    ddl = "bucket int, lot long, sets int, blob binary"
+    packed = pa.schema([("bucket", pa.int32()), ("lot", pa.int64()), ("sets", pa.int32()), ("blob", pa.binary())])
+    dealt = docs.select(F.col(text).cast("string")).mapInArrow(deal, ddl)
+    weighed = dealt.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(weigh, ddl)
+    chosen = weighed.repartition(n, "lot").sortWithinPartitions("lot").mapInArrow(choose, "bucket int, blob binary")
+    return (chosen.repartition(n, "bucket").sortWithinPartitions("bucket")
             .mapInArrow(meet, "token long, cls long, n int, lead long, lead_n int"))
 
 
-def _stars(met: DataFrame, percent: int) -> DataFrame:
-    """(a, b): likely pairs of a class and the representative of a group it is in.
+def _stars(met: DataFrame, maps: DataFrame) -> DataFrame:
+    """(a, b): pairs of a class and the representative of a group it is in that seem to share half of their tokens.
 
-    Representatives of one frequent token are paired with the smallest of them in turn.
+    Representatives of one frequent token are paired with the smallest of them in turn. ``maps`` has cls and sig. Where near copies
+    of one text differ so much that only some of them link, all still seem alike, and meet in one neighbourhood.
     """
     leads = met.groupBy("token", "lead", "lead_n").agg(F.count("*").alias("_n")).drop("_n")
     top = leads.groupBy("token").agg(F.min(F.struct("lead", "lead_n")).alias("t"), F.count("*").alias("_n")).where("_n > 1")
     between = leads.join(top, "token").where("lead <> t.lead").select(
         F.col("t.lead").alias("a"), F.col("t.lead_n").cast("int").alias("na"), F.col("lead").alias("b"), F.col("lead_n").alias("nb"))
     within = met.where("cls <> lead").select(F.col("lead").alias("a"), F.col("lead_n").alias("na"), F.col("cls").alias("b"), F.col("n").alias("nb"))
-    near = within.union(between).groupBy("a", "na", "b", "nb").agg(F.count("*").alias("shared"))
-    return near.where(_likely(F.col("shared"), F.greatest("na", "nb"), F.least("na", "nb"), percent)).select("a", "b")
+    near = within.union(between).where(F.least("na", "nb") >= ALIKE * F.greatest("na", "nb")).distinct()
+    both = near.join(maps.select(F.col("cls").alias("a"), F.col("sig").alias("sig_a")), "a").join(
+        maps.select(F.col("cls").alias("b"), F.col("sig").alias("sig_b")), "b").select("a", "b", "na", "nb", "sig_a", "sig_b")
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            c = [batch.column(k).to_pylist() for k in ("sig_a", "sig_b", "na", "nb")]
+            keep = pa.array([alike(*row) >= ALIKE for row in zip(*c, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(keep) for k in ("a", "b")], names=["a", "b"])
+
+    return both.mapInArrow(weigh, "a long, b long")
 
 
 def _ties(met: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
@@ -297,35 +451,69 @@ def _tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
     placed = (placed.withColumn("_x", F.least("_tile", "_other")).withColumn("_y", F.greatest("_tile", "_other"))
               .select("token", "_in", "_x", "_y", "_band", "_tile", "cls", "n", "sig", "comp"))
 
+    def counted(pairs: list[np.ndarray]) -> pa.RecordBatch:
+        rows = np.concatenate(pairs)
+        once, which = np.unique(rows[:, :4], axis=0, return_inverse=True)
+        shared = np.bincount(which.ravel(), rows[:, 4], minlength=len(once)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (*once.T, shared)], names=["a", "b", "large", "small", "shared"])
+
+    steps = max(1, (99 // percent).bit_length())  # of width, by which sets that link may differ
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nothing = np.zeros((0, 5), np.int64)
+        pairs, held = [nothing], 0
         for tab in _bundles(batches, ["token", "_in", "_x", "_y"], TILE):
-            size, cls, comp, lower, tile, inside, x, y = (
-                tab.column(c).to_numpy().astype(np.int64) for c in ("n", "cls", "comp", "_band", "_tile", "_in", "_x", "_y"))
-            bits = np.frombuffer(b"".join(tab.column("sig").to_pylist()), _U).reshape(len(tab), -1)
-            key = np.stack((tab.column("token").to_numpy(), inside, x, y))
-            group = np.concatenate(([0], np.cumsum((key[:, 1:] != key[:, :-1]).any(axis=0))))
-            order = np.lexsort((cls, comp, size, group))
-            size, cls, comp, lower, tile, bits = size[order], cls[order], comp[order], lower[order], tile[order], bits[order]
-            first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
-            count = np.diff(np.append(first, len(group)))
-            found = list(_leaves(size, bits, comp, group, np.repeat(count <= FANOUT, count), percent))
-            for at, many in zip(first[count > FANOUT].tolist(), count[count > FANOUT].tolist(), strict=True):
-                part = slice(at, at + many)
-                names = np.unique(comp[part], return_inverse=True)[1]
-                if names.any():
-                    found += [(i + at, j + at) for i, j in SignatureTree(size[part], bits[part], names).pairs(percent)]
-            for i, j in found:
-                ok = ((lower[i] == inside[i]) | (lower[j] == inside[j])) & ((x[i] == y[i]) | (tile[i] != tile[j]))
-                a, b = np.minimum(cls[i], cls[j])[ok], np.maximum(cls[i], cls[j])[ok]
-                large, small_ = np.maximum(size[i], size[j])[ok], np.minimum(size[i], size[j])[ok]
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(large), pa.array(small_)], names=["a", "b", "large", "small"])
+            maps = tab.column("sig").to_pylist()
+            length = np.fromiter(map(len, maps), np.int64, len(maps))
+            for size in np.unique(length).tolist():
+                some = np.flatnonzero((length >= size) & (length <= size << steps))
+                part = tab.take(pa.array(some))
+                for rows in _group_pairs(part, folded([maps[k] for k in some.tolist()], size), length[some] == size, percent):
+                    pairs.append(rows)
+                    held += len(rows)
+            if held > PAIRS_HELD:  # a pair met under several tokens is one row
+                pairs = [np.column_stack([c.to_numpy() for c in counted(pairs).columns])]
+                held = len(pairs[0])
+                if held > PAIRS_HELD // 2:
+                    yield counted(pairs)
+                    pairs, held = [nothing], 0
+        yield counted(pairs)
 
     keys = ["token", "_in", "_x", "_y"]
     met = (placed.repartition(n, *keys).sortWithinPartitions(*keys)
-           .mapInArrow(search, "a long, b long, large long, small long").groupBy("a", "b", "large", "small").agg(F.count("*").alias("shared")))
+           .mapInArrow(search, "a long, b long, large long, small long, shared long")
+           .groupBy("a", "b", "large", "small").agg(F.sum("shared").alias("shared")))
     return met.where(_likely(F.col("shared"), F.col("large"), F.col("small"), percent)).select("a", "b")
 
 
+def _group_pairs(tab: pa.Table, bits: np.ndarray, narrow: np.ndarray, percent: int) -> Iterator[np.ndarray]:
+    """Rows (class, class, larger size, smaller size, 1) for pairs within groups that a tree lets through and that hold a row
+    of ``narrow``."""
+    size, cls, comp, lower, tile, inside, x, y = (
+        tab.column(c).to_numpy().astype(np.int64) for c in ("n", "cls", "comp", "_band", "_tile", "_in", "_x", "_y"))
+    key = np.stack((tab.column("token").to_numpy(), inside, x, y))
+    group = np.concatenate(([0], np.cumsum((key[:, 1:] != key[:, :-1]).any(axis=0))))
+    order = np.lexsort((cls, comp, size, group))
+    size, cls, comp, lower, tile, bits, narrow = (c[order] for c in (size, cls, comp, lower, tile, bits, narrow))
+    first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+    count = np.diff(np.append(first, len(group)))
+
+    def found() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        yield from _leaves(size, bits, comp, group, np.repeat(count <= FANOUT, count), percent)
+        for at, many in zip(first[count > FANOUT].tolist(), count[count > FANOUT].tolist(), strict=True):
+            part = slice(at, at + many)
+            names = np.unique(comp[part], return_inverse=True)[1]
+            if names.any():
+                for i, j in SignatureTree(size[part], bits[part], names).pairs(percent):
+                    yield i + at, j + at
+
+    for i, j in found():
+        ok = ((lower[i] == inside[i]) | (lower[j] == inside[j])) & ((x[i] == y[i]) | (tile[i] != tile[j])) & (narrow[i] | narrow[j])
+        i, j = i[ok], j[ok]
+        yield np.stack((np.minimum(cls[i], cls[j]), np.maximum(cls[i], cls[j]), np.maximum(size[i], size[j]),
+                        np.minimum(size[i], size[j]), np.ones(len(i), np.int64)), 1)
+
+
 def _prefix_size(n: Column, percent: int) -> Column:
     return n - F.ceil(n * percent / F.lit(100)) + 1
 
@@ -471,43 +659,45 @@ def _verified(docs: DataFrame, narrow: DataFrame, pairs: DataFrame, size: int, p
 
 
 def groups(docs: DataFrame, size: int = 5, percent: int = 80, share: float = SHARE, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(_id, n_shingles, component_id, n_links) of every row of ``docs``.
+    """(_id, text_hash, n_shingles, component_id, n_links, group) of every row of ``docs``.
 
     A set holds the distinct ``size``-word shingles of the whole text, its A-Z in lower case; a text of
     fewer words is one shingle. Two documents link when 100 * overlap >= ``percent`` * union. The component
     is the smallest document id reachable by links; ``n_links`` counts the other rows that a row links with. Null and empty texts and those without words have
-    empty sets and link with nothing. Rows that share an id are judged row by row, each by its own text. A
+    empty sets and link with nothing. Rows that share an id are judged row by row, each by its own text:
+    ``text_hash`` (xxhash64) tells them apart, and ``group`` names components that share their smallest id. A
     null id links like any other but names no component: one of such rows alone has a null id.
     """
-    narrow, frequent, _ = _describe(docs, size, text, doc_id, share)
+    narrow, frequent = _describe(docs, size, text, doc_id, share)
+    classes = stored(narrow.where("cls is not null").groupBy("cls").agg(F.count("*").alias("rows"), F.max("sig").alias("sig")))
     met = stored(_meetings(docs, size, percent, text, frequent))
-    stars = stored(_stars(met, percent))
+    stars = stored(_stars(met, classes))
     ties = _ties(met, components(stars), percent)
     hoods = stored(components(stars.union(ties)).select(F.col("id").alias("cls"), F.col("component").alias("hood")))
-    classes = stored(narrow.where("cls is not null").groupBy("cls").agg(F.count("*").alias("rows")))
-    links = stored(_within(docs, narrow, hoods.join(classes, "cls"), size, percent, text, doc_id))
+    links = stored(_within(docs, narrow, hoods.join(classes.drop("sig"), "cls"), size, percent, text, doc_id))
     known = stored(met.select("token", "cls", "n").join(hoods, "cls", "left")
                    .withColumn("comp", F.coalesce("hood", "cls")).drop("hood"))
     mixed = known.groupBy("token").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"), F.count("*").alias("_n"))
     open_ = known.join(mixed.where("_a <> _b").select("token", "_n"), "token")
-    maps = narrow.where("cls is not null").groupBy("cls").agg(F.max("sig").alias("sig"))
-    more = _verified(docs, narrow, _tree_pairs(open_.join(maps, "cls"), percent), size, percent, text, doc_id)
+    more = _verified(docs, narrow, _tree_pairs(open_.join(classes.drop("rows"), "cls"), percent), size, percent, text, doc_id)
     more = more.distinct()  # rows that share id and text are compared more than once
     final = components(links.where("b is not null").select("a", "b").union(more))
     sides = more.select("a", F.col("b").alias("cls")).union(more.select("b", F.col("a").alias("cls")))
-    counts = (links.where("b is null").select("a", "n_links").union(sides.join(classes, "cls").select("a", "rows"))
+    counts = (links.where("b is null").select("a", "n_links").union(sides.join(classes.drop("sig"), "cls").select("a", "rows"))
               .groupBy("a").agg(F.sum("n_links").alias("n_links")))
+    classes = classes.drop("sig")
     counts = classes.join(counts, classes["cls"] == counts["a"], "left").select(
         F.col("cls").alias("_l"), (F.col("rows") - 1 + F.coalesce("n_links", F.lit(0))).alias("n_links"))
     first = narrow.where("cls is not null").groupBy("cls").agg(F.min("_id").alias("_first"))
     held = first.join(final.withColumnRenamed("id", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     top = held.groupBy("component").agg(F.min("_first").alias("_top"))
-    named = held.join(top, "component").join(counts, F.col("cls") == F.col("_l")).select(F.col("cls").alias("_c"), "_top", "n_links")
+    named = held.join(top, "component").join(counts, F.col("cls") == F.col("_l")).select(F.col("cls").alias("_c"), "_top", "n_links", F.col("component").alias("group"))
     return narrow.join(named, narrow["cls"] == named["_c"], "left").select(
-        "_id", F.col("n").alias("n_shingles"), F.when(F.col("cls").isNull(), F.col("_id")).otherwise(F.col("_top")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+        "_id", "text_hash", F.col("n").alias("n_shingles"), F.when(F.col("cls").isNull(), F.col("_id")).otherwise(F.col("_top")).alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "group")
 
 
 @query("op10_signature_join")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return groups(table(spark, sf_dir, "documents"), size=4, percent=85).withColumnRenamed("_id", "doc_id")
+    out = groups(table(spark, sf_dir, "documents"), size=4, percent=85)
+    return out.select(F.col("_id").alias("doc_id"), "n_shingles", "component_id", "n_links")

@@ -47,6 +47,17 @@ def test_one_document_of_each_group_stays(spark, docs, folder):
     assert set(got) == want and len([i for i in got if i != -1]) == len(want - {-1})
 
 
+def test_rows_that_share_an_id_are_judged_by_their_texts(spark, folder):
+    a, b, c = prose(61, 50), prose(62, 50), prose(63, 50)
+    rows = [(1, a), (2, a + " more"), (2, b), (3, c), (4, b), (4, b + " more"), (5, c), (5, c), (6, a), (7, None), (7, ""), (8, prose(64, 9)), (8, prose(65, 9))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted((r.doc_id, r.text or "") for r in pipeline.drop_near_copies(spark, docs, folder).collect())
+    assert got == sorted([(1, a), (2, b), (3, c), (7, ""), (7, ""), *[(i, t) for i, t in rows if i == 8]])
+    # two rows of the smallest id link: one of them stays
+    both = spark.createDataFrame([(1, a), (1, a + " more"), (2, a)], "doc_id long, text string")
+    assert [r.doc_id for r in pipeline.drop_near_copies(spark, both, folder).collect()] == [1]
+
+
 def test_repeats_are_cut_out_of_the_texts(spark, docs, folder):
     cut = pipeline.cut_repeats(spark, docs, folder)
     assert cut.columns == docs.columns
@@ -80,5 +91,5 @@ def test_empty_documents(spark, nothing, folder):
 def test_registered_and_run_on_given_tables(spark):
     import __spark_entry__ as entry
 
-    assert {f"op{n}_" for n in range(1, 11)} == {f"{k.split('_')[0]}_" for k in entry.queries() if k.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {f"{k.split('_')[0]}_" for k in entry.queries() if k.startswith("op")}
     assert entry.queries()["pipeline"](spark, SF).count() > 0
