@@ -26,14 +26,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of documents that five-word shingles link at a similarity of 0.8: the smallest id.
+    """One row of each group of documents that five-word shingles link at a similarity of 0.8: that of the smallest id, of
+    several rows with that id the one whose text has the smallest hash.
 
-    A row that links with nothing stays, and so does a row with a null id. Of rows that share id and
-    text one stays.
+    A row that links with nothing stays, and so does a row with a null id. Rows are judged by id and text, so of rows
+    that share an id each stands for itself; of rows that share id and text one stays.
     """
     ids = signature_join.groups(docs.select("doc_id", "text"), size=5, percent=80)
-    gone = stored(ids.where("component_id is not null and _id <> component_id").select(F.col("_id").alias("_gone")).distinct())
-    kept = docs.join(_small(gone), docs["doc_id"] == gone["_gone"], "left_anti")
+    linked = stored(ids.where("_id is not null and group is not null").select("group", F.struct("_id", "text_hash").alias("row")))
+    first = linked.groupBy("group").agg(F.min("row").alias("first"))
+    gone = stored(linked.join(first, "group").where("row <> first")
+                  .select(F.col("row._id").alias("_gone"), F.col("row.text_hash").alias("_gone_hash")).distinct())
+    same = (docs["doc_id"] == gone["_gone"]) & (F.xxhash64(docs["text"]) == gone["_gone_hash"])
+    kept = docs.join(_small(gone), same, "left_anti")
     twice = stored(docs.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_twice")))
     again = kept["doc_id"] == twice["_twice"]
     alone = kept.join(_small(twice), again, "left_anti")
