@@ -4,7 +4,7 @@ A text becomes, as the model asks, a word mark, the text, and a word mark for ev
 characters that no piece of the vocabulary holds side by side every path of the lattice has a node, so the
 lattice falls into segments there. A segment is solved once for all places where it stands:
 
-* the model's own merges give its first path. A piece of that path has the score of the model; any other piece
+* the model's own merges give its first path, in one call for all new segments of a chunk. A piece of that path has the score of the model; any other piece
   has the scores of the own pieces that start in its span, and a loss by its rank. So a path scores as the model's
   own one less the losses of its other pieces, and no other path is as good as the own one;
 * the forward pass of Viterbi leaves at each node the best score from the start to it;
@@ -13,13 +13,16 @@ lattice falls into segments there. A segment is solved once for all places where
   No more than N partial paths go on from a node, as only its N best ones can be part of the N best paths.
 
 The N best paths of a text leave the best path of at most N - 1 segments, those with the smallest loss
-(a path that left another one could be bettered N times); the same search runs over the alternatives of these.
+(a path that left another one could be bettered N times). So the smallest loss of every segment is found first, exactly and
+for thousands of segments at once, by a forward pass over positions that keeps the own path apart from all others; only
+the segments picked by it are searched, and the same search runs over their alternatives.
 """
 
 from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +37,10 @@ from tallyline.llm.scratch import per_process
 N_BEST = 4
 CHUNK = 1 << 19
 MOST_SEGMENTS = 250_000
+MOST_SEARCHED = 20_000
+WIDTHS = (4, 6, 8, 10, 12, 16, 24, 32)
+BLOCK = 8_192
+_BASE = np.uint64(K.BASE)
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 TABLE_BITS = 20
@@ -103,6 +110,24 @@ class Vocabulary:
             a, b = np.array([(ord(a), ord(b)) for a, b in inside], np.uint32).T
             self.pairs[self.slot(a, b)] = True
 
+        self.score = np.array([model.get_score(i) for i in range(size)])
+        self.letters = np.array([len(p) for p in self.pieces])
+        self.odd = np.array([i == self.unknown or i in self.byte_of for i in range(size)])
+        keys = np.array([self._key(p) for p in self.ids], np.uint64)
+        order = np.argsort(keys)
+        self.keys = keys[order]
+        self.losses = np.array([self.top - s for _, s in self.ids.values()], np.float32)[order]
+        self.gate = np.zeros(1 << TABLE_BITS, bool)
+        self.gate[(self.keys >> np.uint64(64 - TABLE_BITS)).astype(np.int64)] = True
+
+    @staticmethod
+    def _key(piece: str) -> int:
+        """A 64-bit hash of a piece, which a vector of texts can compute letter by letter."""
+        h = 0
+        for c in piece:
+            h = (h * K.BASE + ord(c) + 1) % (1 << 64)
+        return int(K.mix(np.array([h], np.uint64))[0])
+
     @staticmethod
     def slot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return ((a * np.uint32(0x9E3779B1)) ^ (b * np.uint32(0x85EBCA6B))) >> np.uint32(32 - TABLE_BITS)
@@ -157,6 +182,81 @@ class Vocabulary:
         """The ``n`` best paths of a segment as (score, ids)."""
         return [(score, tuple(x for label in path for x in label)) for score, path in n_best(self.lattice(segment), n)]
 
+    def solve(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Best ids of all segments end to end, their number and score, and the loss of the second best path, by segment."""
+        ids = self.model.encode(segments, num_threads=1)
+        size = np.fromiter(map(len, segments), np.int64, len(segments))
+        count = np.fromiter(map(len, ids), np.int64, len(ids))
+        values = np.fromiter(chain.from_iterable(ids), np.int32, int(count.sum()))
+        owner = np.repeat(np.arange(len(ids)), count)
+        letters = self.letters[values]
+        top = np.bincount(owner, self.score[values], minlength=len(ids))
+        plain = np.bincount(owner, letters, minlength=len(ids)) == size
+        plain &= np.bincount(owner, self.odd[values], minlength=len(ids)) == 0
+        plain &= size <= WIDTHS[-1]
+        loss = np.full(len(ids), np.inf)
+        ahead = np.cumsum(letters) - letters
+        start = ahead - ahead[np.minimum(np.cumsum(count) - count, max(len(values) - 1, 0))][owner] if len(values) else ahead
+        for low, wide in zip((0, *WIDTHS), WIDTHS, strict=False):
+            every = np.flatnonzero(plain & (size > low) & (size <= wide))
+            for at in range(0, len(every), BLOCK):
+                some = every[at:at + BLOCK]
+                place = np.full(len(ids), -1)
+                place[some] = np.arange(len(some))
+                mine = place[owner] >= 0
+                loss[some] = self._second([segments[k] for k in some.tolist()], wide, place[owner[mine]], start[mine], letters[mine])
+        if not plain.all():
+            parts = np.split(values, np.cumsum(count)[:-1])
+            for k in np.flatnonzero(~plain).tolist():  # bytes, unknown characters and long segments
+                found = self.segment(segments[k], 2)
+                parts[k] = np.array(found[0][1], np.int32)
+                count[k], top[k] = len(parts[k]), found[0][0]
+                loss[k] = found[0][0] - found[1][0] if len(found) > 1 else np.inf
+            values = np.concatenate(parts)
+        return values, count, top, loss
+
+    def _second(self, segments: list[str], wide: int, owner: np.ndarray, start: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        """The smallest loss of a path other than the own one, for segments of at most ``wide`` letters.
+
+        ``owner``, ``start`` and ``letters`` are the pieces of the own paths. One table a piece length holds the loss of the
+        piece that starts at each letter; two passes run side by side, along the own path and off it.
+        """
+        n = len(segments)
+        size = np.fromiter(map(len, segments), np.int64, n)
+        point = np.zeros((n, wide), np.uint64)
+        inside = np.arange(wide) < size[:, None]
+        point[inside] = np.frombuffer("".join(segments).encode("utf-32-le"), np.uint32)
+        own = np.zeros((n, wide + 1), np.int64)  # letters of the own piece that starts here
+        own[owner, start] = letters
+        on = np.full((n, wide + 1), np.inf, np.float32)
+        on[owner, start] = 0
+        on[np.arange(n), size] = 0
+        longest = min(self.longest, wide)
+        hashed, edges = np.zeros((n, wide), np.uint64), []
+        for length in range(1, longest + 1):
+            fits = wide - length + 1
+            hashed = hashed[:, :fits] * _BASE + point[:, length - 1:] + np.uint64(1)
+            real = inside[:, length - 1:]
+            key = K.mix(hashed)
+            edge = np.full((n, fits), np.inf, np.float32)
+            row, at = np.nonzero(self.gate[(key >> np.uint64(64 - TABLE_BITS)).astype(np.int64)] & real)
+            some = key[row, at]
+            hit = np.minimum(np.searchsorted(self.keys, some), len(self.keys) - 1)
+            known = self.keys[hit] == some
+            edge[row[known], at[known]] = self.losses[hit[known]]
+            if length == 1:
+                edge[real & np.isinf(edge)] = self.top - self.unknown_score
+            edge[own[:, :fits] == length] = np.inf
+            edges.append(edge)
+        off = np.full((n, wide + 1), np.inf, np.float32)
+        for node in range(1, wide + 1):
+            best = off[:, node]
+            for length in range(1, min(longest, node) + 1):
+                before = node - length
+                np.minimum(best, edges[length - 1][:, before] + np.minimum(on[:, before], off[:, before]), out=best)
+                np.minimum(best, np.where(own[:, before] == length, off[:, before], np.inf), out=best)
+        return off[np.arange(n), size].astype(float)
+
     def decode(self, ids: Sequence[int]) -> str:
         """The text of a path: pieces joined, byte runs decoded, marks turned to blanks, the first one dropped."""
         if self.byte_of and not self.byte_of.keys().isdisjoint(ids):
@@ -167,14 +267,37 @@ class Vocabulary:
         return joined.replace(MARK, " ")[1:]
 
 
+class Known:
+    """Solved segments by hash: best ids, score, and the loss of the second best path. Holds ``MOST_SEGMENTS`` and a chunk's."""
+
+    def __init__(self) -> None:
+        self.names = np.zeros(0, np.uint64)
+        self.origin, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.top, self.loss, self.values = np.zeros(0), np.zeros(0), np.zeros(0, np.int32)
+
+    def find(self, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each name, and which of them are not there."""
+        place = np.minimum(np.searchsorted(self.names, names), max(len(self.names) - 1, 0))
+        return place, np.flatnonzero(self.names[place] != names) if len(self.names) else np.arange(len(names))
+
+    def add(self, names: np.ndarray, solved: tuple[np.ndarray, ...]) -> None:
+        values, count, top, loss = solved
+        order = np.argsort(both := np.concatenate((self.names, names)))
+        self.names = both[order]
+        self.origin = np.concatenate((self.origin, np.cumsum(count) - count + len(self.values)))[order]
+        self.count, self.top, self.loss = (
+            np.concatenate(c)[order] for c in ((self.count, count), (self.top, top), (self.loss, loss)))
+        self.values = np.concatenate((self.values, values))
+
+
 def _loaded(path: str) -> Vocabulary:
     shared = per_process("pieces")
     if shared.get("path") != path:
-        shared.update(path=path, vocabulary=Vocabulary(path), known={}, lists=[])
+        shared.update(path=path, vocabulary=Vocabulary(path), known=Known(), searched={})
     return shared["vocabulary"]
 
 
-def combine(first: list[float], options: list[list[tuple[float, bytes]]], n: int) -> list[tuple[float, list[int]]]:
+def combine(first: list[float], options: list[list[tuple[float, Sequence[int]]]], n: int) -> list[tuple[float, list[int]]]:
     """The ``n`` best choices of one option for each of a few segments, as (loss, chosen option of each)."""
     edges: list[list[Edge]] = [[]]
     for node, (top, some) in enumerate(zip(first, options, strict=True)):
@@ -185,7 +308,7 @@ def combine(first: list[float], options: list[list[tuple[float, bytes]]], n: int
 def _encode(texts: list[str], vocabulary: Vocabulary, n: int) -> Iterator[tuple[np.ndarray, list[dict]]]:
     """For each text its best ids and its ``n`` best paths, as edits of the best one."""
     shared = per_process("pieces")
-    known, lists = shared["known"], shared["lists"]
+    searched = shared["searched"]
     marked = [MARK + t.replace(" ", MARK) for t in texts]
     whole = "".join(marked)
     points = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
@@ -196,23 +319,25 @@ def _encode(texts: list[str], vocabulary: Vocabulary, n: int) -> Iterator[tuple[
     start = np.flatnonzero(cut[:-1])
     stop = np.append(start[1:], len(points))
     names, at, which = np.unique(K.span_hashes(points, start, stop), return_index=True, return_inverse=True)
-    if len(known) + len(names) > MOST_SEGMENTS:
-        known.clear()
-        lists.clear()
-    places = []
-    for name, k in zip(names.tolist(), at.tolist(), strict=True):
-        place = known.get((name, n))
-        if place is None:
-            place = known[name, n] = len(lists)
-            lists.append([(score, np.array(ids, np.int32).tobytes()) for score, ids in vocabulary.segment(whole[start[k]:stop[k]], n)])
-        places.append(place)
-    options = [lists[p] for p in places]
-    top = np.array([o[0][0] for o in options])
-    loss = np.array([o[0][0] - o[1][0] if len(o) > 1 else np.inf for o in options])
-    raw = [o[0][1] for o in options]
-    sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
-    values = np.frombuffer(b"".join(raw), np.int32)
-    origin = np.cumsum(sizes) - sizes
+    known = shared["known"]
+    place, new = known.find(names)
+    if len(known.names) + len(new) > MOST_SEGMENTS:
+        known = shared["known"] = Known()
+        place, new = known.find(names)
+    if len(new):
+        known.add(names[new], vocabulary.solve([whole[start[k]:stop[k]] for k in at[new].tolist()]))
+        place, _ = known.find(names)
+    top, loss, sizes, origin, values = known.top[place], known.loss[place], known.count[place], known.origin[place], known.values
+
+    def options(k: int) -> list[tuple[float, tuple[int, ...]]]:
+        """The ``n`` best paths of a segment of this chunk."""
+        key = (int(names[k]), n)
+        if key not in searched:
+            if len(searched) >= MOST_SEARCHED:
+                searched.clear()
+            searched[key] = vocabulary.segment(whole[start[at[k]]:stop[at[k]]], n)
+        return searched[key]
+
     size = sizes[which]
     total = np.concatenate(([0], np.cumsum(size)))
     flat = values[np.repeat(origin[which] - total[:-1], size) + np.arange(total[-1])]
@@ -226,15 +351,15 @@ def _encode(texts: list[str], vocabulary: Vocabulary, n: int) -> Iterator[tuple[
         few = n - 1
         near = np.argpartition(losses, few)[:few] if len(losses) > few else np.arange(len(losses))
         near = np.sort(near[np.isfinite(losses[near])])
-        some = [options[mine[k]] for k in near.tolist()]
+        some = [options(mine[k]) for k in near.tolist()]
         paths = []
         for lost, chosen in combine([o[0][0] for o in some], some, n):
             edits, count = [], len(ids)
             for k, pick, opts in zip(near.tolist(), chosen, some, strict=True):
                 if pick:
-                    new, drop = np.frombuffer(opts[pick][1], np.int32).tolist(), len(opts[0][1]) // 4
-                    edits.append({"at": int(total[a + k] - total[a]), "drop": drop, "ids": new})
-                    count += len(new) - drop
+                    other, drop = opts[pick][1], len(opts[0][1])
+                    edits.append({"at": int(total[a + k] - total[a]), "drop": drop, "ids": list(other)})
+                    count += len(other) - drop
             paths.append({"score": best + lost, "n_tokens": count, "edits": edits})
         yield ids, paths
 
