@@ -12,7 +12,9 @@ Matches are found in four steps, each a Spark stage over whole texts:
 
 Very frequent anchors (more than ``share`` of the texts, at most anchors-per-text / share of them) are
 found first and known to repeat. Their surroundings meet by longer cores, a few offsets each, so that
-one frequent phrase with many different surroundings is spread over many groups.
+one frequent phrase with many different surroundings is spread over many groups. A group of more than ``LARGEST`` bytes
+all the same (a long line with many different surroundings) is not indexed: its strings of ``least`` bytes are dealt by
+a hash of 128 bits, each with its first place in a part of the group, and meet there.
 """
 
 from __future__ import annotations
@@ -29,11 +31,12 @@ from pyspark.sql import functions as F
 from tallyline.llm import kernels as K
 from tallyline.llm.registry import query, table
 from tallyline.llm.run_index import RunIndex
-from tallyline.llm.scratch import width
+from tallyline.llm.scratch import stored, width
 
 ANCHOR = 40
 BLOCK = 31
 BUNDLE = 1 << 19
+LARGEST = 1 << 22
 _U = np.uint64
 
 
@@ -132,6 +135,11 @@ def _frequent(docs: DataFrame, least: int, anchor: int, share: float) -> np.ndar
     return np.sort(np.array([r.h for r in rows], np.int64))
 
 
+def _in_order(rows: DataFrame) -> DataFrame:
+    """Rows of each task by id, those of one id by a hash of their text; a join keeps no order, so it is asked for after each."""
+    return rows.sortWithinPartitions("_id", F.xxhash64("_bytes"))
+
+
 def mark_repeats(base: DataFrame, frequent: np.ndarray, least: int, anchor: int) -> DataFrame:
     """(_id, no, s, e): byte ranges that repeat what starts earlier, from ``base`` sorted by _id."""
     spark = base.sparkSession
@@ -201,61 +209,99 @@ def mark_repeats(base: DataFrame, frequent: np.ndarray, least: int, anchor: int)
                 if lo < hi:
                     yield _surroundings(part, stops, row[lo:hi] - i, x[lo:hi], hot[lo:hi], ids[i:j], number[i:j], least, anchor, known)
 
-    around = base.join(places, "_id", "left").mapInArrow(surround, "m long, _id long, no int, s int, e int, context binary")
+    around = _in_order(base.join(places, "_id", "left")).mapInArrow(surround, "m long, _id long, no int, s int, e int, context binary")
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for bundle in _bundles(batches):
-            done = bundle.filter(pc.is_null(bundle.column("context")))
-            yield from done.select(["_id", "no", "s", "e"]).to_batches()
-            fresh = bundle.filter(pc.is_valid(bundle.column("context"))).combine_chunks()
-            if fresh.num_rows < 2:
-                continue
-            ids, no = fresh.column("_id").to_numpy(), fresh.column("no").to_numpy()
-            s, e = (fresh.column(c).to_numpy().astype(np.int64) for c in ("s", "e"))
-            order = np.lexsort((no, ids))
-            new = np.ones(len(ids), bool)
-            new[1:] = (ids[order][1:] != ids[order][:-1]) | (no[order][1:] != no[order][:-1])
-            ordinal = np.empty(len(ids), np.int64)
-            ordinal[order] = np.cumsum(new)
-            # Equal surroundings of one group come from other tasks: the first stays, the others repeat it.
-            group = fresh.column("m").to_numpy()
-            text = pc.dictionary_encode(fresh.column("context")).combine_chunks().indices.to_numpy()
-            at = (ordinal << 32) | s
-            order = np.lexsort((at, text, group))
-            new = np.ones(len(ids), bool)
-            new[1:] = (group[order][1:] != group[order][:-1]) | (text[order][1:] != text[order][:-1])
-            first = np.flatnonzero(new)
-            later = order[at[order] > np.repeat(at[order[first]], np.diff(np.append(first, len(order))))]
-            if len(later):
-                yield pa.RecordBatch.from_arrays([pa.array(ids[later]), pa.array(no[later]), pa.array(s[later].astype(np.int32)),
-                                                  pa.array(e[later].astype(np.int32))], names=["_id", "no", "s", "e"])
-            stay = order[first]
-            alone = np.ones(len(stay) + 1, bool)
-            alone[1:-1] = group[stay][1:] != group[stay][:-1]
-            stay = stay[~(alone[:-1] & alone[1:])]  # a group of one has nothing to match
-            if not len(stay):
-                continue
-            fresh = fresh.take(pa.array(stay))
-            ids, no, s, ordinal = ids[stay], no[stay], s[stay], ordinal[stay]
-            data, ends = K.bytes_of(fresh.column("context"))
-            runs = RunIndex(data, ends)
-            inside = np.arange(len(runs.text)) - runs.starts[runs.string]
-            place = (ordinal[runs.string] << 32) | (s[runs.string] + inside)
-            p = runs.repeated(least, place)
-            if not len(p):
-                continue
-            string, at = runs.string[p], s[runs.string[p]] + inside[p]
-            cut = np.ones(len(p), bool)
-            cut[1:] = (string[1:] != string[:-1]) | (at[1:] != at[:-1] + 1)
-            first = np.flatnonzero(cut)
-            final = np.append(first[1:], len(p)) - 1
-            of = string[first]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[of]), pa.array(no[of]), pa.array(at[first].astype(np.int32)),
-                 pa.array((at[final] + least).astype(np.int32))], names=["_id", "no", "s", "e"])
-
-    return (around.repartition(n, "m").sortWithinPartitions("m")
-            .mapInArrow(index, "_id long, no int, s int, e int"))
+        for whole, bundle in _bundles(batches):
+            for rows in _indexed(bundle, least) if whole else _windows(bundle, least):
+                yield rows if rows.num_columns == 5 else pa.RecordBatch.from_arrays(
+                    [*rows.columns, pa.nulls(rows.num_rows, pa.binary())], names=["_id", "no", "s", "e", "w"])
+
+    found = stored(around.repartition(n, "m").sortWithinPartitions("m").mapInArrow(index, "_id long, no int, s int, e int, w binary"))
+    place = F.struct("_id", "no", "s")
+    strings = found.where("w is not null")
+    least_place = strings.groupBy("w").agg(F.min(place).alias("_first"), F.max(place).alias("_last")).where("_first <> _last")
+    again = strings.join(least_place.drop("_last"), "w").where(place != F.col("_first"))
+    return found.where("w is null").drop("w").union(again.select("_id", "no", "s", "e"))
+
+
+def _indexed(bundle: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
+    """(_id, no, s, e) marks of whole groups, from one run-length index over them."""
+    done = bundle.filter(pc.is_null(bundle.column("context")))
+    yield from done.select(["_id", "no", "s", "e"]).to_batches()
+    fresh = bundle.filter(pc.is_valid(bundle.column("context"))).combine_chunks()
+    if fresh.num_rows < 2:
+        return
+    ids, no = fresh.column("_id").to_numpy(), fresh.column("no").to_numpy()
+    s, e = (fresh.column(c).to_numpy().astype(np.int64) for c in ("s", "e"))
+    order = np.lexsort((no, ids))
+    new = np.ones(len(ids), bool)
+    new[1:] = (ids[order][1:] != ids[order][:-1]) | (no[order][1:] != no[order][:-1])
+    ordinal = np.empty(len(ids), np.int64)
+    ordinal[order] = np.cumsum(new)
+    # Equal surroundings of one group come from other tasks: the first stays, the others repeat it.
+    group = fresh.column("m").to_numpy()
+    text = pc.dictionary_encode(fresh.column("context")).combine_chunks().indices.to_numpy()
+    at = (ordinal << 32) | s
+    order = np.lexsort((at, text, group))
+    new = np.ones(len(ids), bool)
+    new[1:] = (group[order][1:] != group[order][:-1]) | (text[order][1:] != text[order][:-1])
+    first = np.flatnonzero(new)
+    later = order[at[order] > np.repeat(at[order[first]], np.diff(np.append(first, len(order))))]
+    if len(later):
+        yield pa.RecordBatch.from_arrays([pa.array(ids[later]), pa.array(no[later]), pa.array(s[later].astype(np.int32)),
+                                          pa.array(e[later].astype(np.int32))], names=["_id", "no", "s", "e"])
+    stay = order[first]
+    alone = np.ones(len(stay) + 1, bool)
+    alone[1:-1] = group[stay][1:] != group[stay][:-1]
+    stay = stay[~(alone[:-1] & alone[1:])]  # a group of one has nothing to match
+    if not len(stay):
+        return
+    fresh = fresh.take(pa.array(stay))
+    ids, no, s, ordinal = ids[stay], no[stay], s[stay], ordinal[stay]
+    data, ends = K.bytes_of(fresh.column("context"))
+    runs = RunIndex(data, ends)
+    inside = np.arange(len(runs.text)) - runs.starts[runs.string]
+    place = (ordinal[runs.string] << 32) | (s[runs.string] + inside)
+    p = runs.repeated(least, place)
+    if not len(p):
+        return
+    string, at = runs.string[p], s[runs.string[p]] + inside[p]
+    cut = np.ones(len(p), bool)
+    cut[1:] = (string[1:] != string[:-1]) | (at[1:] != at[:-1] + 1)
+    first = np.flatnonzero(cut)
+    final = np.append(first[1:], len(p)) - 1
+    of = string[first]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(ids[of]), pa.array(no[of]), pa.array(at[first].astype(np.int32)),
+         pa.array((at[final] + least).astype(np.int32))], names=["_id", "no", "s", "e"])
+
+
+def _windows(part: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
+    """Marks and strings of a part of a large group: what repeats an earlier place of the part is marked; the first place of
+    each string of ``least`` bytes goes on, named by a hash of 128 bits (``w``)."""
+    yield from part.filter(pc.is_null(part.column("context"))).select(["_id", "no", "s", "e"]).to_batches()
+    fresh = part.filter(pc.is_valid(part.column("context"))).combine_chunks()
+    if not fresh.num_rows:
+        return
+    ids, no, s = (fresh.column(c).to_numpy() for c in ("_id", "no", "s"))
+    data, ends = K.bytes_of(fresh.column("context"))
+    row = K.owners(ends)
+    at = np.flatnonzero(np.arange(len(data)) + least <= ends[1:][row])
+    row, start = row[at], s[row[at]] + at - ends[row[at]]
+    names = [_window_hashes(data, least)[at], K.span_hashes(data, at, at + least // 2) ^ K.mix(K.span_hashes(data, at + least // 2, at + least))]
+    order = np.lexsort((start, no[row], ids[row], names[1], names[0]))
+    new = np.ones(len(order), bool)
+    new[1:] = (names[0][order][1:] != names[0][order][:-1]) | (names[1][order][1:] != names[1][order][:-1])
+    first, later = order[new], order[~new]
+    # the same place may come in two surroundings; it is not a repeat of itself
+    head = first[np.cumsum(new) - 1][~new]
+    later = later[(ids[row[later]] != ids[row[head]]) | (no[row[later]] != no[row[head]]) | (start[later] != start[head])]
+    for which, name in ((later, None), (first, np.stack(names, 1).view(np.uint8).reshape(len(at), 16))):
+        some = pa.nulls(len(which), pa.binary()) if name is None else pa.array([x.tobytes() for x in name[which]], pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids[row[which]]), pa.array(no[row[which]]), pa.array(start[which].astype(np.int32)),
+             pa.array((start[which] + least).astype(np.int32)), some], names=["_id", "no", "s", "e", "w"])
 
 
 def _surroundings(data: np.ndarray, ends: np.ndarray, row: np.ndarray, x: np.ndarray, hot: np.ndarray, ids: np.ndarray,
@@ -324,31 +370,40 @@ def _merged(spans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 _KINDS = (np.uint64, np.int64, np.int32, np.int32, np.bool_)
 
 
-def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Neighbouring whole groups of about ``BUNDLE`` bytes, from rows sorted by group."""
+def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.Table]]:
+    """Neighbouring whole groups of about ``BUNDLE`` bytes, from rows sorted by group; a group above ``LARGEST`` bytes comes in
+    parts instead, as (False, part)."""
     held: list[pa.RecordBatch] = []
-    size = 0
+    rows = size = own = start = 0  # held rows, bytes of all, bytes of the last group, the row it starts at
+    parts, last = False, None
     for batch in batches:
-        if not batch.num_rows:
+        n, begin = batch.num_rows, 0
+        if not n:
             continue
         group = batch.column("m").to_numpy()
-        cuts = np.flatnonzero(group[1:] != group[:-1]) + 1
-        if held and held[-1].column("m")[-1].as_py() != group[0]:
-            cuts = np.append(0, cuts)
         lengths = pc.binary_length(batch.column("context")).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
         total = np.concatenate(([0], np.cumsum(lengths)))
-        begin = 0
-        for cut in cuts.tolist():
-            if size + total[cut] - total[begin] >= BUNDLE:
-                if cut > begin:
-                    held.append(batch.slice(begin, cut - begin))
-                yield pa.Table.from_batches(held)
-                held, size, begin = [], 0, cut
-        if begin < len(group):
+        edge = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), n]
+        for a, b in zip(edge, edge[1:], strict=False):
+            if group[a] != last:
+                if rows + a - begin and (parts or size >= BUNDLE):
+                    yield not parts, pa.Table.from_batches([*held, batch.slice(begin, a - begin)])
+                    held, rows, size, begin = [], 0, 0, a
+                last, own, parts, start = group[a], 0, False, rows + a - begin
+            while own + int(total[b] - total[a]) > LARGEST:  # the group is cut here
+                cut = max(a + 1, int(np.searchsorted(total, total[a] + LARGEST - own, "right")) - 1)
+                some = pa.Table.from_batches([*held, batch.slice(begin, cut - begin)])
+                if start:
+                    yield True, some.slice(0, start)
+                yield False, some.slice(start)
+                held, rows, size, own, start, parts, begin, a = [], 0, 0, 0, 0, True, cut, cut
+            size += int(total[b] - total[a])
+            own += int(total[b] - total[a])
+        if begin < n:
             held.append(batch.slice(begin))
-            size += int(total[-1] - total[begin])
+            rows += n - begin
     if held:
-        yield pa.Table.from_batches(held)
+        yield not parts, pa.Table.from_batches(held)
 
 
 def remove_repeats(docs: DataFrame, keep: list[str], least: int = 100, anchor: int = ANCHOR, share: float = 0.01,
@@ -369,7 +424,8 @@ def remove_repeats(docs: DataFrame, keep: list[str], least: int = 100, anchor: i
     base = (docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("_id"),
                         F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("_bytes"),
                         F.struct(*[F.col(c) for c in keep]).alias("_row"))
-            .repartition(n, "_id").sortWithinPartitions("_id", F.xxhash64("_bytes")))
+            .repartition(n, "_id"))
+    base = _in_order(base)
     marks = (mark_repeats(base, frequent, least, anchor).groupBy("_id")
              .agg(F.collect_list(F.struct("no", "s", "e")).alias("_marks")))
     kind = docs.select(F.struct(*[F.col(c) for c in keep]).alias("_row")).schema
@@ -412,7 +468,7 @@ def remove_repeats(docs: DataFrame, keep: list[str], least: int = 100, anchor: i
                 [batch.column("_row"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()),
                  pa.array(kept, pa.binary())], names=["_row", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    out = base.join(marks, "_id", "left").mapInArrow(cut, schema)
+    out = _in_order(base.join(marks, "_id", "left")).mapInArrow(cut, schema)
     return out.withColumnRenamed("_row", "row")
 
 

@@ -1,10 +1,12 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import ROWS
 from pyspark.sql import functions as F
 
+from tallyline.llm import suffix_dedup
 from tallyline.llm.run_index import RunIndex
 from tallyline.llm.suffix_dedup import anchors, remove_repeats
 
@@ -45,6 +47,42 @@ def test_frequent_lines_and_passages(frame):
     assert result(got) == brute(rows, 100)
 
 
+@pytest.mark.parametrize("largest", [600, 3000, 1 << 22])
+def test_a_line_with_many_surroundings_is_cut_into_parts(frame, monkeypatch, largest):
+    """A 96-byte line, too short to go itself, around which some texts agree by four bytes or more."""
+    monkeypatch.setattr(suffix_dedup, "LARGEST", largest)
+    rng = random.Random(17)
+    line = "".join(rng.choices("abcdefgh ", k=96))
+    texts = [rng.choice(("ab", "cd", "ef")) * 5 + str(rng.randrange(99)) + rng.choice(("xy", "uvwx")) * rng.randrange(4) + line + rng.choice(("1", "234", "56")) * rng.randrange(5) +
+             "".join(rng.choices("qrstuv ", k=rng.randrange(60))) for _ in range(250)]
+    texts += [line + " " + line, line, "", line * 3]
+    rows = [(i % 230, t) for i, t in enumerate(texts)]
+    rows.sort(key=lambda r: r[0])
+    rows = [(i, t) for i, t in rows if [r[0] for r in rows].count(i) == 1]
+    for share in (0.01, 0.9):
+        got = remove_repeats(frame(rows, "doc_id long, text string"), ["doc_id"], share=share)
+        assert result(got) == brute(rows, 100)
+
+
+def test_large_groups_come_in_parts():
+    rng = random.Random(1)
+    sizes = [3, 1, 700, 1, 40, 2500, 1, 1]
+    rows = [(m, b"x" * rng.randrange(1, 20)) for m, k in enumerate(sizes) for _ in range(k)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows[k:k + 97]]), pa.array([r[1] for r in rows[k:k + 97]])], names=["m", "context"])
+               for k in range(0, len(rows), 97)]
+    old = suffix_dedup.LARGEST, suffix_dedup.BUNDLE
+    try:
+        suffix_dedup.LARGEST, suffix_dedup.BUNDLE = 1500, 300
+        got = list(suffix_dedup._bundles(iter(batches)))
+    finally:
+        suffix_dedup.LARGEST, suffix_dedup.BUNDLE = old
+    flat = [(m, c) for _, tab in got for m, c in zip(tab.column("m").to_pylist(), tab.column("context").to_pylist(), strict=True)]
+    assert flat == rows
+    whole = [set(tab.column("m").to_pylist()) for w, tab in got if w]
+    assert set().union(*whole) == {0, 1, 3, 4, 6, 7} and sum(map(len, whole)) == 6
+    assert all(sum(map(len, tab.column("context").to_pylist())) <= 1520 for _, tab in got)
+
+
 def test_spans_are_maximal_and_empty_table(docs, nothing):
     got = {r.row.doc_id: r for r in remove_repeats(docs.where("doc_id in (1, 2, 100)"), ["doc_id"]).collect()}
     assert got[1].n_spans == 0 and got[2].n_spans == 1 and got[100].n_spans == 1
