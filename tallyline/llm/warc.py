@@ -2,9 +2,10 @@
 
 A dictionary is trained on a bounded sample of records. Every archive opens with a skippable frame that
 embeds it, then holds one frame a record, so that any record can be decompressed alone. Archives are
-written by Spark's text writer, one a task, with the bytes of a frame as a line; the line separator is
+written by Spark's text writer, with the bytes of some frames, about ``LINE_BYTES``, as a line; the line separator is
 itself a valid empty skippable frame. What lands on storage is therefore a plain ``.warc.zst`` stream,
-on any file system that Spark writes to, with its commit and retry rules.
+on any file system that Spark writes to, with its commit and retry rules. After ``LINES`` lines a task begins
+a new archive, so their size does not grow with the table.
 
 A record whose payload another record holds with a larger page id is written as a revisit.
 """
@@ -34,6 +35,8 @@ SAMPLE_ROWS = 1_000
 SAMPLE_BYTES = 4 << 20
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 3
+LINES = 64
+LINE_BYTES = 1 << 20
 SALTS = 32
 
 
@@ -57,9 +60,10 @@ def _record(page_id: int | None, url: str | None, payload: bytes, kind: str, ref
 
 
 def train(pages: DataFrame, payload: str, sample_rows: int = SAMPLE_ROWS) -> bytes:
-    """A dictionary from about ``sample_rows`` records, ``SAMPLE_BYTES`` of them; empty if there are too few."""
+    """A dictionary from about ``sample_rows`` different payloads, ``SAMPLE_BYTES`` of them; empty if there are too few."""
     chosen = sampled(pages.select(F.col(payload).alias("p")).where("length(p) > 0"), ["p"], sample_rows)
-    texts = sorted(r.t.encode() for r in chosen.select(F.substring("p", 1, SAMPLE_BYTES // sample_rows).alias("t")).collect())
+    starts = chosen.select(F.substring("p", 1, SAMPLE_BYTES // sample_rows).alias("t"))
+    texts = sorted(r.t.encode() for r in starts.distinct().collect())  # copies of a payload are in or out together: one row
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, texts).as_bytes()
     except (zstandard.ZstdError, ValueError):  # too few samples to train on
@@ -97,18 +101,26 @@ def write(pages: DataFrame, path: str, dictionary: bytes, least: int = 0, page_i
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
         press = zstandard.ZstdCompressor(level=level, dict_data=made, write_content_size=True)
-        opened = not dictionary
+        opener = [DICTIONARY_MAGIC + len(dictionary).to_bytes(4, "little") + dictionary] if dictionary else []
+        lines, held, size = 0, [], 0
+
+        def line() -> pa.RecordBatch:
+            first = opener if lines % LINES == 0 else []
+            return pa.RecordBatch.from_arrays([pa.array([EMPTY_FRAME.join([*first, *held])], pa.binary())], names=["line"])
+
         for batch in batches:
-            frames = []
-            if not opened and batch.num_rows:
-                frames.append(DICTIONARY_MAGIC + len(dictionary).to_bytes(4, "little") + dictionary)
-                opened = True
             for p, u, b, to in zip(*(batch.column(c).to_pylist() for c in ("_page", "_url", "_payload", "_to")), strict=True):
-                frames.append(press.compress(_record(p, u, b, "response" if to is None else "revisit", to)))
-            yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], names=["frame"])
+                frame = press.compress(_record(p, u, b, "response" if to is None else "revisit", to))
+                if held and size + len(frame) > LINE_BYTES:
+                    yield line()
+                    lines, held, size = lines + 1, [], 0
+                held.append(frame)
+                size += len(frame)
+        if held:
+            yield line()
 
-    (joined.mapInArrow(pack, "frame binary").select(F.col("frame").cast("string").alias("value"))
-     .write.option("lineSep", EMPTY_FRAME.decode("ascii")).text(path))
+    (joined.mapInArrow(pack, "line binary").select(F.col("line").cast("string").alias("value"))
+     .write.options(lineSep=EMPTY_FRAME.decode("ascii"), maxRecordsPerFile=LINES).text(path))
 
 
 def frames(blob: bytes) -> Iterator[bytes]:
@@ -143,7 +155,7 @@ def parse(record: bytes) -> tuple[dict[str, str], bytes]:
 def read(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """(page_id, url, record_type, refers_to, payload_bytes, payload_digest, payload) of every record below ``path``.
 
-    Archives are read whole, one at a time; an archive is bounded by what its task wrote. Payloads are
+    Archives are read whole, one at a time; none is longer than ``LINES`` lines. Payloads are
     always checked against their digests; ``payloads=False`` leaves them null in the result.
     """
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

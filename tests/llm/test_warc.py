@@ -66,3 +66,43 @@ def test_without_dictionary_and_empty_table(spark, pages):
     empty = folder(spark)
     warc.write(pages.limit(0), empty, b"")
     assert warc.read(spark, empty).count() == 0
+
+
+def test_archives_roll_and_each_has_the_dictionary(spark, pages, monkeypatch):
+    monkeypatch.setattr(warc, "LINE_BYTES", 400)
+    monkeypatch.setattr(warc, "LINES", 5)
+    path = folder(spark)
+    dictionary = warc.train(pages, "html")
+    warc.write(pages.coalesce(2), path, dictionary)
+    blobs = [bytes(r.content) for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect()]
+    assert len(blobs) > 6 and all(b.startswith(warc.DICTIONARY_MAGIC) for b in blobs)
+    assert sum(len(list(warc.frames(b))) for b in blobs) == len(PAGES)
+    assert max(len(b) - len(dictionary) for b in blobs) < 5 * (400 + 20_000)
+    rows = warc.read(spark, path).collect()
+    assert sorted((-1 if r.page_id is None else r.page_id, r.payload_bytes, r.payload_digest, r.record_type,
+                   -1 if r.refers_to is None else r.refers_to) for r in rows) == want(0)
+
+
+def test_a_payload_that_most_pages_hold_is_one_row_of_the_sample(spark):
+    rows = [(i, f"<p>{i}</p>" if i % 3 else "<p>held by a third</p>") for i in range(3_000)]
+    df = spark.createDataFrame(rows, "page_id long, html string")
+    for size in (200, 500):
+        seen = []
+        train = zstandard.train_dictionary
+        try:
+            zstandard.train_dictionary = lambda n, texts, seen=seen: (seen.append(len(texts)), train(n, texts))[1]
+            warc.train(df, "html", sample_rows=size)
+        finally:
+            zstandard.train_dictionary = train
+        assert 0 < seen[0] < 2 * size
+
+
+def test_query_on_a_folder(spark, pages, tmp_path):
+    from tallyline.llm.queries import QUERIES
+
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    df = QUERIES["op8_warc"](spark, str(tmp_path))
+    assert dict(df.dtypes) == {"page_id": "bigint", "payload_bytes": "bigint", "payload_digest": "string", "record_type": "string",
+                               "refers_to": "bigint"}
+    assert sorted((-1 if r.page_id is None else r.page_id, r.payload_bytes, r.payload_digest, r.record_type,
+                   -1 if r.refers_to is None else r.refers_to) for r in df.collect()) == want(0)
