@@ -13,7 +13,7 @@ Scoring reads every whole text once, looks its words up in the kept features and
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tallyline.llm import kernels as K
 from tallyline.llm.registry import query, table
-from tallyline.llm.scratch import sampled
+from tallyline.llm.scratch import sampled, stored
 
 SAMPLE = 20_000
 FEATURES = 4_096
@@ -34,20 +34,24 @@ RIDGE = 2e-4
 STEPS = 500
 TOXIC_WEIGHT = 3.0
 FOLDS = 5
-#: Names of groups, by kind; a term is swapped within its kind.
+#: Names of groups in the languages of the corpus, by kind; a term is swapped within its kind.
 IDENTITY = (
     ("women", "men"), ("woman", "man"), ("girls", "boys"), ("female", "male"),
     ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist"), ("muslims", "christians", "jews", "hindus", "buddhists", "atheists"),
     ("black", "white", "asian", "latino", "arab"), ("gay", "straight", "lesbian", "bisexual", "transgender"),
     ("immigrants", "refugees", "foreigners", "natives"), ("disabled", "blind", "deaf"), ("elderly", "young"),
+    ("frauen", "männer"), ("frau", "mann"), ("mädchen", "jungen"), ("muslime", "christen", "juden", "buddhisten"),
+    ("ausländer", "flüchtlinge", "einwanderer", "einheimische"), ("schwule", "lesben", "heteros"), ("behinderte", "blinde", "gehörlose"),
+    ("femmes", "hommes"), ("femme", "homme"), ("filles", "garçons"), ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes"),
+    ("étrangers", "réfugiés", "immigrés", "autochtones"), ("handicapés", "aveugles", "sourds"),
+    ("mujeres", "hombres"), ("mujer", "hombre"), ("niñas", "niños"), ("musulmanes", "cristianos", "judíos", "hindúes", "budistas"),
+    ("extranjeros", "refugiados", "inmigrantes", "nativos"), ("discapacitados", "ciegos", "sordos"),
 )
 _U = np.uint64
 _INSIDE = np.zeros(256, bool)
 _INSIDE[0x80:] = True
 for _low, _high in ((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A)):
     _INSIDE[_low:_high + 1] = True
-_TERM = re.compile(r"\b(" + "|".join(t for kind in IDENTITY for t in kind) + r")\b", re.IGNORECASE)
-_NEXT = {t: kind[(i + 1) % len(kind)] for kind in IDENTITY for i, t in enumerate(kind)}
 
 
 def _features(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -108,22 +112,33 @@ class Model:
         return _sigmoid(self.bias + np.bincount(row, self.weights[feature], minlength=len(column)))
 
 
-def _swapped(text: str) -> list[tuple[str, str]]:
-    """Sentences that name a group, each with its copy in which every group is swapped within its kind."""
-    out = []
-    for sentence in re.split(r"(?<=[.!?\n])", text):
-        if _TERM.search(sentence):
-            out.append((sentence, _TERM.sub(lambda m: _NEXT[m.group().lower()], sentence)))
-    return out
+class Swap:
+    """Names of groups, each with the next one of its kind."""
+
+    def __init__(self, identity: Sequence[Sequence[str]]) -> None:
+        self.next = {term: kind[(i + 1) % len(kind)] for kind in identity for i, term in enumerate(kind)}
+        self.term = re.compile(r"\b(" + "|".join(map(re.escape, self.next)) + r")\b", re.IGNORECASE) if self.next else None
+
+    def sentences(self, text: str) -> list[tuple[str, str]]:
+        """Sentences that name a group, each with its copy in which every group is swapped within its kind."""
+        if self.term is None or not self.term.search(text):
+            return []
+        return [(s, self.term.sub(lambda m: self.next[m.group().lower()], s))
+                for s in re.split(r"(?<=[.!?\n])", text) if self.term.search(s)]
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int = FEATURES, penalty: float = PENALTY,
-        text: str = "text", doc_id: str = "doc_id", toxic: str = "toxic", held_out: bool = True) -> Model:
+        text: str = "text", doc_id: str = "doc_id", toxic: str = "toxic", held_out: bool = True,
+        identity: Sequence[Sequence[str]] = IDENTITY) -> Model:
     """A model from about ``sample`` labelled documents at most, those whose hash of the id is low.
 
     Rows of the held-out fold (crc32 of the id as text divisible by ``FOLDS``) are left out. A document
-    labelled twice takes the larger label; null labels and ids are not used. Without documents of both
-    labels the model has no features and scores the share of toxic rows it saw (0 without rows).
+    labelled twice takes the larger label; null labels and ids are not used. Of several rows with one id the least text counts, so
+    an id on many rows weighs once and what is gathered is bounded by the sample. Null texts are empty; other columns are not
+    looked at. Without documents of both
+    labels (an empty table too) the model has no features and scores the share of toxic rows it saw (0 without rows).
+    ``identity`` lists names of groups by kind: a sentence that names one may not change its score when the group is
+    swapped for the next of its kind.
     """
     spark = docs.sparkSession
     known = labels.where(F.col(toxic).isNotNull() & F.col(doc_id).isNotNull())
@@ -134,8 +149,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int
     if not chosen:
         return Model(np.zeros(0, _U), np.zeros(0), -35.0)
     ids = spark.createDataFrame([(r._id, r._y) for r in chosen], "_id long, _y int")
-    rows = (docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).cast("string").alias("_text"))
-            .join(F.broadcast(ids), "_id").select("_y", "_text"))
+    rows = (docs.select(F.col(doc_id).cast("long").alias("_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
+            .join(F.broadcast(ids), "_id").groupBy("_id", "_y").agg(F.min("_text").alias("_text")))
+    rows = stored(rows.select("_y", "_text"))  # the bounded sample
+    swap = Swap(identity)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -169,7 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int
             texts, labels_, other = batch.column("_text").to_pylist(), batch.column("_y").to_pylist(), []
             pairs: list[str] = []
             for t in texts:
-                for a, b in _swapped(t or ""):
+                for a, b in swap.sentences(t or ""):
                     pairs += [a, b]
             for values, kind in ((texts, 0), (pairs, 1)):
                 if not values:
@@ -225,7 +242,10 @@ def _solve(plain: list, swapped: list, n: int, penalty: float) -> tuple[np.ndarr
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """(row: all columns of ``docs``, score) of every row; a null or empty text scores the model's bias."""
+    """(row: all columns of ``docs``, score) of every row; a null or empty text scores the model's bias.
+
+    Rows are scored on their own: repeated rows score alike, an empty table gives none, and columns of any name travel inside ``row``.
+    """
     schema = docs.select(F.struct("*").alias("row")).schema.add("score", "double")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
