@@ -1,15 +1,16 @@
 """Near-duplicate embeddings by robust-pruned flat graphs over overlapping cluster shards.
 
 1. Equal vectors become one class, combined before the shuffle.
-2. Centres are fitted on a bounded sample; every class goes to its ``OVERLAP`` nearest centres. A shard
-   above ``MOST`` members is cut into parts, and every two parts meet in a shard of their own.
+2. Centres are fitted on bounded samples, in two levels once a table needs more than ``CENTRES`` of them; every class goes to
+   its nearest centres. A shard above ``MOST`` members is cut into parts, and every two parts meet in a shard of their own.
 3. Each shard links its members in batches: a greedy search from the medoid gathers candidates, robust
    pruning keeps those that no kept one stands in for, reverse links are pruned likewise.
 4. Adjacency lists of a class are united over its shards.
 5. Each shard searches the united graph for every member: greedily from the medoid, then outwards
-   through everything within the radius. Found pairs are verified with the raw vectors in double precision.
-6. Recall is audited against brute force over all classes for a bounded set of query classes; below
-   ``RECALL`` the search runs again with more overlap and wider beams.
+   through everything within the radius. Found pairs are verified with the raw vectors in double precision, and counted in
+   the smallest shard that both classes share: links by class and a forest leave a task, no pairs.
+6. Recall is audited against brute force over all classes for the classes of every ``ASKED``th id; below
+   ``RECALL`` the search runs again with more overlap and wider beams, and in the end all classes are compared.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm.links import components
+from tallyline.llm.links import components, stars
 from tallyline.llm.registry import query, table
 from tallyline.llm.scratch import sampled, stored
 
@@ -34,13 +35,17 @@ OVERLAP = 3
 DEGREE = 20
 BEAM = 32
 ALPHA = 1.2
-AUDIT = 256
+ASKED = 50
+LEAST_LINKS = 30
 RECALL = 0.97
 ROUNDS = 3
+PART = 50_000
+QUERIES_AT_ONCE = 2_048
 
 
 def classes(vectors: DataFrame, vec_id: str, embedding: str) -> tuple[DataFrame, DataFrame]:
-    """(vec_id, cls) of every row, and (cls, vec, n, top) of every distinct usable vector; ``vec`` holds its doubles."""
+    """(vec, cls) of every row, and (cls, raw, n, top, asked) of every distinct usable vector: its doubles, number of rows, smallest
+    id, and whether an id divisible by ``ASKED`` is among them."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = []
@@ -54,7 +59,8 @@ def classes(vectors: DataFrame, vec_id: str, embedding: str) -> tuple[DataFrame,
                    .withColumn("cls", F.expr("if(raw is null or vec is null, null, cls)")))
     members = found.select("vec", "cls")
     # The vector of a class is the same in all its rows; only its hash and counts are combined, the vector is fetched once.
-    sums = found.where("cls is not null").groupBy("cls").agg(F.count("*").alias("n"), F.min("vec").alias("top"), F.max("raw").alias("raw"))
+    sums = found.where("cls is not null").groupBy("cls").agg(F.count("*").alias("n"), F.min("vec").alias("top"), F.max("raw").alias("raw"),
+                                                                 F.max(F.col("vec") % ASKED == 0).alias("asked"))
     return members, stored(sums)
 
 
@@ -205,26 +211,113 @@ class Graph:
         return found // n, found % n
 
 
-def _shards(sets: DataFrame, centres: np.ndarray, overlap: int) -> DataFrame:
-    """(shard, x, y, part, cls, raw): every class in the shards of its nearest centres, large shards in pairs of parts."""
+def _nearest(raw: list[bytes], centres: np.ndarray, few: int) -> np.ndarray:
+    return np.argsort(-(_unit(raw) @ centres.T), axis=1, kind="stable")[:, :few]
+
+
+def _places(sets: DataFrame, n: int, overlap: int) -> DataFrame:
+    """(cls, at): the shards of every class, ascending.
+
+    Up to ``CENTRES`` shards their centres are fitted at once. Beyond that centres grow with the table in two levels: as many
+    cells as each then has shards, and within a cell centres fitted on a sample of its own. A class goes to the nearest
+    shards of its nearest cell, and to the nearest one of each other cell.
+    """
+    sample = sampled(sets, ["cls"], SAMPLE).select("cls", "raw").collect()
+    first = _unit([bytes(r.raw) for r in sorted(sample)])
+    shards = -(-n // SHARD)
+    cells = max(1, shards) if shards <= CENTRES else int(np.ceil(np.sqrt(shards)))
+    coarse = _centres(first, cells)
+    few = min(overlap, len(coarse))
+
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            near = np.argsort(-(_unit(batch.column("raw").to_pylist()) @ centres.T), axis=1, kind="stable")[:, :overlap]
-            yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(near.tolist(), pa.list_(pa.int32()))], names=["cls", "at"])
-
-    placed = stored(sets.select("cls", "raw").mapInArrow(assign, "cls long, at array<int>").select("cls", F.explode("at").alias("shard")))
+            if batch.num_rows:
+                near = _nearest(batch.column("raw").to_pylist(), coarse, few)
+                if shards <= CENTRES:
+                    near = np.sort(near, axis=1)
+                yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(near.tolist(), pa.list_(pa.int64()))], names=["cls", "at"])
+
+    placed = sets.select("cls", "raw").mapInArrow(assign, "cls long, at array<long>")
+    if shards <= CENTRES:
+        return stored(placed)
+    inside = stored(placed.select("cls", F.posexplode("at").alias("rank", "cell")).join(sets.select("cls", "raw"), "cls"))
+    sizes = inside.groupBy("cell").agg(F.count("*").alias("size"))
+    steps = F.lit(1 << 30)
+    mine = F.pmod(F.xxhash64("cls", F.lit(29)), steps) < F.lit((1 << 30) * SAMPLE) / F.col("size")
+
+    def split(tab: pa.Table) -> pa.Table:
+        order = np.argsort(tab.column("cls").to_numpy())
+        fine = _centres(_unit([tab.column("raw")[int(i)].as_py() for i in order]), max(1, -(-tab.column("size")[0].as_py() // (SHARD * overlap))))
+        return pa.table({"cell": tab.column("cell").slice(0, 1), "fine": pa.array([fine.tobytes()], pa.binary())})
+
+    fine = inside.join(F.broadcast(sizes), "cell").where(mine).select("cell", "cls", "raw", "size")  # one row a cell
+    fine = fine.groupBy("cell").applyInArrow(split, "cell long, fine binary")
+    parts = sizes.select("cell", F.ceil(F.col("size") / PART).cast("int").alias("_parts"))
+    met = inside.join(F.broadcast(parts), "cell").withColumn("part", F.pmod(F.xxhash64("cls"), F.col("_parts")).cast("int"))
+    centres = fine.join(F.broadcast(parts), "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+
+    def deal(members: pa.Table, own: pa.Table) -> pa.Table:
+        if not members.num_rows or not own.num_rows:
+            return pa.table({"cls": pa.array([], pa.int64()), "shard": pa.array([], pa.int64())})
+        raw = members.column("raw").to_pylist()
+        at = np.frombuffer(own.column("fine")[0].as_py(), np.float32).reshape(-1, len(raw[0]) // 8)
+        near = _nearest(raw, at, overlap).astype(np.int64)
+        taken = np.where(members.column("rank").to_numpy() == 0, near.shape[1], 1)
+        row = np.repeat(np.arange(len(raw)), taken)
+        slot = np.arange(len(row)) - np.repeat(np.cumsum(taken) - taken, taken)
+        cell = members.column("cell").to_numpy()[row]
+        return pa.table({"cls": members.column("cls").to_numpy()[row], "shard": cell << 32 | near[row, slot]})
+
+    dealt = (met.select("cell", "part", "cls", "rank", "raw").groupBy("cell", "part")
+             .cogroup(centres.select("cell", "part", "fine").groupBy("cell", "part")).applyInArrow(deal, "cls long, shard long"))
+    return stored(dealt.groupBy("cls").agg(F.sort_array(F.collect_set("shard")).alias("at")))
+
+
+def _shards(sets: DataFrame, places: DataFrame) -> DataFrame:
+    """(shard, x, y, part, cls, raw, n, asked, at): every class in its shards, large shards in pairs of parts."""
+    placed = places.select("cls", "at", F.explode("at").alias("shard"))
     sizes = placed.groupBy("shard").agg(F.ceil(F.count("*") / MOST).cast("int").alias("_parts"))
-    dealt = (placed.join(F.broadcast(sizes), "shard")  # one row a centre, at most CENTRES
+    dealt = (placed.join(sizes, "shard")
              .withColumn("part", F.pmod(F.xxhash64("cls"), F.col("_parts")).cast("int"))
              .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))))
-    return stored(dealt.select("shard", F.least("part", "_other").alias("x"), F.greatest("part", "_other").alias("y"), "cls")
-                  .join(sets.select("cls", "raw"), "cls"))
+    return stored(dealt.select("shard", F.least("part", "_other").alias("x"), F.greatest("part", "_other").alias("y"), "part", "cls", "at")
+                  .join(sets.select("cls", "raw", "n", "asked"), "cls"))
+
+
+FOUND = "a long, b long, links long, audit boolean"
+
+
+def _smallest_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest value that each row of ``a`` shares with the same row of ``b``; rows ascend, padded with -1."""
+    out = np.full(len(a), np.iinfo(np.int64).max)
+    for k in range(a.shape[1]):
+        both = ((a[:, k, None] == b) & (a[:, k, None] >= 0)).any(axis=1)
+        out = np.where(both, np.minimum(out, a[:, k]), out)
+    return out
+
+
+def _tally(a: np.ndarray, b: np.ndarray, n: np.ndarray, asked: np.ndarray) -> pa.Table:
+    """What pairs (a, b) of classes come down to: the number of rows that each class links with (b null), links that join up
+    the classes of a component, and, marked, the pairs of classes that are asked for in the audit.
+
+    ``n`` holds the rows of both classes, a column each, and ``asked`` whether either is.
+    """
+    ids, which = np.unique(np.concatenate((a, b)), return_inverse=True)
+    links = np.zeros(len(ids), np.int64)
+    np.add.at(links, which, np.concatenate((n[:, 1], n[:, 0])))
+    low, root = stars(a, b)
+    pairs = int(asked.sum())
+    return pa.table({
+        "a": pa.array(np.concatenate((ids, root, a[asked]))),
+        "b": pa.concat_arrays([pa.nulls(len(ids), pa.int64()), pa.array(low), pa.array(b[asked])]),
+        "links": pa.concat_arrays([pa.array(links), pa.nulls(len(low) + pairs, pa.int64())]),
+        "audit": pa.array([False] * (len(ids) + len(low)) + [True] * pairs, pa.bool_()),
+    })
 
 
 def _found(shards: DataFrame, radius: float, beam: int) -> DataFrame:
-    """(a, b): verified pairs a < b of classes."""
+    """Verified pairs of classes as ``_tally`` has them. A pair counts in the smallest shard that both classes are in, so it
+    counts once, and no pairs leave a task but those of the audit."""
     keys = ["shard", "x", "y"]
 
     def build(tab: pa.Table) -> pa.Table:
@@ -236,11 +329,16 @@ def _found(shards: DataFrame, radius: float, beam: int) -> DataFrame:
         return pa.table({"cls": cls[src], "to": cls[g.out[src, c]]})
 
     def search(tab: pa.Table) -> pa.Table:
-        cls = tab.column("cls").to_numpy()
-        order = np.argsort(cls)
-        raw = [tab.column("raw")[int(i)].as_py() for i in order]
-        links = [tab.column("links")[int(i)].as_py() or [] for i in order]
-        cls = cls[order]
+        tab = tab.take(pa.array(np.argsort(tab.column("cls").to_numpy()))).combine_chunks()
+        cls, part, n = (tab.column(c).to_numpy() for c in ("cls", "part", "n"))
+        asked = tab.column("asked").to_numpy(zero_copy_only=False).astype(bool)
+        shard, one = tab.column("shard")[0].as_py(), tab.column("x")[0] == tab.column("y")[0]
+        raw = tab.column("raw").to_pylist()
+        links = [x or [] for x in tab.column("links").to_pylist()]
+        places = tab.column("at").to_pylist()
+        at_ = np.full((len(cls), max(map(len, places))), -1, np.int64)
+        for k, p in enumerate(places):
+            at_[k, :len(p)] = p
         g = Graph(_unit(raw))
         row = np.repeat(np.arange(len(cls)), [len(x) for x in links])
         to = np.fromiter((v for x in links for v in x), np.int64, len(row))
@@ -252,43 +350,90 @@ def _found(shards: DataFrame, radius: float, beam: int) -> DataFrame:
         g.out[row, slot] = at
         full = np.frombuffer(b"".join(raw), np.float64).reshape(len(raw), -1)
         size = np.sqrt(np.einsum("ij,ij->i", full, full))
-        a_, b_ = [], []
+        kept = []
         for lo in range(0, len(cls), 512):
             nodes = np.arange(lo, min(lo + 512, len(cls)))
             q, node = g.within(g.x[nodes], nodes, radius - 1e-4, beam)
-            a, b = nodes[q], node
-            a, b = np.minimum(a, b)[a != b], np.maximum(a, b)[a != b]
+            a, b = np.minimum(nodes[q], node), np.maximum(nodes[q], node)
+            a, b = a[a != b], b[a != b]
+            fits = (part[a] != part[b]) | one
+            a, b = a[fits], b[fits]
+            mine = _smallest_shared(at_[a], at_[b]) == shard
+            a, b = a[mine], b[mine]
             ok = np.einsum("ij,ij->i", full[a], full[b]) / (size[a] * size[b]) >= radius
-            a_.append(cls[a[ok]])
-            b_.append(cls[b[ok]])
-        pairs = np.unique(np.stack((np.concatenate(a_), np.concatenate(b_))), axis=1)
-        return pa.table({"a": pairs[0], "b": pairs[1]})
+            kept.append(a[ok] * len(cls) + b[ok])
+        pairs = np.unique(np.concatenate(kept))
+        a, b = pairs // len(cls), pairs % len(cls)
+        return _tally(cls[a], cls[b], np.stack((n[a], n[b]), 1), asked[a] | asked[b])
 
-    edges = shards.groupBy(*keys).applyInArrow(build, "cls long, to long")
+    members = shards.select(*keys, "cls", "raw")
+    edges = members.groupBy(*keys).applyInArrow(build, "cls long, to long")
     united = edges.groupBy("cls").agg(F.collect_set("to").alias("links"))  # at most 2 * DEGREE a shard
-    return stored(shards.join(united, "cls", "left").groupBy(*keys).applyInArrow(search, "a long, b long").distinct())
+    return stored(shards.join(united, "cls", "left").groupBy(*keys).applyInArrow(search, FOUND))
+
+
+def _true_links(sets: DataFrame, asked: DataFrame, radius: float) -> DataFrame:
+    """(a, b), a < b: all links of the classes ``asked``, by comparing them with every class, block by block."""
+    blocks = max(1, -(-asked.count() // QUERIES_AT_ONCE))
 
+    def packed(tab: pa.Table) -> pa.Table:
+        return pa.table({"q": tab.column("q").slice(0, 1), "q_names": pa.array([tab.column("cls").to_numpy().tobytes()], pa.binary()),
+                         "q_block": pa.array([b"".join(tab.column("raw").to_pylist())], pa.binary())})
 
-def _recall(sets: DataFrame, pairs: DataFrame, radius: float) -> float:
-    """The share of the true links of ``AUDIT`` classes (by hash) that were found; 1 without links."""
-    asked = sorted(sampled(sets, ["cls", "raw"], AUDIT).select("cls", "raw").collect())
-    names = np.array([r.cls for r in asked], np.int64)
-    x = np.frombuffer(b"".join(bytes(r.raw) for r in asked), np.float64).reshape(len(asked), -1)
-    x = x / np.linalg.norm(x, axis=1)[:, None]
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, QUERIES_AT_ONCE):
+                part = batch.slice(at, QUERIES_AT_ONCE)
+                yield pa.RecordBatch.from_arrays([pa.array([part.column("cls").to_numpy().tobytes()], pa.binary()),
+                                                  pa.array([b"".join(part.column("raw").to_pylist())], pa.binary())], names=["names", "block"])
+
+    queries = (asked.select("cls", "raw", F.pmod(F.xxhash64("cls"), F.lit(blocks)).cast("int").alias("q"))
+               .groupBy("q").applyInArrow(packed, "q int, q_names binary, q_block binary"))
+    every = sets.select("cls", "raw").mapInArrow(pack, "names binary, block binary")
+    met = every.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(queries, "q")
 
     def brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def unit(block: bytes, names: np.ndarray) -> np.ndarray:
+            x = np.frombuffer(block, np.float64).reshape(len(names), -1)
+            return x / np.linalg.norm(x, axis=1)[:, None]
+
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            cls = batch.column("cls").to_numpy()
-            y = np.frombuffer(b"".join(batch.column("raw").to_pylist()), np.float64).reshape(len(cls), -1)
-            i, j = np.nonzero((y / np.linalg.norm(y, axis=1)[:, None]) @ x.T >= radius)
-            a, b = np.minimum(cls[i], names[j]), np.maximum(cls[i], names[j])
-            yield pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], names=["a", "b"])
-
-    true = stored(sets.select("cls", "raw").mapInArrow(brute, "a long, b long").distinct())
+            for mine, block, theirs, other in zip(*(batch.column(c).to_pylist() for c in ("names", "block", "q_names", "q_block")), strict=True):
+                mine, theirs = np.frombuffer(mine, np.int64), np.frombuffer(theirs, np.int64)
+                i, j = np.nonzero(unit(block, mine) @ unit(other, theirs).T >= radius)
+                a, b = np.minimum(mine[i], theirs[j]), np.maximum(mine[i], theirs[j])
+                yield pa.RecordBatch.from_arrays([pa.array(a[a != b]), pa.array(b[a != b])], names=["a", "b"])
+
+    return stored(met.mapInArrow(brute, "a long, b long").distinct())
+
+
+def _exactly(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Pairs of classes as ``_tally`` has them, none left out."""
+    n = sets.select("cls", "n")
+    both = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    counts = both.join(n.withColumnRenamed("cls", "b"), "b").groupBy("a").agg(F.sum("n").alias("links"))
+    none = F.lit(False).alias("audit")
+    return counts.select("a", F.lit(None).cast("long").alias("b"), "links", none).union(
+        pairs.select("a", "b", F.lit(None).cast("long").alias("links"), none))
+
+
+def _searched(same: DataFrame, radius: float) -> tuple[DataFrame, float | None]:
+    """The links of vectors of one length, and the share of the audited ones that the graphs found; None if too few are
+    known to tell.
+
+    True links that the graphs missed are added. Where the share stays below ``RECALL``, all classes are compared.
+    """
+    n = same.count()
+    true = _true_links(same, same.where("asked"), radius)
     every = true.count()
-    return true.join(pairs, ["a", "b"], "left_semi").count() / every if every else 1.0
+    for attempt in range(ROUNDS):
+        places = _places(same, n, OVERLAP * (attempt + 1))
+        found = _found(_shards(same, places), radius, BEAM * (attempt + 1))
+        missed = stored(true.join(found.where("audit").select("a", "b"), ["a", "b"], "left_anti"))
+        got = 1 - missed.count() / every if every else 1.0
+        if got >= RECALL:
+            return found.union(_exactly(same, missed)), got if every >= LEAST_LINKS else None
+    return _exactly(same, _true_links(same, same, radius)), 1.0
 
 
 def near_duplicates(vectors: DataFrame, radius: float = COSINE, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -297,30 +442,19 @@ def near_duplicates(vectors: DataFrame, radius: float = COSINE, vec_id: str = "v
     Two vectors link when their cosine, in double precision, is at least ``radius``. A vector that is null,
     empty or zero, or holds null or non-finite components, and one with a null id, links with nothing.
     Rows that share an id are judged row by row. Vectors of different lengths never meet: each length is
-    searched on its own. Equal vectors all link. The component is the smallest id reachable by links.
+    searched on its own. Equal vectors all link. The component is the smallest id reachable by links. ``audit_recall`` is the
+    share of the links of every fiftieth id that the graphs found, the least of all lengths; null where fewer than
+    ``LEAST_LINKS`` such links exist.
     """
     members, sets = classes(vectors, vec_id, embedding)
-    found = None
-    recall = 1.0
+    found, recalls = vectors.sparkSession.createDataFrame([], FOUND), []
     for (size,) in sets.select(F.length("raw")).distinct().orderBy(F.length("raw")).collect():  # one row a vector length
-        same = sets.where(F.length("raw") == size)
-        n = same.count()
-        sample = sampled(same, ["cls"], SAMPLE).select("cls", "raw").collect()
-        k = max(1, min(-(-n // SHARD), CENTRES))
-        centres = _centres(_unit([bytes(r.raw) for r in sorted(sample)]), k)
-        for attempt in range(ROUNDS):
-            overlap = min(OVERLAP * (attempt + 1), len(centres))
-            pairs = _found(_shards(same, centres, overlap), radius, BEAM * (attempt + 1))
-            got = _recall(same, pairs, radius)
-            if got >= RECALL:
-                break
-        recall = min(recall, got)
-        found = pairs if found is None else found.union(pairs)
-    if found is None:
-        found = vectors.sparkSession.createDataFrame([], "a long, b long")
-    both = found.union(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    around = both.join(sets.select(F.col("cls").alias("b"), "n"), "b").groupBy("a").agg(F.sum("n").alias("_more"))
-    parts = sets.select("cls", "n", "top").join(components(found).withColumnRenamed("id", "cls"), "cls", "left")
+        some, recall = _searched(sets.where(F.length("raw") == size), radius)
+        found = found.union(some)
+        recalls += [recall] if recall is not None else []
+    around = found.where("b is null").groupBy("a").agg(F.sum("links").alias("_more"))
+    joined = components(found.where("b is not null and not audit").select("a", "b"))
+    parts = sets.select("cls", "n", "top").join(joined.withColumnRenamed("id", "cls"), "cls", "left")
     parts = parts.withColumn("component", F.coalesce("component", "cls"))
     named = parts.groupBy("component").agg(F.min("top").alias("_low"))
     by_class = stored(parts.join(named, "component").join(around.withColumnRenamed("a", "cls"), "cls", "left")
@@ -329,7 +463,7 @@ def near_duplicates(vectors: DataFrame, radius: float = COSINE, vec_id: str = "v
     component = F.coalesce("_low", "vec")
     return out.select(F.col("vec").alias("vec_id"), F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"),
                       component.alias("component_id"), F.coalesce(F.col("vec") == component, F.lit(False)).alias("kept"),
-                      F.lit(float(recall)).alias("audit_recall"))
+                      F.lit(min(recalls, default=None)).cast("double").alias("audit_recall"))
 
 
 @query("op9_flat_graph")

@@ -12,23 +12,28 @@ from pyspark.sql import functions as F
 from tallyline.llm.scratch import stored
 
 
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(id, smallest id of its component) for every id of the links but the smallest ones themselves."""
+    ids, flat = np.unique(np.concatenate((a, b)), return_inverse=True)
+    x, y = flat[:len(a)], flat[len(a):]
+    root = np.arange(len(ids))
+    while True:  # hooks roots to smaller roots, then halves the paths
+        rx, ry = root[x], root[y]
+        apart = rx != ry
+        if not apart.any():
+            break
+        np.minimum.at(root, np.maximum(rx, ry)[apart], np.minimum(rx, ry)[apart])
+        while (root != root[root]).any():
+            root = root[root]
+    own = root != np.arange(len(ids))
+    return ids[own], ids[root[own]]
+
+
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links of each batch as stars: every id to the smallest id of its component within the batch."""
     for batch in batches:
-        a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        ids, flat = np.unique(np.concatenate((a, b)), return_inverse=True)
-        x, y = flat[:len(a)], flat[len(a):]
-        root = np.arange(len(ids))
-        while True:  # hooks roots to smaller roots, then halves the paths
-            rx, ry = root[x], root[y]
-            apart = rx != ry
-            if not apart.any():
-                break
-            np.minimum.at(root, np.maximum(rx, ry)[apart], np.minimum(rx, ry)[apart])
-            while (root != root[root]).any():
-                root = root[root]
-        own = root != np.arange(len(ids))
-        yield pa.RecordBatch.from_arrays([pa.array(ids[own]), pa.array(ids[root[own]])], names=["a", "b"])
+        ids, roots = stars(batch.column(0).to_numpy(), batch.column(1).to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(roots)], names=["a", "b"])
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -69,5 +69,58 @@ def test_large_shards_meet_in_parts(frame, monkeypatch):
     assert sum(r.n_links for r in got) >= 0.9 * sum(w[1] for w in want)
 
 
+def links_of(got):
+    return sorted((-1 if r.vec_id is None else r.vec_id, r.n_links, -1 if r.component_id is None else r.component_id) for r in got)
+
+
+def test_centres_grow_in_two_levels(frame, monkeypatch):
+    rows = vectors()
+    monkeypatch.setattr(flat_graph, "CENTRES", 4)
+    monkeypatch.setattr(flat_graph, "SHARD", 20)
+    monkeypatch.setattr(flat_graph, "PART", 150)
+    got = flat_graph.near_duplicates(frame(rows, "vec_id long, embedding array<float>")).collect()
+    want = truth(rows, flat_graph.COSINE)
+    assert len(got) == len(want) and all(h[1] <= w[1] for h, w in zip(links_of(got), want, strict=True))
+    assert sum(r.n_links for r in got) >= 0.9 * sum(w[1] for w in want)
+
+
+def test_below_the_bar_all_classes_are_compared(frame, monkeypatch):
+    rows = vectors()
+    monkeypatch.setattr(flat_graph, "ROUNDS", 1)
+    monkeypatch.setattr(flat_graph, "RECALL", 1.5)
+    monkeypatch.setattr(flat_graph, "QUERIES_AT_ONCE", 64)
+    got = flat_graph.near_duplicates(frame(rows, "vec_id long, embedding array<float>").repartition(3)).collect()
+    assert links_of(got) == truth(rows, flat_graph.COSINE) and {r.audit_recall for r in got} == {1.0}
+
+
+def test_missed_links_of_audited_vectors_are_added(frame, monkeypatch):
+    """A search that finds nothing: the links of every fiftieth id are there all the same, and the recall tells."""
+    rows = [(k, v) for k, v in vectors() if k is not None and k < 400]
+    monkeypatch.setattr(flat_graph.Graph, "within", lambda self, queries, nodes, radius, beam: (np.arange(len(queries)), nodes))
+    monkeypatch.setattr(flat_graph, "ROUNDS", 1)
+    monkeypatch.setattr(flat_graph, "RECALL", 0.0)
+    monkeypatch.setattr(flat_graph, "LEAST_LINKS", 1)
+    got = {r.vec_id: r for r in flat_graph.near_duplicates(frame(rows, "vec_id long, embedding array<float>")).collect()}
+    want = {w[0]: w for w in truth(rows, flat_graph.COSINE)}
+    assert all(got[i].n_links == want[i][1] for i in range(0, 400, 50)) and sum(want[i][1] for i in range(0, 400, 50)) > 0
+    assert all(got[i].n_links <= want[i][1] for i in want) and got[1].audit_recall == 0
+
+
+def test_smallest_shared_place():
+    a, b = np.array([[1, 4, 7], [2, 3, -1], [5, 6, 8]]), np.array([[4, 7, 9], [1, 4, -1], [5, 8, -1]])
+    got = flat_graph._smallest_shared(a, b)
+    assert got[0] == 4 and got[1] == np.iinfo(np.int64).max and got[2] == 5
+
+
+def test_query_on_a_folder(spark, frame, tmp_path):
+    from tallyline.llm.queries import QUERIES
+
+    rows = vectors()
+    frame([(*r, 0) for r in rows], "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    df = QUERIES["op9_flat_graph"](spark, str(tmp_path))
+    assert [f for f, _ in df.dtypes][:4] == ["vec_id", "n_links", "component_id", "kept"]
+    assert dict(df.dtypes)["n_links"] == "bigint" and df.count() == len(rows)
+
+
 def test_empty_table(frame):
     assert flat_graph.near_duplicates(frame([], "vec_id long, embedding array<float>")).count() == 0
