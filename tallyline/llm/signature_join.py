@@ -46,8 +46,9 @@ SHARE = 0.001
 TILE = 4_096
 MEMBERS = 256
 SALTS = 64
-LOT = 1 << 22
+LOT = 1 << 20
 HOOD = 512
+HOOD_TOKENS = 1 << 19
 BROADCAST_ROWS = 1_000_000
 PAIRS_AT_ONCE = 1 << 15
 WORDS_AT_ONCE = 1 << 21
@@ -554,13 +555,15 @@ def _texts(docs: DataFrame, narrow: DataFrame, needed: DataFrame, text: str, doc
 
 
 def _within(docs: DataFrame, narrow: DataFrame, hoods: DataFrame, size: int, percent: int, text: str, doc_id: str) -> DataFrame:
-    """(a, b, n_links) of each neighbourhood (cls, hood, rows), from exact overlaps.
+    """(a, b, n_links) of each neighbourhood (cls, hood, rows, n), from exact overlaps.
 
     Rows with b are links that join up the linked classes; rows without b count the documents of other classes
-    that a document of class a links with. A neighbourhood of more than ``HOOD`` classes is cut into parts;
+    that a document of class a links with. A neighbourhood of more than ``HOOD`` classes or ``HOOD_TOKENS`` tokens is cut into parts;
     every two parts meet in a task, and a pair counts where its own two parts meet.
     """
-    parts = hoods.groupBy("hood").agg(F.ceil(F.count("*") / HOOD).cast("int").alias("_parts"))
+    parts = hoods.groupBy("hood").agg(
+        F.greatest(F.ceil(F.count("*") / HOOD), F.ceil(F.sum("n") / HOOD_TOKENS)).cast("int").alias("_parts"))
+    hoods = hoods.drop("n")
     dealt = (_texts(docs, narrow, hoods.join(parts, "hood"), text, doc_id)
              .withColumn("_part", F.pmod(F.xxhash64("cls"), F.col("_parts")).cast("int"))
              .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
@@ -669,7 +672,7 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80, share: float = SHA
     null id links like any other but names no component: one of such rows alone has a null id.
     """
     narrow, frequent = _describe(docs, size, text, doc_id, share)
-    classes = stored(narrow.where("cls is not null").groupBy("cls").agg(F.count("*").alias("rows"), F.max("sig").alias("sig")))
+    classes = stored(narrow.where("cls is not null").groupBy("cls").agg(F.count("*").alias("rows"), F.max("n").alias("n"), F.max("sig").alias("sig")))
     met = stored(_meetings(docs, size, percent, text, frequent))
     stars = stored(_stars(met, classes))
     ties = _ties(met, components(stars), percent)
@@ -679,13 +682,13 @@ def groups(docs: DataFrame, size: int = 5, percent: int = 80, share: float = SHA
                    .withColumn("comp", F.coalesce("hood", "cls")).drop("hood"))
     mixed = known.groupBy("token").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"), F.count("*").alias("_n"))
     open_ = known.join(mixed.where("_a <> _b").select("token", "_n"), "token")
-    more = _verified(docs, narrow, _tree_pairs(open_.join(classes.drop("rows"), "cls"), percent), size, percent, text, doc_id)
+    more = _verified(docs, narrow, _tree_pairs(open_.join(classes.select("cls", "sig"), "cls"), percent), size, percent, text, doc_id)
     more = more.distinct()  # rows that share id and text are compared more than once
     final = components(links.where("b is not null").select("a", "b").union(more))
     sides = more.select("a", F.col("b").alias("cls")).union(more.select("b", F.col("a").alias("cls")))
-    counts = (links.where("b is null").select("a", "n_links").union(sides.join(classes.drop("sig"), "cls").select("a", "rows"))
+    counts = (links.where("b is null").select("a", "n_links").union(sides.join(classes.select("cls", "rows"), "cls").select("a", "rows"))
               .groupBy("a").agg(F.sum("n_links").alias("n_links")))
-    classes = classes.drop("sig")
+    classes = classes.select("cls", "rows")
     counts = classes.join(counts, classes["cls"] == counts["a"], "left").select(
         F.col("cls").alias("_l"), (F.col("rows") - 1 + F.coalesce("n_links", F.lit(0))).alias("n_links"))
     first = narrow.where("cls is not null").groupBy("cls").agg(F.min("_id").alias("_first"))
