@@ -56,8 +56,11 @@ def heavy_keys(
     """Heavy keys of each given column list, all from one scan of just those columns.
 
     A key is heavy when it holds at least ``min_rows`` rows, a bar that does not grow with the
-    data. The sketch tracks eight times ``1 / share`` items, so no key above both bars is missed.
+    data. The sketch tracks eight times ``1 / share`` items, so no key above both bars is missed. Rows
+    are counted first, which reads no column: fewer than ``min_rows`` of them hold no heavy key.
     """
+    if df.count() < min_rows:
+        return [HeavyKeys(tuple(k)) for k in keys]
     top = int(1 / share)
     hashed = df.select(*[key_hash(k).alias(f"h{i}") for i, k in enumerate(keys)])
     sketches = [

@@ -2,8 +2,8 @@ import datetime as dt
 
 import pytest
 
-from tallyline.plans.lending import CLASSIFICATION, CONTRACTS
-from tallyline.plans.nightly import run_nightly
+from tallyline.plans.lending import CLASSIFICATION, CONTRACTS, REPAYMENTS_V2
+from tallyline.plans.nightly import ARRIVAL_LOG, ARRIVAL_LOG_SCHEMA, run_nightly
 from tallyline.sources.store import SnapshotStore
 
 
@@ -144,6 +144,29 @@ def test_blocked_night_keeps_the_published_tables(nights):
     assert second.tables["raw_cbs_repayments"].count() == 3
 
 
+def test_a_night_takes_both_versions_of_a_source(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    write(
+        folder, ims_clients=csv("ims_clients", *CLIENTS), cbs_borrowers=csv("cbs_borrowers", *BORROWERS),
+        cbs_loans=csv("cbs_loans", *LOANS), cbs_repayments_day1=csv("cbs_repayments", *REPAYMENTS),
+        cbs_repayments_day2="txn_id,loan_id,paid_at,amount_paid,currency,channel,agent_code,reversal_of\n"
+                            "T9,L1,2026-02-03T09:00:00Z,500,KES,,AG7,\n",
+        fx_rates=csv("fx_rates", *RATES),
+        cbs_control_totals=csv("cbs_control_totals", TOTALS[0], {**TOTALS[1], "repayments_count": 2, "repayments_amount": 1000}, TOTALS[2]),
+    )
+    classes = {**CLASSIFICATION["cbs_repayments_*.csv"], "amount_paid": "internal", "agent_code": "internal"}
+    night = run_nightly(
+        spark, str(folder), str(tmp_path / "out"), contracts={**CONTRACTS, "cbs_repayments": [CONTRACTS["cbs_repayments"], REPAYMENTS_V2]},
+        classification={**CLASSIFICATION, "cbs_repayments_*.csv": classes})
+    assert night.published, night.results.filter("not passed").collect()
+    raw = {r.txn_id: (r.amount, r.agent_code) for r in night.tables["raw_cbs_repayments"].collect()}
+    assert raw["T9"] == ("500", "AG7") and raw["T1"] == ("500.00", None) and len(raw) == 4
+    log = SnapshotStore(spark, str(tmp_path / "out")).read_log(ARRIVAL_LOG, ARRIVAL_LOG_SCHEMA)
+    assert {r.file: r.contract_version for r in log.filter("source = 'cbs_repayments'").collect()} == {
+        "cbs_repayments_day1.csv": 1, "cbs_repayments_day2.csv": 2}
+
+
 def test_nothing_arrived_is_blocked_not_broken(spark, tmp_path):
     run = run_nightly(spark, str(tmp_path / "none"), str(tmp_path / "out"))
     assert not run.published and run.results.count() == 6

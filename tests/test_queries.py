@@ -2,6 +2,7 @@
 
 import glob
 import os
+import re
 from collections import Counter
 
 import duckdb
@@ -39,6 +40,18 @@ def test_query_equals_its_oracle(spark, duck, name):
     assert got == want
 
 
+@needs_data
+@pytest.mark.parametrize(("name", "scans", "exchanges"), [
+    ("dq_summary", 0, 0), ("asof_backward", 2, 3), ("asof_fallback", 2, 3), ("reconcile_totals", 4, 10)])
+def test_plans_read_and_shuffle_no_more_than_they_need(spark, name, scans, exchanges):
+    """Counted in the final plan: what a query writes on the way (one scan and two exchanges of an as-of join) is behind it."""
+    df = entry.queries()[name](spark, SF_DIR)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(re.findall("FileScan|Scan parquet", plan)) <= scans
+    assert len(re.findall(r"(?<!Broadcast)(?<!Reused)Exchange ", plan)) <= exchanges
+
+
 @needs_data
 def test_every_query_has_an_oracle():
     """Queries of the training-data operators have brute-force tests of their own where SQL can't express them."""
