@@ -24,7 +24,8 @@ from tallyline.llm.token_files import PART, vocabulary
 
 
 def lengths(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame:
-    """(n_tokens, n_docs): documents of each encoded length. A null or empty text has length 0."""
+    """(n_tokens, n_docs): documents of each encoded length. A null or empty text has length 0; a repeated row is a document of
+    its own; other columns are not looked at. An empty table gives no rows."""
     kinds = byte_bpe.classes()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
