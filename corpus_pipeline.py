@@ -19,7 +19,10 @@ ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the toxicity model scores below one half; the model learns from the labels of ``sf_dir``."""
+    """Rows that the toxicity model scores below one half; the model learns from the labels of ``sf_dir``.
+
+    A null text counts as an empty one, which scores the model's bias; repeated rows are judged alike, and an empty table gives none.
+    """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.scored(docs, model).where(F.col("score") < 0.5)
     return scored.select(*[F.col(f"row.{c}").alias(c) for c in docs.columns])
@@ -69,12 +72,16 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row a repetition that the mix takes; the document at the edge of a source is cut to its words."""
+    """One row a repetition that the mix takes; the document at the edge of a source is cut to its words.
+
+    A null text or one without words goes as often as its source is repeated whole; a null source is a source of its own, the
+    last one. Repeated rows are documents of their own, and an empty table gives no rows.
+    """
     return mixing.copies(mixing.mix(docs), docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Best ids and N best paths of every text of the mix."""
+    """Best ids and N best paths of every text of the mix, a row each; a null text is empty, and an empty table gives no rows."""
     out = pieces.encode(docs, pieces.vocabulary_path(), keep=("doc_id", "source"))
     return out.select("row.doc_id", "row.source", "ids", "n_tokens", "score", "nbest", "decoded_equal")
 
