@@ -37,6 +37,8 @@ ANCHOR = 40
 BLOCK = 31
 BUNDLE = 1 << 19
 LARGEST = 1 << 22
+SALTS = 32
+SALT_AT = 25
 _U = np.uint64
 
 
@@ -94,23 +96,24 @@ def _anchor_rows(batch: pa.RecordBatch, least: int, anchor: int) -> Iterator[tup
 
 
 class _Numbering:
-    """Number of each row among the rows of its document id, over batches sorted by id."""
+    """Number of each row among the rows of its document id, over batches in order; the salt of a row stands in its high bits."""
 
     def __init__(self) -> None:
         self.last, self.seen = None, 0
 
-    def of(self, ids: np.ndarray) -> np.ndarray:
+    def of(self, batch: pa.RecordBatch) -> np.ndarray:
+        ids, salts = batch.column("_id").to_numpy(), batch.column("_salt").to_numpy()
         n = len(ids)
         if not n:
             return np.zeros(0, np.int64)
         new = np.ones(n, bool)
-        new[1:] = ids[1:] != ids[:-1]
+        new[1:] = (ids[1:] != ids[:-1]) | (salts[1:] != salts[:-1])
         first = np.maximum.accumulate(np.where(new, np.arange(n), 0))
         number = np.arange(n) - first
-        if self.last is not None and ids[0] == self.last:
+        if self.last == (ids[0], salts[0]):
             number[:int(np.argmax(new[1:])) + 1 if new[1:].any() else n] += self.seen
-        self.last, self.seen = ids[-1], int(number[-1]) + 1
-        return number
+        self.last, self.seen = (ids[-1], salts[-1]), int(number[-1]) + 1
+        return (salts.astype(np.int64) << SALT_AT) + number
 
 
 def _frequent(docs: DataFrame, least: int, anchor: int, share: float) -> np.ndarray:
@@ -137,7 +140,7 @@ def _frequent(docs: DataFrame, least: int, anchor: int, share: float) -> np.ndar
 
 def _in_order(rows: DataFrame) -> DataFrame:
     """Rows of each task by id, those of one id by a hash of their text; a join keeps no order, so it is asked for after each."""
-    return rows.sortWithinPartitions("_id", F.xxhash64("_bytes"))
+    return rows.sortWithinPartitions("_id", "_salt", F.xxhash64("_bytes"))
 
 
 def mark_repeats(base: DataFrame, frequent: np.ndarray, least: int, anchor: int) -> DataFrame:
@@ -152,7 +155,7 @@ def mark_repeats(base: DataFrame, frequent: np.ndarray, least: int, anchor: int)
         numbering = _Numbering()
         for batch in batches:
             ids = batch.column("_id").to_numpy()
-            number = numbering.of(ids)
+            number = numbering.of(batch)
             found = list(_anchor_rows(batch, least, anchor))
             if not found:
                 continue
@@ -184,13 +187,13 @@ def mark_repeats(base: DataFrame, frequent: np.ndarray, least: int, anchor: int)
 
     again = (base.mapInArrow(find, "bucket int, blob binary").repartition(n, "bucket").sortWithinPartitions("bucket")
              .mapInArrow(repeated, "hot boolean, _id long, no int, x int"))
-    places = again.groupBy("_id").agg(F.collect_list(F.struct("no", "x", "hot")).alias("_at"))
+    places = again.groupBy("_id", F.shiftright("no", SALT_AT).alias("_salt")).agg(F.collect_list(F.struct("no", "x", "hot")).alias("_at"))
 
     def surround(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbering, known = _Numbering(), set()
         for batch in batches:
             ids = batch.column("_id").to_numpy()
-            number = numbering.of(ids)
+            number = numbering.of(batch)
             data, ends = K.bytes_of(batch.column("_bytes"))
             lists = batch.column("_at")
             counts = np.diff(lists.offsets.to_numpy())
@@ -209,7 +212,7 @@ def mark_repeats(base: DataFrame, frequent: np.ndarray, least: int, anchor: int)
                 if lo < hi:
                     yield _surroundings(part, stops, row[lo:hi] - i, x[lo:hi], hot[lo:hi], ids[i:j], number[i:j], least, anchor, known)
 
-    around = _in_order(base.join(places, "_id", "left")).mapInArrow(surround, "m long, _id long, no int, s int, e int, context binary")
+    around = _in_order(base.join(places, ["_id", "_salt"], "left")).mapInArrow(surround, "m long, _id long, no int, s int, e int, context binary")
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole, bundle in _bundles(batches):
@@ -424,9 +427,9 @@ def remove_repeats(docs: DataFrame, keep: list[str], least: int = 100, anchor: i
     base = (docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("_id"),
                         F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("_bytes"),
                         F.struct(*[F.col(c) for c in keep]).alias("_row"))
-            .repartition(n, "_id"))
-    base = _in_order(base)
-    marks = (mark_repeats(base, frequent, least, anchor).groupBy("_id")
+            .withColumn("_salt", F.pmod(F.xxhash64("_bytes"), F.lit(SALTS)).cast("int")).repartition(n, "_id", "_salt"))
+    base = _in_order(base)  # rows that share an id are dealt by their text
+    marks = (mark_repeats(base, frequent, least, anchor).groupBy("_id", F.shiftright("no", SALT_AT).alias("_salt"))
              .agg(F.collect_list(F.struct("no", "s", "e")).alias("_marks")))
     kind = docs.select(F.struct(*[F.col(c) for c in keep]).alias("_row")).schema
     schema = kind.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept", "binary")
@@ -434,7 +437,7 @@ def remove_repeats(docs: DataFrame, keep: list[str], least: int = 100, anchor: i
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbering = _Numbering()
         for batch in batches:
-            number = numbering.of(batch.column("_id").to_numpy())
+            number = numbering.of(batch)
             column = batch.column("_bytes")
             lists = batch.column("_marks")
             counts = np.diff(lists.offsets.to_numpy())
@@ -468,7 +471,7 @@ def remove_repeats(docs: DataFrame, keep: list[str], least: int = 100, anchor: i
                 [batch.column("_row"), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()),
                  pa.array(kept, pa.binary())], names=["_row", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    out = _in_order(base.join(marks, "_id", "left")).mapInArrow(cut, schema)
+    out = _in_order(base.join(marks, ["_id", "_salt"], "left")).mapInArrow(cut, schema)
     return out.withColumnRenamed("_row", "row")
 
 
