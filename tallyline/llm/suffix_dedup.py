@@ -25,13 +25,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyline.llm import kernels as K
 from tallyline.llm.registry import query, table
 from tallyline.llm.run_index import RunIndex
-from tallyline.llm.scratch import stored, width
+from tallyline.llm.scratch import width
 
 ANCHOR = 40
 BLOCK = 31
@@ -220,12 +220,12 @@ def mark_repeats(base: DataFrame, frequent: np.ndarray, least: int, anchor: int)
                 yield rows if rows.num_columns == 5 else pa.RecordBatch.from_arrays(
                     [*rows.columns, pa.nulls(rows.num_rows, pa.binary())], names=["_id", "no", "s", "e", "w"])
 
-    found = stored(around.repartition(n, "m").sortWithinPartitions("m").mapInArrow(index, "_id long, no int, s int, e int, w binary"))
+    found = around.repartition(n, "m").sortWithinPartitions("m").mapInArrow(index, "_id long, no int, s int, e int, w binary")
+    # strings of large groups meet by name, one row a part of a group; marks stand alone and pass
     place = F.struct("_id", "no", "s")
-    strings = found.where("w is not null")
-    least_place = strings.groupBy("w").agg(F.min(place).alias("_first"), F.max(place).alias("_last")).where("_first <> _last")
-    again = strings.join(least_place.drop("_last"), "w").where(place != F.col("_first"))
-    return found.where("w is null").drop("w").union(again.select("_id", "no", "s", "e"))
+    name = F.coalesce("w", F.xxhash64("_id", "no", "s").cast("string").cast("binary"))
+    met = found.withColumn("_first", F.min(F.when(F.col("w").isNotNull(), place)).over(Window.partitionBy(name)))
+    return met.where(F.col("w").isNull() | (place != F.col("_first"))).select("_id", "no", "s", "e")
 
 
 def _indexed(bundle: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
