@@ -36,7 +36,7 @@ from tallyline.llm.scratch import width
 ANCHOR = 40
 BLOCK = 31
 BUNDLE = 1 << 19
-LARGEST = 1 << 22
+LARGEST = 1 << 23
 SALTS = 32
 SALT_AT = 25
 _U = np.uint64
@@ -217,15 +217,17 @@ def mark_repeats(base: DataFrame, frequent: np.ndarray, least: int, anchor: int)
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole, bundle in _bundles(batches):
             for rows in _indexed(bundle, least) if whole else _windows(bundle, least):
-                yield rows if rows.num_columns == 5 else pa.RecordBatch.from_arrays(
-                    [*rows.columns, pa.nulls(rows.num_rows, pa.binary())], names=["_id", "no", "s", "e", "w"])
+                if rows.num_columns == 4:  # marks stand alone
+                    spread = K.mix(rows.column("_id").to_numpy().view(_U) + rows.column("s").to_numpy().astype(_U) * _U(K.BASE))
+                    rows = pa.RecordBatch.from_arrays([*rows.columns, pa.array([x.tobytes() for x in spread], pa.binary())], names=["_id", "no", "s", "e", "w"])
+                yield rows
 
     found = around.repartition(n, "m").sortWithinPartitions("m").mapInArrow(index, "_id long, no int, s int, e int, w binary")
-    # strings of large groups meet by name, one row a part of a group; marks stand alone and pass
-    place = F.struct("_id", "no", "s")
-    name = F.coalesce("w", F.xxhash64("_id", "no", "s").cast("string").cast("binary"))
-    met = found.withColumn("_first", F.min(F.when(F.col("w").isNotNull(), place)).over(Window.partitionBy(name)))
-    return met.where(F.col("w").isNull() | (place != F.col("_first"))).select("_id", "no", "s", "e")
+    # strings of large groups (e is 0) meet by name, one row a part of a group
+    place, string = F.struct("_id", "no", "s"), F.col("e") == 0
+    met = found.withColumn("_first", F.min(F.when(string, place)).over(Window.partitionBy("w")))
+    return met.where(~string | (place != F.col("_first"))).select(
+        "_id", "no", "s", F.when(string, F.col("s") + least).otherwise(F.col("e")).cast("int").alias("e"))
 
 
 def _indexed(bundle: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
@@ -282,7 +284,7 @@ def _indexed(bundle: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
 
 def _windows(part: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
     """Marks and strings of a part of a large group: what repeats an earlier place of the part is marked; the first place of
-    each string of ``least`` bytes goes on, named by a hash of 128 bits (``w``)."""
+    each string of ``least`` bytes goes on, named by a hash of 128 bits (``w``), with 0 for its end."""
     yield from part.filter(pc.is_null(part.column("context"))).select(["_id", "no", "s", "e"]).to_batches()
     fresh = part.filter(pc.is_valid(part.column("context"))).combine_chunks()
     if not fresh.num_rows:
@@ -300,11 +302,12 @@ def _windows(part: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
     # the same place may come in two surroundings; it is not a repeat of itself
     head = first[np.cumsum(new) - 1][~new]
     later = later[(ids[row[later]] != ids[row[head]]) | (no[row[later]] != no[row[head]]) | (start[later] != start[head])]
-    for which, name in ((later, None), (first, np.stack(names, 1).view(np.uint8).reshape(len(at), 16))):
-        some = pa.nulls(len(which), pa.binary()) if name is None else pa.array([x.tobytes() for x in name[which]], pa.binary())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids[row[which]]), pa.array(no[row[which]]), pa.array(start[which].astype(np.int32)),
-             pa.array((start[which] + least).astype(np.int32)), some], names=["_id", "no", "s", "e", "w"])
+    place = [pa.array(c) for c in (ids[row[later]], no[row[later]], start[later].astype(np.int32), (start[later] + least).astype(np.int32))]
+    yield pa.RecordBatch.from_arrays(place, names=["_id", "no", "s", "e"])
+    name = np.stack(names, 1)[first]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(ids[row[first]]), pa.array(no[row[first]]), pa.array(start[first].astype(np.int32)), pa.array(np.zeros(len(first), np.int32)),
+         pa.array([x.tobytes() for x in name], pa.binary())], names=["_id", "no", "s", "e", "w"])
 
 
 def _surroundings(data: np.ndarray, ends: np.ndarray, row: np.ndarray, x: np.ndarray, hot: np.ndarray, ids: np.ndarray,
