@@ -9,7 +9,7 @@ with a vector of ``RANK`` numbers per feature. The double sum is half of
 sum_f ((sum_i v_if x_i)^2 - sum_i v_if^2 x_i^2), so a text is scored in time linear in its features.
 
 The model is fitted on a bounded sample of labelled documents (``SAMPLE``). The executors turn their texts into one
-bitmap of ``BUCKETS`` bits and a row of statistics each, so at most ``SAMPLE`` times half a kilobyte reach the driver.
+bitmap of ``BUCKETS`` bits and a row of statistics each, so about ``SAMPLE`` times two thirds of a kilobyte reach the driver.
 Scoring reads every whole text once and needs no shuffle.
 """
 
@@ -227,7 +227,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, text: str = "t
                                                   pa.array(blobs, pa.binary())], names=["_id", "_y", "blob"])
 
     got = rows.mapInArrow(work, "_id long, _y int, blob binary").groupBy("_id").agg(F.min("_y").alias("y"), F.min("blob").alias("blob"))
-    got = sorted(got.collect(), key=lambda r: r["_id"])  # one row of half a kilobyte for each document of the bounded sample
+    got = sorted(got.collect(), key=lambda r: r["_id"])  # one short row for each document of the bounded sample
     y = np.array([r["y"] for r in got], float)
     if not len(y) or y.min() == y.max():
         return _constant(float(y[0]) if len(y) else 0.0, columns)
