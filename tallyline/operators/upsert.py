@@ -57,9 +57,18 @@ def last_file_rows(
     incoming: DataFrame, key: Sequence[str], file: str, ignore: Sequence[str] = (), **heavy_options
 ) -> DataFrame:
     """All incoming rows of the last file (by name) that holds their key, or their content where
-    the key is missing. Rows repeated within that file stay."""
+    the key is missing. Rows repeated within that file stay.
+
+    First the keys are looked for that stand in several files, one slim row a key; where there are none, every row stays as it is.
+    """
     rows = match_columns(incoming, key, ignore)
     match = [*key, CONTENT]
+    # two hashes of 96 bits together tell files apart: their names would have every row sorted by its key
+    one, other = F.xxhash64(file), F.hash(file)
+    torn = rows.groupBy(*match).agg(
+        F.min(one).alias("a"), F.max(one).alias("b"), F.min(other).alias("c"), F.max(other).alias("d")).filter("a <> b or c <> d")
+    if torn.isEmpty():
+        return incoming
     names = [f"_last_{c}" for c in match]
     last = rows.groupBy(*match).agg(F.max(file).alias("_last")).withColumnsRenamed(
         dict(zip(match, names, strict=True)))

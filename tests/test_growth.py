@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tallyline.operators.upsert import last_file_rows
 from tallyline.sources import arrival
 
 
@@ -30,3 +31,13 @@ def test_records_over_lines_are_counted_in_runs_without_shuffling_text(spark, tm
 def test_quotes_of_broken_utf8_are_counted(spark):
     lines = spark.range(1).select(F.unhex(F.lit("E9222C22")).cast("string").alias("v"))
     assert lines.select(arrival._quotes(F.col("v"))).first()[0] == 2
+
+
+def test_rows_of_files_that_share_no_key_are_loaded_without_a_join(spark):
+    schema = "id string, v string, file string"
+    apart = spark.createDataFrame([("a", "x", "f1"), ("a", "y", "f1"), ("b", "x", "f2"), (None, "x", "f2"), (None, "x", "f2")], schema)
+    rows = last_file_rows(apart, ["id"], "file", ("file",))
+    assert "Join" not in final_plan(rows) and sorted(map(str, rows.collect())) == sorted(map(str, apart.collect()))
+    shared = apart.unionAll(spark.createDataFrame([("a", "z", "f2"), (None, "x", "f3")], schema))
+    assert sorted((r.id or "", r.v, r.file) for r in last_file_rows(shared, ["id"], "file", ("file",)).collect()) == [
+        ("", "x", "f3"), ("a", "z", "f2"), ("b", "x", "f2")]
