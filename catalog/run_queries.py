@@ -258,13 +258,13 @@ def _nights(spark: SparkSession, sf_dir: str, nights: int = 3) -> tuple[Snapshot
     """
     root = scratch(spark)
     store = SnapshotStore(spark, f"{root}/out")
-    clients, rates, paid = (raw(spark, sf_dir, s) for s in ("ims_clients", "fx_rates", "cbs_repayments"))
-    paid = paid.repartition("txn_id")  # the rows of a key stand in one file
+    clients, rates, drifted = (raw(spark, sf_dir, s) for s in ("ims_clients", "fx_rates", "cbs_repayments"))
+    paid = drifted.repartition("txn_id")  # the rows of a key stand in one file, where the file is to be loaded
     foreign = clients.filter("lower(first_name) = 'josé'")
     sent = [
         {"ims_clients": (clients, "UTF-8"), "fx_rates": (rates, "UTF-8"), "cbs_repayments": (paid, "UTF-8")},
         {"ims_clients": (foreign, "ISO-8859-1"), "fx_rates": (rates.select(*reversed(rates.columns)).filter("source is not null"), "UTF-8"),
-         "cbs_repayments": (paid.drop("channel"), "UTF-8")},
+         "cbs_repayments": (drifted.drop("channel"), "UTF-8")},
         {"fx_rates": (rates.withColumnRenamed("source", "origin"), "UTF-8"),
          "cbs_repayments": (paid.filter("txn_id like '%1'").withColumn("channel", F.lit("corrected")), "UTF-8")},
     ]
