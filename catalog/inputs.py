@@ -12,7 +12,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyline.session import spread
+from tallyline.session import compiled, spread
 from tallyline.sources.store import scratch_root
 
 TABLES = ("customer", "orders", "lineitem", "events", "nation", "region", "supplier", "part")
@@ -233,6 +233,7 @@ def derived(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
+    compiled(spark)
     return derived(spark, sf_dir, f"raw_{source}")
 
 

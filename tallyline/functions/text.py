@@ -56,7 +56,10 @@ def _lookup(mapping: Mapping[str, str], key: Column) -> Column:
 def upper_code(value: Column | str, aliases: Mapping[str, str] | None = None) -> Column:
     """Trimmed upper-case code; listed aliases become their canonical code, others pass through."""
     code = F.upper(trim_spaces(value))
-    return F.coalesce(_lookup(aliases, code), code) if aliases else code
+    known = code
+    for alias, canonical in (aliases or {}).items():
+        known = F.when(code == alias, F.lit(canonical)).otherwise(known)
+    return known
 
 
 def fold_values(value: Column | str, canonical: Mapping[str, str]) -> Column:

@@ -147,13 +147,14 @@ def validate(
     rows = flag_duplicates(
         rows, checks.key, checks.order_by, measured[0], DUPLICATE, tie_columns=data_columns
     )
-    errors = F.array_compact(F.array(*checks.rules))
-    duplicate = F.when(F.col(DUPLICATE), F.array(F.lit(checks.duplicate_reason))).otherwise(
-        F.array().cast("array<string>")
-    )
+    # rows are split by the rules themselves: a list of reasons is built for rows that break one
+    broken = reduce(Column.__or__, [rule.isNotNull() for rule in checks.rules], F.lit(False))
+    none = F.array().cast("array<string>")
+    errors = F.when(broken, F.array_compact(F.array(*checks.rules))).otherwise(none)
+    duplicate = F.when(F.col(DUPLICATE), F.array(F.lit(checks.duplicate_reason))).otherwise(none)
     return (
         rows.withColumn("validation_errors", errors)
-        .withColumn(QUARANTINED, (F.size("validation_errors") > 0) | F.col(DUPLICATE))
+        .withColumn(QUARANTINED, broken | F.col(DUPLICATE))
         .withColumn(REASONS, F.concat("validation_errors", duplicate))
     )
 

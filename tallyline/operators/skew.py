@@ -1,6 +1,6 @@
 """Keeping one heavy key from landing in one task.
 
-``heavy_keys`` measures, with one narrow scan and a mergeable frequent-items sketch, which key
+``heavy_keys`` measures, with one narrow scan that counts buckets of key hashes, which key
 hashes hold more rows than one task should get. The answer holds at most ``1 / share`` keys
 whatever the data size. The other functions use that list to salt the heavy rows within the same
 plan, so their input is read once. Salting never changes a result, only where a row is processed.
@@ -10,10 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+BUCKETS = 4096
 DEFAULT_SHARE = 0.0001
 DEFAULT_MIN_ROWS = 1_000_000
 ROWS_PER_SALT = 1_000_000
@@ -22,7 +25,7 @@ SALT = "_salt"
 
 @dataclass(frozen=True)
 class HeavyKeys:
-    """Hashes of heavy keys with their estimated row counts."""
+    """Hashes of heavy keys with their row counts."""
 
     key: tuple[str, ...]
     rows: Mapping[int, int] = field(default_factory=dict)
@@ -56,22 +59,27 @@ def heavy_keys(
     """Heavy keys of each given column list, all from one scan of just those columns.
 
     A key is heavy when it holds at least ``min_rows`` rows, a bar that does not grow with the
-    data. The sketch tracks eight times ``1 / share`` items, so no key above both bars is missed. Rows
-    are counted first, which reads no column: fewer than ``min_rows`` of them hold no heavy key.
+    data; of more than ``1 / share`` heavy keys the largest count. Rows are counted first, which reads no
+    column: fewer than ``min_rows`` of them hold no heavy key. Then the rows of each bucket of key hashes are counted,
+    which combine to ``BUCKETS`` rows a task. Only where a bucket holds ``min_rows`` rows are its keys counted, by a second scan.
     """
     if df.count() < min_rows:
         return [HeavyKeys(tuple(k)) for k in keys]
     top = int(1 / share)
-    hashed = df.select(*[key_hash(k).alias(f"h{i}") for i, k in enumerate(keys)])
-    sketches = [
-        F.expr(f"approx_top_k(h{i}, {top}, {8 * top})").alias(f"top{i}") for i in range(len(keys))
-    ]
-    measured = hashed.agg(*sketches).first()
-    return [
-        HeavyKeys(tuple(k), {t["item"]: t["count"] for t in measured[f"top{i}"] or []
-                             if t["count"] >= min_rows})
-        for i, k in enumerate(keys)
-    ]
+    hashed = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("which"), key_hash(k).alias("h")) for i, k in enumerate(keys)])).alias("_")).select("_.*")
+    bucket, rows = F.pmod("h", F.lit(BUCKETS)), F.count("*").alias("n")
+    full: dict[int, list[int]] = {}
+    for row in hashed.groupBy("which", bucket.alias("bucket")).agg(rows).filter(F.col("n") >= min_rows).collect():
+        full.setdefault(row["which"], []).append(row["bucket"])
+    found: list[dict[int, int]] = [{} for _ in keys]
+    if full:
+        in_full = reduce(Column.__or__, [(F.col("which") == i) & bucket.isin(some) for i, some in full.items()])
+        largest_first = F.row_number().over(W.partitionBy("which").orderBy(F.desc("n"), "h"))
+        heavy = hashed.filter(in_full).groupBy("which", "h").agg(rows).filter(F.col("n") >= min_rows)
+        for row in heavy.withColumn("place", largest_first).filter(F.col("place") <= top).collect():
+            found[row["which"]][row["h"]] = row["n"]
+    return [HeavyKeys(tuple(k), counts) for k, counts in zip(keys, found, strict=True)]
 
 
 def lookup_join(

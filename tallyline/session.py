@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 TUNING = {
     "spark.sql.session.timeZone": "UTC",
@@ -14,6 +14,12 @@ TUNING = {
 }
 
 
+def compiled(spark: SparkSession) -> None:
+    """See that wide clean-up projections are compiled, in a session that was started without ``TUNING``."""
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.set(limit, TUNING[limit])
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give every core a share of an input that arrives in too few pieces.
 

@@ -2,6 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from tallyline.operators import rules as r
+from tallyline.operators.dedup import latest_first
+from tallyline.operators.skew import heavy_keys
 from tallyline.operators.upsert import last_file_rows
 from tallyline.sources import arrival
 
@@ -41,3 +44,21 @@ def test_rows_of_files_that_share_no_key_are_loaded_without_a_join(spark):
     shared = apart.unionAll(spark.createDataFrame([("a", "z", "f2"), (None, "x", "f3")], schema))
     assert sorted((r.id or "", r.v, r.file) for r in last_file_rows(shared, ["id"], "file", ("file",)).collect()) == [
         ("", "x", "f3"), ("a", "z", "f2"), ("b", "x", "f2")]
+
+
+def test_heavy_keys_are_counted_exactly_among_many_light_ones(spark):
+    rows = spark.range(40_000).select(F.when(F.col("id") % 40 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.lit(1).alias("one"))
+    by_k, by_one = heavy_keys(rows, ["k"], ["one"], share=0.5, min_rows=1_000)
+    assert list(by_k.rows.values()) == [1_000] and list(by_one.rows.values()) == [40_000]
+
+
+def test_passed_rows_are_found_without_an_extra_sort_or_a_list_of_reasons(spark, frame):
+    rows = frame([("a", 1, 5.0), ("a", 2, -1.0), ("b", 1, 2.0), (None, 1, 1.0)], "id string, day int, amount double")
+    checked = r.validate(rows, r.RecordChecks(
+        key=("id",), duplicate_reason="duplicate", order_by=tuple(latest_first("day")),
+        rules=(r.required("id", "missing id"), r.positive("amount", "not positive"))))
+    ok = r.passed(checked, ["id", "day"])
+    assert "WindowGroupLimit" not in final_plan(ok) and "lambda" not in final_plan(ok)
+    assert [tuple(x) for x in ok.collect()] == [("b", 1)]
+    assert sorted((x.id or "", x.day, x.all_reasons) for x in checked.collect()) == [
+        ("", 1, ["missing id"]), ("a", 1, ["duplicate"]), ("a", 2, ["not positive"]), ("b", 1, [])]
