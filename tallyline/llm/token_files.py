@@ -20,7 +20,7 @@ from tallyline.llm import byte_bpe
 from tallyline.llm import kernels as K
 from tallyline.llm.order import running
 from tallyline.llm.registry import query, table
-from tallyline.llm.scratch import folder, width
+from tallyline.llm.scratch import folder, stored, width
 
 END = 2
 STRIPE = 16 << 20
@@ -84,7 +84,8 @@ def digest(tokens: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts), pa.array(crcs, pa.int64())],
                                              names=["doc_id", "n_tokens", "ids_crc32"])
 
-    small = tokens.mapInArrow(sums, "doc_id long, n_tokens long, ids_crc32 long")
+    # written first: dealing rows into ranges samples them, which would read and sum every document twice
+    small = stored(tokens.mapInArrow(sums, "doc_id long, n_tokens long, ids_crc32 long"))
     return running(small, [F.col("doc_id"), F.col("ids_crc32")], {"start": F.col("n_tokens")})
 
 

@@ -48,6 +48,19 @@ def test_files_round_trip_in_id_order(spark, docs, nothing, plain):
     assert token_files.digest(token_files.read(spark, empty)).count() == 0
 
 
+def test_digest_reads_every_row_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    tokens = spark.range(100).select(F.col("id").alias("doc_id"), F.array(F.col("id").cast("int"), F.lit(2)).alias("ids"))
+    got = token_files.digest(tokens.mapInArrow(counted, "doc_id long, ids array<int>")).collect()
+    assert read.value == 100 and sorted(r.start for r in got) == list(range(0, 200, 2))
+
+
 def test_histogram_answers_every_limit(docs, nothing, plain):
     sizes = [len(plain.encode(t or "", add_special_tokens=False).ids) for _, t in ROWS]
     hist = token_counts.histogram(token_counts.lengths(docs, token_files.vocabulary()))
