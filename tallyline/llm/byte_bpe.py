@@ -12,6 +12,7 @@ from __future__ import annotations
 import sys
 import unicodedata
 from collections.abc import Callable
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -74,13 +75,18 @@ def cuts(points: np.ndarray, ends: np.ndarray, kinds: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
+def nothing() -> dict[str, np.ndarray]:
+    """Ids of all pieces end to end, where each piece's begin and how many it has, before any is known."""
+    return {"ids": np.zeros(0, np.uint32), "origins": np.zeros(0, np.int64), "sizes": np.zeros(0, np.int64)}
+
+
 def encoder(path: str, kinds: np.ndarray) -> Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]:
     """A function from a column of texts to all ids end to end and the number of ids of each text; null is empty."""
     shared = per_process("byte_bpe")
     if shared.get("path") != path:
         from tokenizers import Tokenizer
 
-        shared.update(path=path, tokenizer=Tokenizer.from_file(path), known={}, ids=np.zeros(0, np.uint32), sizes=np.zeros(0, np.int64))
+        shared.update(path=path, tokenizer=Tokenizer.from_file(path), known={}, **nothing())
     tokenizer = shared["tokenizer"]
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
@@ -88,7 +94,9 @@ def encoder(path: str, kinds: np.ndarray) -> Callable[[pa.Array], tuple[np.ndarr
         """Encode distinct pieces in one call; their ids go behind those known so far."""
         known = shared["known"]
         got = tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-        shared["sizes"] = np.concatenate((shared["sizes"], np.bincount(np.asarray(got.word_ids, np.int64), minlength=len(words))))
+        sizes = np.bincount(np.asarray(got.word_ids, np.int64), minlength=len(words))
+        shared["origins"] = np.concatenate((shared["origins"], len(shared["ids"]) + np.cumsum(sizes) - sizes))
+        shared["sizes"] = np.concatenate((shared["sizes"], sizes))
         shared["ids"] = np.concatenate((shared["ids"], np.asarray(got.ids, np.uint32)))
         known.update(zip(names, range(len(known), len(known) + len(names)), strict=True))
 
@@ -113,18 +121,18 @@ def encoder(path: str, kinds: np.ndarray) -> Callable[[pa.Array], tuple[np.ndarr
             stop = np.append(start[1:], len(points))
             names, first, which = np.unique(K.span_hashes(points, start, stop), return_index=True, return_inverse=True)
             keys = names.tolist()
-            fresh = [k for k, name in enumerate(keys) if name not in shared["known"]]
+            place = np.fromiter(map(shared["known"].get, keys, repeat(-1)), np.int64, len(keys))
+            fresh = np.flatnonzero(place < 0).tolist()
             if len(shared["known"]) + len(fresh) > MOST_PIECES:
                 shared["known"].clear()
-                shared.update(ids=np.zeros(0, np.uint32), sizes=np.zeros(0, np.int64))
+                shared.update(nothing())
                 fresh = list(range(len(keys)))
             if fresh:
+                place[fresh] = np.arange(len(fresh)) + len(shared["known"])
                 learn([keys[k] for k in fresh], [text[start[first[k]]:stop[first[k]]] for k in fresh])
-            place = np.fromiter(map(shared["known"].__getitem__, keys), np.int64, len(keys))
-            values, sizes = shared["ids"], shared["sizes"]
-            origin = (np.cumsum(sizes) - sizes)[place][which]
-            sizes = sizes[place]
-            size = sizes[which]
+            values = shared["ids"]
+            origin = shared["origins"][place][which]
+            size = shared["sizes"][place][which]
             total = np.concatenate(([0], np.cumsum(size)))
             flat.append(values[np.repeat(origin - total[:-1], size) + np.arange(total[-1])])
             counts[i:j] = np.diff(total[np.searchsorted(start, at)])
