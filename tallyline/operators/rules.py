@@ -154,7 +154,9 @@ def validate(
     duplicate = F.when(F.col(DUPLICATE), F.array(F.lit(checks.duplicate_reason))).otherwise(none)
     return (
         rows.withColumn("validation_errors", errors)
-        .withColumn(QUARANTINED, broken | F.col(DUPLICATE))
+        # one predicate, not a list of rules: Spark would test those on the key before the duplicates too, on every row, and read a
+        # table that feeds two sources once for each
+        .withColumn(QUARANTINED, F.greatest(broken, F.col(DUPLICATE)))
         .withColumn(REASONS, F.concat("validation_errors", duplicate))
     )
 
